@@ -90,7 +90,7 @@ def dossiers(rows: DataFrame, events: DataFrame, checks: DataFrame) -> DataFrame
         F.avg("tw").alias("technical_share"))
     kind = F.when(F.col("source_type").isin(*C.ARTIFACT_TYPES), F.col("source_type")).otherwise("linked-artifact")
     a = arts.groupBy("event_id").agg(
-        F.count("*").alias("artifact_count"), F.sum("aw").alias("weighted"), F.count_distinct(kind).alias("artifact_kinds"))
+        F.count("*").alias("artifact_count"), (F.sum(F.bround(F.col("aw") * 100, 0).cast("long")) / 100).alias("weighted"), F.count_distinct(kind).alias("artifact_kinds"))
     f = checks.groupBy("event_id").agg(F.max("evidence_count").alias("follow"))
     d = (events.select(F.col("id").alias("event_id"), "name").join(whole, "event_id", "left").join(o, "event_id", "left")
          .join(a, "event_id", "left").join(f, "event_id", "left"))

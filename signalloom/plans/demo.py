@@ -135,7 +135,7 @@ def _q(v) -> str:
     if isinstance(v, bool):
         return "true" if v else "false"
     if isinstance(v, (list, tuple)):
-        return "[" + ",".join(_q(x) for x in v) + "]::VARCHAR[]"
+        return "([" + ",".join(_q(x) for x in v) + "]::VARCHAR[])"
     if isinstance(v, int):
         return str(v)
     return "'" + v.replace("'", "''") + "'"

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import dates as D, text as X
-from signalloom.operators import change as H, classify as K, discover as G, gates, lifecycle as L, pulse as P, ranking as R
+from signalloom.operators import change as H, classify as K, lifecycle as L, pulse as P, ranking as R
 from signalloom.operators import quality as Q, resolve as V, scores as S
+from signalloom.session import cut_lineage
 
 
 def normalized_evidence(df: DataFrame, sources: DataFrame, layers: dict[str, list[str]]) -> DataFrame:
@@ -143,6 +144,7 @@ def project_catalog(evidence: DataFrame, reviewed: DataFrame, as_of: str) -> Dat
 
 def review_queue(projects: DataFrame, per_signature: int = 3, total: int = 25) -> DataFrame:
     """Projects with the queued ones marked."""
+    projects = cut_lineage(projects, "projects")   # read three times below
     order = [F.desc("review_priority"), F.desc_nulls_last("ts"), F.col("name")]
     open_ones = projects.filter((F.col("review_status") != "reviewed") & (F.size("theme_ids") > 0)).withColumn(
         "signature", F.array_join("theme_ids", ","))

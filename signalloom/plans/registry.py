@@ -1,8 +1,8 @@
 """All queries and their DuckDB SQL."""
 
-from signalloom.plans import q_text
+from signalloom.plans import q_scores, q_text
 
 QUERIES, ORACLE = {}, {}
-for module in (q_text,):
+for module in (q_text, q_scores):
     QUERIES |= module.QUERIES
     ORACLE |= module.ORACLE
