@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import constants as C, text as X
+from signalloom.session import cut_lineage
 
 
 @dataclass
@@ -171,16 +172,16 @@ def relations(base: DataFrame, policy: ConceptPolicy) -> DataFrame:
 
     Nodes per record are few (lexicon hits and at most twelve entities), sentences are exploded.
     """
-    nodes = F.transform(F.concat("controlled", "entities"), lambda n, i: F.struct(
-        i.alias("ord"), n["id"].alias("id"), F.transform(n["matched_terms"], X.normalized_text).alias("terms")))
-    acts = F.transform("actions", lambda a, i: F.struct(
-        i.alias("ord"), a["id"].alias("id"), F.transform(a["matched_terms"], X.normalized_text).alias("terms")))
+    def listed(items: Column) -> Column:
+        return F.transform(items, lambda n, i: F.named_struct(
+            F.lit("ord"), i, F.lit("id"), n["id"], F.lit("terms"), F.transform(n["matched_terms"], X.normalized_text)))
+    nodes, acts = listed(F.concat("controlled", "entities")), listed(F.col("actions"))
 
     def placed(items: Column) -> Column:
         def at(x: Column) -> Column:
             spots = F.filter(F.transform(x["terms"], lambda t: F.when(
                 t != "", X.phrase_position(F.col("sent"), t)).otherwise(-1)), lambda p: p >= 0)
-            return F.struct(F.array_min(spots).alias("pos"), x["ord"].alias("ord"), x["id"].alias("id"))
+            return F.named_struct(F.lit("pos"), F.array_min(spots), F.lit("ord"), x["ord"], F.lit("id"), x["id"])
         return F.array_sort(F.filter(F.transform(items, at), lambda x: x["pos"].isNotNull()))
 
     rows = (base.filter((F.size("actions") > 0) & (F.size("controlled") + F.size("entities") > 1))
@@ -213,7 +214,7 @@ RELATION = "array<struct<subject_id:string,predicate:string,object_id:string,bas
 def concept_documents(items: DataFrame, policy: ConceptPolicy, n_documents: int | None = None) -> DataFrame:
     """One row per record with concepts, entities, actions and relationships."""
     n = items.count() if n_documents is None else n_documents
-    base = prepared(items, policy)
+    base = cut_lineage(prepared(items, policy), "tokens")   # read three times below
     phrases = picked_phrases(scored_phrases(phrase_counts(base, policy), n, policy), policy)
     rel = relations(base, policy)
     out = (base.drop("tokens", "search", "title_tokens").join(phrases.select("id", phrase_items().alias("phrases")), "id", "left")

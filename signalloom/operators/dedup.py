@@ -107,3 +107,87 @@ def greedy_event_duplicates(rows: DataFrame, window_days: int = 7) -> tuple[Data
     rejected = (found.filter(F.col("a_rank") < F.col("rank")).groupBy("id")
                 .agg(F.min_by("a_id", "a_rank").alias("duplicate_of")))
     return accepted.select("id", "rank"), rejected
+
+
+def greedy_dropped(pairs: DataFrame) -> DataFrame | None:
+    """Ids rejected by a best-first pass, given all (id, better) conflicts; None when nothing is.
+
+    A row whose better neighbours are all gone or absent is safe; its worse neighbours drop; repeat.
+    """
+    left = cut_lineage(pairs, "conflicts")
+    dropped = None
+    while True:
+        waiting = left.select("id").distinct()
+        safe = left.select("better").distinct().join(waiting.withColumnRenamed("id", "better"), "better", "left_anti")
+        hit = cut_lineage(left.join(safe, "better", "left_semi").select("id").distinct(), "dropped")
+        if hit.isEmpty():
+            return dropped
+        dropped = hit if dropped is None else dropped.unionByName(hit)
+        left = cut_lineage(left.join(hit, "id", "left_anti").join(hit.withColumnRenamed("id", "better"), "better", "left_anti"), "conflicts")
+
+
+def contained_titles(titles: DataFrame, group: list[str], ratio: float = 0.7) -> DataFrame:
+    """(group, inner, outer) for distinct folded titles inside a longer one of at least `ratio` its length.
+
+    `titles`: group columns and `t`. Found by equality, not by comparing titles with each other: the
+    pieces of a title long enough to qualify are looked up among the titles. Start positions are first
+    thinned by a semi join on a short opening, so only promising starts produce pieces.
+    """
+    opening = 12
+    size, t = F.length("t"), F.col("t")
+    low = F.ceil(size * ratio - 1e-9).cast("int")
+    starts = F.sequence(F.lit(1), F.greatest(size - low + 1, F.lit(1)))
+    heads = titles.select(*group, F.substring(t, 1, opening).alias("h")).distinct()
+    begun = titles.filter(size > 1).select(*group, "t", F.explode(starts).alias("i")).withColumn(
+        "h", F.substring(t, F.col("i"), F.lit(opening))).join(heads, [*group, "h"], "left_semi")
+    begun = begun.select(*group, "t", "i", F.explode(F.sequence(low, F.length("t") - F.col("i") + 1)).alias("n"))
+    pieces = begun.filter(F.col("n") < F.length("t")).select(*group, F.col("t").alias("outer"), F.substring("t", F.col("i"), F.col("n")).alias("inner"))
+    return pieces.join(titles.withColumnRenamed("t", "inner"), [*group, "inner"], "left_semi").distinct()
+
+
+def collapse_titles(rows: DataFrame, group: list[str], ratio: float = 0.7) -> DataFrame:
+    """Keep the longest of near-equal titles.
+
+    `rows`: group columns, title, sponsored. Equal folded titles collapse by an aggregation first; a
+    title inside a kept longer one then joins it. Adds duplicate_count and the OR of the sponsor flags.
+    """
+    folded = X.fold(F.col("title"))
+    whole = rows.groupBy(*group, folded.alias("t")).agg(
+        F.min(F.struct((-F.length("title")).alias("l"), "title"))["title"].alias("title"), F.count("*").alias("n"), F.bool_or("sponsored").alias("s"))
+    whole = cut_lineage(whole, "titles")
+    pairs = cut_lineage(contained_titles(whole.select(*group, "t"), group, ratio), "contained")
+    key = lambda c: F.sha2(F.concat_ws("\u0001", *group, c), 256)
+    dropped = greedy_dropped(pairs.select(key("inner").alias("id"), key("outer").alias("better")))
+    none = whole.select(key("t").alias("id")).limit(0)
+    gone = (dropped or none).distinct()
+    marked = whole.withColumn("id", key("t"))
+    kept = marked.join(gone, "id", "left_anti")
+    rank = F.struct((-F.length("outer")).alias("l"), F.col("outer").alias("t"))
+    home = (pairs.withColumn("id", key("inner")).join(gone, "id", "left_semi").withColumn("oid", key("outer"))
+            .join(kept.select(F.col("id").alias("oid")), "oid", "left_semi").groupBy("id").agg(F.min_by("oid", rank).alias("home")))
+    extra = marked.join(home, "id").groupBy(F.col("home").alias("id")).agg(F.sum("n").alias("n2"), F.bool_or("s").alias("s2"))
+    out = kept.join(extra, "id", "left")
+    return out.select(*group, "title", (F.col("n") + F.coalesce("n2", F.lit(0))).alias("duplicate_count"),
+                      (F.col("s") | F.coalesce("s2", F.lit(False))).alias("sponsor_seen"))
+
+
+def clean_history(rows: DataFrame, source_id: str) -> DataFrame:
+    """Stored newsletter rows under the current title rules.
+
+    `rows`: id, title, published_at, sponsor_status, sponsor_basis. Titles are cleaned, noise dropped,
+    near copies of a day collapsed, sponsor flags settled by the evidence left, and ids renewed.
+    """
+    clean = rows.withColumn("title", X.clean_title(F.col("title"))).withColumn("day", F.substring("published_at", 1, 10))
+    clean = clean.filter(~X.spaced_letters(F.col("title"))).withColumn("sponsored", F.col("sponsor_status") == "sponsored")
+    kept = collapse_titles(clean.select("day", "title", "sponsored"), ["day"])
+    meta = first_per_group(clean.select("day", "title", "published_at", "sponsor_status", "sponsor_basis"), ["day", "title"],
+                           [F.col("published_at"), F.col("sponsor_status")])
+    out = kept.join(meta, ["day", "title"])
+    repeated = F.col("sponsor_seen") & (F.col("duplicate_count") > 1)
+    vague = F.col("sponsor_seen") & ~F.coalesce(
+        F.col("sponsor_basis").isin("duplicate-link-title", "repeated-link-with-sponsor-context"), F.lit(False))
+    sponsored = F.when(F.col("sponsor_seen"), F.lit("sponsored")).otherwise(F.col("sponsor_status"))
+    return out.select(
+        X.stable_id(F.lit(source_id), F.lit(source_id), F.col("day"), X.folded_title(F.col("title"))).alias("id"), "title", "published_at",
+        F.when(repeated, "sponsored").when(vague, "unknown").otherwise(sponsored).alias("sponsor_status"),
+        F.when(repeated, "duplicate-link-title").when(vague, "legacy-proximity-uncertain").otherwise(F.col("sponsor_basis")).alias("sponsor_basis"))

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import constants as C, text as X
-from signalloom.operators.dedup import source_rank
+from signalloom.operators.dedup import greedy_dropped, source_rank
 from signalloom.operators.ranking import contribution_caps, top_per_group
 from signalloom.session import cut_lineage
 
@@ -198,31 +198,31 @@ def distinct_clusters(clusters: DataFrame, order: list[Column], jaccard: float =
     sets = cut_lineage(sets.withColumn("_rank", F.struct(*[
         c.alias(f"r{i}") for i, c in enumerate(order)])), "sets")
     df = sets.select(F.explode("evidence_ids").alias("e")).groupBy("e").agg(F.count("*").alias("df"))
-    tokens = sets.select("id", F.explode("evidence_ids").alias("e")).join(df.filter("df > 1"), "e", "left")
-    ordered = tokens.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(
-        F.coalesce("df", F.lit(1)).alias("df"), "e"))).alias("t"))
-    size = F.size("t")
-    prefix = ordered.select("id", F.explode(F.slice("t", F.lit(1), size - F.ceil(size * jaccard - 1e-9).cast("int") + 1)).alias("p"))
-    prefix = prefix.select("id", "p.e")
-    pairs = prefix.join(prefix.withColumnRenamed("id", "other"), "e").filter("id <> other").select("id", "other").distinct()
+    tokens = sets.select("id", F.explode("evidence_ids").alias("e")).join(df, "e")
+    ordered = tokens.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("t")).withColumn("n", F.size("t"))
+    need = lambda a, b: F.ceil((a + b) * (jaccard / (1 + jaccard)) - 1e-9).cast("int")
+
+    def keyed(small_side: bool) -> DataFrame:
+        """Openings of each set for every size of its partner that can still reach the bound."""
+        n = F.col("n")
+        other = (F.sequence(n, F.greatest(n, F.floor(n / jaccard + 1e-9).cast("int"))) if small_side
+                 else F.sequence(F.ceil(n * jaccard - 1e-9).cast("int"), n))
+        rows = ordered.select("id", "t", "n", F.explode(other).alias("o"))
+        low, high = (F.col("n"), F.col("o")) if small_side else (F.col("o"), F.col("n"))
+        rows = rows.filter((low != high) | (need(low, high) < low))   # equal sets are gone already
+        rows = rows.select("id", low.alias("low"), high.alias("high"), F.explode(F.slice("t", F.lit(1), n - need(low, high) + 1)).alias("p"))
+        return rows.select("id", "low", "high", "p.e")
+
+    found = keyed(True).join(keyed(False).withColumnRenamed("id", "other"), ["e", "low", "high"]).filter("id <> other")
+    both = found.select("id", "other").unionByName(found.select(F.col("other").alias("id"), F.col("id").alias("other")))
+    pairs = both.distinct()
     info = sets.select("id", "_rank", "evidence_ids")
     pairs = (pairs.join(info, "id").join(info.select(
         F.col("id").alias("other"), F.col("_rank").alias("o_rank"), F.col("evidence_ids").alias("o_ids")), "other")
         .filter(F.col("o_rank") < F.col("_rank"))
         .filter(F.size(F.array_intersect("evidence_ids", "o_ids")) / F.size(F.array_union("evidence_ids", "o_ids")) >= jaccard)
         .select("id", F.col("other").alias("better")))
-    open_pairs = cut_lineage(pairs, "pairs")
-    dropped = None
-    while True:
-        waiting = open_pairs.select("id").distinct()
-        safe = open_pairs.select(F.col("better").alias("id")).distinct().join(waiting, "id", "left_anti")
-        hit = cut_lineage(open_pairs.join(safe.withColumnRenamed("id", "better"), "better", "left_semi").select("id").distinct(), "hit")
-        if hit.count() == 0:
-            break
-        dropped = hit if dropped is None else dropped.unionByName(hit)
-        open_pairs = cut_lineage(
-            open_pairs.join(hit, "id", "left_anti")
-            .join(hit.withColumnRenamed("id", "better"), "better", "left_anti"), "pairs")
+    dropped = greedy_dropped(pairs)
     if dropped is not None:
         sets = sets.join(dropped, "id", "left_anti")
     return sets.drop("_rank").orderBy(*order).limit(limit)

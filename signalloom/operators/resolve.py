@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import constants as C, dates as D, text as X
+from signalloom.functions.arrays import explode_rows
 
 
 def _event_structs(events: list[dict]) -> Column:
@@ -165,5 +166,4 @@ def qualify(df: DataFrame, directions: list[dict]) -> DataFrame:
             enough = enough | F.col("id").isin(*d["curated_evidence_ids"])
         return F.when(enough, F.lit(d["id"]))
     low = df.withColumn("_low", X.fold(F.concat_ws(" ", "title", "summary")))
-    return (low.withColumn("direction_id", F.explode(F.array_compact(F.array(*[rule(d) for d in directions]))))
-            .drop("_low"))
+    return explode_rows(low, "direction_id", F.array_compact(F.array(*[rule(d) for d in directions]))).drop("_low")

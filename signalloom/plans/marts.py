@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import dates as D, text as X
+from signalloom.functions.arrays import explode_rows
 from signalloom.operators import change as H, classify as K, lifecycle as L, pulse as P, ranking as R
 from signalloom.operators import quality as Q, resolve as V, scores as S
 from signalloom.session import cut_lineage
@@ -101,7 +102,7 @@ def verification_hits(df: DataFrame, families: list[dict]) -> DataFrame:
                 hit = hit | F.contains(F.col("_low"), F.lit(t.lower()))
             ok = ok & hit
         return F.when(ok, F.lit(f["id"]))
-    return df.withColumn("_low", low).withColumn("family", F.explode(F.array_compact(F.array(*[rule(f) for f in families])))).drop("_low")
+    return explode_rows(df.withColumn("_low", low), "family", F.array_compact(F.array(*[rule(f) for f in families]))).drop("_low")
 
 
 def verification_coverage(df: DataFrame, families: list[dict], previous: DataFrame, samples: int = 8) -> DataFrame:

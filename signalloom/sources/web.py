@@ -159,13 +159,15 @@ def link_tokens(html: Column) -> Column:
 
 
 def sponsor_hrefs(tokens: Column) -> Column:
-    """Links used more than once with a sponsor marker within two tokens before or one after."""
+    """Links used more than once with a sponsor marker within two tokens before or one after.
+
+    `tokens` must be a column of the frame, not an expression: it is read once per token.
+    """
     spots = F.transform(tokens, lambda t, i: F.struct(t["href"].alias("href"), F.array_join(F.transform(
         F.slice(tokens, F.greatest(i - 1, F.lit(1)), F.least(i + 2, F.lit(4))), lambda x: x["text"]), " ").alias("near")))
-    hrefs = F.transform(tokens, lambda t: t["href"])
     marked = F.filter(spots, lambda s: (s["href"] != "") & s["near"].rlike(C.SPONSOR_CONTEXT))
     return F.array_distinct(F.transform(F.filter(
-        marked, lambda s: F.size(F.filter(hrefs, lambda h: h == s["href"])) > 1), lambda s: s["href"]))
+        marked, lambda s: F.size(F.filter(tokens, lambda t: t["href"] == s["href"])) > 1), lambda s: s["href"]))
 
 
 def editorial_items(messages: DataFrame, html: str, key: str, day: str, source_id: str, domain: str) -> DataFrame:
