@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from signalloom.functions import constants as C, dates as D, text as X
+from signalloom.functions.arrays import explode_rows
 from signalloom.operators.dedup import greedy_event_duplicates, source_rank
 from signalloom.operators.ranking import first_per_group
 
@@ -36,7 +37,7 @@ def privacy_violations(df: DataFrame, key: str, json_text: Column) -> DataFrame:
     """One row per record and violation (F8); an empty result means safe to publish."""
     kinds = F.concat(sensitive_kinds(json_text),
                      F.transform(blocked_keys(json_text), lambda k: F.concat(F.lit("key:"), k)))
-    return df.select(key, F.explode(kinds).alias("violation"))
+    return explode_rows(df.select(key, kinds.alias("_v")), "violation", "_v").drop("_v")
 
 
 def fingerprint(fields: list[str] = C.FINGERPRINT_FIELDS) -> Column:
@@ -213,7 +214,7 @@ def value_gaps(df: DataFrame, key: str, not_null: list[str], enums: dict[str, li
     tests = {f"null:{c}": F.col(c).isNull() for c in not_null}
     tests |= {f"enum:{c}": ~F.coalesce(F.col(c).isin(*v), F.lit(True)) for c, v in enums.items()}
     tests |= {f"minimum:{c}": F.coalesce(F.col(c) < v, F.lit(False)) for c, v in minima.items()}
-    return df.select(key, F.explode(failed(tests)).alias("violation"))
+    return explode_rows(df.select(key, failed(tests).alias("_v")), "violation", "_v").drop("_v")
 
 
 def case_link_checks(cases: DataFrame, links: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -227,11 +228,11 @@ def case_link_checks(cases: DataFrame, links: DataFrame, evidence: DataFrame) ->
     repeated = (links.groupBy("case_id", "evidence_id").count().filter("count > 1")
                 .select("case_id", F.lit("repeated-evidence").alias("violation")))
     allowed = F.array(*[F.lit(d) for d in C.DIMENSIONS])
-    per_link = links.select("case_id", F.explode(failed({
+    per_link = explode_rows(links.select("case_id", failed({
         "unknown-relationship": ~F.col("relationship").isin(*relations),
         "unknown-dimension": F.size(F.array_except("dimensions", allowed)) > 0,
         "exclusion-without-reason": (F.col("relationship") == "excluded") & blank(F.col("exclusion_reason")),
-    })).alias("violation"))
+    }).alias("_v")), "violation", "_v").drop("_v")
     direct = F.col("relationship") == "direct-support"
     technical = direct & F.array_contains("dimensions", "technical_reality")
     sums = links.groupBy("case_id").agg(
@@ -241,7 +242,7 @@ def case_link_checks(cases: DataFrame, links: DataFrame, evidence: DataFrame) ->
     c = cases.join(sums, "case_id", "left").fillna({"events": 0, "artifacts": 0, "has_counter": False})
     level = lambda name: F.try_element_at("assessments", F.lit(name))
     three = ["low", "moderate", "high"]
-    per_case = c.select("case_id", F.explode(failed({
+    per_case = explode_rows(c.select("case_id", failed({
         "invalid-level": reduce(lambda a, b: a | b, [
             ~F.coalesce(level(d).isin(*C.LEVELS), F.lit(False)) for d in C.DIMENSIONS]),
         "invalid-confidence": ~F.coalesce(level("confidence").isin(*three), F.lit(False)),
@@ -252,5 +253,5 @@ def case_link_checks(cases: DataFrame, links: DataFrame, evidence: DataFrame) ->
         "review-caps-confidence": ~F.col("counterevidence_reviewed") & (level("confidence") == "high"),
         "events-mismatch": F.col("qualifying_events") != F.col("events"),
         "artifacts-mismatch": F.col("technical_artifacts") != F.col("artifacts"),
-    })).alias("violation"))
+    }).alias("_v")), "violation", "_v").drop("_v")
     return unknown.unionByName(repeated).unionByName(per_link).unionByName(per_case).distinct()

@@ -131,9 +131,11 @@ def coverage(df: DataFrame) -> DataFrame:
         F.when(total, F.bround(F.col("_c") / F.nullif(F.col("records"), F.lit(0)), 3)).alias("raw_coverage"))
 
 
-def candidate_metrics(candidates: DataFrame, evidence: DataFrame, as_of: str, technical: list[str]) -> DataFrame:
-    """Evidence behind each candidate, looked up by id; unknown ids fall out."""
-    links = candidates.select(F.col("id").alias("candidate_id"), F.explode("evidence_ids").alias("id"))
+def candidate_metrics(links: DataFrame, evidence: DataFrame, as_of: str, technical: list[str]) -> DataFrame:
+    """Evidence behind each candidate, looked up by id; unknown ids fall out.
+
+    `links`: candidate_id, id, one row per cited record.
+    """
     hit = links.join(evidence.select("id", "source_id", "source_type", "ts"), "id")
     return hit.groupBy("candidate_id").agg(
         F.count("*").alias("evidence_count"), F.count_distinct("source_id").alias("source_count"),

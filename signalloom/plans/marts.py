@@ -213,14 +213,14 @@ def live_section(evidence: DataFrame, source_id: str, k: int = 8) -> tuple[DataF
     return head, lead
 
 
-def candidate_pool(candidates: DataFrame, evidence: DataFrame, previous: DataFrame, adjudications: DataFrame, as_of: str) -> DataFrame:
+def candidate_pool(candidates: DataFrame, links: DataFrame, evidence: DataFrame, previous: DataFrame, adjudications: DataFrame, as_of: str) -> DataFrame:
     """Candidates with metrics, priority, change reasons and adjudication (M6: A16, A17, X5, X6, J9).
 
-    candidates: id, origin, title, evidence_ids, stage, strength, movement, linked.
+    candidates: id, origin, title, stage, strength, movement, linked; links: candidate_id, id.
     """
     from signalloom.functions import constants as C
-    m = S.candidate_metrics(candidates, evidence, as_of, C.TECHNICAL_SOURCE_TYPES)
-    out = candidates.drop("evidence_ids").join(m.withColumnRenamed("candidate_id", "id"), "id", "left").fillna(
+    m = S.candidate_metrics(links, evidence, as_of, C.TECHNICAL_SOURCE_TYPES)
+    out = candidates.join(m.withColumnRenamed("candidate_id", "id"), "id", "left").fillna(
         0, ["evidence_count", "source_count", "recent_evidence_count", "technical_record_count"])
     families = F.size(F.coalesce("source_types", F.array().cast("array<string>")))
     points = S.lookup(C.MOVEMENT_POINTS, F.col("movement"), 8)

@@ -380,8 +380,8 @@ FROM orders GROUP BY 1""")
 def a16(spark, sf):
     o = table(spark, sf, "orders")
     e = o.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("source_id"), F.col("o_orderstatus").alias("source_type"), F.col("o_orderdate").cast("timestamp").alias("ts"))
-    c = o.groupBy(F.col("o_custkey").alias("id")).agg(F.collect_list("o_orderkey").alias("evidence_ids"))
-    return S.candidate_metrics(c, e, VOLUME_AS_OF, ["F"]).drop("source_types")
+    links = o.select(F.col("o_custkey").alias("candidate_id"), F.col("o_orderkey").alias("id"))
+    return S.candidate_metrics(links, e, VOLUME_AS_OF, ["F"]).drop("source_types")
 
 
 @query("a17_priority", """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 22 WHEN 'O' THEN 8 ELSE 8 END + least(25, (o_custkey % 9) * 3 + (o_custkey % 4) * 2) + least(20, (o_custkey % 11) * 3) + least(20, (o_custkey % 7) * 4) + CASE WHEN o_custkey % 2 = 0 THEN 10 ELSE 0 END AS priority FROM orders""")
@@ -712,17 +712,20 @@ def r03(spark, sf):
     links = li.select(F.col("l_partkey").alias("case_id"), F.col("id").alias("evidence_id"), F.col("l_orderkey").alias("event_id"), F.lit("direct-support").alias("relationship"), F.col("id").alias("pos"))
     e = li.select("id", F.lit("t").alias("title"), F.concat(F.lit("sup"), "l_suppkey").alias("source_id"), F.col("l_shipdate").alias("published_at"))
     s = table(spark, sf, "supplier").select(F.concat(F.lit("sup"), "s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    m = gates.operating_model(gates.gate_results(cases(spark, sf)), links, e, s)
-    return m.select("id", "maturity", F.size("evidence").cast("long").alias("linked"), F.get("evidence", F.lit(0))["evidence_id"].alias("first_id"))
+    reqs, linked = gates.operating_model(gates.gate_results(cases(spark, sf)), links, e, s)
+    n = linked.groupBy(F.col("case_id").alias("id")).agg(F.count("*").alias("linked"), F.min("evidence_id").alias("first_id"))
+    return reqs.join(n, "id").select("id", "maturity", "linked", "first_id")
 
 
-@query("r04_state_moves", f"""WITH x AS (SELECT user_id, event_id, ['spark','candidate','approved','merged','rejected','dormant'][(event_id % 6 + 1)::INT] AS s FROM events), m AS (SELECT event_id, lag(s) OVER (PARTITION BY user_id ORDER BY event_id) AS f, s AS t FROM x)
-SELECT f AS from_state, t AS to_state, count(*) AS moves FROM m WHERE f IS NOT NULL AND NOT CASE f WHEN 'spark' THEN t IN ('candidate','dormant','merged','rejected') WHEN 'candidate' THEN t IN ('spark','approved','dormant','merged','rejected') WHEN 'dormant' THEN t IN ('spark','candidate','rejected') ELSE false END GROUP BY 1, 2""")
+_STATES = list(C.STATE_TRANSITIONS)
+
+
+@query("r04_state_moves", f"""WITH m AS (SELECT {demo._q(_STATES)}[(event_id % 6 + 1)::INT] AS f, {demo._q(_STATES)}[(user_id % 6 + 1)::INT] AS t FROM events)
+SELECT f AS from_state, t AS to_state, count(*) AS moves FROM m WHERE NOT CASE f WHEN 'spark' THEN t IN ('candidate','dormant','merged','rejected') WHEN 'candidate' THEN t IN ('spark','approved','dormant','merged','rejected') WHEN 'dormant' THEN t IN ('spark','candidate','rejected') ELSE false END GROUP BY 1, 2""")
 def r04(spark, sf):
-    from pyspark.sql import Window
-    states = F.array(*[F.lit(s) for s in C.STATE_TRANSITIONS])
-    e = table(spark, sf, "events").select("user_id", "event_id", F.element_at(states, (F.col("event_id") % 6 + 1).cast("int")).alias("to_state"))
-    log = e.withColumn("from_state", F.lag("to_state").over(Window.partitionBy("user_id").orderBy("event_id"))).filter("from_state is not null")
+    states = F.array(*[F.lit(s) for s in _STATES])
+    log = table(spark, sf, "events").select(F.element_at(states, (F.col("event_id") % 6 + 1).cast("int")).alias("from_state"),
+                                            F.element_at(states, (F.col("user_id") % 6 + 1).cast("int")).alias("to_state"))
     return Q.illegal_moves(log).groupBy("from_state", "to_state").agg(F.count("*").alias("moves"))
 
 
@@ -764,12 +767,13 @@ M6_SQL = f"""cand AS (SELECT theme_id AS id, CASE WHEN count_if(ts > {_T} - INTE
   CASE WHEN movement = 'new' THEN 25 ELSE 8 END + least(25, sc * 3 + fc * 2) + least(20, tc * 3) + least(20, rc * 4) + CASE WHEN id IN ('bonding','tidal') THEN 10 ELSE 0 END AS priority FROM cand""")
 def m06(spark, sf):
     rows = doc_rows(spark, sf)
-    c = rows.groupBy(F.col("theme_id").alias("id")).agg(F.collect_set("id").alias("evidence_ids"), F.max(D.in_trailing(F.col("ts"), demo.AS_OF, 7)).alias("live"))
-    c = c.select("id", F.lit("cross-source-theme").alias("origin"), F.col("id").alias("title"), "evidence_ids", F.lit(None).cast("string").alias("stage"), F.lit(None).cast("string").alias("strength"),
+    c = rows.groupBy(F.col("theme_id").alias("id")).agg(F.max(D.in_trailing(F.col("ts"), demo.AS_OF, 7)).alias("live"))
+    c = c.select("id", F.lit("cross-source-theme").alias("origin"), F.col("id").alias("title"), F.lit(None).cast("string").alias("stage"), F.lit(None).cast("string").alias("strength"),
                  F.when(F.col("live"), "new").otherwise("steady").alias("movement"), F.col("id").isin("bonding", "tidal").alias("linked"))
     prev = spark.createDataFrame([], "id string, stage string, strength string, movement string, evidence_count long, source_count long, recent_count long")
     adj = spark.createDataFrame([], "candidate_id string, stage string, evidence_count long, source_count long")
-    pool = marts.candidate_pool(c, classified(spark, sf), prev, adj, demo.AS_OF)
+    links = rows.select(F.col("theme_id").alias("candidate_id"), "id")
+    pool = marts.candidate_pool(c, links, classified(spark, sf), prev, adj, demo.AS_OF)
     return pool.select("id", "evidence_count", "source_count", "recent_evidence_count", "technical_record_count", "priority")
 
 

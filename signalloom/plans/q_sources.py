@@ -108,7 +108,7 @@ l AS (SELECT page_id, url AS base, pos, regexp_extract(a, 'href="([^"]*)"', 1) A
 u AS (SELECT page_id, pos, title, split_part(regexp_extract(base, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || href, '#', 1) AS url FROM l WHERE href <> '')
 SELECT page_id, url, min(pos) - 1 AS pos, arg_min(title, (title = '', pos)) AS title FROM u GROUP BY 1, 2""")
 def s08(spark, sf):
-    return web.index_links(table(spark, sf, "pages"), "html", "url", "page_id").select("page_id", "url", F.col("pos").cast("long").alias("pos"), "title")
+    return web.index_links(spread(table(spark, sf, "pages")), "html", "url", "page_id").select("page_id", "url", F.col("pos").cast("long").alias("pos"), "title")
 
 
 @query("s09_page_metadata", rf"""WITH t AS (SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages)
@@ -208,7 +208,7 @@ def s18(spark, sf):
 
 @query("s19_form_links", """SELECT 'social-link:issue-' || o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'linkedin' ELSE 'x' END AS platform, o_orderpriority AS author_name, CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'event-' || o_orderstatus END AS event_id, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS links FROM orders""")
 def s19(spark, sf):
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"))
     body = F.concat(F.lit("### Event ID\n\n"), F.when(F.col("o_orderstatus") == "P", "_No response_").otherwise(F.concat(F.lit("event-"), "o_orderstatus")), F.lit("\n\n### Platform\n\n"),
                     F.when(F.col("o_orderkey") % 2 == 0, "LinkedIn").otherwise("X"), F.lit("\n\n### Author name\n\n"), "o_orderpriority", F.lit("\n\n### Linked public artifacts\n\n"),
                     F.when(F.col("o_orderkey") % 3 == 0, "https://a.example/1, https://a.example/2").otherwise("_No response_"), F.lit("\n"))
@@ -241,7 +241,7 @@ def s21(spark, sf):
 
 def messages(spark, sf):
     """A newsletter per conversation turn: every sentence a link, some repeated near a sponsor mark."""
-    c = table(spark, sf, "conversations")
+    c = spread(table(spark, sf, "conversations"))
     sent = F.filter(F.split(X.compact(F.col("text")), r"(?<=[.!?]) "), lambda s: s != "")
     body = F.array_join(F.transform(sent, lambda s, i: F.concat(
         F.when(i % 7 == 3, F.lit("<p>Presented by</p>")).otherwise(F.lit("<p>.</p>")), F.lit('<a href="https://mail.news.example.org/l/'), F.when(i % 7 == 4, F.lit(3)).otherwise(i).cast("string"), F.lit('?uid=1">'), s, F.lit("</a>"))), "")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from signalloom.functions import constants as C, dates as D, text as X
+from signalloom.functions.arrays import explode_rows
 from signalloom.operators import classify as K, dedup, quality as Q, ranking as R, resolve as V
 from signalloom.plans import demo, stages
 from signalloom.plans.demo import CL_SQL, EV_SQL, EVC_SQL, EVD_SQL, SRC_SQL, evidence, table
@@ -45,7 +46,7 @@ def n01(spark, sf):
   regexp_replace(html, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '),
   '&mdash;', '—'), '&copy;', '©'), '&amp;', '&'), '\s+', ' ', 'g'))) AS text_hash FROM pages""")
 def n04(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(X.strip_tags(F.col("html"))).alias("text_hash"))
+    return demo.spread(table(spark, sf, "pages")).select("page_id", F.md5(X.strip_tags(F.col("html"))).alias("text_hash"))
 
 
 @query("n05_lenient_dates", """WITH f AS (SELECT o_orderkey, o_orderdate AS d, o_orderkey % 6 AS k FROM orders)
@@ -130,7 +131,7 @@ def s10(spark, sf):
 @query("n12_tokens", r"""WITH t AS (SELECT doc_id, regexp_extract_all(translate(replace(lower(text), 'ß', 'ss'), '-/', '  '), '[a-z0-9]+(?:[.+#][a-z0-9]+)*') AS w FROM documents)
 SELECT doc_id, len(w) AS tokens, md5(array_to_string(w, ' ')) AS text_hash, contains(' ' || array_to_string(w, ' ') || ' ', ' the and ') AS has_phrase FROM t""")
 def n12(spark, sf):
-    d = table(spark, sf, "documents").withColumn("w", X.normalized_tokens(F.col("text")))
+    d = demo.spread(table(spark, sf, "documents")).withColumn("w", X.normalized_tokens(F.col("text")))
     joined = F.array_join("w", " ")
     return d.select("doc_id", F.size("w").cast("long").alias("tokens"), F.md5(joined).alias("text_hash"),
                     X.contains_phrase(joined, F.lit("the and")).alias("has_phrase"))
@@ -301,7 +302,7 @@ UNION ALL SELECT doc_id, 'bearer-token' FROM documents WHERE regexp_matches(text
 UNION ALL SELECT doc_id, 'private-key' FROM documents WHERE regexp_matches(text, '-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----')
 UNION ALL SELECT doc_id, 'mailbox-link' FROM documents WHERE regexp_matches(text, '(?i)mail\.google\.com/.*(?:authuser|#all/)')""")
 def f08(spark, sf):
-    d = table(spark, sf, "documents")
+    d = demo.spread(table(spark, sf, "documents"))
     return Q.privacy_violations(d, "doc_id", Q.text_columns(d.select("text")))
 
 
@@ -313,7 +314,7 @@ v AS (SELECT o_orderkey, unnest(list_filter([CASE WHEN n = 0 THEN 'missing-field
   CASE WHEN n > 700 THEN 'observation-too-long' END], lambda x: x IS NOT NULL)) AS violation FROM l)
 SELECT violation, count(*) AS records FROM v GROUP BY 1""")
 def f09(spark, sf):
-    o = table(spark, sf, "orders")
+    o = demo.spread(table(spark, sf, "orders"))
     k = F.col("o_orderkey") % 4
     links = o.select(
         F.concat(F.lit("l:"), "o_orderkey").alias("id"),
@@ -324,7 +325,7 @@ def f09(spark, sf):
         F.expr("repeat(o_orderpriority, cast(o_orderkey % 90 as int))").alias("observation"),
         F.lit(None).cast("string").alias("raw_post_text"))
     out = Q.link_contract(links, ["event-F", "event-O"], ["raw_post_text"])
-    return out.select(F.explode("violations").alias("violation")).groupBy("violation").agg(F.count("*").alias("records"))
+    return explode_rows(out.select("violations"), "violation", "violations").groupBy("violation").agg(F.count("*").alias("records"))
 
 
 @query("f10_record_contract", """WITH g AS (SELECT l_orderkey, count(*) AS n, count(DISTINCT l_suppkey) AS s, count(DISTINCT l_returnflag) AS f, count(DISTINCT l_linenumber || ':' || l_partkey) AS u,
@@ -348,7 +349,7 @@ def f10(spark, sf):
                  F.size("source_family_ids").alias("source_family_count"), F.col("t").cast("int").alias("technical_record_count"),
                  (F.col("d") / F.size("evidence_ids")).alias("dominant_publisher_share")).alias("metrics"))
     out = Q.record_contract(r)
-    return out.select(F.explode("violations").alias("violation")).groupBy("violation").agg(F.count("*").alias("records"))
+    return explode_rows(out.select("violations"), "violation", "violations").groupBy("violation").agg(F.count("*").alias("records"))
 
 
 @query("f11_value_rules", """SELECT o_orderkey, 'enum:o_orderstatus' AS violation FROM orders WHERE o_orderstatus NOT IN ('F','O')

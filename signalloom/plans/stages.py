@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from signalloom.operators import classify as K, concepts as N, discover as G, graph, quality as Q
 from signalloom.plans import demo
-from signalloom.session import cut_lineage
+from signalloom.session import write_shared
 
 _written: dict[tuple, tuple] = {}
 
@@ -23,10 +23,10 @@ def shared(name: str):
             demo.prepare(spark)
             key = (spark.sparkContext.applicationId, sf_dir, name)
             if key not in _written:
-                done = cut_lineage(build(spark, sf_dir), name)
-                _written[key] = (done.inputFiles()[0].rsplit("/", 1)[0] if done.inputFiles() else None, done.schema)
+                df = build(spark, sf_dir)
+                _written[key] = (write_shared(df, name), df.schema)
             path, schema = _written[key]
-            return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
+            return spark.read.schema(schema).parquet(path)
         return get
     return wrap
 

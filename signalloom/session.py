@@ -48,13 +48,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback_dir
 
 
+def write_shared(df: DataFrame, label: str = "stage") -> str:
+    """Write `df` under a new name in the shared folder; returns the path."""
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     A written table survives executor loss, and its exact size lets Catalyst and AQE choose
     broadcast or shuffle joins from facts for the next step.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df, label))

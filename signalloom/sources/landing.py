@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from signalloom.functions import constants as C
 from signalloom.operators import quality as Q
 from signalloom.session import small_table
 
-EVIDENCE = T._parse_datatype_string(
+EVIDENCE = (
     "id string, source_id string, source_type string, title string, url string, published_at string, summary string, "
     "authors array<string>, tags array<string>, projects array<string>, event_ids array<string>, "
     "artifact_urls array<string>, sponsor_status string, metadata map<string,string>")
-RECEIPT = T._parse_datatype_string(
+RECEIPT = (
     "collected_at string, items int, added int, errors array<string>, "
     "collectors array<struct<source_id:string,status:string,items:int,error:string>>")
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = EVIDENCE) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str = EVIDENCE) -> DataFrame:
     """JSON lines with a fixed schema; blank lines are skipped and a missing path reads as empty."""
     try:
         return spark.read.schema(schema).json(path)
@@ -51,7 +51,7 @@ def read_receipts(spark: SparkSession, root: str, families: dict[str, str]) -> D
             raise
         r = r.withColumn("snapshot", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)).withColumn("family", F.lit(family))
         out = r if out is None else out.unionByName(r)
-    return out if out is not None else spark.createDataFrame([], RECEIPT.add("snapshot", "string").add("family", "string"))
+    return out if out is not None else spark.createDataFrame([], RECEIPT + ", snapshot string, family string")
 
 
 def sanitized_import(payload: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:

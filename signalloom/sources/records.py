@@ -29,7 +29,6 @@ FEED = (
     "record:struct<text:string,createdAt:string,reply:string,embed:struct<external:struct<uri:string>>>,"
     "embed:struct<external:struct<uri:string>,media:struct<external:struct<uri:string>>,record:struct<value:struct<text:string>,record:struct<value:struct<text:string>>>>>>>")
 REPOST = "app.bsky.feed.defs#reasonRepost"   # fixed value of the feed format
-NONE = F.lit(None)
 
 
 def _text(c) -> Column:

@@ -130,8 +130,9 @@ def form_fields(body: Column) -> Column:
     pairs = F.transform(parts, lambda p: F.struct(
         X.fold(F.trim(F.substring_index(p, "\n", 1))).alias("key"),
         X.compact(F.replace(F.regexp_replace(p, r"(?s)^[^\n]*\n", ""), F.lit("_No response_"), F.lit(""))).alias("value")))
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda y: y["key"] == x["key"]))
-    return F.map_from_entries(last)
+    # a repeated heading overrides the earlier one
+    return F.aggregate(pairs, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")), lambda m, x: F.map_concat(
+        F.map_filter(m, lambda k, v: k != x["key"]), F.map_from_arrays(F.array(x["key"]), F.array(x["value"]))))
 
 
 def form_links(issues: DataFrame, body: str, number: str) -> DataFrame:
