@@ -137,9 +137,12 @@ def contained_titles(titles: DataFrame, group: list[str], ratio: float = 0.7) ->
     size, t = F.length("t"), F.col("t")
     low = F.ceil(size * ratio - 1e-9).cast("int")
     starts = F.sequence(F.lit(1), F.greatest(size - low + 1, F.lit(1)))
-    heads = titles.select(*group, F.substring(t, 1, opening).alias("h")).distinct()
+    # a title too short for the full opening answers to all its shorter ones
+    longest = int(opening / ratio) + 1
+    widths = F.when(size > longest, F.array(F.lit(opening))).otherwise(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(size, F.lit(opening)))))
+    heads = titles.select(*group, F.explode(F.transform(widths, lambda n: F.substring(t, F.lit(1), n))).alias("h")).distinct()
     begun = titles.filter(size > 1).select(*group, "t", F.explode(starts).alias("i")).withColumn(
-        "h", F.substring(t, F.col("i"), F.lit(opening))).join(heads, [*group, "h"], "left_semi")
+        "h", F.substring(t, F.col("i"), F.least(low, F.lit(opening)))).join(heads, [*group, "h"], "left_semi")
     begun = begun.select(*group, "t", "i", F.explode(F.sequence(low, F.length("t") - F.col("i") + 1)).alias("n"))
     pieces = begun.filter(F.col("n") < F.length("t")).select(*group, F.col("t").alias("outer"), F.substring("t", F.col("i"), F.col("n")).alias("inner"))
     return pieces.join(titles.withColumnRenamed("t", "inner"), [*group, "inner"], "left_semi").distinct()
