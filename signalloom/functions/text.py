@@ -38,10 +38,11 @@ def canonical_url(col: Column) -> Column:
 
 def unescape(col: Column) -> Column:
     """Named entities of the fixed list and decimal code points below 256; `&amp;` goes last."""
-    out = F.coalesce(col, F.lit(""))
+    text = F.coalesce(col, F.lit(""))
+    out = text
     for name, char in C.ENTITIES:
         out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
 
 
 def strip_tags(col: Column) -> Column:

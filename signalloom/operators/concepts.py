@@ -103,22 +103,24 @@ def phrase_counts(base: DataFrame, policy: ConceptPolicy) -> DataFrame:
     """(id, phrase, size, tf, in_title) of all admissible 2-4 token phrases (T5).
 
     Token columns shifted by zip give one row per position, so everything after the explode is plain
-    compiled column code; the count combines on the map side because a record sits in one partition.
+    compiled column code. Token lists are partitioned by record first: that partitioning also serves
+    the count, so counting moves token lists once and no phrases.
     """
     bad = lambda t: t.isin(*C.STOPWORDS) | ((F.length(t) < 3) & ~t.rlike("^[0-9]+$"))
     good = F.transform("tokens", lambda t: F.when(~bad(t), t))
     n = F.greatest(F.size("tokens"), F.lit(1))
-    rows = base.select("id", "title_tokens", good.alias("good"), n.alias("n")).select(
+    rows = base.select("id", "title_tokens", good.alias("good"), n.alias("n")).repartition("id").select(
         "id", "title_tokens",
         F.posexplode(F.arrays_zip(F.col("good").alias("a"), F.slice("good", F.lit(2), F.col("n")).alias("b"),
                                   F.slice("good", F.lit(3), F.col("n")).alias("c"),
                                   F.slice("good", F.lit(4), F.col("n")).alias("d"))))
     rows = rows.select("id", "title_tokens", "pos", "col.*").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    three, four = F.col("c").isNotNull(), F.col("c").isNotNull() & F.col("d").isNotNull()
-    one = lambda size, cond, *cols: F.when(cond, F.struct(F.lit(size).alias("size"), F.concat_ws(" ", *cols).alias("phrase")))
-    grams = rows.select("id", "title_tokens", "pos", F.explode(F.array_compact(F.array(
-        one(2, F.lit(True), "a", "b"), one(3, three, "a", "b", "c"), one(4, four, "a", "b", "c", "d")))).alias("g"))
-    grams = grams.select("id", "title_tokens", "pos", "g.*").filter(~F.col("phrase").rlike("^[0-9 ]+$"))
+    def one(*cols: str) -> Column:   # null as soon as one token is
+        parts = [x for c in cols for x in (F.lit(" "), F.col(c))][1:]
+        return F.struct(F.lit(len(cols)).alias("size"), F.concat(*parts).alias("phrase"))
+    grams = rows.select("id", "title_tokens", "pos", F.explode(F.array(
+        one("a", "b"), one("a", "b", "c"), one("a", "b", "c", "d"))).alias("g")).select("id", "title_tokens", "pos", "g.*")
+    grams = grams.filter(F.col("phrase").isNotNull() & ~F.col("phrase").rlike("^[0-9 ]+$"))
     if policy.blocked_phrases:
         grams = grams.filter(~F.col("phrase").isin(*[plain(p) for p in policy.blocked_phrases]))
     if policy.generic_tokens:

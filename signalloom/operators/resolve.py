@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import constants as C, dates as D, text as X
 from signalloom.functions.arrays import explode_rows
+from signalloom.session import cut_lineage
 
 
 def _event_structs(events: list[dict]) -> Column:
@@ -68,22 +69,23 @@ def attach_by_artifact(df: DataFrame, events: list[dict]) -> DataFrame:
     """Second and last pass: records sharing a URL, project or title with an event record.
 
     Anchors are reduced to one row per key before the join, so a popular project joins to a single
-    row with the list of its events.
+    row with the list of its events. The first pass is written once, as a few narrow columns.
     """
     windows = F.array(*[F.struct(
         F.lit(e["id"]).alias("id"), F.lit(e["start_date"]).cast("timestamp").alias("lo"),
         (F.lit(e["end_date"]).cast("timestamp") + F.make_dt_interval(
             F.lit(max(e.get("review_windows_days") or [90])))).alias("hi")) for e in events])
-    anchors = (df.filter(F.size("event_ids") > 0)
+    first = cut_lineage(df.select("id", "ts", "event_ids", "url", "artifact_urls", "projects", "title", "source_type"), "first-pass")
+    anchors = (first.filter(F.size("event_ids") > 0)
                .select(F.explode(_anchor_keys(True)).alias("key"), F.explode("event_ids").alias("event_id"))
                .groupBy("key").agg(F.collect_set("event_id").alias("events")))
-    probes = df.filter(F.col("ts").isNotNull()).select("id", "ts", F.explode(_anchor_keys(False)).alias("key"))
+    probes = first.filter(F.col("ts").isNotNull()).select("id", "ts", F.explode(_anchor_keys(False)).alias("key"))
     hits = (probes.join(anchors, "key")
             .select("id", F.filter("events", lambda e: F.exists(
                 windows, lambda w: (w["id"] == e) & F.col("ts").between(w["lo"], w["hi"]))).alias("found"))
             .filter(F.size("found") > 0)
             .groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("found"))).alias("found")))
-    return (df.join(hits, "id", "left")
+    return (df.drop("event_ids").join(first.select("id", "event_ids"), "id").join(hits, "id", "left")
             .withColumn("event_ids", F.array_sort(F.array_union(
                 "event_ids", F.coalesce("found", F.array().cast("array<string>"))))).drop("found"))
 
@@ -109,19 +111,24 @@ def match_projects(projects: DataFrame, evidence: DataFrame, piece: int = 6) ->
     p = p.withColumn("_piece", F.substring("_name", 1, piece)).filter("_name <> ''")
     text = X.fold(F.concat_ws("\n", F.col("title"), F.array_join("projects", " ")))
     e = evidence.select("id", X.canonical_url(F.col("url")).alias("_url"), text.alias("_text"))
+    # long texts are cut into overlapping blocks, as a position deep in a text is slow to reach
+    block = 64
+    begins = F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)), F.lit(block))
+    blocks = e.select("id", "_text", F.explode(begins).alias("_at")).withColumn(
+        "_block", F.substring("_text", F.col("_at"), F.lit(block + piece - 1)))
     by_url = p.filter(F.col("_official") != "").join(
         e.filter(F.col("_url") != ""), F.col("_official") == F.col("_url")).select("name", "id")
     # at most `piece` numbers
     lengths = [r[0] for r in p.select(F.length("_piece")).distinct().collect()]
 
     def pieces(n: int) -> Column:
-        last = F.length("_text") - (n - 1)
+        last = F.length("_block") - (n - 1)
         starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(F.col("_text"), i, F.lit(n)))
+        return F.transform(starts, lambda i: F.substring(F.col("_block"), i, F.lit(n)))
 
     cut = F.array_distinct(F.concat(*[pieces(n) for n in lengths])) if lengths else F.array().cast("array<string>")
-    by_name = (p.select("name", "_name", "_piece").join(e.select("id", "_text", F.explode(cut).alias("_piece")), "_piece")
+    by_name = (p.select("name", "_name", "_piece").join(blocks.select("id", "_text", F.explode(cut).alias("_piece")), "_piece")
                .filter(F.contains("_text", F.col("_name"))).select("name", "id"))
     return by_url.unionByName(by_name).distinct()
 

@@ -37,14 +37,13 @@ def cross_source_scores(rows: DataFrame, as_of: str, theme: str = "theme_id", pu
     """Cross-source theme assessment (A2-A5).
 
     `rows`: theme, publisher, support, month. Support of a publisher counts logarithmically, so one
-    loud publisher cannot carry a theme. Two aggregations: (theme, publisher, month), then theme; the
-    first combines on the map side, so a theme with a third of all rows shuffles only its groups.
+    loud publisher cannot carry a theme. Two aggregations: (theme, publisher), then theme; the first
+    combines on the map side, so a theme with a third of all rows shuffles only its groups.
     """
     months = D.last_months(as_of)
-    base = rows.groupBy(theme, publisher, "month").agg(F.sum("support").alias("s"), F.count("*").alias("n"))
-    per_pub = base.groupBy(theme, publisher).agg(
-        F.sum("s").alias("support"), F.sum("n").alias("observations"),
-        *[F.sum(F.when(F.col("month") == m, F.col("s")).otherwise(0)).alias(f"m{i}") for i, m in enumerate(months)])
+    per_pub = rows.groupBy(theme, publisher).agg(
+        F.sum("support").alias("support"), F.count("*").alias("observations"),
+        *[F.sum(F.when(F.col("month") == m, F.col("support")).otherwise(0)).alias(f"m{i}") for i, m in enumerate(months)])
     t = per_pub.groupBy(theme).agg(
         F.sum("support").alias("support_units"), F.sum("observations").alias("evidence_count"),
         F.count("*").alias("source_count"), F.sum(F.log1p("support")).alias("effective"),

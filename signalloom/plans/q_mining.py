@@ -167,11 +167,31 @@ re AS (SELECT anchor_id AS a, anchor_id AS b FROM an UNION SELECT re.a, bo.b FRO
 co AS (SELECT a AS id, min(b) AS component FROM re GROUP BY 1)"""
 
 
+@stages.shared("postings")
+def postings(spark, sf):
+    return graph.anchor_postings(stages.concept_docs(spark, sf), CLUSTERS)
+
+
+@stages.shared("anchors")
+def anchor_index(spark, sf):
+    return graph.anchors(postings(spark, sf), stages.concept_docs(spark, sf).count(), CLUSTERS)
+
+
 def graph_parts(spark, sf):
-    docs = stages.concept_docs(spark, sf)
-    post = cut_lineage(graph.anchor_postings(docs, CLUSTERS), "postings")
-    index = cut_lineage(graph.anchors(post, docs.count(), CLUSTERS), "anchors")
-    return docs, post.join(index.select("anchor_id"), "anchor_id", "left_semi"), index
+    index = anchor_index(spark, sf)
+    return stages.concept_docs(spark, sf), postings(spark, sf).join(index.select("anchor_id"), "anchor_id", "left_semi"), index
+
+
+@stages.shared("components")
+def component_table(spark, sf):
+    _, kept, index = graph_parts(spark, sf)
+    return graph.connected_components(index.select(F.col("anchor_id").alias("id")), graph.overlap_edges(kept, index, CLUSTERS))
+
+
+@stages.shared("capped")
+def capped_table(spark, sf):
+    docs, kept, _ = graph_parts(spark, sf)
+    return graph.cluster_documents(component_table(spark, sf), kept, docs, demo.sources(spark), CLUSTERS)[1]
 
 
 @query("g02_anchor_index", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL} SELECT * FROM an")
@@ -185,15 +205,9 @@ def g03(spark, sf):
     return graph.overlap_edges(kept, index, CLUSTERS).select("left_id", "right_id", "shared")
 
 
-def components(spark, sf):
-    docs, kept, index = graph_parts(spark, sf)
-    parts = graph.connected_components(index.select(F.col("anchor_id").alias("id")), graph.overlap_edges(kept, index, CLUSTERS))
-    return docs, kept, index, parts
-
-
 @query("g04_components", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL}, {EDGE_SQL}, {COMP_SQL} SELECT id, component FROM co")
 def g04(spark, sf):
-    return components(spark, sf)[3]
+    return component_table(spark, sf)
 
 
 @query("g04_supplier_components", """WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, o_orderpriority || ':' || strftime(o_orderdate, '%Y-%m-%d') AS b FROM orders), n AS (SELECT 'c' || a AS a, b FROM e), bo AS (SELECT a AS x, b AS y FROM n UNION ALL SELECT b, a FROM n),
@@ -217,18 +231,13 @@ cp AS (SELECT component, raw, count(*) AS capped, count(DISTINCT source_id) AS s
 
 @query("g05_capped_clusters", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL}, {EDGE_SQL}, {COMP_SQL}, {CAP_SQL} SELECT * FROM cp")
 def g05(spark, sf):
-    docs, kept, _, parts = components(spark, sf)
-    raw, capped = graph.cluster_documents(cut_lineage(parts, "parts"), kept, docs, demo.sources(spark), CLUSTERS)
-    n = capped.groupBy("component").agg(F.first("raw_count").alias("raw"), F.count("*").alias("capped"), F.count_distinct("source_id").alias("sources"))
+    n = capped_table(spark, sf).groupBy("component").agg(F.first("raw_count").alias("raw"), F.count("*").alias("capped"), F.count_distinct("source_id").alias("sources"))
     return n
 
 
 def _features(spark, sf):
-    docs, kept, _, parts = components(spark, sf)
-    parts = cut_lineage(parts, "parts")
-    _, capped = graph.cluster_documents(parts, kept, docs, demo.sources(spark), CLUSTERS)
-    capped = cut_lineage(capped, "capped")
-    return capped, graph.context_features(capped, docs, parts, CLUSTERS)
+    capped = capped_table(spark, sf)
+    return capped, graph.context_features(capped, stages.concept_docs(spark, sf), component_table(spark, sf), CLUSTERS)
 
 
 @query("g06_context_features", f"""WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL}, {EDGE_SQL}, {COMP_SQL}, {CAP_SQL}, cd AS (SELECT k2.component, k2.id FROM k2 JOIN cp USING (component)),

@@ -33,7 +33,7 @@ LI_SQL = f"""li AS (SELECT l_orderkey || ':' || l_linenumber || ':' || l_partkey
 
 
 def volume(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    li = demo.spread(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("theme_id"))
     ts = F.col("l_shipdate").cast("timestamp")
     return li.join(p, "l_partkey").select(
