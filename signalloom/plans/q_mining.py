@@ -249,7 +249,36 @@ def g06(spark, sf):
     return f.groupBy("component", "feature").agg(F.count("*").alias("documents"))
 
 
-@query("g07_coherent_core")
+_DFAM = ", ".join(f"('{k}','{v}')" for k, v in C.DISCOVERY_FAMILIES.items())
+CORE_SQL = """cd AS (SELECT k2.component, k2.id, k2.source_id, k2.pub, cp.raw, cp.capped FROM k2 JOIN cp USING (component)),
+ft AS (SELECT component, cd.id, 'theme:' || t AS feature FROM cd JOIN items ON items.id = cd.id, unnest(items.theme_ids) u(t) UNION SELECT component, cd.id, 'action:' || aid FROM cd JOIN ac ON ac.id = cd.id
+  UNION SELECT component, cd.id, 'concept:' || nid FROM cd JOIN nd ON nd.id = cd.id WHERE kind IN ('primitive','emergent-phrase','theme') AND nid NOT IN (SELECT co.id FROM co WHERE co.component = cd.component)),
+ln AS (SELECT DISTINCT a.component, a.id AS x, b.id AS y FROM ft a JOIN ft b ON a.component = b.component AND a.feature = b.feature),
+rc AS (SELECT component, id AS x, id AS y FROM cd UNION SELECT rc.component, rc.x, ln.y FROM rc JOIN ln ON ln.component = rc.component AND ln.x = rc.y),
+zp AS (SELECT component, x AS id, min(y) AS part FROM rc GROUP BY 1, 2),
+zb AS (SELECT component, part FROM zp JOIN cd USING (component, id) GROUP BY 1, 2 HAVING count(*) >= 2 AND count(DISTINCT source_id) >= 2 QUALIFY row_number() OVER (PARTITION BY component ORDER BY count(DISTINCT source_id) DESC, count(*) DESC, min(id)) = 1),
+core AS (SELECT zp.component, id FROM zp JOIN zb USING (component, part))"""
+CLUSTER_SQL = f"""zf(channel, family) AS (VALUES {_DFAM}),
+zr AS (SELECT cd.*, items.source_type, coalesce(family, items.source_type) AS family, cd.component IN (SELECT component FROM core) AS has_core FROM cd JOIN items ON items.id = cd.id LEFT JOIN zf ON zf.channel = items.source_type
+  WHERE cd.component NOT IN (SELECT component FROM core) OR (cd.component, cd.id) IN (SELECT (component, id) FROM core)),
+zs AS (SELECT co.component, kp.anchor_id, count(*) AS d, count(DISTINCT zr.source_id) AS s FROM kp JOIN co ON co.id = kp.anchor_id JOIN zr ON zr.component = co.component AND zr.id = kp.id GROUP BY 1, 2),
+zl AS (SELECT anchor_id, min(label) AS label, min(kind) AS kind FROM po GROUP BY 1),
+za AS (SELECT zs.*, label, kind FROM zs JOIN zl USING (anchor_id) QUALIFY row_number() OVER (PARTITION BY component ORDER BY s DESC, d DESC, label, anchor_id) <= 8),
+zg AS (SELECT component, list_sort(list(anchor_id)) AS anchors, max(d) AS top, list_distinct(list(kind)) AS kinds FROM za GROUP BY 1),
+zu AS (SELECT component, max(n) AS dominant FROM (SELECT component, pub, count(*) AS n FROM zr GROUP BY 1, 2) GROUP BY 1),
+zt AS (SELECT component, count(*) FILTER (WHERE n >= 2) AS recurring FROM (SELECT component, t, count(*) AS n FROM zr JOIN items ON items.id = zr.id, unnest(theme_ids) u(t) GROUP BY 1, 2) GROUP BY 1),
+zm AS (SELECT component, count(*) AS n, count(DISTINCT zr.source_id) AS sources, count(DISTINCT family) AS families, count_if(family IN ('builders','research','engineering')) AS technical, any_value(raw) AS raw, any_value(capped) AS capped,
+  bool_or(has_core) AS coherent, list_sort(list(zr.id)) AS ids FROM zr GROUP BY 1),
+zc AS (SELECT 'discovery:' || coalesce(nullif(substr({SLUG_SQL % "regexp_replace(anchors[1], '^[^:]*:', '')"}, 1, 42), ''), 'pattern') || '-' || substr(sha256(array_to_string(anchors, '|')), 1, 10) AS id, zm.*, anchors, kinds, dominant, round_even(top / n, 3) AS share, coalesce(recurring, 0) AS recurring
+  FROM zm JOIN zg USING (component) JOIN zu USING (component) LEFT JOIN zt USING (component)),
+zo AS (SELECT *, row_number() OVER (ORDER BY families DESC, sources DESC, n DESC, id) AS rn FROM zc),
+zw AS (SELECT 0::BIGINT AS rn, []::VARCHAR[][] AS kept, NULL::VARCHAR AS pick UNION ALL SELECT q.rn, CASE WHEN ok THEN list_append(kept, q.ids) ELSE kept END, CASE WHEN ok THEN q.id END FROM (SELECT zo.rn, zo.ids, zo.id, zw.kept,
+  len(list_filter(zw.kept, lambda k: len(list_intersect(k, zo.ids)) / len(list_distinct(list_concat(k, zo.ids))) >= 0.8)) = 0 AS ok FROM zw JOIN zo ON zo.rn = zw.rn + 1) q),
+zk AS (SELECT zo.* FROM zo JOIN zw ON zw.pick = zo.id AND zw.rn = zo.rn)"""
+GRAPH_SQL = f"{MINE_SQL}, {REL_SQL}, {ANCHOR_SQL}, {EDGE_SQL}, {COMP_SQL}, {CAP_SQL}, {CORE_SQL}"
+
+
+@query("g07_coherent_core", f"WITH RECURSIVE {GRAPH_SQL} SELECT component, id AS evidence_id FROM core")
 def g07(spark, sf):
     capped, f = _features(spark, sf)
     core, _ = graph.coherent_core(capped, cut_lineage(f, "features"))
@@ -261,7 +290,7 @@ def g01(spark, sf):
     return graph.anchor_postings(stages.concept_docs(spark, sf), CLUSTERS).groupBy("kind").agg(F.count("*").alias("postings"))
 
 
-@query("g09_distinct_clusters")
+@query("g09_distinct_clusters", f"WITH RECURSIVE {GRAPH_SQL}, {CLUSTER_SQL} SELECT id, n AS evidence, sources, round_even(dominant / n, 3) AS share FROM zk")
 def g09(spark, sf):
     c = stages.clusters(spark, sf)
     return c.select("id", F.size("evidence_ids").alias("evidence"), F.col("metrics.source_count").alias("sources"), F.col("metrics.dominant_publisher_share").alias("share"))
@@ -278,18 +307,22 @@ def g09o(spark, sf):
 
 # ---- discovery --------------------------------------------------------------------------------
 
-@query("g08_cluster_ids")
+@query("g08_cluster_ids", f"WITH RECURSIVE {GRAPH_SQL}, {CLUSTER_SQL} SELECT id, array_to_string(anchors, '|') AS anchors, true AS stable FROM zk")
 def g08(spark, sf):
     c = stages.clusters(spark, sf)
     return c.select("id", F.array_join(F.array_sort("anchor_ids"), "|").alias("anchors"), (F.col("id") == graph.cluster_id(F.array_sort("anchor_ids"))).alias("stable"))
 
 
-@query("a21_cluster_metrics")
+@query("a21_cluster_metrics", f"WITH RECURSIVE {GRAPH_SQL}, {CLUSTER_SQL} SELECT id, n AS evidence_count, n AS independent_event_count, sources AS source_count, families AS source_family_count, technical AS technical_record_count, round_even(dominant / n, 3) AS dominant_publisher_share, raw AS raw_evidence_count, capped AS capped_evidence_count, n AS changed_evidence_count FROM zk")
 def a21(spark, sf):
     return stages.clusters(spark, sf).select("id", "metrics.*")
 
 
-@query("a22_cluster_quality")
+QUALITY_SQL = """zq AS (SELECT *, share >= 0.67 AS met, list_has_any(kinds, ['primitive','relationship']) AS structural, list_contains(kinds, 'emergent-phrase') AS phrase, len(list_filter(kinds, lambda k: k NOT IN ('project','technology'))) = 0 AS entity FROM zk),
+zz AS (SELECT *, coherent AND met AND (structural OR phrase) AND NOT entity AND (structural OR (phrase AND sources >= 3 AND technical >= 1)) AS spark_ok, coherent AND met AND (structural OR phrase) AND NOT entity AND (structural OR (phrase AND sources >= 3 AND families >= 3 AND technical >= 2)) AS candidate_ok FROM zq)"""
+
+
+@query("a22_cluster_quality", f"WITH RECURSIVE {GRAPH_SQL}, {CLUSTER_SQL}, {QUALITY_SQL} SELECT id, share AS anchor_support_share, met AS anchor_support_met, structural AS has_structural_anchor, len(kinds) = 1 AND phrase AS phrase_only, entity AS entity_only, recurring AS recurrent_theme_count, coherent AS context_coherence_met, spark_ok AS spark_quality_met, candidate_ok AS candidate_quality_met FROM zz")
 def a22(spark, sf):
     return stages.clusters(spark, sf).select("id", "quality.*")
 
