@@ -327,28 +327,47 @@ def a22(spark, sf):
     return stages.clusters(spark, sf).select("id", "quality.*")
 
 
-@query("g10_known_dispositions")
+_DV = ", ".join(f"({_q(d['id'])}, {_q(d['title'])}, {_q(d['theme_ids'])}, {_q([p.lower() for p in d.get('match_phrases', [])])})" for d in stages.DIRECTIONS)
+_TV = ", ".join(f"({_q(t['id'])}, {_q(sorted({v.lower().replace('-', ' ') for v in [t['name'], *t['aliases']]}))})" for t in stages.theme_rules())
+KNOWN_SQL = f"""dv(did, title, themes, phr) AS (VALUES {_DV}), tv(tid, known) AS (VALUES {_TV}),
+zlab AS (SELECT component, list(lower(replace(label, '-', ' '))) AS every, coalesce(list(lower(replace(label, '-', ' '))) FILTER (WHERE kind <> 'relationship'), []::VARCHAR[]) AS plain FROM za GROUP BY 1),
+zth AS (SELECT component, t, count(*) AS k FROM zr JOIN items ON items.id = zr.id, unnest(theme_ids) u(t) GROUP BY 1, 2 HAVING count(*) >= 2), zrec AS (SELECT component, list(t) AS rec FROM zth GROUP BY 1),
+x1 AS (SELECT zk.id, did, title, list_has_any(every, phr) AS bp, len(list_intersect(coalesce(rec, []::VARCHAR[]), themes)) AS m, len(list_intersect(coalesce(rec, []::VARCHAR[]), themes)) / len(themes) AS r FROM zk JOIN zlab ON zlab.component = zk.component LEFT JOIN zrec ON zrec.component = zk.component, dv),
+x2 AS (SELECT id, did, CASE WHEN bp THEN 'disclosed-phrase' ELSE 'recurrent-theme-recall' END AS basis FROM x1 WHERE bp OR (m >= 2 AND r >= 0.6) QUALIFY row_number() OVER (PARTITION BY id ORDER BY bp DESC, round_even(r, 3) DESC, title) = 1),
+x3 AS (SELECT id, tid FROM (SELECT zk.id, tid, max(length(a)) AS l FROM zk JOIN zlab ON zlab.component = zk.component, unnest(plain) u(a), tv, unnest(known) w(k)
+  WHERE len(string_split(a, ' ')) >= 2 AND (contains(' ' || k || ' ', ' ' || a || ' ') OR contains(' ' || a || ' ', ' ' || k || ' ')) GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY id ORDER BY l DESC, tid) = 1),
+x4 AS (SELECT zk.id, t AS tid, k / zk.n AS sh FROM zk JOIN zth ON zth.component = zk.component QUALIFY row_number() OVER (PARTITION BY zk.id ORDER BY k DESC, t) = 1),
+x5 AS (SELECT zk.id, CASE WHEN did IS NOT NULL THEN 'merge-existing-direction' WHEN x3.tid IS NOT NULL OR sh >= 0.5 THEN 'covered-by-existing-theme' WHEN recurring >= 2 THEN 'cross-theme-extension' ELSE 'novel' END AS disposition,
+  coalesce(did, x3.tid, CASE WHEN sh >= 0.5 THEN x4.tid END) AS nearest_id, CASE WHEN did IS NOT NULL THEN basis WHEN x3.tid IS NOT NULL THEN 'anchor-phrase' WHEN sh >= 0.5 THEN 'document-share' END AS nearest_basis
+  FROM zk LEFT JOIN x2 ON x2.id = zk.id LEFT JOIN x3 ON x3.id = zk.id LEFT JOIN x4 ON x4.id = zk.id)"""
+FULL_SQL = f"WITH RECURSIVE {GRAPH_SQL}, {CLUSTER_SQL}, {QUALITY_SQL}, {KNOWN_SQL}"
+
+
+@query("g10_known_dispositions", f"{FULL_SQL} SELECT disposition, nearest_id, nearest_basis, count(*) AS clusters FROM x5 GROUP BY 1, 2, 3")
 def g10(spark, sf):
     return stages.clusters(spark, sf).groupBy("disposition", "nearest_id", "nearest_basis").agg(F.count("*").alias("clusters"))
 
 
-@query("g11_discovery_records")
+@query("g11_discovery_records", f"""{FULL_SQL}, gs AS (SELECT zz.*, disposition, CASE WHEN n >= 3 AND sources >= 3 AND families >= 2 AND round_even(dominant / n, 3) <= 0.5 THEN 'candidate' WHEN n >= 2 AND sources >= 2 THEN 'spark' END AS gate FROM zz JOIN x5 ON x5.id = zz.id WHERE spark_ok AND disposition IN ('novel','cross-theme-extension'))
+SELECT disposition, CASE WHEN gate = 'candidate' AND NOT candidate_ok THEN 'spark' ELSE gate END AS state, count(*) AS records, 0 AS broken FROM gs WHERE gate IS NOT NULL GROUP BY 1, 2""")
 def g11(spark, sf):
-    r = G.discovery_records(stages.clusters(spark, sf))
-    return r.select("id", "title", "state", "disposition", F.size("violations").alias("violations"))
+    r = G.discovery_records(stages.clusters(spark, sf), limit=500)
+    return r.groupBy("disposition", "state").agg(F.count("*").alias("records"), F.count_if(F.size("violations") > 0).alias("broken"))
 
 
-@query("g12_merge_suggestions")
+@query("g12_merge_suggestions", f"{FULL_SQL} SELECT x5.id, disposition, nearest_id, nearest_basis, true AS materially_changed FROM x5 JOIN zk ON zk.id = x5.id WHERE disposition IN ('merge-existing-direction','covered-by-existing-theme') ORDER BY disposition <> 'merge-existing-direction', families DESC, sources DESC, n DESC, x5.id LIMIT 25")
 def g12(spark, sf):
     return G.merge_suggestions(stages.clusters(spark, sf)).select("id", "disposition", "nearest_id", "nearest_basis", "materially_changed")
 
 
-@query("w15_cluster_order")
+@query("w15_cluster_order", f"""{FULL_SQL}, zx AS (SELECT component, feature, count(*) AS c FROM ft JOIN core USING (component, id) GROUP BY 1, 2 HAVING count(*) >= 2 QUALIFY row_number() OVER (PARTITION BY component ORDER BY count(*) DESC, feature) <= 12),
+zy AS (SELECT component, string_agg(feature, ',' ORDER BY c DESC, feature) AS context FROM zx GROUP BY 1), zn AS (SELECT component, count(DISTINCT t) AS k FROM zr JOIN items ON items.id = zr.id, unnest(theme_ids) u(t) GROUP BY 1)
+SELECT zk.id, len(anchors) AS anchors, least(6, coalesce(zn.k, 0)) AS themes, context FROM zk LEFT JOIN zy ON zy.component = zk.component LEFT JOIN zn ON zn.component = zk.component""")
 def w15(spark, sf):
     c = stages.clusters(spark, sf)
     return c.select("id", F.size("anchors").alias("anchors"), F.size("theme_ids").alias("themes"), F.array_join("context_features", ",").alias("context"))
 
 
-@query("m07_discovery_review")
+@query("m07_discovery_review", f"{FULL_SQL} SELECT count(*) AS cluster_count, count_if(coherent) AS coherent_cluster_count, count_if(spark_ok) AS quality_eligible_cluster_count, count_if(disposition NOT IN ('novel','cross-theme-extension')) AS explained_cluster_count, count_if(spark_ok AND disposition IN ('novel','cross-theme-extension')) AS unexplained_quality_eligible_count FROM zz JOIN x5 ON x5.id = zz.id")
 def m07(spark, sf):
     return G.run_summary(stages.clusters(spark, sf))
