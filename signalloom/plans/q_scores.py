@@ -28,7 +28,7 @@ V_SQL = "TIMESTAMP '1999-06-20 00:00:00'"
 CH_SQL = demo._q(demo.CHANNELS)
 FAM_SQL = "fam(channel, family) AS (VALUES " + ", ".join(f"('{k}','{v}')" for k, v in C.LIFECYCLE_FAMILIES.items()) + ")"
 # Volume evidence: line items with the brand as theme and the supplier as publisher.
-LI_SQL = f"""li AS (SELECT l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey AS id, p_brand AS theme_id, 'pub' || l_suppkey AS publisher_id, 'sup' || l_suppkey AS source_id,
+LI_SQL = f"""li AS (SELECT l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey || ':' || strftime(l_shipdate, '%Y%m%d') AS id, p_brand AS theme_id, 'pub' || l_suppkey AS publisher_id, 'sup' || l_suppkey AS source_id,
   {CH_SQL}[(l_suppkey % 14 + 1)::INT] AS channel, l_shipdate AS ts, strftime(l_shipdate, '%Y-%m') AS month, 1 AS support FROM lineitem JOIN part ON p_partkey = l_partkey)"""
 
 
@@ -37,7 +37,7 @@ def volume(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("theme_id"))
     ts = F.col("l_shipdate").cast("timestamp")
     return li.join(p, "l_partkey").select(
-        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), "theme_id", F.concat(F.lit("pub"), "l_suppkey").alias("publisher_id"),
+        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")).alias("id"), "theme_id", F.concat(F.lit("pub"), "l_suppkey").alias("publisher_id"),
         F.concat(F.lit("sup"), "l_suppkey").alias("source_id"),
         F.element_at(F.array(*[F.lit(c) for c in demo.CHANNELS]), (F.col("l_suppkey") % 14 + 1).cast("int")).alias("channel"),
         ts.alias("ts"), F.date_format(ts, "yyyy-MM").alias("month"), F.lit(1).alias("support"))
@@ -706,9 +706,9 @@ def r02(spark, sf):
     return gates.calibration(gates.gate_results(cases(spark, sf))).groupBy("maturity", "expected_maturity").agg(F.count("*").alias("cases"))
 
 
-@query("r03_operating_model", f"WITH {GATE_SQL}, n AS (SELECT l_partkey AS id, count(*) AS n, min(l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey) AS first_id FROM lineitem GROUP BY 1) SELECT gm.id, maturity, n AS linked, first_id FROM gm JOIN n USING (id)")
+@query("r03_operating_model", f"WITH {GATE_SQL}, n AS (SELECT l_partkey AS id, count(*) AS n, min(l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey || ':' || strftime(l_shipdate, '%Y%m%d')) AS first_id FROM lineitem GROUP BY 1) SELECT gm.id, maturity, n AS linked, first_id FROM gm JOIN n USING (id)")
 def r03(spark, sf):
-    li = table(spark, sf, "lineitem").select(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), "l_partkey", "l_suppkey", "l_orderkey", "l_shipdate")
+    li = table(spark, sf, "lineitem").select(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")).alias("id"), "l_partkey", "l_suppkey", "l_orderkey", "l_shipdate")
     links = li.select(F.col("l_partkey").alias("case_id"), F.col("id").alias("evidence_id"), F.col("l_orderkey").alias("event_id"), F.lit("direct-support").alias("relationship"), F.col("id").alias("pos"))
     e = li.select("id", F.lit("t").alias("title"), F.concat(F.lit("sup"), "l_suppkey").alias("source_id"), F.col("l_shipdate").alias("published_at"))
     s = table(spark, sf, "supplier").select(F.concat(F.lit("sup"), "s_suppkey").alias("id"), F.col("s_name").alias("name"))
