@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalloom.llm import bpe, decontam, pii
+from signalloom.llm import bpe, decontam, html_text, pii, toxicity
 from signalloom.llm.oracle import ORACLE  # noqa: F401
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -18,6 +18,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -26,4 +34,4 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op7_bpe, op8_pii)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op4_toxicity, op6_html_text, op7_bpe, op8_pii)}
