@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalloom.llm import bpe, decontam, html_text, pii, toxicity
+from signalloom.llm import bpe, decontam, html_text, minhash, pii, toxicity
 from signalloom.llm.oracle import ORACLE  # noqa: F401
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -34,4 +34,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op4_toxicity, op6_html_text, op7_bpe, op8_pii)}
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op4_toxicity, op6_html_text, op7_bpe, op8_pii, op9_minhash)}

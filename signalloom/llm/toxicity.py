@@ -31,11 +31,11 @@ TRAIN_CHARS = 30_000
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5, 6)
 DIMENSIONS = 8
-LEAST_TEXTS = 4
-EPOCHS = 40
-STEP = 0.5
-DECAY = 1e-6
-TOXIC_WEIGHT = 0.25
+LEAST_TEXTS = 3
+EPOCHS = 80
+STEP = 0.3
+DECAY = 0.1
+TOXIC_WEIGHT = 0.3
 THRESHOLD = 0.7
 _BASE = 0xB5297A4D3F84D5B5
 
@@ -73,7 +73,7 @@ class Model:
     def score(self, text: str | None) -> float:
         found = features(text)
         z = self.bias + (float(self.value[found].mean(dtype=np.float64)) if len(found) else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
 def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
@@ -101,7 +101,7 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
         table, soft, bias = params
         diff = soft[:, 1] - soft[:, 0]
         z = np.bincount(row, weights=val * (table @ diff)[col], minlength=len(y)) + bias[1] - bias[0]
-        miss = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
+        miss = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) * weight
         back = np.bincount(col, weights=val * miss[row], minlength=n)
         pull = table.T @ back
         for p, g, m, v in zip(params, (np.outer(back, diff) + DECAY / n * table, np.stack((-pull, pull), 1), np.array([-miss.sum(), miss.sum()])), first, second):
