@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalloom.llm import bpe, decontam, html_text, minhash, pii, toxicity
+from signalloom.llm import bpe, decontam, html_text, minhash, pii, simhash, substrings, toxicity
 from signalloom.llm.oracle import ORACLE  # noqa: F401
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -18,10 +18,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -38,4 +46,4 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op4_toxicity, op6_html_text, op7_bpe, op8_pii, op9_minhash)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_simhash, op4_toxicity, op5_substrings, op6_html_text, op7_bpe, op8_pii, op9_minhash)}
