@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalloom.llm import bpe, decontam, html_text, minhash, pii, simhash, substrings, toxicity
+from signalloom.llm import bpe, chat, decontam, html_text, langid, minhash, pii, simhash, substrings, toxicity
 from signalloom.llm.oracle import ORACLE  # noqa: F401
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -18,6 +18,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
@@ -46,4 +50,8 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_simhash, op4_toxicity, op5_substrings, op6_html_text, op7_bpe, op8_pii, op9_minhash)}
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_langid, op3_simhash, op4_toxicity, op5_substrings, op6_html_text, op7_bpe, op8_pii, op9_minhash, op10_chat)}
