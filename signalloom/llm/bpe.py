@@ -5,7 +5,7 @@ index maps each adjacent pair to all its positions; the active ranks sit in a he
 ascending order, each to all its positions at once, and only the lists of neighbouring pairs change.
 Results are remembered per pre-token, up to `CACHE` of them per worker.
 
-Free style: the work on a row needs no other row, so it is a `mapInPandas` over the scan, without a
+Free style: the work on a row needs no other row, so it is a `mapInArrow` over the scan, without a
 shuffle. A lost executor costs its own tasks. The vocabulary file is broadcast (one file of fixed size).
 
 Nulls count as empty texts; an empty text has no tokens and decodes to an empty text. One row comes out
@@ -20,10 +20,12 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from signalloom.llm.arrow import map_columns
+
 CACHE = 800_000
 CHARS_AT_ONCE = 16_000_000
 # The pre-token pattern of byte-level BPE.
@@ -280,45 +282,39 @@ def _vocabulary(df: DataFrame, path: str):
 def _rows(df: DataFrame, path: str, schema: str, make) -> DataFrame:
     vocabulary = _vocabulary(df, path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pa.RecordBatch) -> Iterator[list]:
         model = model_of(vocabulary.value)
-        for batch in batches:
-            texts = batch["text"].fillna("").tolist()
-            for i, j in slices(texts, CHARS_AT_ONCE):
-                yield make(model, batch["doc_id"].iloc[i:j], texts[i:j])
+        ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
+        for i, j in slices(texts, CHARS_AT_ONCE):
+            yield [ids.slice(i, j - i), *make(model, texts[i:j])]
 
-    return df.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, schema)
+    return map_columns(df.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), schema, run)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of each row."""
-    def make(model: Model, ids: pd.Series, texts: list[str]) -> pd.DataFrame:
-        return pd.DataFrame({"doc_id": ids.array, "ids": list(model.encode(texts))})
-
-    return _rows(docs, path, "doc_id long, ids array<int>", make)
+    return _rows(docs, path, "doc_id long, ids array<int>", lambda model, texts: [list(model.encode(texts))])
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) of rows (doc_id, ids)."""
     vocabulary = _vocabulary(tokens, path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pa.RecordBatch) -> Iterator[list]:
         model = model_of(vocabulary.value)
-        for batch in batches:
-            texts = [model.decode(np.asarray([] if x is None else x, dtype=np.int64)) for x in batch["ids"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": texts})
+        yield [batch.column("doc_id"), [model.decode(np.asarray(x or [], dtype=np.int64)) for x in batch.column("ids").to_pylist()]]
 
-    return tokens.select(F.col("doc_id").cast("long"), "ids").mapInPandas(run, "doc_id long, text string")
+    return map_columns(tokens.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")), "doc_id long, text string", run)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encoded, then decoded from the ids, in one pass."""
-    def make(model: Model, ids: pd.Series, texts: list[str]) -> pd.DataFrame:
+    def make(model: Model, texts: list[str]) -> list[list]:
         n, encoded, decoded = [], [], []
         for found in model.encode(texts):
             n.append(len(found))
             encoded.append(hashlib.sha256(",".join(map(str, found.tolist())).encode()).hexdigest())
             decoded.append(hashlib.sha256(model.decode(found).encode()).hexdigest())
-        return pd.DataFrame({"doc_id": ids.array, "n_tokens": n, "ids_sha256": encoded, "decoded_sha256": decoded})
+        return [n, encoded, decoded]
 
     return _rows(docs, path, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make)

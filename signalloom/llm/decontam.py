@@ -117,23 +117,27 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def _with_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    c = contamination(docs, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_hash"))
-    return docs.join(c, same, "left")
+def _hit(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """The documents as (row), the hit ones as (doc_id, text_hash, spans), and the condition that joins them."""
+    rows = docs.select(F.struct("*").alias("row"))
+    hit = contamination(docs, benchmark).filter("n_hit > 0").select("doc_id", "text_hash", "spans")
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))) == F.col("text_hash"))
+    return rows, hit, same
 
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, all columns and rows as they were."""
-    return _with_spans(docs, benchmark).filter(F.col("_id").isNull() & F.col("_hash").isNull()).select(*[docs[c] for c in docs.columns])
+    rows, hit, same = _hit(docs, benchmark)
+    return rows.join(hit.select("doc_id", "text_hash"), same, "left_anti").select("row.*")
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All documents; where words are hit, they go, each with the separator after it. Unhit texts stay as they are."""
-    d = _with_spans(docs, benchmark)
-    w = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    gaps = F.split("text", WORD)
-    hit = lambda k: F.exists("_spans", lambda s: (k + 1 >= s["i"]) & (k + 1 < s["i"] + s["len"]))
-    kept = F.transform(w, lambda x, k: F.when(~hit(k), F.concat(x, F.get(gaps, k + 1))).otherwise(F.lit("")))
-    text = F.when(F.col("_hash").isNull(), F.col("text")).otherwise(F.concat(F.get(gaps, F.lit(0)), F.concat_ws("", kept)))
-    return d.withColumn("_cut", text).select(*[F.col("_cut").alias(c) if c == "text" else docs[c] for c in docs.columns])
+    rows, hit, same = _hit(docs, benchmark)
+    d = rows.join(hit, same, "left")
+    text = F.col("row.text")
+    w, gaps = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD)
+    hit_at = lambda k: F.exists("spans", lambda s: (k + 1 >= s["i"]) & (k + 1 < s["i"] + s["len"]))
+    kept = F.transform(w, lambda x, k: F.when(~hit_at(k), F.concat(x, F.get(gaps, k + 1))).otherwise(F.lit("")))
+    cut = F.when(F.col("spans").isNull(), text).otherwise(F.concat(F.get(gaps, F.lit(0)), F.concat_ws("", kept)))
+    return d.withColumn("row", F.col("row").withField("text", cut)).select("row.*")

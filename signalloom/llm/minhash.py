@@ -142,7 +142,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 keep.append(similarity(shingles(a)[:2], bag) >= threshold)
             yield batch.loc[keep, ["left_id", "right_id"]]
 
-    return pairs.join(left, "left_id").join(right, "right_id").select("left_id", "right_id", "left_text", "right_text").mapInPandas(run, "left_id long, right_id long")
+    both = pairs.hint("merge").join(left, "left_id").hint("merge").join(right, "right_id")
+    return both.select("left_id", "right_id", "left_text", "right_text").mapInPandas(run, "left_id long, right_id long")
 
 
 def block_links(ids: list[int], labels: list[int], halves: list[int], bags: list, threshold: float, same: bool) -> list[tuple[int, int]]:
@@ -200,11 +201,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     seen = cut_lineage(members.join(pivots, "h").filter("id <> pivot").select("h", "id", "pivot"), "pivots")
     pairs = cut_lineage(seen.select(F.col("id").alias("left_id"), F.col("pivot").alias("right_id")).distinct(), "pairs")
 
-    texts = _typed(docs).withColumnRenamed("doc_id", "id")
-    once = lambda ids: texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    compared = pairs.select(F.col("left_id").alias("id")).union(pairs.select(F.col("right_id").alias("id"))).distinct()
-    links = cut_lineage(verified(pairs, once(compared), threshold), "links")
+    # the ids of shared buckets grow with the input: the hints keep the joins that bring texts sort-merge joins at every size
     vertices = members.select("id").distinct()
+    texts = _typed(docs).withColumnRenamed("doc_id", "id").join(vertices.hint("merge"), "id", "left_semi")
+    texts = cut_lineage(texts.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "texts")
+    links = cut_lineage(verified(pairs, texts, threshold), "links")
     labels = cut_lineage(connected_components(vertices, links), "labels")
 
     left = seen.join(labels, "id")
@@ -214,7 +215,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     blocks = cut_lineage(blocks, "blocks")
     more = links.limit(0)
     if not blocks.isEmpty():
-        rows = blocks.join(once(blocks.select("id").distinct()), "id")
+        rows = blocks.hint("merge").join(texts, "id")
         rows = rows.select("h", "id", "component", "b", "text", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
         rows = rows.select("h", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "id", "component", "b", "text")
         parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -264,5 +265,6 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with the smallest id of their class, all columns; rows without an id stay."""
-    kept = near_duplicates(docs, threshold).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs["doc_id"].cast("long") == F.col("_kept"), "left").filter(F.col("_kept").isNotNull() | docs["doc_id"].isNull()).select(*[docs[c] for c in docs.columns])
+    gone = near_duplicates(docs, threshold).filter("doc_id <> class_id").select("doc_id")
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(gone, F.col("row.doc_id").cast("long") == F.col("doc_id"), "left_anti").select("row.*")

@@ -117,7 +117,7 @@ def listed(spans: Column) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, max_score."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
     d = with_spans(docs.select("doc_id", "text"))
     count = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return d.select("doc_id", *[count(k) for k in KINDS[:4]], F.sha2(listed(F.col("_base")), 256).alias("base_sha256"),
@@ -125,8 +125,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The documents with each span, overlapping ones together, replaced by [KIND] of its first span."""
-    d = with_spans(docs)
+    """The documents with each span, overlapping ones together, replaced by [KIND] of its first span; a null text stays null."""
+    d = with_spans(docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")))
     t = F.col("text")
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -135,5 +135,4 @@ def redact(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], piece).otherwise(acc["out"]).alias("out"))
 
     clean = F.aggregate("_spans", begin, step, lambda acc: F.concat(acc["out"], t.substr(acc["at"] + 1, F.length(t))))
-    d = d.withColumn("_clean", F.when(F.size("_spans") > 0, clean).otherwise(t))
-    return d.select(*[F.col("_clean").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return d.withColumn("row", F.col("row").withField("text", F.when(F.size("_spans") > 0, clean).otherwise(t))).select("row.*")

@@ -26,8 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from signalloom.llm.arrow import map_columns
 from signalloom.llm.words import IS_TEXT, spans, window_hashes, word_hashes
 from signalloom.session import cut_lineage
 
@@ -151,7 +153,7 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(heads, cut): a row per document (doc_id, th, n_words, sha, first, with first the smallest id with the same words),
     and for those that lose some words, copies aside, (doc_id, th, n_removed, sha, kept)."""
     typed = _typed(docs)
-    heads = cut_lineage(typed.select("doc_id", "th", "text").transform(lambda d: _heads(d)).distinct(), "heads")
+    heads = cut_lineage(_heads(typed).distinct(), "heads")
     firsts = heads.filter("doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("first"))
     heads = cut_lineage(heads.join(firsts, "key", "left").drop("key"), "copies")
     real = typed.filter("doc_id is not null")
@@ -168,12 +170,11 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _heads(df: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            n, key, sha = zip(*map(_head, batch["text"]))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "th": batch["th"], "n_words": n, "key": key, "sha": sha})
+    def run(batch: pa.RecordBatch) -> Iterator[list]:
+        if batch.num_rows:
+            yield [batch.column("doc_id"), batch.column("th"), *map(list, zip(*map(_head, batch.column("text").to_pylist())))]
 
-    return df.mapInPandas(run, "doc_id long, th long, n_words long, key binary, sha string")
+    return map_columns(df, "doc_id long, th long, n_words long, key binary, sha string", run)
 
 
 def _outcome(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -193,6 +194,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """The documents with the repeated words removed and kept words joined by one blank; others stay as they are."""
-    out = _outcome(docs, ["kept"]).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.coalesce("kept", F.lit("")).alias("_kept"))
-    same = (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_th"))
-    return docs.join(out, same, "left").select(*[F.coalesce("_kept", docs["text"]).alias(c) if c == "text" else docs[c] for c in docs.columns])
+    out = _outcome(docs, ["kept"]).filter("n_removed > 0").select("doc_id", "th", F.coalesce("kept", F.lit("")).alias("kept"))
+    rows = docs.select(F.struct("*").alias("row"))
+    same = (F.col("row.doc_id").cast("long") == F.col("doc_id")) & (F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))) == F.col("th"))
+    return rows.join(out, same, "left").withColumn("row", F.col("row").withField("text", F.coalesce("kept", "row.text"))).select("row.*")
