@@ -8,7 +8,7 @@ gather and one bincount.
 
 The sample is bounded: at most `TRAIN_ROWS` labelled texts of a class, those first by a hash of the id, each
 of at most `TRAIN_CHARS` characters (longer ones are left out, never cut). Scoring reads every whole text
-in a `mapInPandas` over the scan, without a shuffle; the model is a table of fixed size in the closure.
+in a `mapInArrow` over the scan, without a shuffle; the model is a table of fixed size in the closure.
 
 Defined results: a null text counts as an empty one and an empty one scores the prior of its class balance;
 rows with null labels or null ids do not train; of repeated labels of an id the largest counts; each input row gives one row; without
@@ -20,18 +20,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from signalloom.llm.arrow import keep_rows, map_columns
 from signalloom.llm.words import FOLD, IS_WORD, U, mix, powers, spans, word_hashes
 from signalloom.operators.ranking import top_per_group
 
-TRAIN_ROWS = 3_000
-TRAIN_CHARS = 30_000
+TRAIN_ROWS = 2_000
+TRAIN_CHARS = 12_000
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5, 6)
 DIMENSIONS = 8
 LEAST_TEXTS = 3
+CHUNK = 200
 EPOCHS = 80
 STEP = 0.3
 DECAY = 0.1
@@ -76,23 +78,30 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
+def bags(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct features of each text and their share of it."""
+    for t in texts:
+        found = features(t)
+        u, c = np.unique(found, return_counts=True)
+        yield u, (c / max(1, len(found))).astype(np.float32)
+
+
 def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
+    """Fits embeddings and softmax; texts are held as sparse rows in chunks, features of few texts left out."""
     y = np.array(labels, dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(BUCKETS), 30.0 if len(y) and y[0] else -30.0)
-    rows, cols, vals = [], [], []
-    for k, t in enumerate(texts):
-        found = features(t)
-        u, c = np.unique(found, return_counts=True)
-        rows.append(np.full(len(u), k, dtype=np.int32))
-        cols.append(u)
-        vals.append((c / max(1, len(found))).astype(np.float32))
-    row, col, val = map(np.concatenate, (rows, cols, vals))
-    often = np.bincount(col, minlength=BUCKETS) >= LEAST_TEXTS
-    keep = often[col]
-    number = np.cumsum(often) - 1
-    row, col, val = row[keep], number[col[keep]], val[keep]
+    seen = np.zeros(BUCKETS, dtype=np.int32)
+    for t in texts:
+        seen[np.unique(features(t))] += 1
+    often = seen >= LEAST_TEXTS
+    number = (np.cumsum(often) - 1).astype(np.int32)
     n = int(often.sum())
+    chunks = []
+    for at in range(0, len(texts), CHUNK):
+        some = [(number[u[often[u]]], v[often[u]]) for u, v in bags(texts[at : at + CHUNK])]
+        row = np.repeat(np.arange(len(some), dtype=np.int32), [len(u) for u, _ in some])
+        chunks.append((at, at + len(some), row, np.concatenate([u for u, _ in some]), np.concatenate([v for _, v in some])))
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.1, (n, DIMENSIONS)), rng.normal(0, 0.1, (DIMENSIONS, 2)), np.zeros(2)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -100,11 +109,15 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
     for epoch in range(1, EPOCHS + 1):
         table, soft, bias = params
         diff = soft[:, 1] - soft[:, 0]
-        z = np.bincount(row, weights=val * (table @ diff)[col], minlength=len(y)) + bias[1] - bias[0]
-        miss = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) * weight
-        back = np.bincount(col, weights=val * miss[row], minlength=n)
+        values = (table @ diff).astype(np.float32)
+        back, loss = np.zeros(n), 0.0
+        for lo, hi, row, col, val in chunks:
+            z = np.bincount(row, weights=val * values[col], minlength=hi - lo) + bias[1] - bias[0]
+            miss = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y[lo:hi]) * weight[lo:hi]
+            back += np.bincount(col, weights=val * miss.astype(np.float32)[row], minlength=n)
+            loss += miss.sum()
         pull = table.T @ back
-        for p, g, m, v in zip(params, (np.outer(back, diff) + DECAY / n * table, np.stack((-pull, pull), 1), np.array([-miss.sum(), miss.sum()])), first, second):
+        for p, g, m, v in zip(params, (np.outer(back, diff) + DECAY / max(1, n) * table, np.stack((-pull, pull), 1), np.array([-loss, loss])), first, second):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             p -= STEP * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.999**epoch)) + 1e-10)
@@ -131,11 +144,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of each row; only the text is read for the score."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [model.score(t) for t in batch["text"].fillna("")]})
+    def run(batch: pa.RecordBatch) -> Iterator[list]:
+        yield [batch.column("doc_id"), [model.score(t) for t in batch.column("text").to_pylist()]]
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, score double")
+    return map_columns(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id long, score double", run)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -145,10 +157,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents scored below THRESHOLD, all columns and rows as they were."""
-    model, schema = fit(docs, labels), docs.schema
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch[[model.score(t) < THRESHOLD for t in batch["_t"].fillna("")]].drop(columns="_t")
-
-    return docs.withColumn("_t", F.col("text").cast("string")).mapInPandas(run, schema)
+    model = fit(docs, labels)
+    return keep_rows(docs, "text", lambda t: model.score(t) < THRESHOLD)
