@@ -36,7 +36,7 @@ BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 SMOOTH = 0.5
 TEMPER = 0.1
-STRENGTH = 5.0
+STRENGTH = 2.0
 DECLARED = re.compile(r"<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]{2,3})(?![A-Za-z])|<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([A-Za-z]{2,3})(?![A-Za-z])", re.I)
 
 
