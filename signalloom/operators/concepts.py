@@ -265,8 +265,9 @@ def catalog_changes(docs: DataFrame, fingerprints: DataFrame, previous: DataFram
     return now.join(p, "id", "full_outer").select("id", kind.alias("change"), "fingerprint", "signature")
 
 
-def vocabulary_gaps(classified: DataFrame, policy: ConceptPolicy, k: int = 100) -> DataFrame:
-    """Most frequent phrases of the records waiting for review."""
+def vocabulary_gaps(classified: DataFrame, policy: ConceptPolicy, k: int | None = None) -> DataFrame:
+    """Phrases of the records waiting for review with their frequency (T12): all, or the k most frequent."""
     waiting = classified.filter(F.col("disposition") == "classification-review")
     counts = phrase_counts(prepared(waiting, policy), policy)
-    return document_frequency(counts).orderBy(F.desc("df"), "phrase").limit(k)
+    found = document_frequency(counts)
+    return found if k is None else found.orderBy(F.desc("df"), "phrase").limit(k)

@@ -149,7 +149,7 @@ def t11(spark, sf):
     return N.catalog_changes(docs, now, before).groupBy("change").agg(F.count("*").alias("documents"))
 
 
-@query("t12_vocabulary_gaps", f"WITH {EVC_SQL}, wt AS (SELECT * FROM cl WHERE disposition = 'classification-review'), {token_sql('wt')} SELECT phrase, df FROM pf ORDER BY df DESC, phrase LIMIT 100")
+@query("t12_vocabulary_gaps", f"WITH {EVC_SQL}, wt AS (SELECT * FROM cl WHERE disposition = 'classification-review'), {token_sql('wt')} SELECT phrase, df FROM pf")
 def t12(spark, sf):
     return N.vocabulary_gaps(stages.classified(spark, sf), POLICY)
 
@@ -298,7 +298,7 @@ def g09(spark, sf):
 
 @query("g09_order_sets", """WITH RECURSIVE s AS (SELECT l_orderkey AS id, list_sort(list(DISTINCT l_suppkey)) AS e FROM lineitem GROUP BY 1), u AS (SELECT min(id) AS id, e FROM s GROUP BY e), pr AS (SELECT DISTINCT a.id, b.id AS better FROM (SELECT id, e, unnest(e) AS t FROM u) a JOIN (SELECT id, e, unnest(e) AS t FROM u) b ON a.t = b.t AND len(b.e) * 0.8 <= len(a.e) AND len(a.e) <= len(b.e) AND len(b.e) > 4 AND (len(b.e), -b.id) > (len(a.e), -a.id)
   WHERE len(list_intersect(a.e, b.e)) / len(list_distinct(list_concat(a.e, b.e))) >= 0.8)
-SELECT id, len(e) AS evidence FROM u WHERE id NOT IN (SELECT p.id FROM pr p WHERE NOT EXISTS (SELECT 1 FROM pr q WHERE q.id = p.better)) ORDER BY evidence DESC, id LIMIT 500""")
+SELECT id, len(e) AS evidence FROM u WHERE id NOT IN (SELECT p.id FROM pr p WHERE NOT EXISTS (SELECT 1 FROM pr q WHERE q.id = p.better))""")
 def g09o(spark, sf):
     li = demo.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_set(F.col("l_suppkey").cast("string"))).alias("evidence_ids"))
     out = graph.distinct_clusters(li, [-F.size("evidence_ids"), F.col("id")])
@@ -351,11 +351,11 @@ def g10(spark, sf):
 @query("g11_discovery_records", f"""{FULL_SQL}, gs AS (SELECT zz.*, disposition, CASE WHEN n >= 3 AND sources >= 3 AND families >= 2 AND round_even(dominant / n, 3) <= 0.5 THEN 'candidate' WHEN n >= 2 AND sources >= 2 THEN 'spark' END AS gate FROM zz JOIN x5 ON x5.id = zz.id WHERE spark_ok AND disposition IN ('novel','cross-theme-extension'))
 SELECT disposition, CASE WHEN gate = 'candidate' AND NOT candidate_ok THEN 'spark' ELSE gate END AS state, count(*) AS records, 0 AS broken FROM gs WHERE gate IS NOT NULL GROUP BY 1, 2""")
 def g11(spark, sf):
-    r = G.discovery_records(stages.clusters(spark, sf), limit=500)
+    r = G.discovery_records(stages.clusters(spark, sf))
     return r.groupBy("disposition", "state").agg(F.count("*").alias("records"), F.count_if(F.size("violations") > 0).alias("broken"))
 
 
-@query("g12_merge_suggestions", f"{FULL_SQL} SELECT x5.id, disposition, nearest_id, nearest_basis, true AS materially_changed FROM x5 JOIN zk ON zk.id = x5.id WHERE disposition IN ('merge-existing-direction','covered-by-existing-theme') ORDER BY disposition <> 'merge-existing-direction', families DESC, sources DESC, n DESC, x5.id LIMIT 25")
+@query("g12_merge_suggestions", f"{FULL_SQL} SELECT x5.id, disposition, nearest_id, nearest_basis, true AS materially_changed FROM x5 JOIN zk ON zk.id = x5.id WHERE disposition IN ('merge-existing-direction','covered-by-existing-theme')")
 def g12(spark, sf):
     return G.merge_suggestions(stages.clusters(spark, sf)).select("id", "disposition", "nearest_id", "nearest_basis", "materially_changed")
 

@@ -79,7 +79,7 @@ SELECT thm.id, name, coalesce(evidence_count, 0) AS evidence_count, coalesce(sou
 def w01(spark, sf):
     s = S.cross_source_scores(doc_rows(spark, sf), demo.AS_OF)
     t = S.with_unobserved(demo.themes(spark).select("id", "name"), s)
-    r = R.numbered_top(t, [F.desc_nulls_last("total"), F.col("name")], 1000)
+    r = R.global_rank(t, [F.desc_nulls_last("total"), F.col("name")])
     return r.select("id", "name", "evidence_count", "source_count", "recurrence", "acceleration", "persistence", "breadth", "concentration", "total", "maturity", "rank")
 
 
@@ -365,7 +365,7 @@ SELECT id AS event_id, attention::BIGINT AS attention, substance::BIGINT AS subs
   row_number() OVER (ORDER BY attention IS NULL, coalesce(attention, -1) DESC, name) AS rank FROM z""")
 def m04(spark, sf):
     d = marts.event_pulse(linked_evidence(spark, sf), demo.sources(spark), demo.events_dim(spark), demo.AS_OF)
-    out = R.numbered_top(d, P.dossier_order(), 1000)
+    out = R.global_rank(d, P.dossier_order())
     return out.select("event_id", F.col("attention").cast("long").alias("attention"), F.col("substance").cast("long").alias("substance"), "attention_label", "rank")
 
 
@@ -520,7 +520,7 @@ SELECT sg.direction_id, row_number() OVER (ORDER BY list_position({demo._q(C.MOV
 FROM sg LEFT JOIN mm ON mm.direction_id = sg.direction_id JOIN tt ON tt.direction_id = sg.direction_id WHERE weeks_ago = 0""")
 def w17(spark, sf):
     m = marts.early_signals(directions_rows(spark, sf), stages.DIRECTIONS, demo.AS_OF)
-    return R.numbered_top(m, L.direction_order(m), 1000).select("direction_id", "rank")
+    return R.global_rank(m, L.direction_order(m)).select("direction_id", "rank")
 
 
 # ---- change -----------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,11 +39,13 @@ def small_table(spark: SparkSession, rows, schema: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder the cluster names in spark.checkpoint.dir; a temporary one only where it is unset."""
+    """Folder the cluster names in spark.checkpoint.dir; a temporary one only for a local master where it is unset."""
     global _fallback_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _fallback_dir is None:
         _fallback_dir = tempfile.mkdtemp(prefix="spark-")
     return _fallback_dir

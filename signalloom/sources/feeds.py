@@ -11,7 +11,6 @@ RSS_ITEM = "title string, link string, guid string, pubDate string, description
 ATOM_ENTRY = (
     "id string, title string, link array<struct<_href:string,_rel:string>>, published string, updated string, summary string, "
     "content string, author array<struct<name:string>>, category array<struct<_term:string>>")
-SUMMARY_CHARS = 1200   # display length of stored feed summaries
 
 
 def elements(payload: Column, tag: str) -> Column:
@@ -36,9 +35,14 @@ def plain_attributes(xml: Column, *tags: str) -> Column:
     return out
 
 
-def rss_items(df: DataFrame, payload: str, limit: int = 30) -> DataFrame:
-    """RSS items of each feed payload (S5): needs source_id, source_type and the payload column."""
-    rows = df.select("source_id", "source_type", F.explode(F.slice(elements(F.col(payload), "item"), 1, limit)).alias("x"))
+def first(items: Column, limit: int | None) -> Column:
+    """The first items of a list, all of them where no limit is given."""
+    return items if limit is None else F.slice(items, 1, limit)
+
+
+def rss_items(df: DataFrame, payload: str, limit: int | None = None) -> DataFrame:
+    """RSS items of each feed payload (S5): needs source_id, source_type and the payload column; `limit` counts per payload."""
+    rows = df.select("source_id", "source_type", F.explode(first(elements(F.col(payload), "item"), limit)).alias("x"))
     xml = plain_attributes(F.col("x"), "item", "guid", "description", "title", "dc:creator")
     r = rows.select("source_id", "source_type", F.from_xml(xml, RSS_ITEM).alias("r")).select("source_id", "source_type", "r.*")
     url = X.compact(F.col("link"))
@@ -48,7 +52,7 @@ def rss_items(df: DataFrame, payload: str, limit: int = 30) -> DataFrame:
         F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), F.col("pubDate"), F.lit("")), F.col("description"), author, _first(F.col("guid"), url))
 
 
-def atom_items(df: DataFrame, payload: str, limit: int = 30) -> DataFrame:
+def atom_items(df: DataFrame, payload: str, limit: int | None = None) -> DataFrame:
     """Atom entries of each feed payload."""
     r = _entries(df, payload, limit)
     url = F.trim(F.coalesce(F.get("link", F.lit(0))["_href"], F.lit("")))
@@ -57,8 +61,8 @@ def atom_items(df: DataFrame, payload: str, limit: int = 30) -> DataFrame:
                   _first(F.col("summary"), F.col("content")), author, _first(F.col("id"), url))
 
 
-def _entries(df: DataFrame, payload: str, limit: int) -> DataFrame:
-    rows = df.select("source_id", "source_type", F.explode(F.slice(elements(F.col(payload), "entry"), 1, limit)).alias("x"))
+def _entries(df: DataFrame, payload: str, limit: int | None) -> DataFrame:
+    rows = df.select("source_id", "source_type", F.explode(first(elements(F.col(payload), "entry"), limit)).alias("x"))
     xml = plain_attributes(F.col("x"), "entry", "title", "summary", "content")
     return rows.select("source_id", "source_type", F.from_xml(xml, ATOM_ENTRY).alias("r")).select("source_id", "source_type", "r.*")
 
@@ -66,12 +70,12 @@ def _entries(df: DataFrame, payload: str, limit: int) -> DataFrame:
 def _items(r: DataFrame, title: Column, url: Column, published: Column, summary: Column, author: Column, key: Column) -> DataFrame:
     out = r.select(
         F.concat("source_id", F.lit(":"), F.substring(F.sha2(key, 256), 1, 20)).alias("id"), "source_id", "source_type", title.alias("title"),
-        url.alias("url"), published.alias("published_at"), F.substring(X.strip_tags(summary), 1, SUMMARY_CHARS).alias("summary"),
+        url.alias("url"), published.alias("published_at"), X.strip_tags(summary).alias("summary"),
         F.when(author != "", F.array(author)).otherwise(F.array().cast("array<string>")).alias("authors"))
     return out.filter((F.col("title") != "") & (F.col("url") != ""))
 
 
-def paper_entries(df: DataFrame, payload: str, limit: int = 100) -> DataFrame:
+def paper_entries(df: DataFrame, payload: str, limit: int | None = None) -> DataFrame:
     """Paper-API entries with author and category lists."""
     r = _entries(df, payload, limit)
     url = X.compact(F.col("id"))
@@ -79,7 +83,7 @@ def paper_entries(df: DataFrame, payload: str, limit: int = 100) -> DataFrame:
     none = F.array().cast("array<string>")
     return r.select(
         F.concat("source_id", F.lit(":"), key).alias("id"), "source_id", F.lit("paper").alias("source_type"), X.compact(F.col("title")).alias("title"),
-        url.alias("url"), X.compact(F.col("published")).alias("published_at"), F.substring(X.compact(F.col("summary")), 1, SUMMARY_CHARS).alias("summary"),
+        url.alias("url"), X.compact(F.col("published")).alias("published_at"), X.compact(F.col("summary")).alias("summary"),
         F.coalesce(F.transform("author", lambda a: X.compact(a["name"])), none).alias("authors"),
         F.coalesce(F.transform("category", lambda c: c["_term"]), none).alias("tags"))
 
@@ -93,7 +97,7 @@ def sitemap_urls(df: DataFrame, payload: str) -> DataFrame:
     return urls.unionByName(maps).filter("loc <> ''")
 
 
-def newest_urls(urls: DataFrame, prefixes: list[str], patterns: list[str] | None = None, limit: int = 30) -> DataFrame:
-    """Newest pages in scope."""
-    live = urls.filter(~F.col("child") & url_in_scope(F.col("loc"), prefixes, patterns))
-    return live.select("loc", "lastmod").orderBy(F.desc("lastmod"), F.desc("loc")).limit(limit)
+def newest_urls(urls: DataFrame, prefixes: list[str], patterns: list[str] | None = None, limit: int | None = None) -> DataFrame:
+    """Pages in scope (S7, F3): all, or with a `limit` the newest."""
+    live = urls.filter(~F.col("child") & url_in_scope(F.col("loc"), prefixes, patterns)).select("loc", "lastmod")
+    return live if limit is None else live.orderBy(F.desc("lastmod"), F.desc("loc")).limit(limit)

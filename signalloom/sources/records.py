@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from signalloom.functions import constants as C, dates as D, text as X
 from signalloom.operators.classify import topic_relevant
 from signalloom.operators.ranking import first_per_group, numbered_top, top_per_group
+from signalloom.sources.feeds import first
 
 REPOSITORIES = (
     "items array<struct<id:bigint,full_name:string,html_url:string,description:string,created_at:string,pushed_at:string,"
@@ -41,7 +42,7 @@ def repositories(df: DataFrame, payload: str) -> DataFrame:
     key = F.coalesce(F.col("id").cast("string"), F.substring(F.sha2("html_url", 256), 1, 16))
     return r.select(
         F.concat(F.lit("repo:"), key).alias("id"), F.lit("repository").alias("source_type"), F.col("full_name").alias("title"), F.col("html_url").alias("url"),
-        _text(F.col("created_at")).alias("published_at"), F.substring(_text(F.col("description")), 1, 1200).alias("summary"),
+        _text(F.col("created_at")).alias("published_at"), _text(F.col("description")).alias("summary"),
         F.coalesce("topics", F.array().cast("array<string>")).alias("tags"), F.array("full_name").alias("projects"),
         F.coalesce("stargazers_count", F.lit(0)).alias("stars"), F.coalesce("forks_count", F.lit(0)).alias("forks"), F.col("license.spdx_id").alias("license"))
 
@@ -54,7 +55,7 @@ def forum_posts(df: DataFrame, payload: str, feed_order: str, site: str) -> Data
     stamp = F.date_format(F.timestamp_seconds(F.coalesce("time", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     title = X.compact(F.when(_text(F.col("title")) != "", F.col("title")).otherwise("Forum discussion"))
     return r.select(F.concat(F.lit("post:"), "id").alias("id"), F.lit("community").alias("source_type"), title.alias("title"), url.alias("url"),
-                    stamp.alias("published_at"), F.substring(X.compact(F.col("text")), 1, 1200).alias("summary"), F.coalesce("score", F.lit(0)).alias("score"))
+                    stamp.alias("published_at"), X.compact(F.col("text")).alias("summary"), F.coalesce("score", F.lit(0)).alias("score"))
 
 
 def papers(df: DataFrame, payload: str, site: str) -> DataFrame:
@@ -64,13 +65,13 @@ def papers(df: DataFrame, payload: str, site: str) -> DataFrame:
     key = pick("id", "paperId", "arxivId")
     return r.withColumn("_k", key).filter("_k <> ''").select(
         F.concat(F.lit("paper:"), "_k").alias("id"), F.lit("paper-curation").alias("source_type"), F.coalesce("title", F.lit("Untitled paper")).alias("title"),
-        F.concat(F.lit(site), "_k").alias("url"), pick("publishedAt", "published_at").alias("published_at"), F.substring(pick("summary", "abstract"), 1, 1200).alias("summary"),
+        F.concat(F.lit(site), "_k").alias("url"), pick("publishedAt", "published_at").alias("published_at"), pick("summary", "abstract").alias("summary"),
         F.filter(F.coalesce("authors", F.array().cast("array<string>")), lambda a: _text(a) != "").alias("authors"))
 
 
-def companies(df: DataFrame, page_json: Column, today: str, site: str, limit: int = 50) -> DataFrame:
+def companies(df: DataFrame, page_json: Column, today: str, site: str, limit: int | None = None) -> DataFrame:
     """Company directory page (S14); the date is the day first seen."""
-    r = df.select(F.explode(F.slice(F.from_json(page_json, COMPANIES)["props"]["companies"], 1, limit)).alias("c")).select("c.*")
+    r = df.select(F.explode(first(F.from_json(page_json, COMPANIES)["props"]["companies"], limit)).alias("c")).select("c.*")
     r = r.filter(F.col("id").isNotNull() & (F.col("id") != 0) & (_text(F.col("slug")) != ""))
     name, batch = X.compact(F.col("name")), F.upper(X.compact(F.col("batch_name")))
     summary = F.regexp_replace(F.concat(X.compact(F.col("one_liner")), F.lit(". "), X.compact(F.col("long_description"))), r"^[ .]+|[ .]+$", "")
@@ -78,16 +79,18 @@ def companies(df: DataFrame, page_json: Column, today: str, site: str, limit: in
     return r.select(
         F.concat(F.lit("company:"), "id").alias("id"), F.lit("company-directory").alias("source_type"),
         F.when(batch != "", F.concat(name, F.lit(" ("), batch, F.lit(")"))).otherwise(name).alias("title"), F.concat(F.lit(site), "slug").alias("url"),
-        F.lit(today).alias("published_at"), F.substring(summary, 1, 1200).alias("summary"),
+        F.lit(today).alias("published_at"), summary.alias("summary"),
         F.when(batch != "", F.array_append(tags, F.concat(F.lit("batch:"), F.lower(batch)))).otherwise(tags).alias("tags"), F.lit("first-observed").alias("date_basis"))
 
 
-def jobs(df: DataFrame, page_json: Column, terms: list[str], today: str, site: str, limit: int = 50) -> DataFrame:
-    """Job postings with a whole-word term in one of five fields."""
-    r = df.select(F.explode(F.slice(F.from_json(page_json, JOBS)["props"]["jobPostings"], 1, limit)).alias("j")).select("j.*")
+def jobs(df: DataFrame, page_json: Column, terms: list[str], today: str, site: str, limit: int | None = None) -> DataFrame:
+    """Job postings with a whole-word term in one of five fields (S15); a `limit` counts those that match."""
+    r = df.select(F.explode(F.from_json(page_json, JOBS)["props"]["jobPostings"]).alias("j")).select("j.*")
     skills = F.coalesce("skills", F.array().cast("array<string>"))
     hay = F.concat_ws(" ", _text(F.col("title")), _text(F.col("role")), _text(F.col("roleSpecificType")), _text(F.col("companyOneLiner")), F.array_join(skills, " "))
     r = r.filter(hay.rlike(r"(?i)\b(?:" + "|".join(map(re.escape, terms)) + r")\b") & F.col("id").isNotNull() & (F.col("id") != 0))
+    if limit is not None:
+        r = r.orderBy("id").limit(limit)
     company, title, role = X.compact(F.col("companyName")), X.compact(F.col("title")), X.compact(F.coalesce(F.nullif("prettyRole", F.lit("")), "role"))
     url = F.coalesce(F.nullif("url", F.lit("")), F.concat(F.lit(f"{site}/jobs/"), "id"))
     return r.select(
@@ -97,11 +100,10 @@ def jobs(df: DataFrame, page_json: Column, terms: list[str], today: str, site: s
         role.alias("role"), F.concat(F.array(F.lit("job-posting"), role), F.filter(F.transform(skills, X.compact), lambda s: s != "")).alias("tags"))
 
 
-def program_sessions(df: DataFrame, payload: str, source_id: str, event_id: str, types: list[str], tracks: list[str], per_track: int = 3, limit: int = 50) -> DataFrame:
-    """Conference program (S16, W12): type and track lists, at most `per_track` per track, then `limit`.
+def program_sessions(df: DataFrame, payload: str, source_id: str, event_id: str, types: list[str], tracks: list[str], per_track: int | None = None, limit: int | None = None) -> DataFrame:
+    """Conference program (S16, W12): type and track lists; with caps, at most `per_track` per track, then `limit`.
 
-    The cap runs before the distinct on title and day. The track cap is a grouped top-k and the total
-    a bounded top-n.
+    Caps run before the distinct on title and day. The track cap is a grouped top-k, the total a bounded top-n.
     """
     s = df.select(F.explode(F.from_json(payload, SESSIONS)["sessions"]).alias("s")).select("s.*")
     if types:
@@ -111,13 +113,14 @@ def program_sessions(df: DataFrame, payload: str, source_id: str, event_id: str,
         s = s.filter(at > 0)
     order = [at, _text(F.col("day")), _text(F.col("time")), _text(F.col("title"))]
     s = s.withColumn("track", F.coalesce("track", F.lit("Unassigned"))) if not tracks else s
-    kept = numbered_top(top_per_group(s, ["track"], order, per_track).drop("rn"), order, limit, "_n")
+    kept = s if per_track is None else top_per_group(s, ["track"], order, per_track).drop("rn")
+    kept = kept.withColumn("_n", F.struct(*order)) if limit is None else numbered_top(kept, order, limit, "_n")
     title, day = X.compact(F.col("title")), X.compact(F.col("day"))
     kept = kept.withColumn("title", title).withColumn("day", day).filter("title <> ''")
     kept = first_per_group(kept.withColumn("_k", X.fold(F.col("title"))).withColumn("_d", X.fold(F.col("day"))), ["_k", "_d"], [F.col("_n")])
     return kept.select(
         X.stable_id(F.lit(source_id), F.lit(event_id), F.col("title"), F.col("day"), X.compact(F.col("time"))).alias("id"), F.lit("event-session").alias("source_type"),
-        "title", "track", "day", F.substring(X.compact(F.col("description")), 1, 1200).alias("summary"),
+        "title", "track", "day", X.compact(F.col("description")).alias("summary"),
         F.when(F.col("type") == "sponsor", "sponsored-session").otherwise("organizer-program").alias("sponsor_status"))
 
 
@@ -131,10 +134,10 @@ def social_posts(df: DataFrame, payload: str, terms: list[str], domains: list[st
     p = p.filter((F.coalesce("reason", F.lit("")) != REPOST) & (F.col("p.author.did") == F.col("did")) & (_text(F.col("p.record.reply")) == ""))
     key = F.substring_index(F.col("p.uri"), "/", -1)
     quote = X.compact(F.coalesce(F.col("p.embed.record.record.value.text"), F.col("p.embed.record.value.text")))
-    first = lambda *c: F.coalesce(*[F.nullif(F.col(x), F.lit("")) for x in c], F.lit(""))
-    link = first("p.embed.external.uri", "p.embed.media.external.uri", "p.record.embed.external.uri")
+    given = lambda *c: F.coalesce(*[F.nullif(F.col(x), F.lit("")) for x in c], F.lit(""))
+    link = given("p.embed.external.uri", "p.embed.media.external.uri", "p.record.embed.external.uri")
     p = p.select("did", "handle", "source_id", key.alias("key"), F.col("p.uri").alias("uri"), X.compact(F.col("p.record.text")).alias("text"), quote.alias("quote"),
-                 link.alias("link"), first("p.record.createdAt", "p.indexedAt").alias("published_at"))
+                 link.alias("link"), given("p.record.createdAt", "p.indexedAt").alias("published_at"))
     p = p.withColumn("hay", X.compact(F.concat_ws(" ", "text", "quote"))).filter(
         (F.col("key") != "") & (F.col("key") != F.col("uri")) & (F.col("hay") != "") & ~F.col("hay").rlike(C.SENSITIVE_PATTERNS["email-address"]))
     p = p.filter(topic_relevant(F.col("hay"), F.col("link"), terms, domains))

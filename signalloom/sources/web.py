@@ -97,8 +97,8 @@ def data_page(html: Column) -> Column:
     return X.unescape(F.regexp_extract(html, r'(?is)\sdata-page\s*=\s*"([^"]+)"', 1))
 
 
-def proceedings(pages: DataFrame, html: str, terms: list[str], limit: int = 40) -> DataFrame:
-    """Paper links whose title holds any term, by title."""
+def proceedings(pages: DataFrame, html: str, terms: list[str], limit: int | None = None) -> DataFrame:
+    """Paper links whose title holds any term (S17): all, or with a `limit` the first by title."""
     anchors = F.filter(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0)), lambda a: F.lower(attribute(a, "title")) == "paper title")
     rows = pages.select(F.explode(anchors).alias("a")).select(
         attribute(F.col("a"), "href").alias("href"), X.compact(X.unescape(F.regexp_replace("a", "(?s)<[^>]*>", " "))).alias("title"))
@@ -108,11 +108,11 @@ def proceedings(pages: DataFrame, html: str, terms: list[str], limit: int = 40)
         for t in terms:
             hit = hit | F.contains(X.fold(F.col("title")), F.lit(t.lower()))
         rows = rows.filter(hit)
-    return rows.orderBy(X.fold(F.col("title")), "href").limit(limit)
+    return rows if limit is None else rows.orderBy(X.fold(F.col("title")), "href").limit(limit)
 
 
-def gallery(pages: DataFrame, html: str, page_no: str, limit: int = 30) -> DataFrame:
-    """Gallery projects: the last record of a URL wins, winners first, then by title."""
+def gallery(pages: DataFrame, html: str, page_no: str, limit: int | None = None) -> DataFrame:
+    """Gallery projects: the last record of a URL wins (S18); with a `limit` winners first, then by title."""
     cards = F.filter(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0)), lambda a: F.array_contains(
         F.split(F.regexp_replace(attribute(a, "class"), r"\s+", " "), " "), "link-to-software"))
     part = lambda tag: X.compact(X.unescape(F.regexp_replace(F.regexp_extract(F.col("a"), tag, 1), "(?s)<[^>]*>", " ")))
@@ -121,7 +121,8 @@ def gallery(pages: DataFrame, html: str, page_no: str, limit: int = 30) -> DataF
         part(r"""(?is)<p\b[^>]*class\s*=\s*["'][^"']*\btagline\b[^"']*["'][^>]*>(.*?)</p>""").alias("tagline"),
         F.col("a").rlike(r"""(?is)<img\b[^>]*alt\s*=\s*["']winner["']""").alias("winner"))
     last = rows.filter("title <> '' and url <> ''").groupBy("url").agg(F.max_by(F.struct("title", "tagline", "winner"), F.struct("page", "pos")).alias("r"))
-    return last.select("url", "r.*").orderBy(F.desc("winner"), X.fold(F.col("title")), "url").limit(limit)
+    last = last.select("url", "r.*")
+    return last if limit is None else last.orderBy(F.desc("winner"), X.fold(F.col("title")), "url").limit(limit)
 
 
 def form_fields(body: Column) -> Column:

@@ -253,7 +253,7 @@ def test_gates(spark):
     out = gates.gate_results(frame(spark, rows, schema))
     assert all(r.matches_expected for r in gates.calibration(out).collect())
     e = out.filter("id = 'e'").first()
-    assert e.next_gate.gate == "established" and "operational_adoption is moderate; requires strong" in e.next_gate.failures
+    assert e.next_gate.gate == "established" and "level:operational_adoption:moderate<strong" in e.next_gate.failures
     assert out.filter("id = 'b'").first().next_gate is None
 
 
