@@ -4,14 +4,9 @@
 ACCENTED = "àáâãäåāçćčďèéêëēęěìíîïīñńňòóôõöōřśšťùúûüūůýÿžźż"
 UNACCENTED = "aaaaaaacccdeeeeeeeiiiiinnnoooooorsstuuuuuuyyzzz"
 
-# HTML entities; the ampersand comes last so that nothing is unescaped twice.
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&ldquo;", "“"), ("&rdquo;", "”"), ("&hellip;", "…"), ("&bull;", "•"), ("&copy;", "©"),
-    ("&eacute;", "é"), ("&egrave;", "è"), ("&uuml;", "ü"), ("&ouml;", "ö"), ("&auml;", "ä"),
-    ("&amp;", "&"),
-]
+# A character reference, and the characters that stand for the code points 128 to 159 (U+FFFD where none does).
+CHARACTER_REFERENCE = r"&(?:#[0-9]{1,9};?|#[xX][0-9a-fA-F]{1,8};?|[A-Za-z][A-Za-z0-9]{1,31};?)"
+C1_CHARACTERS = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
 
 # Token and sentence patterns.
 TOKEN_PATTERN = r"[a-z0-9]+(?:[.+#][a-z0-9]+)*"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
 from signalloom.functions import constants as C
@@ -36,13 +38,31 @@ def canonical_url(col: Column) -> Column:
     return F.regexp_replace(F.substring_index(F.coalesce(col, F.lit("")), "#", 1), "/+$", "")
 
 
+def _named_characters() -> Column:
+    """Map of all named references (with and without the semicolon) to their text, folded to one literal by Catalyst."""
+    names, texts = zip(*sorted(html5.items()))
+    mark = "\x01"
+    return F.map_from_arrays(F.split(F.lit(mark.join(names)), mark), F.split(F.lit(mark.join(texts)), mark))
+
+
+def _referred(ref: Column, named: Column) -> Column:
+    """Text of one character reference; unknown names stay as they are."""
+    digits = F.regexp_extract(ref, "^&#[xX]?([0-9a-fA-F]+)", 1)
+    code = F.conv(digits, 16, 10).cast("long")
+    code = F.when(F.substring(F.lower(ref), 3, 1) == "x", code).otherwise(F.try_to_number(F.regexp_extract(ref, "^&#([0-9]+)", 1), F.lit("9" * 9)).cast("long"))
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    wrong = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    number = F.when(wrong, F.lit("\ufffd")).when(code.between(128, 159), F.substring(F.lit(C.C1_CHARACTERS), (code - 127).cast("int"), F.lit(1))).otherwise(char)
+    return F.when(ref.startswith("&#"), number).otherwise(F.coalesce(F.try_element_at(named, F.substring(ref, 2, 40)), ref))
+
+
 def unescape(col: Column) -> Column:
-    """Named entities of the fixed list and decimal code points below 256; `&amp;` goes last."""
+    """Decimal, hexadecimal and named character references, each decoded once; null becomes empty."""
     text = F.coalesce(col, F.lit(""))
-    out = text
-    for name, char in C.ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+    named = _named_characters()
+    refs, gaps = F.regexp_extract_all(text, F.lit(C.CHARACTER_REFERENCE), F.lit(0)), F.split(text, C.CHARACTER_REFERENCE)
+    decoded = F.transform(refs, lambda r, i: F.concat(_referred(r, named), F.get(gaps, i + 1)))
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(gaps, F.lit(0)), F.concat_ws("", decoded))).otherwise(text)
 
 
 def strip_tags(col: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from signalloom.functions import constants as C, dates as D, text as X
 from signalloom.functions.arrays import explode_rows
@@ -51,18 +51,19 @@ def eligibility(df: DataFrame, sources: DataFrame, as_of: str, lookback_days: in
                 previous: DataFrame | None = None, order: list[Column] | None = None) -> DataFrame:
     """Add reason (null when eligible), channel, publisher_id, ts, fingerprint and change_type.
 
-    The first failing check names the reason. Duplicate ids keep their first row in `order`.
+    The first failing check names the reason. With an `order`, later rows of an id are duplicate
+    records, whatever became of its first row; without one ids are taken as unique.
     """
     dim = sources.select(F.col("id").alias("source_id"), F.col("enabled").alias("_enabled"), "channel", "publisher_id")
-    keep = order or [F.col("published_at"), F.col("url")]
-    marked = df.withColumn("_occurrence", F.monotonically_increasing_id()) if order is None else df
-    joined = marked.join(dim, "source_id", "left").withColumn("ts", D.parse_timestamp(F.col("published_at")))
+    seen = F.lit(1) if order is None else F.row_number().over(Window.partitionBy("id").orderBy(*order))
+    joined = df.withColumn("_occurrence", seen).join(dim, "source_id", "left").withColumn("ts", D.parse_timestamp(F.col("published_at")))
     required = reduce(lambda a, b: a | b, [F.coalesce(F.col(c), F.lit("")) == "" for c in
                                            ("id", "source_id", "source_type", "published_at")])
     content = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     unsafe = (F.size(sensitive_kinds(content)) > 0) | (F.size(blocked_keys(content)) > 0)
     reason = (
-        F.when(required, "missing-required-field")
+        F.when((F.col("_occurrence") > 1) & (F.coalesce(F.col("id"), F.lit("")) != ""), "duplicate-record")
+        .when(required, "missing-required-field")
         .when(blank(F.col("title")) & blank(F.col("summary")), "missing-content")
         .when(F.col("_enabled").isNull(), "unknown-source")
         .when(~F.col("_enabled"), "disabled-source")

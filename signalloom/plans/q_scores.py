@@ -569,10 +569,8 @@ def f07p(spark, sf):
 def f07d(spark, sf):
     e = classified(spark, sf).drop("ts").withColumn("seen", F.lit(0))
     again = e.join(table(spark, sf, "labels").select("doc_id"), "doc_id").withColumn("seen", F.lit(1)).select(*e.columns)
-    first, extra = Q.repeated_ids(e.unionByName(again), [F.col("seen")])
-    judged = Q.eligibility(first.drop("doc_id", "seen"), demo.sources(spark), demo.AS_OF)
-    a = judged.groupBy(F.coalesce("reason", F.lit("eligible")).alias("reason")).agg(F.count("*").alias("records"))
-    return a.unionByName(extra.agg(F.lit("duplicate-record").alias("reason"), F.coalesce(F.sum("repeats"), F.lit(0)).alias("records")))
+    judged = Q.eligibility(e.unionByName(again).drop("doc_id"), demo.sources(spark), demo.AS_OF, order=[F.col("seen")])
+    return judged.groupBy(F.coalesce("reason", F.lit("eligible")).alias("reason")).agg(F.count("*").alias("records"))
 
 
 def _req(cond: str, col: str) -> str:

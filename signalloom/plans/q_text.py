@@ -42,9 +42,9 @@ def n01(spark, sf):
                     (F.length("title") + F.length("summary")).cast("long").alias("n_chars"))
 
 
-@query("n04_strip_html", r"""SELECT page_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(
+@query("n04_strip_html", r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
   regexp_replace(html, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '),
-  '&mdash;', '—'), '&copy;', '©'), '&amp;', '&'), '\s+', ' ', 'g'))) AS text_hash FROM pages""")
+  '&middot;', '·'), '&copy;', '©'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS text_hash FROM pages""")
 def n04(spark, sf):
     return demo.spread(table(spark, sf, "pages")).select("page_id", F.md5(X.strip_tags(F.col("html"))).alias("text_hash"))
 

