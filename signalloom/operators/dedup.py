@@ -129,23 +129,28 @@ def greedy_dropped(pairs: DataFrame) -> DataFrame | None:
 def contained_titles(titles: DataFrame, group: list[str], ratio: float = 0.7) -> DataFrame:
     """(group, inner, outer) for distinct folded titles inside a longer one of at least `ratio` its length.
 
-    `titles`: group columns and `t`. Found by equality, not by comparing titles with each other: the
-    pieces of a title long enough to qualify are looked up among the titles. Start positions are first
-    thinned by a semi join on a short opening, so only promising starts produce pieces.
+    `titles`: group columns and `t`. Found by equality, not by comparing titles with each other. A start in
+    a title meets the lengths of the group's titles with the same opening; only pieces of those lengths are
+    cut, and they travel as hashes. No row but a title's own holds its text, so a title of n characters costs
+    n short rows, not its pieces.
     """
     opening = 12
     size, t = F.length("t"), F.col("t")
     low = F.ceil(size * ratio - 1e-9).cast("int")
+    key = lambda c: F.sha2(F.concat_ws("\u0001", *group, c), 256)
+    titles = titles.withColumn("k", key(t))
     starts = F.sequence(F.lit(1), F.greatest(size - low + 1, F.lit(1)))
     # a title too short for the full opening answers to all its shorter ones
     longest = int(opening / ratio) + 1
     widths = F.when(size > longest, F.array(F.lit(opening))).otherwise(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(size, F.lit(opening)))))
-    heads = titles.select(*group, F.explode(F.transform(widths, lambda n: F.substring(t, F.lit(1), n))).alias("h")).distinct()
-    begun = titles.filter(size > 1).select(*group, "t", F.explode(starts).alias("i")).withColumn(
-        "h", F.substring(t, F.col("i"), F.least(low, F.lit(opening)))).join(heads, [*group, "h"], "left_semi")
-    begun = begun.select(*group, "t", "i", F.explode(F.sequence(low, F.length("t") - F.col("i") + 1)).alias("n"))
-    pieces = begun.filter(F.col("n") < F.length("t")).select(*group, F.col("t").alias("outer"), F.substring("t", F.col("i"), F.col("n")).alias("inner"))
-    return pieces.join(titles.withColumnRenamed("t", "inner"), [*group, "inner"], "left_semi").distinct()
+    heads = titles.select(*group, F.explode(F.transform(widths, lambda n: F.substring(t, F.lit(1), n))).alias("h"), size.alias("n")).distinct()
+    begun = titles.filter(size > 1).select(*group, "k", low.alias("low"), size.alias("size"), F.inline(
+        F.transform(starts, lambda i: F.struct(i.alias("i"), F.substring(t, i, F.least(low, F.lit(opening))).alias("h")))))
+    cuts = begun.join(heads, [*group, "h"]).filter((F.col("n") >= F.col("low")) & (F.col("n") < F.col("size")) & (F.col("i") + F.col("n") - 1 <= F.col("size")))
+    cuts = cuts.groupBy("k").agg(F.collect_set(F.struct("i", "n")).alias("cuts"))   # at most a title's starts times the lengths there are
+    pieces = titles.join(cuts, "k").select(F.col("k").alias("outer_k"), F.explode(F.transform("cuts", lambda c: key(F.substring(t, c["i"], c["n"])))).alias("k")).distinct()
+    inner = titles.select("k", *group, F.col("t").alias("inner"))
+    return pieces.join(inner, "k").drop("k").join(titles.select(F.col("k").alias("outer_k"), F.col("t").alias("outer")), "outer_k").select(*group, "inner", "outer")
 
 
 def collapse_titles(rows: DataFrame, group: list[str], ratio: float = 0.7) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -305,13 +304,13 @@ def s27(spark, sf):
 def near_titles(spark, sf):
     """Sentences of a conversation with two shortened forms each."""
     c = spread(table(spark, sf, "conversations"))
-    s = F.filter(F.split(X.compact(F.col("text")), r"(?<=[.!?]) "), lambda x: F.length(x) > 12)
+    s = F.filter(F.split(X.compact(F.col("text")), r"(?<=[.!?]) "), lambda x: x != "")
     forms = F.transform(s, lambda x: F.array(x, F.substring(x, F.lit(1), F.floor(F.length(x) * 0.8).cast("int")), F.substring(x, F.lit(4), F.length(x))))
-    return c.select("conv_id", F.explode(F.flatten(forms)).alias("title"), (F.col("role") == "system").alias("sponsored"))
+    return c.select("conv_id", F.explode(F.flatten(forms)).alias("title"), (F.col("role") == "system").alias("sponsored")).filter("title <> ''")
 
 
-@query("d06_collapse_titles", r"""WITH RECURSIVE m AS (SELECT conv_id, role, list_filter(regexp_split_to_array(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(1), 'g'), chr(1)), lambda s: length(s) > 12) AS s FROM conversations),
-x AS (SELECT conv_id, role = 'system' AS sp, unnest(s) AS t FROM m), f AS (SELECT conv_id, sp, t FROM x UNION ALL SELECT conv_id, sp, substr(t, 1, floor(length(t) * 0.8)::INT) FROM x UNION ALL SELECT conv_id, sp, substr(t, 4) FROM x),
+@query("d06_collapse_titles", r"""WITH RECURSIVE m AS (SELECT conv_id, role, list_filter(regexp_split_to_array(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(1), 'g'), chr(1)), lambda s: s <> '') AS s FROM conversations),
+x AS (SELECT conv_id, role = 'system' AS sp, unnest(s) AS t FROM m), f AS (SELECT * FROM (SELECT conv_id, sp, t FROM x UNION ALL SELECT conv_id, sp, substr(t, 1, floor(length(t) * 0.8)::INT) FROM x UNION ALL SELECT conv_id, sp, substr(t, 4) FROM x) WHERE t <> ''),
 u AS (SELECT conv_id, replace(lower(t), 'ß', 'ss') AS k, arg_min(t, (-length(t), t)) AS title, count(*) AS n, bool_or(sp) AS sp FROM f GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY length(k) DESC, k) AS rn FROM u),
 w AS (SELECT conv_id, 0::BIGINT AS rn, []::VARCHAR[] AS kept, NULL::VARCHAR AS k, NULL::VARCHAR AS home FROM (SELECT DISTINCT conv_id FROM r)

@@ -382,10 +382,10 @@ def f13(spark, sf):
 
 
 @query("f15_evidence_search", f"""WITH {EVC_SQL} SELECT id FROM cl WHERE contains(lower(title || ' ' || summary || ' ' || array_to_string(projects, ' ')), 'thea')
-  AND list_contains(theme_ids, 'bonding') AND disposition = 'classified' AND source_id <> 'src1' ORDER BY published_at DESC, id DESC LIMIT 100""")
+  AND list_contains(theme_ids, 'bonding') AND disposition = 'classified' AND source_id = 'src2' ORDER BY published_at DESC, id DESC LIMIT 100""")
 def f15(spark, sf):
     from signalloom.plans.marts import search_evidence
-    return search_evidence(classified(spark, sf).filter("source_id <> 'src1'"), "THEA", theme="bonding", disposition="classified").select("id")
+    return search_evidence(classified(spark, sf), "THEA", source="src2", theme="bonding", disposition="classified").select("id")
 
 
 @query("f16_theme_search", f"""WITH {demo.THEME_SQL}, {EVC_SQL}, n AS (SELECT t, count(*) AS c FROM (SELECT unnest(theme_ids) AS t FROM cl) GROUP BY 1)
