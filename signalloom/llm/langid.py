@@ -27,8 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.llm.html_text import main_text
+from signalloom.llm.sampling import first_by_hash
 from signalloom.llm.words import FOLD, U, mix, window_hashes
-from signalloom.operators.ranking import top_per_group
 from signalloom.session import cut_lineage
 
 TRAIN_ROWS, TRAIN_CHARS = 400, 30_000
@@ -49,7 +49,7 @@ def buckets(text: str) -> np.ndarray:
 def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log P(n-gram | language)): from a bounded sample."""
     d = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    chosen = top_per_group(d.select("doc_id", "lang").distinct(), ["lang"], [F.xxhash64("doc_id"), F.col("doc_id")], TRAIN_ROWS).select("doc_id", "lang")
+    chosen = first_by_hash(d.select("doc_id", "lang").distinct(), "lang", "doc_id", TRAIN_ROWS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.llm.arrow import keep_rows, map_columns
+from signalloom.llm.sampling import first_by_hash
 from signalloom.llm.words import FOLD, IS_WORD, U, mix, powers, spans, word_hashes
-from signalloom.operators.ranking import top_per_group
 
 TRAIN_ROWS = 2_000
 TRAIN_CHARS = 12_000
@@ -133,7 +133,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marked = labels.filter(fit).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     texts = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sized = texts.filter(F.length("text") <= TRAIN_CHARS).select("doc_id").distinct().join(marked, "doc_id")
-    chosen = top_per_group(sized, ["toxic"], [F.xxhash64(F.col("doc_id")), F.col("doc_id")], TRAIN_ROWS).select("doc_id", "toxic")
+    chosen = first_by_hash(sized, "toxic", "doc_id", TRAIN_ROWS)
     return texts.filter(F.length("text") <= TRAIN_CHARS).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
 
