@@ -103,33 +103,39 @@ def echo_key(df_columns: list[str] | None = None) -> Column:
 def match_projects(projects: DataFrame, evidence: DataFrame, piece: int = 6) -> DataFrame:
     """(name, id) pairs: equal URL, or the name a substring of the title or the joined project list.
 
-    A substring has no hash key, but a text holding a name holds the name's first `piece` characters:
-    names and records meet on that piece, and the exact test follows. Names enter once each.
+    A substring has no hash key, but a text that holds a name holds all of the name's pieces of `piece`
+    characters. Narrow (id, piece) rows are thinned to pieces that names have; each name then meets the
+    records at its rarest piece, and only the texts of those records are fetched for the exact test.
     """
     name = X.fold(F.col("name"))
     p = projects.select("name", name.alias("_name"), X.canonical_url(F.col("official_url")).alias("_official"))
-    p = p.withColumn("_piece", F.substring("_name", 1, piece)).filter("_name <> ''")
+    p = p.filter("_name <> ''")
     text = X.fold(F.concat_ws("\n", F.col("title"), F.array_join("projects", " ")))
     e = evidence.select("id", X.canonical_url(F.col("url")).alias("_url"), text.alias("_text"))
+    by_url = p.filter(F.col("_official") != "").join(
+        e.filter(F.col("_url") != ""), F.col("_official") == F.col("_url")).select("name", "id")
+
+    def pieces(c: Column, n: int | Column) -> Column:
+        last = F.length(c) - (n - 1)
+        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(c, i, F.lit(n) if isinstance(n, int) else n))
+
+    size = F.least(F.length("_name"), F.lit(piece))
+    of_names = p.select("_name", F.explode(F.array_distinct(pieces(F.col("_name"), size))).alias("_piece")).distinct()
+    lengths = [r[0] for r in of_names.select(F.length("_piece")).distinct().collect()]   # at most `piece` numbers
     # long texts are cut into overlapping blocks, as a position deep in a text is slow to reach
     block = 64
     begins = F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)), F.lit(block))
-    blocks = e.select("id", "_text", F.explode(begins).alias("_at")).withColumn(
-        "_block", F.substring("_text", F.col("_at"), F.lit(block + piece - 1)))
-    by_url = p.filter(F.col("_official") != "").join(
-        e.filter(F.col("_url") != ""), F.col("_official") == F.col("_url")).select("name", "id")
-    # at most `piece` numbers
-    lengths = [r[0] for r in p.select(F.length("_piece")).distinct().collect()]
-
-    def pieces(n: int) -> Column:
-        last = F.length("_block") - (n - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(
-            F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(F.col("_block"), i, F.lit(n)))
-
-    cut = F.array_distinct(F.concat(*[pieces(n) for n in lengths])) if lengths else F.array().cast("array<string>")
-    by_name = (p.select("name", "_name", "_piece").join(blocks.select("id", "_text", F.explode(cut).alias("_piece")), "_piece")
-               .filter(F.contains("_text", F.col("_name"))).select("name", "id"))
+    cut = F.transform(begins, lambda at: F.substring(F.col("_text"), at, F.lit(block + piece - 1)))
+    blocks = e.select("id", F.explode(cut).alias("_block"))
+    every = F.array_distinct(F.concat(*[pieces(F.col("_block"), n) for n in lengths])) if lengths else F.array().cast("array<string>")
+    held = blocks.select("id", F.explode(every).alias("_piece")).join(of_names.select("_piece").distinct(), "_piece", "left_semi").distinct()
+    held = cut_lineage(held, "pieces")
+    often = held.groupBy("_piece").agg(F.count("*").alias("n"))
+    rarest = of_names.join(often, "_piece", "left").groupBy("_name").agg(F.min_by("_piece", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "_piece")).alias("_piece"))
+    met = held.join(rarest, "_piece").select("id", "_name")
+    by_name = met.join(e.select("id", "_text"), "id").filter(F.contains("_text", F.col("_name"))).select("id", "_name").distinct()
+    by_name = by_name.join(p.select("name", "_name"), "_name").select("name", "id")
     return by_url.unionByName(by_name).distinct()
 
 
