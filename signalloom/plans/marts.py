@@ -204,13 +204,29 @@ def dashboard(evidence: DataFrame, themes: DataFrame, as_of: str, latest: int =
     return cards, evidence.orderBy(F.desc("published_at"), F.desc("id")).limit(latest)
 
 
-def live_section(evidence: DataFrame, source_id: str, k: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Counts, first and last date, and the leading themes of one source's live records (M8)."""
+def research(evidence: DataFrame, themes: DataFrame, sources: DataFrame, layers: dict[str, list[str]], as_of: str) -> dict[str, DataFrame]:
+    """The research mart as tables (M2): evidence, themes (unobserved ones too), sources, weekly movement, verdicts."""
+    rows = normalized_evidence(evidence, sources, layers)
+    dim = sources.select(F.col("id").alias("source_id"), F.col("publisher_id").alias("_publisher"))
+    by_theme = K.by_theme(evidence).join(dim, "source_id", "left").withColumn("publisher_id", F.coalesce("_publisher", F.col("source_id")))
+    by_theme = by_theme.withColumn("support", F.lit(1)).withColumn("month", D.month_key(F.col("published_at")))
+    return {
+        "evidence": rows,
+        "themes": S.with_unobserved(themes, S.cross_source_scores(by_theme, as_of)),
+        "sources": S.source_freshness(rows, sources, as_of),
+        "weekly": L.weekly_movement(by_theme, as_of),
+        "verdicts": evidence.groupBy("disposition", "rule_id").agg(F.count("*").alias("evidence_count")),
+    }
+
+
+def live_section(evidence: DataFrame, source_id: str, k: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Counts with first and last date, the leading themes and the newest records of one source (M8)."""
     mine = evidence.filter(F.col("source_id") == source_id)
     head = mine.agg(F.count("*").alias("record_count"), F.count_if(F.size("theme_ids") > 0).alias("classified_record_count"),
                     F.min("published_at").alias("first_observed_at"), F.max("published_at").alias("last_observed_at"))
     lead = K.by_theme(mine).groupBy("theme_id").agg(F.count("*").alias("evidence_count")).orderBy(F.desc("evidence_count"), "theme_id").limit(k)
-    return head, lead
+    newest = mine.orderBy(F.desc("published_at"), F.desc("id")).limit(k)
+    return head, lead, newest
 
 
 def candidate_pool(candidates: DataFrame, links: DataFrame, evidence: DataFrame, previous: DataFrame, adjudications: DataFrame, as_of: str) -> DataFrame:

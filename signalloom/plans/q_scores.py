@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from signalloom.functions import constants as C, dates as D
 from signalloom.operators import change as H, classify as K, gates, lifecycle as L, pulse as P, quality as Q, ranking as R
@@ -746,15 +746,16 @@ def m01(spark, sf):
         latest.select(F.lit("latest").alias("kind"), F.col("id").alias("key"), F.lit(1).cast("long").alias("n")))
 
 
-@query("m02_research_sections", f"""WITH {EVC_SQL}, {DR_SQL}, {score_sql('dr', MONTHS)}, {demo.THEME_SQL}
-SELECT 'evidence' AS section, count(*) AS n FROM cl UNION ALL SELECT 'themes', count(*) FROM thm UNION ALL SELECT 'observed-themes', count(*) FROM sm UNION ALL SELECT 'sources', count(*) FROM src UNION ALL SELECT 'classified', count(*) FROM cl WHERE disposition = 'classified'""")
+@query("m02_research_sections", f"""WITH {EVC_SQL}, {DR_SQL}, {score_sql('dr', MONTHS)}, {demo.THEME_SQL}, g AS (SELECT source_id, count(*) AS n FROM cl GROUP BY 1)
+SELECT 'theme' AS section, thm.id AS key, coalesce(maturity, 'unobserved') AS state, coalesce(evidence_count, 0) AS n FROM thm LEFT JOIN sm ON theme_id = thm.id
+UNION ALL SELECT 'source', src.id, CASE WHEN n > 0 THEN 'active' ELSE 'configured' END, coalesce(n, 0) FROM src LEFT JOIN g ON source_id = src.id
+UNION ALL SELECT 'verdict', disposition, rule_id, count(*) FROM cl GROUP BY 2, 3 UNION ALL SELECT 'evidence', source_type, max(published_at), count(*) FROM cl GROUP BY 2""")
 def m02(spark, sf):
-    e = marts.normalized_evidence(classified(spark, sf), demo.sources(spark), {t[0]: [t[4], t[5]] for t in demo.THEMES})
-    th = S.with_unobserved(demo.themes(spark).select("id", "name"), S.cross_source_scores(doc_rows(spark, sf), demo.AS_OF))
-    src = S.source_freshness(e, demo.sources(spark), demo.AS_OF)
-    one = lambda df, name: df.agg(F.lit(name).alias("section"), F.count("*").alias("n"))
-    return (one(e, "evidence").unionByName(one(th, "themes")).unionByName(one(th.filter("total is not null"), "observed-themes"))
-            .unionByName(one(src, "sources")).unionByName(one(e.filter("disposition = 'classified'"), "classified")))
+    m = marts.research(classified(spark, sf), demo.themes(spark).select("id", "name"), demo.sources(spark), {t[0]: [t[4], t[5]] for t in demo.THEMES}, demo.AS_OF)
+    row = lambda df, section, key, state, n: df.select(F.lit(section).alias("section"), F.col(key).alias("key"), F.col(state).alias("state"), F.col(n).cast("long").alias("n"))
+    types = m["evidence"].groupBy("source_type").agg(F.max("published_at").alias("latest"), F.count("*").alias("n"))
+    return (row(m["themes"], "theme", "id", "maturity", "evidence_count").unionByName(row(m["sources"], "source", "id", "status", "n"))
+            .unionByName(row(m["verdicts"], "verdict", "disposition", "rule_id", "evidence_count")).unionByName(row(types, "evidence", "source_type", "latest", "n")))
 
 
 M6_SQL = f"""cand AS (SELECT theme_id AS id, CASE WHEN count_if(ts > {_T} - INTERVAL 7 DAY AND ts <= {_T}) > 0 THEN 'new' ELSE 'steady' END AS movement, count(*) AS ec, count(DISTINCT source_id) AS sc, count(DISTINCT source_type) AS fc,
@@ -776,8 +777,9 @@ def m06(spark, sf):
 
 
 @query("m08_live_section", f"""WITH {EVC_SQL}, m AS (SELECT * FROM cl WHERE source_id = 'src4') SELECT 'records' AS key, count(*) AS n FROM m UNION ALL SELECT 'classified', count_if(len(theme_ids) > 0) FROM m
-UNION ALL (SELECT t, count(*) AS n FROM m, unnest(theme_ids) u(t) GROUP BY 1 ORDER BY n DESC, t LIMIT 8)""")
+UNION ALL (SELECT t, count(*) AS n FROM m, unnest(theme_ids) u(t) GROUP BY 1 ORDER BY n DESC, t LIMIT 8) UNION ALL (SELECT id, row_number() OVER (ORDER BY published_at DESC, id DESC) AS n FROM m QUALIFY n <= 8)""")
 def m08(spark, sf):
-    head, lead = marts.live_section(classified(spark, sf), "src4")
+    head, lead, newest = marts.live_section(classified(spark, sf), "src4")
     h = head.select(F.explode(F.array(F.struct(F.lit("records").alias("key"), F.col("record_count").alias("n")), F.struct(F.lit("classified").alias("key"), F.col("classified_record_count").alias("n")))).alias("r")).select("r.*")
-    return h.unionByName(lead.select(F.col("theme_id").alias("key"), F.col("evidence_count").alias("n")))
+    latest = newest.select(F.col("id").alias("key"), F.row_number().over(Window.orderBy(F.desc("published_at"), F.desc("id"))).cast("long").alias("n"))
+    return h.unionByName(lead.select(F.col("theme_id").alias("key"), F.col("evidence_count").alias("n"))).unionByName(latest)
