@@ -90,6 +90,20 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda acc: acc["n"].cast("long"))
 
 
+def merged(spans: Column) -> Column:
+    """Sorted spans (i, len) as disjoint (from, to), `to` exclusive."""
+    none = F.array().cast("array<struct<from:int,to:int>>")
+    start = F.struct(F.lit(0).alias("from"), F.lit(0).alias("to"), none.alias("out"))
+    held = lambda acc: F.struct(acc["from"].alias("from"), acc["to"].alias("to"))
+
+    def step(acc: Column, s: Column) -> Column:
+        joins = s["i"] <= acc["to"]
+        out = F.when(joins | (acc["to"] == 0), acc["out"]).otherwise(F.array_append(acc["out"], held(acc)))
+        return F.struct(F.when(joins, acc["from"]).otherwise(s["i"]).alias("from"), F.greatest(acc["to"], s["i"] + s["len"]).alias("to"), out.alias("out"))
+
+    return F.aggregate(spans, start, step, lambda acc: F.when(acc["to"] > 0, F.array_append(acc["out"], held(acc))).otherwise(none))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """(doc_id, text_hash, n_words, n_hit, n_items, items, spans): one row per document.
 
@@ -134,10 +148,10 @@ def drop_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def cut_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All documents; where words are hit, they go, each with the separator after it. Unhit texts stay as they are."""
     rows, hit, same = _hit(docs, benchmark)
-    d = rows.join(hit, same, "left")
+    d = rows.join(hit.withColumn("runs", merged(F.col("spans"))), same, "left")
     text = F.col("row.text")
     w, gaps = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD)
-    hit_at = lambda k: F.exists("spans", lambda s: (k + 1 >= s["i"]) & (k + 1 < s["i"] + s["len"]))
+    hit_at = lambda k: F.exists("runs", lambda s: (k + 1 >= s["from"]) & (k + 1 < s["to"]))
     kept = F.transform(w, lambda x, k: F.when(~hit_at(k), F.concat(x, F.get(gaps, k + 1))).otherwise(F.lit("")))
-    cut = F.when(F.col("spans").isNull(), text).otherwise(F.concat(F.get(gaps, F.lit(0)), F.concat_ws("", kept)))
+    cut = F.when(F.col("runs").isNull(), text).otherwise(F.concat(F.get(gaps, F.lit(0)), F.concat_ws("", kept)))
     return d.withColumn("row", F.col("row").withField("text", cut)).select("row.*")
