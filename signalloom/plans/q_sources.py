@@ -322,11 +322,25 @@ def d06(spark, sf):
     return out.select("conv_id", F.md5("title").alias("title_hash"), "duplicate_count", "sponsor_seen")
 
 
-@query("d07_clean_history")
+D7_CLEAN = _CLEAN % "t || ' •'"
+
+
+@query("d07_clean_history", rf"""WITH RECURSIVE m AS (SELECT conv_id, role, list_filter(regexp_split_to_array(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(1), 'g'), chr(1)), lambda s: s <> '') AS s FROM conversations),
+x AS (SELECT conv_id, role = 'system' AS sp, unnest(s) AS t FROM m), f AS (SELECT * FROM (SELECT conv_id, sp, t FROM x UNION ALL SELECT conv_id, sp, substr(t, 1, floor(length(t) * 0.8)::INT) FROM x UNION ALL SELECT conv_id, sp, substr(t, 4) FROM x) WHERE t <> ''),
+c AS (SELECT '2024-01-' || lpad((conv_id % 28 + 1)::VARCHAR, 2, '0') AS day, sp, {D7_CLEAN} AS t FROM f),
+g AS (SELECT * FROM (SELECT *, len(list_filter(string_split(t, ' '), lambda x: x <> '')) AS tokens, len(list_filter({_BARE}, lambda x: length(x) = 1)) AS singles FROM c) WHERE NOT (tokens >= 8 AND singles >= tokens * {C.SPACED_LETTER_RATIO})),
+u AS (SELECT day, replace(lower(t), 'ß', 'ss') AS k, arg_min(t, (-length(t), t)) AS title, count(*) AS n, bool_or(sp) AS sp FROM g GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY length(k) DESC, k) AS rn FROM u),
+w AS (SELECT day, 0::BIGINT AS rn, []::VARCHAR[] AS kept, NULL::VARCHAR AS k, NULL::VARCHAR AS home FROM (SELECT DISTINCT day FROM r)
+  UNION ALL SELECT q.day, q.rn, CASE WHEN h IS NULL THEN list_append(kept, q.k) ELSE kept END, q.k, coalesce(h, q.k) FROM (SELECT r.day, r.rn, r.k, w.kept, list_filter(w.kept, lambda e: contains(e, r.k) AND length(r.k) >= 0.7 * length(e) - 1e-9)[1] AS h
+     FROM w JOIN r ON r.day = w.day AND r.rn = w.rn + 1) q),
+z AS (SELECT w.day, home, max(CASE WHEN w.k = home THEN title END) AS title, sum(n) AS n, bool_or(sp) AS sp FROM w JOIN r ON r.day = w.day AND r.k = w.k GROUP BY w.day, home)
+SELECT 'news:' || substr(sha256('news|' || day || '|' || replace(lower(title), 'ß', 'ss')), 1, 20) AS id, md5(title) AS title_hash, day AS published_at,
+  CASE WHEN sp AND n > 1 THEN 'sponsored' WHEN sp THEN 'unknown' ELSE 'editorial' END AS sponsor_status, CASE WHEN sp AND n > 1 THEN 'duplicate-link-title' WHEN sp THEN 'legacy-proximity-uncertain' ELSE 'editorial-selection' END AS sponsor_basis FROM z""")
 def d07(spark, sf):
     t = near_titles(spark, sf).select(F.lit("x").alias("id"), F.concat("title", F.lit(" •")).alias("title"), F.concat(F.lit("2024-01-"), F.lpad((F.col("conv_id") % 28 + 1).cast("string"), 2, "0")).alias("published_at"),
                                       F.when(F.col("sponsored"), "sponsored").otherwise("editorial").alias("sponsor_status"), F.lit("editorial-selection").alias("sponsor_basis"))
-    return dedup.clean_history(t, "news").groupBy("sponsor_status", "sponsor_basis").agg(F.count("*").alias("records"))
+    return dedup.clean_history(t, "news").select("id", F.md5("title").alias("title_hash"), "published_at", "sponsor_status", "sponsor_basis")
 
 
 # ---- streams ----------------------------------------------------------------------------------
