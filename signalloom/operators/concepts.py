@@ -269,5 +269,5 @@ def vocabulary_gaps(classified: DataFrame, policy: ConceptPolicy, k: int | None
     """Phrases of the records waiting for review with their frequency (T12): all, or the k most frequent."""
     waiting = classified.filter(F.col("disposition") == "classification-review")
     counts = phrase_counts(prepared(waiting, policy), policy)
-    found = document_frequency(counts)
-    return found if k is None else found.orderBy(F.desc("df"), "phrase").limit(k)
+    found = document_frequency(counts).orderBy(F.desc("df"), "phrase")
+    return found if k is None else found.limit(k)

@@ -186,7 +186,7 @@ def cluster_id(anchor_ids: Column) -> Column:
 
 
 def distinct_clusters(clusters: DataFrame, order: list[Column], jaccard: float = 0.80, limit: int | None = None) -> DataFrame:
-    """Drop clusters too similar to a better one (G9); with a `limit` only the best of the rest stay.
+    """Drop clusters too similar to a better one, best first (G9); a `limit` keeps the best of the rest.
 
     Equal document sets collapse first. Other similar pairs must share one of the rarest documents of
     both sets (prefix filter for the Jaccard bound), so a document in very many clusters does not
@@ -225,6 +225,6 @@ def distinct_clusters(clusters: DataFrame, order: list[Column], jaccard: float =
     dropped = greedy_dropped(pairs)
     if dropped is not None:
         sets = sets.join(dropped, "id", "left_anti")
-    sets = sets.drop("_rank")
-    return sets if limit is None else sets.orderBy(*order).limit(limit)
+    sets = sets.drop("_rank").orderBy(*order)
+    return sets if limit is None else sets.limit(limit)
 

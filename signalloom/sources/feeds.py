@@ -100,4 +100,5 @@ def sitemap_urls(df: DataFrame, payload: str) -> DataFrame:
 def newest_urls(urls: DataFrame, prefixes: list[str], patterns: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """Pages in scope (S7, F3): all, or with a `limit` the newest."""
     live = urls.filter(~F.col("child") & url_in_scope(F.col("loc"), prefixes, patterns)).select("loc", "lastmod")
-    return live if limit is None else live.orderBy(F.desc("lastmod"), F.desc("loc")).limit(limit)
+    live = live.orderBy(F.desc("lastmod"), F.desc("loc"))
+    return live if limit is None else live.limit(limit)

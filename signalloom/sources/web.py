@@ -108,7 +108,8 @@ def proceedings(pages: DataFrame, html: str, terms: list[str], limit: int | None
         for t in terms:
             hit = hit | F.contains(X.fold(F.col("title")), F.lit(t.lower()))
         rows = rows.filter(hit)
-    return rows if limit is None else rows.orderBy(X.fold(F.col("title")), "href").limit(limit)
+    rows = rows.orderBy(X.fold(F.col("title")), "href")
+    return rows if limit is None else rows.limit(limit)
 
 
 def gallery(pages: DataFrame, html: str, page_no: str, limit: int | None = None) -> DataFrame:
@@ -121,8 +122,8 @@ def gallery(pages: DataFrame, html: str, page_no: str, limit: int | None = None)
         part(r"""(?is)<p\b[^>]*class\s*=\s*["'][^"']*\btagline\b[^"']*["'][^>]*>(.*?)</p>""").alias("tagline"),
         F.col("a").rlike(r"""(?is)<img\b[^>]*alt\s*=\s*["']winner["']""").alias("winner"))
     last = rows.filter("title <> '' and url <> ''").groupBy("url").agg(F.max_by(F.struct("title", "tagline", "winner"), F.struct("page", "pos")).alias("r"))
-    last = last.select("url", "r.*")
-    return last if limit is None else last.orderBy(F.desc("winner"), X.fold(F.col("title")), "url").limit(limit)
+    last = last.select("url", "r.*").orderBy(F.desc("winner"), X.fold(F.col("title")), "url")
+    return last if limit is None else last.limit(limit)
 
 
 def form_fields(body: Column) -> Column:
