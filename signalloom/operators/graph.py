@@ -14,7 +14,10 @@ from signalloom.session import cut_lineage
 
 @dataclass
 class ClusterPolicy:
-    """Parameters of the clustering; the defaults are the reference values."""
+    """Parameters of the clustering; the defaults are the reference values, but all clusters of any size are kept.
+
+    The reference keeps components of at most 80 documents and the best 500 clusters; a caller may pass these.
+    """
 
     allowed_kinds: list[str] = field(default_factory=lambda: ["primitive", "emergent-phrase", "project", "technology"])
     structural_kinds: list[str] = field(default_factory=lambda: ["primitive", "relationship"])
@@ -27,8 +30,8 @@ class ClusterPolicy:
     shared_documents: int = 2
     jaccard: float = 0.50
     containment: float = 0.75
-    maximum_cluster_documents: int = 80
-    maximum_clusters: int = 500
+    maximum_cluster_documents: int | None = None
+    maximum_clusters: int | None = None
     maximum_anchors: int = 8
     maximum_themes: int = 6
     recurrent_theme_documents: int = 2
@@ -116,16 +119,30 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         vertices["id"], F.coalesce("component", vertices["id"]).alias("component"))
 
 
+def component_members(components: DataFrame, kept: DataFrame) -> DataFrame:
+    """(component, evidence_id) of all documents that hold an anchor of the component."""
+    return kept.join(components.withColumnRenamed("id", "anchor_id"), "anchor_id").select("component", "evidence_id").distinct()
+
+
+def overbroad_components(components: DataFrame, kept: DataFrame, policy: ClusterPolicy) -> DataFrame:
+    """(component, raw_count, reason) of the components `cluster_documents` leaves out (G5); none without a bound."""
+    bound = policy.maximum_cluster_documents
+    sizes = component_members(components, kept).groupBy("component").agg(F.count("*").alias("raw_count"))
+    over = sizes.filter(F.lit(False) if bound is None else F.col("raw_count") > bound)
+    return over.withColumn("reason", F.lit(f"over-broad:{bound}"))
+
+
 def cluster_documents(components: DataFrame, kept: DataFrame, docs: DataFrame, sources: DataFrame,
                       policy: ClusterPolicy) -> tuple[DataFrame, DataFrame]:
     """Documents of every component that is not over-broad, and the capped ones.
 
-    Components with more documents than allowed are dropped by a count before anything else looks at
-    their rows.
+    Where the policy sets a bound, components with more documents are left out by a count before anything
+    else looks at their rows; `overbroad_components` lists them.
     """
-    member = kept.join(components.withColumnRenamed("id", "anchor_id"), "anchor_id").select("component", "evidence_id").distinct()
+    member = component_members(components, kept)
     sizes = member.groupBy("component").agg(F.count("*").alias("raw_count"))
-    fine = member.join(sizes.filter(F.col("raw_count") <= policy.maximum_cluster_documents), "component")
+    bound = policy.maximum_cluster_documents
+    fine = member.join(sizes if bound is None else sizes.filter(F.col("raw_count") <= bound), "component")
     dim = sources.select(F.col("id").alias("source_id"), "channel", "publisher_id")
     rows = (fine.join(docs.select("evidence_id", "source_id", "source_type", "published_at"), "evidence_id")
             .join(dim, "source_id", "left").withColumn("publisher_id", F.coalesce("publisher_id", F.col("source_id"))))

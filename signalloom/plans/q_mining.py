@@ -14,7 +14,7 @@ from signalloom.session import cut_lineage
 
 QUERIES, ORACLE = {}, {}
 POLICY = stages.concept_policy()
-CLUSTERS = graph.ClusterPolicy()
+CLUSTERS = stages.CLUSTERS
 
 
 def query(name: str, sql: str | None = None):

@@ -91,8 +91,11 @@ def theme_rules() -> list[dict]:
     return [{"id": t[0], "name": t[1], "aliases": t[2], "terms": t[3]} for t in demo.THEMES]
 
 
+CLUSTERS = graph.ClusterPolicy(maximum_cluster_documents=80)  # the bound that the SQL of the queries states
+
+
 @shared("clusters")
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = concept_docs(spark, sf_dir)
     changed = docs.select(F.col("evidence_id").alias("id"))
-    return G.build_clusters(docs, demo.sources(spark), changed, DIRECTIONS, theme_rules(), graph.ClusterPolicy(), docs.count())
+    return G.build_clusters(docs, demo.sources(spark), changed, DIRECTIONS, theme_rules(), CLUSTERS, docs.count())

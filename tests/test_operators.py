@@ -365,6 +365,21 @@ def test_discovery_states(spark):
     assert (s.cluster_count, s.coherent_cluster_count, s.explained_cluster_count) == (4, 4, 2)
 
 
+def test_all_clusters_of_any_size(spark):
+    pr = lambda k: dict(id=f"primitive:{k}", label=f"label {k}", kind="primitive")
+    docs = cluster_docs(spark, [(pr(k), [], None) for k in range(501)] + [(pr("broad"), [], None)] * 30)
+    src = frame(spark, [(f"s{i}", "", "paper", f"p{i}", True, "") for i in range(3)], SRC)
+    changed, n = docs.select(F.col("evidence_id").alias("id")), 3 * 531
+    c = G.build_clusters(docs, src, changed, [], [], graph.ClusterPolicy(), n)
+    assert {r.anchor_ids[0]: r.metrics.raw_evidence_count for r in c.collect()} == {f"primitive:{k}": 3 for k in range(501)} | {"primitive:broad": 90}
+    assert G.run_summary(c).first().cluster_count == 502
+    few = graph.ClusterPolicy(maximum_cluster_documents=80, maximum_clusters=500)
+    kept = graph.anchor_postings(docs, few)
+    parts = kept.select(F.col("anchor_id").alias("id"), F.col("anchor_id").alias("component")).distinct()
+    assert [tuple(r) for r in graph.overbroad_components(parts, kept, few).collect()] == [("primitive:broad", 90, "over-broad:80")]
+    assert graph.overbroad_components(parts, kept, graph.ClusterPolicy()).count() == 0
+
+
 def test_blocked_phrases_and_missing_context(spark):
     ph = dict(id="phrase:feel-like", label="feel like", kind="emergent-phrase")
     docs = cluster_docs(spark, [(ph, [], None)])
