@@ -28,9 +28,14 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # the first four characters; the group is the longest run from there that ends at a word's end, of which `account` keeps the part that holds
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9]))[A-Z]{2}[0-9]{2}",
     "local_phone": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
 }
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}  # characters of an account number by its country code
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 CONTEXT = {
     "email": r"(?i)\b(mail|e-?mail|contact|write)\b", "ip": r"(?i)\b(ip|host|server|address)\b", "card": r"(?i)\b(card|visa|credit|payment)\b",
@@ -59,6 +64,26 @@ def mod97(account: Column) -> Column:
     return F.length(plain).between(15, 34) & (rest == 1)
 
 
+def account(run: Column) -> Column:
+    """The part of a run, from its start to the end of a word, that is an account number, or null.
+
+    The part of the length fixed for its country goes before others, then the longest.
+    """
+    words = F.split(run, " ")
+    parts = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(words, F.lit(1), k), " "))
+    good = F.filter(parts, mod97)
+    fixed = F.coalesce(*[F.when(F.substring(run, 1, 2).isin(codes.split()), n) for n, codes in LENGTHS.items()])
+    usual = F.filter(good, lambda p: F.length(F.regexp_replace(p, " ", "")) == fixed)
+    return F.coalesce(F.get(usual, F.lit(0)), F.get(good, F.lit(0)))
+
+
+def from_left(spans: Column) -> Column:
+    """Of spans in order of start those that begin after the last one kept."""
+    last = lambda out: F.coalesce(F.get(out, F.size(out) - 1)["end"], F.lit(0))
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    return F.aggregate(spans, none, lambda out, s: F.when(s["start"] >= last(out), F.concat(out, F.array(s))).otherwise(out))
+
+
 def valid(kind: str, value: Column) -> Column:
     if kind == "ip":
         part = lambda p: F.length(F.regexp_replace(p, "^0+", "")) < 4  # noqa: E731  longer ones are above 255 and may not fit a number
@@ -67,15 +92,13 @@ def valid(kind: str, value: Column) -> Column:
         return luhn(digits(value))
     if kind == "phone":
         return F.length(digits(value)).between(10, 15)
-    if kind == "iban":
-        return mod97(value)
     return F.lit(True)
 
 
 def found(kind: str, text: Column) -> Column:
     """Array of (start, rank, kind, end, score): the matches of one kind that pass its rule, code points, end exclusive."""
     p = PATTERNS[kind]
-    values, gaps = F.regexp_extract_all(text, F.lit(p), F.lit(0)), F.split(text, p)
+    values, gaps = F.regexp_extract_all(text, F.lit(p), F.lit(1 if kind == "iban" else 0)), F.split(text, p)
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     begin = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
@@ -83,10 +106,16 @@ def found(kind: str, text: Column) -> Column:
         start = acc["at"] + F.length(m["gap"])
         end = start + F.length(m["value"])
         span = F.struct(start.alias("start"), end.alias("end"), m["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return F.struct((start + 4 if kind == "iban" else end).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
     pairs = F.zip_with(F.slice(gaps, 1, F.greatest(F.lit(0), F.size(gaps) - 1)), values, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    placed = F.filter(F.aggregate(pairs, begin, step, lambda acc: acc["out"]), lambda s: valid(kind, s["value"]))
+    placed = F.aggregate(pairs, begin, step, lambda acc: acc["out"])
+    if kind == "iban":
+        part = F.transform(placed, lambda s: F.struct(s["start"].alias("start"), account(s["value"]).alias("value")))
+        held = F.filter(part, lambda s: s["value"].isNotNull())
+        placed = from_left(F.transform(held, lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["value"])).alias("end"), s["value"].alias("value"))))
+    else:
+        placed = F.filter(placed, lambda s: valid(kind, s["value"]))
 
     def scored(s: Column) -> Column:
         near = F.concat(text.substr(F.greatest(F.lit(1), s["start"] - NEAR + 1), F.least(s["start"], F.lit(NEAR))), F.lit(" \x00 "), text.substr(s["end"] + 1, F.lit(NEAR)))

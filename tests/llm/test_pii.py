@@ -58,6 +58,17 @@ def test_more_kinds_by_checksum_and_context(spark):
     assert got == {1: "iban:5:32", 2: "", 3: "local_phone:5:19", 4: "", 5: "phone:6:23"}
 
 
+def test_account_numbers_before_upper_case_words(spark):
+    german, british, belgian = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "BE68 5390 0754 7034"
+    texts = [f"IBAN {german} BIC COBADEFFXXX.", "DE89370400440532013000 BIC X", f"{british} A new day", f"{german} {british} {belgian}", "DE89370400440532013000 GB82WEST12345698765432",
+             f"{belgian} AND 12 MORE", f"{german}X", "DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX", "AB12 " + german, f"{german}\n{british} OK", f"{german} {'A1' * 40}"]
+    got = {r.doc_id: [t for t in (r.spans or "").split(",") if t] for r in pii.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = {0: [(5, 32)], 1: [(0, 22)], 2: [(0, 27)], 3: [(0, 27), (28, 55), (56, 75)], 4: [(0, 22), (23, 45)], 5: [(0, 19)], 6: [], 7: [], 8: [(5, 32)], 9: [(0, 27), (28, 55)], 10: [(0, 27)]}
+    assert got == {i: [f"iban:{a}:{b}" for a, b in spans] for i, spans in want.items()}
+    out = pii.redact(spark.createDataFrame([(1, texts[0])], "doc_id long, text string")).first()
+    assert out.text == "IBAN [IBAN] BIC COBADEFFXXX."
+
+
 def test_odd_rows_and_redaction(spark):
     docs = documents(spark, ODD + [(20, "🙂 mail a.b@c.de or 10.0.0.1!")])
     got = pii.report(docs).collect()
