@@ -7,9 +7,10 @@ arrivals of a Poisson process whose rate is its weight to random components, eac
 element that arrives first, and the process stops once later arrivals are later than all kept ones.
 
 1. One scan makes a row per document: a 128-bit key of its words and `BANDS` band hashes. Equal keys are
-   copies: they collapse to their smallest id by a grouped minimum, so a group of copies costs one row.
+   copies: they collapse to one text by a grouped minimum, so a group of copies costs one row. From here on
+   the key stands for the text; ids come back at the end.
 2. Band hashes meet in a grouped count. In each shared bucket the member that shares most overall (ties:
-   smallest id) is the pivot, and every member is compared with its pivots: at most one pair per row.
+   largest key) is the pivot, and every member is compared with its pivots: at most one pair per row.
 3. What a pivot has joined is a class. Buckets that still hold several classes among their other members
    are compared in whole: members are dealt to blocks, every pair of blocks is one small task, and only
    links that join two classes leave it. No bucket is capped, no pair of members is ever a row.
@@ -18,8 +19,8 @@ Texts are shuffled only for the members that are to be compared. Results are ver
 Free style (numpy in `mapInPandas`) because arrival processes have no column form.
 
 Defined results: null texts count as empty; texts without words are copies only of equal texts; null ids are
-in no class; rows with the same id count as one document, of which one text is compared;
-an empty table gives an empty table; extra columns are ignored here and kept by `keep_first`.
+in no class; of an id with several texts every text is compared and has its class, the report gives the one
+of its smallest `copy_of`, and `keep_first` decides for each row by its own text; an empty table gives an empty table; extra columns are ignored here and kept by `keep_first`.
 """
 
 from __future__ import annotations
@@ -110,7 +111,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands) of each row with an id."""
+    """(doc_id, t, key, bands) of each row with an id; t is a hash of its text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, bands = [], []
@@ -118,13 +119,14 @@ def signatures(docs: DataFrame) -> DataFrame:
                 found, counts, key = shingles(text)
                 keys.append(key)
                 bands.append(band_hashes(signature(found, counts)) if len(found) else np.zeros(0, dtype=np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": keys, "bands": bands})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "t": batch["t"], "key": keys, "bands": bands})
 
-    return _typed(docs).mapInPandas(run, "doc_id long, key binary, bands array<long>")
+    return _typed(docs).mapInPandas(run, "doc_id long, t long, key binary, bands array<long>")
 
 
 def _typed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter("doc_id is not null")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("t"), text.alias("text")).filter("doc_id is not null")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -143,10 +145,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             yield batch.loc[keep, ["left_id", "right_id"]]
 
     both = pairs.hint("merge").join(left, "left_id").hint("merge").join(right, "right_id")
-    return both.select("left_id", "right_id", "left_text", "right_text").mapInPandas(run, "left_id long, right_id long")
+    return both.select("left_id", "right_id", "left_text", "right_text").mapInPandas(run, "left_id binary, right_id binary")
 
 
-def block_links(ids: list[int], labels: list[int], halves: list[int], bags: list, threshold: float, same: bool) -> list[tuple[int, int]]:
+def block_links(ids: list, labels: list, halves: list[int], bags: list, threshold: float, same: bool) -> list[tuple]:
     """Links between classes found among the rows of one pair of blocks, by an inverted index over their shingles.
 
     Pairs that are in one class already, or in one half of two different blocks, are passed over; a link found
@@ -154,7 +156,7 @@ def block_links(ids: list[int], labels: list[int], halves: list[int], bags: list
     """
     parent = {x: x for x in labels}
 
-    def top(x: int) -> int:
+    def top(x):
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
@@ -187,24 +189,25 @@ def block_links(ids: list[int], labels: list[int], halves: list[int], bags: list
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, copy_of), (id, component, n_links)): which text a document is a copy of, and the class of each such text."""
+    """((doc_id, t, key, copy_of), (key, class_id, n_links)): the text of a row and its smallest id, and the class of each text in a shared band."""
     sig = cut_lineage(signatures(docs), "signatures")
-    rep = sig.groupBy("key").agg(F.min("doc_id").alias("copy_of"))
-    copies = cut_lineage(sig.select("doc_id", "key").join(rep, "key").groupBy("doc_id").agg(F.min("copy_of").alias("copy_of")), "copies")
-    own = sig.join(copies.filter("doc_id = copy_of"), "doc_id").groupBy("doc_id").agg(F.min_by("bands", "key").alias("bands"))
-    rows = own.select(F.col("doc_id").alias("id"), F.explode("bands").alias("h"))
+    rep = cut_lineage(sig.groupBy("key").agg(F.min(F.struct("doc_id", "t")).alias("r")).select("key", F.col("r.doc_id").alias("copy_of"), F.col("r.t").alias("t")), "representatives")
+    copies = cut_lineage(sig.select("doc_id", "t", "key").join(rep.select("key", "copy_of"), "key").distinct(), "copies")
+    own = sig.groupBy("key").agg(F.any_value("bands").alias("bands"))  # equal words, equal bands
+    rows = own.select(F.col("key").alias("id"), F.explode("bands").alias("h"))
     counts = rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
     members = cut_lineage(rows.join(counts, "h"), "members")  # only buckets of two and more
     degree = members.groupBy("id").agg(F.sum("n").alias("degree"))
     ranked = members.join(degree, "id").select("h", "id", "n", "degree")
-    pivots = ranked.groupBy("h").agg(F.max_by("id", F.struct("degree", (-F.col("id")).alias("i"))).alias("pivot"))
+    pivots = ranked.groupBy("h").agg(F.max_by("id", F.struct("degree", "id")).alias("pivot"))
     seen = cut_lineage(members.join(pivots, "h").filter("id <> pivot").select("h", "id", "pivot"), "pivots")
     pairs = cut_lineage(seen.select(F.col("id").alias("left_id"), F.col("pivot").alias("right_id")).distinct(), "pairs")
 
-    # the ids of shared buckets grow with the input: the hints keep the joins that bring texts sort-merge joins at every size
+    # the texts of shared buckets grow with the input: the hints keep the joins that bring texts sort-merge joins at every size
     vertices = members.select("id").distinct()
-    texts = _typed(docs).withColumnRenamed("doc_id", "id").join(vertices.hint("merge"), "id", "left_semi")
-    texts = cut_lineage(texts.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "texts")
+    first = vertices.hint("merge").join(rep.withColumnRenamed("key", "id"), "id").withColumnRenamed("copy_of", "doc_id")
+    texts = _typed(docs).join(first.hint("merge"), ["doc_id", "t"]).select("id", "text")
+    texts = cut_lineage(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
     links = cut_lineage(verified(pairs, texts, threshold), "links")
     labels = cut_lineage(connected_components(vertices, links), "labels")
 
@@ -228,7 +231,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
             def links_of() -> pd.DataFrame:
                 ids, labels, halves, bags = zip(*held)
                 found = block_links(list(ids), list(labels), list(halves), list(bags), threshold, group[1] == group[2]) if len(set(labels)) > 1 else []
-                return pd.DataFrame(found, columns=["left_id", "right_id"], dtype="int64")
+                return pd.DataFrame(found, columns=["left_id", "right_id"], dtype="object")
 
             for batch in batches:
                 for h, i, j, d, c, b, t in zip(*(batch[x].tolist() for x in ("h", "i", "j", "id", "component", "b", "text"))):
@@ -240,7 +243,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
             if held:
                 yield links_of()
 
-        more = cut_lineage(rows.mapInPandas(run, "left_id long, right_id long"), "more")
+        more = cut_lineage(rows.mapInPandas(run, "left_id binary, right_id binary"), "more")
     every = links.unionByName(more)
     final = labels
     if not more.isEmpty():
@@ -249,22 +252,31 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
         top = connected_components(labels.select(F.col("component").alias("id")).distinct(), step.select(F.col("a").alias("left_id"), F.col("b").alias("right_id")))
         final = labels.join(top.select(F.col("id").alias("component"), F.col("component").alias("top")), "component").select("id", F.col("top").alias("component"))
     ends = every.select(F.col("left_id").alias("id")).union(every.select(F.col("right_id").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
-    final = final.join(ends, "id", "left").select("id", "component", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    final = final.join(rep.select(F.col("key").alias("id"), "copy_of"), "id")
+    least = final.groupBy("component").agg(F.min("copy_of").alias("class_id"))
+    final = final.join(least, "component").join(ends, "id", "left").select(F.col("id").alias("key"), "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     return copies, cut_lineage(final, "classes")
 
 
+def by_text(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, t, class_id, copy_of, n_links) of each text of an id."""
+    copies, found = classes(docs, threshold)
+    both = copies.join(found, "key", "left")
+    return both.select("doc_id", "t", F.coalesce("class_id", "copy_of").alias("class_id"), "copy_of", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, copy_of, n_links): class_id is the smallest id of the class, copy_of the first equal text.
 
     n_links counts the links found from the text `copy_of` that hold its class together.
     """
-    copies, found = classes(docs, threshold)
-    both = copies.join(found.withColumnRenamed("id", "copy_of"), "copy_of", "left")
-    return both.select("doc_id", F.coalesce("component", "copy_of").alias("class_id"), "copy_of", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    least = by_text(docs, threshold).groupBy("doc_id").agg(F.min(F.struct("copy_of", "class_id", "n_links")).alias("m"))
+    return least.select("doc_id", "m.class_id", "m.copy_of", "m.n_links")
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with the smallest id of their class, all columns; rows without an id stay."""
-    gone = near_duplicates(docs, threshold).filter("doc_id <> class_id").select("doc_id")
+    """The rows whose id is the smallest of the class of their text, all columns; rows without an id stay."""
+    gone = by_text(docs, threshold).filter("doc_id <> class_id").select("doc_id", "t")
     rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(gone, F.col("row.doc_id").cast("long") == F.col("doc_id"), "left_anti").select("row.*")
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    return rows.join(gone, (F.col("row.doc_id").cast("long") == F.col("doc_id")) & (F.xxhash64(text) == F.col("t")), "left_anti").select("row.*")

@@ -102,3 +102,14 @@ def test_odd_rows(spark):
     assert out == sorted([(None, None), (None, "alone"), (1, None), (3, "   \n\t "), (4, "one"), (4, "one"), (6, "!!!"), (7, "a" * 30_000), (8, LONG), (10, ODD[-1][1])], key=str)
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
     assert minhash.keep_first(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("turn", [False, True])
+def test_ids_with_several_texts(spark, turn):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(150)) for x in "abc")
+    rows = [(2, a), (5, a), (5, b), (7, b), (9, b + " end"), (11, c), (11, a + " end"), (12, c + " end")]
+    df = spark.createDataFrame(rows[::-1] if turn else rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.copy_of) for r in minhash.near_duplicates(df).collect()}
+    assert got == {2: (2, 2), 5: (2, 2), 7: (5, 5), 9: (5, 9), 11: got[11], 12: (11, 12)}
+    assert got[11] in {(2, 11), (11, 11)}
+    assert sorted(map(tuple, minhash.keep_first(df).collect())) == [(2, a), (5, b), (11, c)]
