@@ -1,7 +1,9 @@
 """Main text of web pages by tree scoring (operator 6).
 
 The page becomes a small tree. Menus, headers and footers of the page, forms, scripts, notices, adverts and
-reader comments leave it by tag, role or name. Each paragraph earns points for its length and commas and
+reader comments leave it by tag, role or clear name. Names that may be part of a subject (notice, related) only
+lower the score inside an article, or in a page without one: headings, paragraphs and what holds paragraphs of
+their own stay, lists of links go. Each paragraph earns points for its length and commas and
 passes them to its ancestors, less with each step; a container's points are discounted by its link density.
 The best container and those of its siblings that carry text of the same kind are kept, and their blocks are
 written in page order. An `article` or `main` around the best container stands for it.
@@ -29,25 +31,33 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCKS - {"body", "html", "caption", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "summary", "figcaption"}
 SAME_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-# Words in class, id or role that mark what is no main text.
+# Words in class, id or role that mark what is no main text, and such as may do so.
 UNWANTED = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo cookie cookies gdpr popup modal newsletter subscribe signup sidebar nav navbar "
+    "breadcrumb breadcrumbs pagination pager comment comments disqus masthead toolbar paywall complementary contentinfo alertdialog".split())
+DOUBTFUL = frozenset(
+    "promoted promotion banner banners consent notice notices overlay subscription login share sharing social related recommended recommendations recommend side menu menus "
+    "navigation respond reply replies discussion footer widget widgets search skip hidden alert toc tags".split())
+WANTED = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promoted promotion banner banners cookie cookies consent gdpr notice notices "
     "popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations recommend sidebar side menu menus nav navbar "
     "navigation breadcrumb breadcrumbs pagination pager comment comments disqus respond reply replies discussion footer masthead toolbar widget widgets search "
     "skip hidden paywall alert complementary contentinfo alertdialog toc tags".split())
 WANTED = frozenset("article body content entry main page post story text blog".split())
 NAME = re.compile(r"[A-Za-z]+")
+LOWER, LEAST = 0.5, 0.25  # what points count under a doubtful name; what any paragraph earns
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 CUT_TAG = re.compile(r"<(?:[A-Za-z/!?][^<>]*)?\Z")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "points", "chars", "linked", "commas")
+    __slots__ = ("tag", "attrs", "parent", "children", "points", "chars", "linked", "commas", "prose", "weight")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.points, self.chars, self.linked, self.commas = 0.0, 0, 0, 0
+        self.prose, self.weight = 0.0, 1.0  # points of the best paragraph inside; what the points count here
 
 
 class Tree(HTMLParser):
@@ -120,18 +130,58 @@ def unwanted(n: Node, in_article: bool) -> bool:
         return True
     if n.tag in ("html", "body", "article", "main", "p") and "comment" not in a.get("class", "") + a.get("id", "") and n.tag != "p":
         return False
-    names = {w.lower() for w in NAME.findall(" ".join((a.get("class", ""), a.get("id", ""), a.get("role", ""))))}
-    return bool(names & UNWANTED) and not (names & WANTED and n.tag in ("div", "section") and not names & {"comment", "comments", "ad", "ads", "sidebar", "related", "sponsored", "promo", "notice"})
+    return bool(names(n) & UNWANTED) and not (names(n) & WANTED and n.tag in ("div", "section") and not names(n) & {"comment", "comments", "ad", "ads", "sidebar", "sponsored", "promo"})
+
+
+def names(n: Node) -> set[str]:
+    """Words of class, id and role; the id of a heading is made from its title, so only one of a single word counts."""
+    a = n.attrs
+    own = NAME.findall(a.get("id", ""))
+    if n.tag in HEADINGS and len(own) > 1:
+        own = []
+    return {w.lower() for w in (*NAME.findall(a.get("class", "")), *own, *NAME.findall(a.get("role", "")))}
+
+
+def doubtful(n: Node) -> bool:
+    if n.tag in ("html", "body", "article", "main"):
+        return False
+    return bool(names(n) & DOUBTFUL) and not (names(n) & WANTED and n.tag in ("div", "section") and not names(n) & {"related", "notice"})
 
 
 def prune(root: Node) -> None:
     """Takes unwanted elements out, without recursion: a page may nest as deep as it likes."""
-    stack = [(root, False)]
+    stack, found, articles = [(root, False)], [], False
     while stack:
         n, inside = stack.pop()
         inside = inside or n.tag in ("article", "main")
+        articles = articles or inside
         n.children = [c for c in n.children if isinstance(c, str) or not unwanted(c, inside)]
-        stack.extend((c, inside) for c in n.children if isinstance(c, Node))
+        for c in n.children:
+            if isinstance(c, Node):
+                stack.append((c, inside))
+                if doubtful(c):
+                    found.append((c, inside))
+    if not found:
+        return
+    for n in reversed(measure(root)):
+        n.prose = max(n.prose, paragraph(n))
+        if n.parent is not None:
+            n.parent.prose = max(n.parent.prose, n.prose)
+    gone = set()
+    for n, inside in found:
+        text = n.tag in HEADINGS or n.tag == "p" or n.prose * LOWER > LEAST
+        if (inside or not articles) and n.chars and text and density(n) < 0.33:
+            n.weight = LOWER
+        else:
+            gone.add(n)
+    stack = [root]
+    while stack:
+        n = stack.pop()
+        n.children = [c for c in n.children if c not in gone]
+        for c in n.children:
+            if isinstance(c, Node):
+                c.weight = min(c.weight, n.weight)
+                stack.append(c)
 
 
 def measure(root: Node) -> list[Node]:
@@ -140,6 +190,7 @@ def measure(root: Node) -> list[Node]:
     while stack:
         n, link = stack.pop()
         link = link or n.tag == "a"
+        n.chars = n.linked = n.commas = 0
         order.append(n)
         for c in n.children:
             if isinstance(c, Node):
@@ -161,15 +212,26 @@ def density(n: Node) -> float:
     return n.linked / n.chars if n.chars else 0.0
 
 
+def has_blocks(n: Node) -> bool:
+    return any(isinstance(c, Node) and c.tag in BLOCKS for c in n.children)
+
+
+def paragraph(n: Node) -> float:
+    """Points of an element as a paragraph, 0 where it is none."""
+    if not n.chars or n.tag in HEADINGS or n.tag not in BLOCKS or n.parent is None:
+        return 0.0
+    if has_blocks(n) and not any(isinstance(c, str) and c.strip() for c in n.children):
+        return 0.0
+    return (0.25 + n.commas + min(n.chars / 100, 3)) * (1 - density(n))
+
+
 def best_containers(root: Node) -> list[Node]:
     order = measure(root)
     for n in order:
-        has_blocks = any(isinstance(c, Node) and c.tag in BLOCKS for c in n.children)
-        own_text = any(isinstance(c, str) and c.strip() for c in n.children)
-        if not n.chars or n.tag in HEADINGS or has_blocks and not own_text or n.tag not in BLOCKS or n is root:
+        points = paragraph(n) * n.weight
+        if not points:
             continue
-        points = (0.25 + n.commas + min(n.chars / 100, 3)) * (1 - density(n))
-        step, up = 1, n if has_blocks else n.parent
+        step, up = 1, n if has_blocks(n) else n.parent
         while up is not None and step <= 4:
             up.points += points / (1 if step == 1 else 2 if step == 2 else 3 * step)
             up, step = up.parent, step + 1

@@ -19,6 +19,23 @@ def test_article_holds_its_header_and_loses_comments():
     assert main_text(page) == "H\n\nOne, two.\n\nThree."
 
 
+NAMED = """<h2 id="related-work">Related work</h2><section id="discussion"><h3>Discussion</h3><p>We found, as others did, that the rate rises.</p></section>
+<p class="notice">Please note this.</p><div id="social-policy"><p>Housing costs rose in all of the regions we looked at.</p></div><h2 id="cookie-law">Cookie law</h2>
+<div class="share"><a href=x>Share this</a> <a href=y>Post</a></div><div class="related"><h4>More</h4><ul><li><a href=z>Another, longer, story of the day</a></ul></div>
+<ul class="tags"><li>housing<li>rent</ul><p class="related"><a href=q>Read also, on this page: another story</a></p><div class="ad"><p>Buy, buy, buy, buy, buy, buy</p></div>
+<div class="comments"><p>No, no, no, no</p></div><div class="sidebar"><p>Side, side, side, side</p></div>"""
+
+
+def test_everyday_names_inside_an_article():
+    want = "H\n\nOne, two, and three.\n\nRelated work\n\nDiscussion\n\nWe found, as others did, that the rate rises.\n\nPlease note this.\n\nHousing costs rose in all of the regions we looked at.\n\nCookie law"
+    assert main_text(f"<body><div class=related><p>Far, far, far, far</p></div><article><h1>H</h1><p>One, two, and three.</p>{NAMED}</article></body>") == want
+    assert main_text(f"<body><div class=content><h1>H</h1><p>One, two, and three.</p>{NAMED}</div></body>") == want
+
+
+def test_deep_nesting_of_everyday_names():
+    assert main_text("<div class=share>" * 2_000 + "deep, text, and more of it" + "</div>" * 2_000) == "deep, text, and more of it"
+
+
 def test_siblings_and_lists_of_links():
     page = "<body><h1>Head</h1><div class=a><p>" + "Long text, with commas, and words. " * 5 + "</p></div><div class=b><p>" + "More text, with commas, and words. " * 5 + "</p><ul><li><a>x y z</a><li><a>u v w</a></ul></div><div class=menu><a>m</a></div></body>"
     out = main_text(page).split("\n\n")
