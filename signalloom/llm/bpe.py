@@ -3,7 +3,10 @@
 The pre-tokens of an Arrow batch that are new to the worker are laid out as one linked list of ids. An
 index maps each adjacent pair to all its positions; the active ranks sit in a heap and are applied in
 ascending order, each to all its positions at once, and only the lists of neighbouring pairs change.
-Results are remembered per pre-token, up to `CACHE` of them per worker.
+Results are remembered per pre-token, up to `CACHE` of them or `CACHE_CHARS` characters per worker.
+
+A worker holds the texts of at most `CHARS_AT_ONCE` characters, or one longer text, at a time, and cuts a long
+text where a blank between a visible character and a letter begins a pre-token anyway.
 
 Free style: the work on a row needs no other row, so it is a `mapInArrow` over the scan, without a
 shuffle. A lost executor costs its own tasks. The vocabulary file is broadcast (one file of fixed size).
@@ -21,13 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 from signalloom.llm.arrow import map_columns
 
-CACHE = 800_000
-CHARS_AT_ONCE = 16_000_000
+CACHE = 100_000
+CACHE_CHARS = 2_000_000
+CHARS_AT_ONCE = 1_000_000
+CHARS_PER_CUT = 250_000
 # The pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -48,16 +54,31 @@ def gather(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - counts), counts)
 
 
-def slices(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about so many characters: this bounds the memory of a worker."""
+def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about so much size: this bounds the memory of a worker."""
     begin = held = 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= chars:
+    for i, n in enumerate(sizes):
+        held += n
+        if held >= most:
             yield begin, i + 1
             begin, held = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+_SAFE = regex.compile(r"(?<=\S)(?= [A-Za-z])")
+
+
+def cuts(text: str, chars: int) -> list[str]:
+    """The text in parts of about so many characters, cut only where a pre-token begins in any case."""
+    out, begin = [], 0
+    while len(text) - begin > chars:
+        found = _SAFE.search(text, begin + chars)
+        if not found:
+            break
+        out.append(text[begin : found.start()])
+        begin = found.start()
+    return [*out, text[begin:]]
 
 
 class Numbers(dict):
@@ -65,10 +86,12 @@ class Numbers(dict):
 
     def __init__(self):
         self.new: list[str] = []
+        self.chars = 0
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
         self.new.append(word)
+        self.chars += len(word)
         return n
 
 
@@ -123,9 +146,9 @@ def pre_tokens(texts: list[str], known: Numbers) -> list[np.ndarray]:
 
 
 class Model:
-    """Vocabulary, merge ranks and added tokens of a tokenizer file."""
+    """Vocabulary, merge ranks and added tokens of a tokenizer file; without `special` added tokens are plain text."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, special: bool = True):
         spec = json.loads(text)
         pre = spec.get("pre_tokenizer") or {}
         if spec["model"].get("type") != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or spec.get("normalizer"):
@@ -146,7 +169,7 @@ class Model:
         self.lengths = np.array([len(p) for p in pieces], dtype=np.int64)
         self.begins = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
         self.blob = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        self.added = added
+        self.added = added = added if special else {}
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.made: list[int] = []
         self.pair: list[tuple[int, int]] = []
@@ -239,18 +262,20 @@ class Model:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        if len(self.known) > CACHE:
+        if len(self.known) > CACHE or self.known.chars > CACHE_CHARS:
             self.forget()
         known, index, pieces = self.known, [], []
         for t in texts:
-            pieces.append([s for s in self.split.split(t) if s] if self.split and self.split.search(t) else [t])
+            some = [s for s in self.split.split(t) if s] if self.split and self.split.search(t) else [t]
+            pieces.append([c for s in some for c in ([s] if s in self.added else cuts(s, CHARS_PER_CUT))])
         plain = [s for some in pieces for s in some if s not in self.added]
-        for i, j in slices(plain, CHARS_AT_ONCE // 8):
-            index += pre_tokens(plain[i:j], known)
+        for i, j in slices([len(s) for s in plain], CHARS_PER_CUT):
+            index += [x.astype(np.int32) for x in pre_tokens(plain[i:j], known)]
         if known.new:
-            flat, count = self.merge(known.new)
+            parts = [(self.flat, self.count)]
+            parts += [self.merge(known.new[i:j]) for i, j in slices([len(w) for w in known.new], CHARS_PER_CUT)]
             known.new.clear()
-            self.flat, self.count = np.concatenate((self.flat, flat)), np.concatenate((self.count, count))
+            self.flat, self.count = (np.concatenate(x) for x in zip(*parts))
         begins = np.cumsum(self.count) - self.count
         parts = iter(index)
         for some in pieces:
@@ -262,13 +287,13 @@ class Model:
         return self.blob[gather(self.begins[ids], self.lengths[ids])].tobytes().decode("utf-8", "replace")
 
 
-_models: dict[str, Model] = {}
+_models: dict[tuple[str, bool], Model] = {}
 
 
-def model_of(text: str) -> Model:
-    key = hashlib.md5(text.encode()).hexdigest()
+def model_of(text: str, special: bool = True) -> Model:
+    key = hashlib.md5(text.encode()).hexdigest(), special
     if key not in _models:
-        _models[key] = Model(text)
+        _models[key] = Model(text, special)
     return _models[key]
 
 
@@ -284,16 +309,21 @@ def _rows(df: DataFrame, path: str, schema: str, make) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[list]:
         model = model_of(vocabulary.value)
-        ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
-        for i, j in slices(texts, CHARS_AT_ONCE):
-            yield [ids.slice(i, j - i), *make(model, texts[i:j])]
+        ids, texts = batch.column("doc_id"), batch.column("text")
+        for i, j in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), CHARS_AT_ONCE):
+            yield [ids.slice(i, j - i), *make(model, [t or "" for t in texts.slice(i, j - i).to_pylist()])]
 
     return map_columns(df.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), schema, run)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of each row."""
-    return _rows(docs, path, "doc_id long, ids array<int>", lambda model, texts: [list(model.encode(texts))])
+    def make(model: Model, texts: list[str]) -> list:
+        found = list(model.encode(texts))
+        ends = np.cumsum([0, *(len(x) for x in found)], dtype=np.int32)
+        return [pa.ListArray.from_arrays(ends, np.concatenate([x.astype(np.int32) for x in found]))]
+
+    return _rows(docs, path, "doc_id long, ids array<int>", make)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalloom.llm import bpe, chat, decontam, html_text, langid, minhash, pii, simhash, substrings, toxicity
+from signalloom.llm import alignment, bpe, chat, decontam, html_text, langid, minhash, pii, quality, simhash, substrings, toxicity, whitening
 from signalloom.llm.oracle import ORACLE  # noqa: F401
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,4 +56,17 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.repair(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_langid, op3_simhash, op4_toxicity, op5_substrings, op6_html_text, op7_bpe, op8_pii, op9_minhash, op10_chat)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_langid, op3_simhash, op4_toxicity, op5_substrings, op6_html_text, op7_bpe, op8_pii, op9_minhash, op10_chat,
+                                op11_whitening, op12_quality, op13_alignment)}
