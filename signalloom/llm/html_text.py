@@ -1,17 +1,21 @@
 """Main text of web pages by tree scoring (operator 6).
 
-The page becomes a small tree. Menus, headers and footers of the page, forms, scripts, notices, adverts and
-reader comments leave it by tag, role or clear name. Names that may be part of a subject (notice, related) only
-lower the score inside an article, or in a page without one: headings, paragraphs and what holds paragraphs of
-their own stay, lists of links go. Each paragraph earns points for its length and commas and
+The page becomes a small tree. Menus, headers and footers of the page, forms, scripts, adverts and
+reader comments leave it by tag, role or clear name; an id of several words, as made from a title, is no clear
+name. Names that may be part of a subject (notice, related, newsletter) only lower the score inside an article,
+or in a page without one: headings, paragraphs and what holds paragraphs of their own stay, lists of links and
+what holds a form go. Each paragraph earns points for its length and commas and
 passes them to its ancestors, less with each step; a container's points are discounted by its link density.
-The best container and those of its siblings that carry text of the same kind are kept, and their blocks are
-written in page order. An `article` or `main` around the best container stands for it.
+The best container and those of its siblings that carry text are kept, and their blocks are
+written in page order; of equal containers the outer, then the earlier one is best. An `article` or `main` around
+the best container stands for it, beside other articles of its parent that earn a fifth of its points. Nothing
+else inside the kept elements is dropped: lists of links, short paragraphs and bare text stay.
 
-Free style: one page needs no other, so it is a `mapInPandas` over the scan, without a shuffle, in linear time for a page.
+Free style: one page needs no other, so it is a `mapInArrow` over the scan, without a shuffle, in linear time for a page.
 
 Defined results: a null page is an empty one; an empty page has an empty text; unclosed tags end where their
-parent ends, a tag cut off by the end of the page is dropped; each input row gives one row; other columns are ignored.
+parent ends, a tag cut off by the end of the page is dropped; each input row gives one row, ids as they came;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,9 +24,11 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from signalloom.llm.arrow import map_columns
+
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style noscript template nav footer aside form button select textarea input option iframe object svg canvas dialog menu head title audio video map math".split())
@@ -33,16 +39,13 @@ SAME_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 # Words in class, id or role that mark what is no main text, and such as may do so.
 UNWANTED = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo cookie cookies gdpr popup modal newsletter subscribe signup sidebar nav navbar "
-    "breadcrumb breadcrumbs pagination pager comment comments disqus masthead toolbar paywall complementary contentinfo alertdialog".split())
+    "ad ads advert adverts advertisement advertising adsense sponsored promo sidebar nav navbar breadcrumb breadcrumbs pagination pager "
+    "comment comments disqus masthead complementary contentinfo alertdialog".split())
 DOUBTFUL = frozenset(
-    "promoted promotion banner banners consent notice notices overlay subscription login share sharing social related recommended recommendations recommend side menu menus "
+    "promoted promotion banner banners consent gdpr cookie cookies notice notices popup modal overlay newsletter subscribe subscription signup sponsor sponsors paywall toolbar "
+    "login share sharing social related recommended recommendations recommend side menu menus "
     "navigation respond reply replies discussion footer widget widgets search skip hidden alert toc tags".split())
-WANTED = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promoted promotion banner banners cookie cookies consent gdpr notice notices "
-    "popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations recommend sidebar side menu menus nav navbar "
-    "navigation breadcrumb breadcrumbs pagination pager comment comments disqus respond reply replies discussion footer masthead toolbar widget widgets search "
-    "skip hidden paywall alert complementary contentinfo alertdialog toc tags".split())
+CONTROLS = frozenset("form button select textarea input".split())
 WANTED = frozenset("article body content entry main page post story text blog".split())
 NAME = re.compile(r"[A-Za-z]+")
 LOWER, LEAST = 0.5, 0.25  # what points count under a doubtful name; what any paragraph earns
@@ -51,13 +54,14 @@ CUT_TAG = re.compile(r"<(?:[A-Za-z/!?][^<>]*)?\Z")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "points", "chars", "linked", "commas", "prose", "weight")
+    __slots__ = ("tag", "attrs", "parent", "children", "points", "chars", "linked", "commas", "prose", "weight", "form")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.points, self.chars, self.linked, self.commas = 0.0, 0, 0, 0
         self.prose, self.weight = 0.0, 1.0  # points of the best paragraph inside; what the points count here
+        self.form = False
 
 
 class Tree(HTMLParser):
@@ -122,30 +126,33 @@ def parse(html: str) -> Node:
     return tree.root
 
 
+def names(n: Node) -> tuple[set[str], set[str]]:
+    """Words of class, role and an id of one word; words of an id of several, which may be made from a title."""
+    a = n.attrs
+    own = {w.lower() for w in NAME.findall(a.get("id", ""))}
+    clear = {w.lower() for w in (*NAME.findall(a.get("class", "")), *NAME.findall(a.get("role", "")))}
+    return (clear | own, set()) if len(own) == 1 else (clear, set() if n.tag in HEADINGS else own)
+
+
 def unwanted(n: Node, in_article: bool) -> bool:
     a = n.attrs
     if n.tag in DROPPED or n.tag == "header" and not in_article:
         return True
     if "hidden" in a or a.get("aria-hidden") == "true" or HIDDEN.search(a.get("style", "")):
         return True
-    if n.tag in ("html", "body", "article", "main", "p") and "comment" not in a.get("class", "") + a.get("id", "") and n.tag != "p":
-        return False
-    return bool(names(n) & UNWANTED) and not (names(n) & WANTED and n.tag in ("div", "section") and not names(n) & {"comment", "comments", "ad", "ads", "sidebar", "sponsored", "promo"})
-
-
-def names(n: Node) -> set[str]:
-    """Words of class, id and role; the id of a heading is made from its title, so only one of a single word counts."""
-    a = n.attrs
-    own = NAME.findall(a.get("id", ""))
-    if n.tag in HEADINGS and len(own) > 1:
-        own = []
-    return {w.lower() for w in (*NAME.findall(a.get("class", "")), *own, *NAME.findall(a.get("role", "")))}
+    clear = names(n)[0]
+    if n.tag in ("html", "body", "article", "main"):
+        return n.tag == "article" and bool(clear & {"comment", "comments"})
+    bad = clear & UNWANTED
+    return bool(bad) and not (clear & WANTED and n.tag in ("div", "section") and not bad & {"comment", "comments", "ad", "ads", "sidebar", "sponsored", "promo"})
 
 
 def doubtful(n: Node) -> bool:
     if n.tag in ("html", "body", "article", "main"):
         return False
-    return bool(names(n) & DOUBTFUL) and not (names(n) & WANTED and n.tag in ("div", "section") and not names(n) & {"related", "notice"})
+    clear, other = names(n)
+    every = clear | other
+    return bool(every & (DOUBTFUL | UNWANTED)) and not (clear & WANTED and n.tag in ("div", "section") and not every & {"related", "notice"})
 
 
 def prune(root: Node) -> None:
@@ -155,6 +162,7 @@ def prune(root: Node) -> None:
         n, inside = stack.pop()
         inside = inside or n.tag in ("article", "main")
         articles = articles or inside
+        n.form = any(isinstance(c, Node) and c.tag in CONTROLS for c in n.children)
         n.children = [c for c in n.children if isinstance(c, str) or not unwanted(c, inside)]
         for c in n.children:
             if isinstance(c, Node):
@@ -167,10 +175,11 @@ def prune(root: Node) -> None:
         n.prose = max(n.prose, paragraph(n))
         if n.parent is not None:
             n.parent.prose = max(n.parent.prose, n.prose)
+            n.parent.form = n.parent.form or n.form
     gone = set()
     for n, inside in found:
         text = n.tag in HEADINGS or n.tag == "p" or n.prose * LOWER > LEAST
-        if (inside or not articles) and n.chars and text and density(n) < 0.33:
+        if (inside or not articles) and n.chars and text and not n.form and density(n) < 0.33:
             n.weight = LOWER
         else:
             gone.add(n)
@@ -185,14 +194,14 @@ def prune(root: Node) -> None:
 
 
 def measure(root: Node) -> list[Node]:
-    """Sets characters, commas and linked characters of each node; returns the nodes, parents first."""
+    """Sets characters, commas and linked characters of each node; returns the nodes in page order, parents first."""
     order, stack = [], [(root, False)]
     while stack:
         n, link = stack.pop()
         link = link or n.tag == "a"
         n.chars = n.linked = n.commas = 0
         order.append(n)
-        for c in n.children:
+        for c in reversed(n.children):
             if isinstance(c, Node):
                 stack.append((c, link))
             else:
@@ -225,7 +234,7 @@ def paragraph(n: Node) -> float:
     return (0.25 + n.commas + min(n.chars / 100, 3)) * (1 - density(n))
 
 
-def best_containers(root: Node) -> list[Node]:
+def best_containers(root: Node) -> list[Node | str]:
     order = measure(root)
     for n in order:
         points = paragraph(n) * n.weight
@@ -249,20 +258,23 @@ def best_containers(root: Node) -> list[Node]:
         up = up.parent
     if top.parent is None:
         return [top]
-    kept = []
-    for c in top.parent.children:
-        if isinstance(c, str):
-            continue
-        alike = c.tag in ("article", "div", "section") and c.tag == top.tag and c.points * (1 - density(c)) >= max(2.0, 0.2 * most) and top.tag != "article"
-        text = c.tag in ("p", "blockquote", "pre") and c.chars >= 80 and density(c) < 0.25
-        title = c.tag in ("h1", "h2") and density(c) < 0.5 and c.chars
-        if c is top or alike or text or title:
-            kept.append(c)
-    return kept
+    return [c for c in top.parent.children if c is top or beside(c, top, most)]
 
 
-def blocks(root: Node) -> list[str]:
-    """Texts of the blocks in page order, white space inside a block as one blank."""
+def beside(c: Node | str, top: Node, most: float) -> bool:
+    """Whether a sibling of the best container is part of the text."""
+    if isinstance(c, str) or not c.chars:
+        return isinstance(c, str) and top.tag not in ("article", "main")
+    points = c.points * (1 - density(c))
+    if c.tag == "article" or top.tag in ("article", "main"):
+        return c.tag == top.tag and points >= 0.2 * most or c.tag in ("h1", "h2") and density(c) < 0.5
+    if c.tag in ("div", "section"):
+        return c.tag == top.tag and points >= max(2.0, 0.2 * most)
+    return c.tag in HEADINGS or density(c) < (0.5 if c.tag in BLOCKS else 1.0)
+
+
+def blocks(kept: list[Node | str]) -> list[str]:
+    """Texts of the blocks of some neighbours in page order, white space inside a block as one blank."""
     out: list[str] = []
     held: list[str] = []
 
@@ -272,7 +284,7 @@ def blocks(root: Node) -> list[str]:
         if text:
             out.append(text)
 
-    stack: list[Node | str | None] = [root]
+    stack: list[Node | str | None] = kept[::-1]
     while stack:
         n = stack.pop()
         if n is None:
@@ -281,8 +293,6 @@ def blocks(root: Node) -> list[str]:
             held.append(n)
         elif n.tag in ("br", "hr") or n.tag in VOID:
             held.append(" ")
-        elif n.tag in ("ul", "ol", "table", "div", "section") and n is not root and n.chars and density(n) > 0.66:
-            flush()
         else:
             block = n.tag in BLOCKS
             if block:
@@ -296,15 +306,14 @@ def blocks(root: Node) -> list[str]:
 def main_text(html: str | None) -> str:
     root = parse(html or "")
     prune(root)
-    return "\n\n".join(b for n in best_containers(root) for b in blocks(n))
+    return "\n\n".join(blocks(best_containers(root)))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of each page."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [main_text(h) for h in batch["html"].fillna("")]
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+    def make(batch: pa.RecordBatch) -> Iterator[list]:
+        texts = [main_text(h) for h in batch.column("html").to_pylist()]
+        yield [batch.column("page_id"), batch.column("url"), texts, [len(t) for t in texts]]
 
     typed = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return typed.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return map_columns(typed, "page_id long, url string, text string, n_chars long", make)

@@ -1,4 +1,8 @@
+import random
 
+from helpers import BIG
+
+from signalloom.llm import html_text
 from signalloom.llm.html_text import extract, main_text
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
@@ -39,7 +43,120 @@ def test_deep_nesting_of_everyday_names():
 def test_siblings_and_lists_of_links():
     page = "<body><h1>Head</h1><div class=a><p>" + "Long text, with commas, and words. " * 5 + "</p></div><div class=b><p>" + "More text, with commas, and words. " * 5 + "</p><ul><li><a>x y z</a><li><a>u v w</a></ul></div><div class=menu><a>m</a></div></body>"
     out = main_text(page).split("\n\n")
-    assert out[0] == "Head" and len(out) == 3 and out[2].startswith("More")
+    assert out[0] == "Head" and out[2].startswith("More") and out[3:] == ["x y z", "u v w"]
+
+
+def test_nothing_of_an_article_is_dropped():
+    body = "<p>" + "Long text, with commas, and words. " * 5 + "</p>"
+    text = ("Long text, with commas, and words. " * 5).strip()
+    sources = "<h3>Sources</h3><ul><li><a href=a>First report</a></li><li><a href=b>Second report</a></li></ul>"
+    assert main_text(f"<article>{body}{sources}</article>") == f"{text}\n\nSources\n\nFirst report\n\nSecond report"
+    named = '<p class="sponsors">The sponsors of the bill, three of them, spoke.</p><section id="newsletter-history"><p>It began, as most do, with one letter.</p></section>'
+    assert main_text(f"<article>{body}{named}</article>") == f"{text}\n\nThe sponsors of the bill, three of them, spoke.\n\nIt began, as most do, with one letter."
+    beside = f"<h1>T</h1><p>Short lead.</p><div>{body}</div><h3>Facts</h3><ul><li>one</li></ul><table><tr><td>two</td></tr></table>bare text<p>The end.</p>"
+    assert main_text(f"<body><nav>m</nav><div class=wrap>{beside}</div></body>") == f"T\n\nShort lead.\n\n{text}\n\nFacts\n\none\n\ntwo\n\nbare text\n\nThe end."
+    assert main_text(f"<main><article>{body}</article><article><p>Another one, of its own, with words.</p>{body}</article><aside>x</aside></main>") == f"{text}\n\nAnother one, of its own, with words.\n\n{text}"
+    assert main_text(f'<article>{body}<div class="newsletter"><p>Get news, offers, and more.</p><form><input></form></div></article>') == text
+
+
+def test_of_equal_containers_the_first_is_best():
+    same = "<section><p>Some words, of one kind, and of another.</p></section>"
+    assert main_text(f"<body><div>{same}</div><div>{same}</div></body>").startswith("Some words")
+    one, two = (f"<td><p>{w} words, of one kind, and of another.</p></td>" for w in ("First", "Other"))
+    assert main_text(f"<body><table><tr>{one}</tr></table><hr><ol><li>{two}</ol></body>").startswith("First")
+
+
+def plain_text(root):
+    """The definition, node by node, by recursion over the pruned tree."""
+    def chars(n, link=None):
+        if isinstance(n, str):
+            return len(" ".join(n.split())) if link in (None, True) else 0
+        inside = link if link is None else link or n.tag == "a"
+        return sum(chars(c, inside) for c in n.children)
+
+    def commas(n):
+        return n.count(",") if isinstance(n, str) else sum(map(commas, n.children))
+
+    def in_link(n):
+        return n is not None and (n.tag == "a" or in_link(n.parent))
+
+    def density(n):
+        return chars(n, in_link(n)) / chars(n) if chars(n) else 0.0
+
+    def walk(n):
+        yield n
+        for c in n.children:
+            if not isinstance(c, str):
+                yield from walk(c)
+
+    def block_inside(n):
+        return any(not isinstance(c, str) and c.tag in html_text.BLOCKS for c in n.children)
+
+    def earned(n):
+        if not chars(n) or n.tag in html_text.HEADINGS or n.tag not in html_text.BLOCKS or n.parent is None:
+            return 0.0
+        if block_inside(n) and not any(isinstance(c, str) and c.strip() for c in n.children):
+            return 0.0
+        return (0.25 + commas(n) + min(chars(n) / 100, 3)) * (1 - density(n)) * n.weight
+
+    points = {n: 0.0 for n in walk(root)}
+    for n in walk(root):
+        up = n if block_inside(n) else n.parent
+        for step in (1, 2, 3, 4):
+            if up is not None and earned(n):
+                points[up] += earned(n) / {1: 1, 2: 2, 3: 9, 4: 12}[step]
+                up = up.parent
+    worth = lambda n: points[n] * (1 - density(n))
+    best, most = None, 0.0
+    for n in walk(root):
+        if points[n] > 0 and (best is None or worth(n) * {"article": 1.5, "main": 1.3, "section": 1.1}.get(n.tag, 1) > most):
+            best, most = n, worth(n) * {"article": 1.5, "main": 1.3, "section": 1.1}.get(n.tag, 1)
+    if best is None:
+        best = root
+    up = best
+    while up is not None and best.tag != "article":
+        best, up = (up if up.tag in ("article", "main") else best), up.parent
+
+    def kept(c):
+        if isinstance(c, str):
+            return best.tag not in ("article", "main")
+        if not chars(c):
+            return False
+        if "article" in (c.tag, best.tag) or best.tag == "main":
+            return c.tag == best.tag and worth(c) >= 0.2 * most or c.tag in ("h1", "h2") and density(c) < 0.5
+        if c.tag in ("div", "section"):
+            return c.tag == best.tag and worth(c) >= max(2.0, 0.2 * most)
+        return c.tag in html_text.HEADINGS or density(c) < (0.5 if c.tag in html_text.BLOCKS else 1)
+
+    def text(n):
+        if isinstance(n, str):
+            return n
+        if n.tag in html_text.VOID:
+            return " "
+        inner = "".join(map(text, n.children))
+        return f"\0{inner}\0" if n.tag in html_text.BLOCKS else inner
+
+    some = [best] if best.parent is None else [c for c in best.parent.children if c is best or kept(c)]
+    out = [" ".join(b.split()) for b in "".join(map(text, some)).split("\0")]
+    return "\n\n".join(b for b in out if b)
+
+
+def test_random_trees_against_recursion():
+    rng = random.Random(7)
+    tags = "div section p p p ul li h2 table tr td span a b article main blockquote".split()
+
+    def page(depth):
+        if depth == 0 or rng.random() < 0.25:
+            return " ".join(rng.choice(["word", "other,", "longer-word", "and"]) for _ in range(rng.randint(0, 25)))
+        t = rng.choice(tags)
+        name = rng.choice(["", "", "", " class=notice", " class=content", " id=related"])
+        return f"<{t}{name}>" + " ".join(page(depth - 1) for _ in range(rng.randint(1, 4))) + f"</{t}>"
+
+    for _ in range(400):
+        html = "".join(page(5) for _ in range(rng.randint(1, 4)))
+        root = html_text.parse(html)
+        html_text.prune(root)
+        assert main_text(html) == plain_text(root)
 
 
 def test_broken_pages():
@@ -53,8 +170,8 @@ def test_broken_pages():
 
 
 def test_rows(spark):
-    rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (1 << 60, "v", "", None)]
+    rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (BIG, "v", "", None), (BIG + 2, "v", "", None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = sorted(map(tuple, extract(df).collect()), key=str)
-    assert got == sorted([(1, "u", TEXT, len(TEXT))] * 2 + [(None, None, "", 0), (1 << 60, "v", "", 0)], key=str)
+    assert got == sorted([(1, "u", TEXT, len(TEXT))] * 2 + [(None, None, "", 0), (BIG, "v", "", 0), (BIG + 2, "v", "", 0)], key=str)
     assert extract(df.limit(0)).count() == 0
