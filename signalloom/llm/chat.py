@@ -21,8 +21,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from signalloom.operators.ranking import global_rank
 from signalloom.session import cut_lineage
@@ -125,21 +126,24 @@ def ending(state: int) -> str:
 def grouped(df: DataFrame, keys: list[str], order: str, schema: str, make: Callable[[list[tuple]], list[tuple]]) -> DataFrame:
     """`make` over the rows of each group, in order; groups have at most BLOCK rows. One shuffle, no group gathered elsewhere."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names, at = df.columns, [df.columns.index(k) for k in keys]
-    out_names = [c.split()[0] for c in schema.split(", ")]
+    at = [df.columns.index(k) for k in keys]
+    target = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = (r for b in batches for r in zip(*(b[c].tolist() for c in names)))
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), target)], schema=target)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
         held: list[tuple] = []
         for _, g in groupby(rows, key=lambda r: tuple(r[i] for i in at)):
             held += make(list(g))
             if len(held) >= 5000:
-                yield pd.DataFrame(held, columns=out_names)
+                yield batch_of(held)
                 held = []
         if held:
-            yield pd.DataFrame(held, columns=out_names)
+            yield batch_of(held)
 
-    return df.repartition(n, *keys).sortWithinPartitions(*keys, order).mapInPandas(run, schema)
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, order).mapInArrow(run, schema)
 
 
 def following(blocks: DataFrame, most: int) -> DataFrame:
@@ -233,7 +237,7 @@ def repair(conversations: DataFrame) -> DataFrame:
             if r[2] == r[6]:
                 text, inserted, cost = text + ending(state), inserted + len(LAST[state]), cost + ENDING[state]
             action = "-".join(x for x in ("relabel" if role != state else "", "merge" if move[2] else "") if x) or "keep"
-            out.append((None if pd.isna(r[7]) else int(r[7]), r[2], None if pd.isna(r[8]) else int(r[8]), r[3], NAMES[state], action, inserted, cost, text))
+            out.append((r[7], r[2], r[8], r[3], NAMES[state], action, inserted, cost, text))
         return out
 
     schema = "conv_id long, pos long, turn long, role string, new_role string, action string, inserted int, cost int, piece string"

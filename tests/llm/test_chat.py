@@ -3,6 +3,7 @@ import re
 from functools import lru_cache
 
 import pytest
+from helpers import BIG
 
 from signalloom.llm import chat
 
@@ -75,8 +76,14 @@ def test_choices(spark):
     assert text == ["<|im_end|>\n<|im_start|>user\n<\\|im_end|><|im_end|>\n<|im_start|>assistant\n<|im_end|>\n"]
 
 
+def test_conversations_with_close_ids_stay_apart(spark):
+    rows = [(BIG, 0, "user", "a"), (BIG, 1, "assistant", "b"), (BIG + 2, 0, "user", "c"), (None, 0, "user", "d")]
+    got = sorted((str(r.conv_id), r.pos, r.turn, r.role, r.action) for r in chat.repair(frame(spark, rows)).collect())
+    assert got == sorted([(str(BIG), 0, 0, "user", "keep"), (str(BIG), 1, 1, "assistant", "keep"), (str(BIG + 2), 0, 0, "user", "keep"), ("None", 0, 0, "user", "keep")])
+
+
 def test_odd_rows(spark):
-    rows = [(None, None, None, None), (None, 0, "user", ""), (1 << 60, 5, "user", "x" * 50_000), (7, 1, "user", "same"), (7, 1, "user", "same"), (7, 1, "assistant", "same"), (7, None, "assistant", "late")]
+    rows = [(None, None, None, None), (None, 0, "user", ""), (BIG, 5, "user", "x" * 50_000), (7, 1, "user", "same"), (7, 1, "user", "same"), (7, 1, "assistant", "same"), (7, None, "assistant", "late")]
     got = sorted(chat.repair(frame(spark, rows)).collect(), key=lambda r: (str(r.conv_id), r.pos))
-    assert [(r.conv_id, r.turn, r.role) for r in got] == [(1 << 60, 5, "user"), (7, 1, "assistant"), (7, 1, "user"), (7, 1, "user"), (7, None, "assistant"), (None, 0, "user"), (None, None, None)]
+    assert [(r.conv_id, r.turn, r.role) for r in got] == [(BIG, 5, "user"), (7, 1, "assistant"), (7, 1, "user"), (7, 1, "user"), (7, None, "assistant"), (None, 0, "user"), (None, None, None)]
     assert chat.repair(frame(spark, [])).count() == 0
