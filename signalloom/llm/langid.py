@@ -8,9 +8,10 @@ log P(language | page) adds up
   pseudo-pages of the level above. Counts are sums of text posteriors by grouped aggregation, combined before the
   shuffle; a page's own share is taken out of its prior, so that no evidence counts twice.
 
-The joins back to the pages are equi-joins on host, domain or suffix, which adaptive execution splits where one
-host has many pages; no group is gathered. The text model is fitted on at most `TRAIN_ROWS` documents of each
-language, those first by a hash of the id, each of at most `TRAIN_CHARS` characters.
+No group is gathered. Hosts with more than 1 in `HOT` of all pages, fewer than `HOT`, come back to their pages by
+broadcast, the others by an equi-join in which no key is hot. The text model is fitted on at most `TRAIN_ROWS`
+documents of each language, those first by a hash of the id; their n-grams are counted where they lie, so no
+text is too long to take part.
 
 Defined results: a null page has no text and no declaration, a null address an empty host: the remaining evidence
 decides; of equal posteriors the language first in the alphabet wins; each input row gives one row; without
@@ -23,15 +24,17 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from signalloom.llm.arrow import map_columns
 from signalloom.llm.html_text import main_text
 from signalloom.llm.sampling import first_by_hash
 from signalloom.llm.words import FOLD, U, mix, window_hashes
 from signalloom.session import cut_lineage
 
-TRAIN_ROWS, TRAIN_CHARS = 400, 30_000
+TRAIN_ROWS = 400
+HOT = 1_000
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 SMOOTH = 0.5
@@ -48,16 +51,18 @@ def buckets(text: str) -> np.ndarray:
 
 def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log P(n-gram | language)): from a bounded sample."""
-    d = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    d = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     chosen = first_by_hash(d.select("doc_id", "lang").distinct(), "lang", "doc_id", TRAIN_ROWS)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for lang, texts in b.groupby("lang")["text"]:
-                u, c = np.unique(np.concatenate([buckets(t) for t in texts]), return_counts=True)
-                yield pd.DataFrame({"lang": lang, "bucket": u, "n": c})
+    def count(batch: pa.RecordBatch) -> Iterator[list]:
+        sums: dict[str, np.ndarray] = {}
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            sums[lang] = sums.get(lang, 0) + np.bincount(buckets(text), minlength=BUCKETS)
+        for lang, n in sums.items():
+            u = np.flatnonzero(n)
+            yield [[lang] * len(u), pa.array(u), pa.array(n[u])]
 
-    counts = d.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text").mapInPandas(run, "lang string, bucket long, n long")
+    counts = map_columns(d.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text"), "lang string, bucket long, n long", count)
     rows = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS for a language
     langs = sorted(rows["lang"].unique())
     table = np.full((BUCKETS, len(langs)), SMOOTH)
@@ -71,19 +76,18 @@ def evidence(pages: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame
     """(page_id, url, declared, logs): the declared language and the tempered log likelihood of the text under each language."""
     broadcast = pages.sparkSession.sparkContext.broadcast(table)  # BUCKETS x languages, whatever the input
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make(batch: pa.RecordBatch) -> Iterator[list]:
         model = broadcast.value
-        for b in batches:
-            declared, logs = [], []
-            for html in b["html"].fillna(""):
-                m = DECLARED.search(html)
-                declared.append((m.group(1) or m.group(2)).lower() if m else None)
-                text = main_text(html)
-                logs.append((model[buckets(text)].sum(axis=0, dtype=np.float64) * TEMPER).tolist() if text else [0.0] * len(langs))
-            yield pd.DataFrame({"page_id": b["page_id"].array, "url": b["url"], "declared": declared, "logs": logs})
+        declared, logs = [], []
+        for html in batch.column("html").to_pylist():
+            m = DECLARED.search(html or "")
+            declared.append((m.group(1) or m.group(2)).lower() if m else None)
+            text = main_text(html)
+            logs.append((model[buckets(text)].sum(axis=0, dtype=np.float64) * TEMPER).tolist() if text else [0.0] * len(langs))
+        yield [batch.column("page_id"), batch.column("url"), declared, logs]
 
     typed = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return typed.mapInPandas(run, "page_id long, url string, declared string, logs array<double>")
+    return map_columns(typed, "page_id long, url string, declared string, logs array<double>", make)
 
 
 def normal(logs: list[Column]) -> list[Column]:
@@ -136,7 +140,11 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
 
     suffix, domain, hosts = sums(["suffix"], "s"), sums(["suffix", "domain"], "d"), sums(["suffix", "domain", "host"], "h")
     up = hosts.join(domain, ["suffix", "domain"]).join(suffix, "suffix")
-    rows = e.join(up, ["suffix", "domain", "host"])
+    keys = ["suffix", "domain", "host"]
+    hot = F.col("n_h") > (whole["n_all"] or 0) // HOT
+    up = cut_lineage(up, "hosts")
+    known = F.broadcast(up.filter(hot))  # fewer than HOT rows
+    rows = e.join(known, keys).unionByName(e.join(known.select(*keys), keys, "left_anti").join(up.filter(~hot), keys))
     prior = [F.lit(b) for b in base]
     for tag in ("s", "d", "h"):
         prior = [(F.col(f"{tag}{k}") - F.col(f"p{k}") + STRENGTH * q) / (F.col(f"n_{tag}") - 1 + STRENGTH) for k, q in zip(ks, prior)]
