@@ -6,12 +6,13 @@ embeddings and softmax are trained jointly in numpy by Adam on the whole sample,
 through the n-grams it shares. With two classes both gradients follow from X'(p - y): an epoch is one
 gather and one bincount.
 
-The sample is bounded: at most `TRAIN_ROWS` labelled texts of a class, those first by a hash of the id, each
-of at most `TRAIN_CHARS` characters (longer ones are left out, never cut). Scoring reads every whole text
+The sample is bounded: labelled texts of a class in the order of a hash of the id, at most `TRAIN_ROWS` of them,
+until those taken have `TRAIN_CHARS` characters; no length is shut out and none is cut. Scoring reads every whole text
 in a `mapInArrow` over the scan, without a shuffle; the model is a table of fixed size in the closure.
 
 Defined results: a null text counts as an empty one and an empty one scores the prior of its class balance;
-rows with null labels or null ids do not train; of repeated labels of an id the largest counts; each input row gives one row; without
+rows with null labels or null ids do not train; of repeated labels of an id the largest counts, of different texts
+of an id the one with the least hash; each input row gives one row; without
 labels of both classes every score is the share of the class there is (0 without labels).
 """
 
@@ -21,14 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from signalloom.llm.arrow import keep_rows, map_columns
 from signalloom.llm.sampling import first_by_hash
 from signalloom.llm.words import FOLD, IS_WORD, U, mix, powers, spans, word_hashes
 
 TRAIN_ROWS = 2_000
-TRAIN_CHARS = 12_000
+TRAIN_CHARS = 24_000_000
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5, 6)
 DIMENSIONS = 8
@@ -132,13 +133,16 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fit = F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))
     marked = labels.filter(fit).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     texts = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sized = texts.filter(F.length("text") <= TRAIN_CHARS).select("doc_id").distinct().join(marked, "doc_id")
+    sized = texts.groupBy("doc_id").agg(F.max(F.length("text")).cast("long").alias("chars")).join(marked, "doc_id")
     chosen = first_by_hash(sized, "toxic", "doc_id", TRAIN_ROWS)
-    return texts.filter(F.length("text") <= TRAIN_CHARS).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")  # over TRAIN_ROWS rows at most
+    chosen = chosen.withColumn("taken", F.sum("chars").over(order) - F.col("chars")).filter(F.col("taken") < TRAIN_CHARS).select("doc_id", "toxic")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = sample(docs, labels).toPandas().sort_values("doc_id")  # bounded: 2 x TRAIN_ROWS texts of TRAIN_CHARS
+    rows = sample(docs, labels).toPandas().sort_values("doc_id")  # bounded: 2 x TRAIN_ROWS texts, 2 x (TRAIN_CHARS + one text) characters
     return train(rows["text"].tolist(), rows["toxic"].tolist())
 
 
