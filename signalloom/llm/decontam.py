@@ -150,8 +150,13 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows, hit, same = _hit(docs, benchmark)
     d = rows.join(hit.withColumn("runs", merged(F.col("spans"))), same, "left")
     text = F.col("row.text")
-    w, gaps = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD)
-    hit_at = lambda k: F.exists("runs", lambda s: (k + 1 >= s["from"]) & (k + 1 < s["to"]))
-    kept = F.transform(w, lambda x, k: F.when(~hit_at(k), F.concat(x, F.get(gaps, k + 1))).otherwise(F.lit("")))
-    cut = F.when(F.col("runs").isNull(), text).otherwise(F.concat(F.get(gaps, F.lit(0)), F.concat_ws("", kept)))
+    # words beside the gaps after them, split once: naming the split inside the lambda would split the text for each word
+    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"), F.slice(F.split(text, WORD), 2, F.lit(2**31 - 1)).alias("gap"))
+    d = d.withColumn("gap", F.when(F.col("runs").isNotNull(), F.get(F.split(text, WORD), F.lit(0)))).withColumn("pieces", F.when(F.col("runs").isNotNull(), pieces))
+    # from run to run: what lies between two runs is one slice, so the work grows with the words, not with words x runs
+    edges = F.concat(F.transform("runs", lambda r: r["from"]), F.array(F.size("pieces") + 1))
+    starts = F.concat(F.array(F.lit(1)), F.transform("runs", lambda r: r["to"]))
+    kept = F.flatten(F.zip_with(starts, edges, lambda a, b: F.slice("pieces", a, F.greatest(b - a, F.lit(0)))))
+    kept = F.transform(kept, lambda p: F.concat(p["w"], p["gap"]))
+    cut = F.when(F.col("runs").isNull(), text).otherwise(F.concat(F.col("gap"), F.concat_ws("", kept)))
     return d.withColumn("row", F.col("row").withField("text", cut)).select("row.*")

@@ -60,3 +60,15 @@ def test_removal(spark):
     assert plain(left.collect(), "doc_id", "text") == plain([dict(doc_id=i, text=t) for i, t in ODD if i not in (4, 5, 8, 9, BIG)], "doc_id", "text")
     cut = {r.doc_id: r.text for r in decontam.cut_spans(documents(spark, [(1, "x, One: y one"), (2, "twone"), (3, None)]), bench).collect()}
     assert cut == {1: "x, y ", 2: "twone", 3: None}
+
+
+def test_removal_from_a_long_text(spark):
+    """20 000 words, many hits: each word and its gap is read once."""
+    words = [f"v{i}" for i in range(20_000)]
+    for k in range(100, 20_000, 200):
+        words[k : k + 10] = [f"b{j}" for j in range(10)]
+    text = ", ".join(words) + "."
+    bench = spark.createDataFrame([(1, " ".join(f"b{j}" for j in range(10)))], "item_id long, text string")
+    got = {r.doc_id: r.text for r in decontam.cut_spans(documents(spark, [(1, text), (2, text[:500])]), bench).collect()}
+    left = [w for w in words if not w.startswith("b")]
+    assert got[1] == "".join(w + (", " if w != words[-1] else ".") for w in left) and got[2] == text[:500]
