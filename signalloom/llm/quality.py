@@ -35,6 +35,7 @@ TERMS = 1 << 13
 GRAMS = (3, 4)
 REPEATS = 30
 DIMENSIONS = 64
+EXTRA, ROUNDS = 16, 12
 NEIGHBOURS = 15
 BLOCK = 256
 TIE = 1e-5
@@ -72,23 +73,32 @@ class Model:
     """Term weights, basis, labelled vectors and how much each votes."""
 
     def __init__(self, bags: np.ndarray, labels: np.ndarray, share: float):
-        """`bags` is a row of term counts for each label; `share` is the share of label 1 among all labels."""
+        """`bags` is a row of term counts for each label, overwritten here; `share` is the share of label 1 among all labels."""
         self.share = share
         self.fit = 0 < share < 1 and 0 < labels.sum() < len(labels)
         if not self.fit:
             return
-        rows = np.sqrt(bags)
-        self.weight = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32)
-        rows = self._unit(rows * self.weight)
-        e, u = np.linalg.eigh((rows @ rows.T).astype(np.float64))
-        e, u = e[::-1][:DIMENSIONS], u[:, ::-1][:, :DIMENSIONS]
-        real = e > 1e-6 * e[0]
-        self.basis = rows.T @ (u[:, real] / np.sqrt(e[real])).astype(np.float32)
+        rows = np.sqrt(bags, out=bags)
+        self.weight = np.log((1 + len(rows)) / (1 + np.count_nonzero(rows, axis=0))).astype(np.float32)
+        rows *= self.weight
+        rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+        self.basis = self._leading(rows)
         self.vectors = self._unit(rows @ self.basis)
         self.labels = labels.astype(np.float32)
         ones = labels.mean()
         self.says = np.where(labels == 1, share / ones, (1 - share) / (1 - ones)).astype(np.float32)
 
+    @staticmethod
+    def _leading(rows: np.ndarray) -> np.ndarray:
+        """Leading right singular vectors by subspace iteration: besides the rows it holds a narrow block only."""
+        q = np.random.default_rng(1).normal(size=(rows.shape[1], min(*rows.shape, DIMENSIONS + EXTRA))).astype(np.float32)
+        for _ in range(ROUNDS):
+            q = np.linalg.qr(rows.T @ (rows @ q))[0]
+        left = rows @ q
+        e, u = np.linalg.eigh((left.T @ left).astype(np.float64))
+        e, u = e[::-1][:DIMENSIONS], u[:, ::-1][:, :DIMENSIONS]
+        return q @ u[:, e > 1e-6 * e[0]].astype(np.float32)
+
     @staticmethod
     def _unit(rows: np.ndarray) -> np.ndarray:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
