@@ -12,8 +12,10 @@ the distinct other pairs with their counts. Pair counts come back in two ways. O
 vocabulary at most) and the highest count of each B id are broadcast. Links of the other, rare pairs join their
 counts by pair, where no key can hold more than 1 in `FREQUENT` of all links.
 
-Pieces: where no piece has the blank mark behind another character, a text longer than `CHARS_PER_CUT` is cut
-before such a blank, which no piece bridges, and the parts are encoded one by one.
+A blank between two visible characters begins a token in both tokenizers (no piece holds the blank mark behind
+another character, which is checked), so a text is a row of units that are encoded and cut into groups by
+themselves. Each task encodes a unit when it first sees it, many new ones at a time, and remembers its groups, up to
+`UNITS` of them or `UNIT_CHARS` characters; a document is the sum of its units.
 
 Defined results: texts that are null, empty, or whose token bytes are not blank + text in both tokenizers (as with
 U+2581 itself) have zeros and an empty digest. Strings of special tokens are plain text. Each input row gives one
@@ -25,13 +27,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import sentencepiece
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from signalloom.llm import bpe
@@ -39,7 +41,8 @@ from signalloom.llm.arrow import map_columns
 from signalloom.session import cut_lineage, small_table
 
 CHARS_AT_ONCE = 1_000_000
-CHARS_PER_CUT = 200_000
+UNITS = 200_000
+UNIT_CHARS = 4_000_000
 FREQUENT = 1 << 20
 MARK = "▁"
 
@@ -52,19 +55,8 @@ class Pieces:
         names = [m.id_to_piece(i) for i in range(m.get_piece_size())]
         self.bytes = [bytes([int(n[3:5], 16)]) if m.is_byte(i) else n.replace(MARK, " ").encode() for i, n in enumerate(names)]
         self.plain = [i for i in range(len(names)) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))]
-        whole = any(MARK in names[i].lstrip(MARK) for i in self.plain) or m.encode("a") + m.encode("b") != m.encode("a b")
-        self.safe = None if whole else regex.compile(rf"(?<=[^ {MARK}]) (?=[^ ])")
-
-    def encode(self, text: str, chars: int) -> np.ndarray:
-        parts, begin = [], 0
-        while self.safe and len(text) - begin > chars:
-            found = self.safe.search(text, begin + chars)
-            if not found:
-                break
-            parts.append(text[begin : found.start()])
-            begin = found.end()  # the part's own blank comes from the model
-        ids = [self.model.encode(t, num_threads=1) for t in (*parts, text[begin:])]
-        return np.array(ids[0] if len(ids) == 1 else [i for some in ids for i in some], dtype=np.int64)
+        if any(MARK in names[i].lstrip(MARK) for i in self.plain) or m.encode("a") + m.encode("b") != m.encode("a b"):
+            raise ValueError("a piece bridges a blank, so texts can't be cut at blanks")
 
 
 def digits(n: int, ends: str) -> list[np.ndarray]:
@@ -73,7 +65,18 @@ def digits(n: int, ends: str) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(f"{i}{c}".encode().ljust(width, b"\0") for i in range(n)), dtype=np.uint8).reshape(n, width) for c in ends]
 
 
+_ODD = regex.compile(rf"\s\s|{MARK}|^\s|\s$")
+_CUT = regex.compile(rf"(?<=[^\s{MARK}]) (?=\S)")
+
+
+def units(text: str) -> list[str]:
+    """The parts of a text between the blanks that begin a token in any case."""
+    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+
+
 class Aligner:
+    """Units with their groups; everything of a unit lies in flat arrays."""
+
     def __init__(self, vocabulary: str, proto: bytes):
         self.a, self.b = bpe.Model(vocabulary, special=False), Pieces(proto)
         self.size_b = len(self.b.bytes)
@@ -82,29 +85,53 @@ class Aligner:
         self.blob_b = np.frombuffer(b"".join(self.b.bytes), dtype=np.uint8)
         self.image = images(self.a, self.b)
         self.text_a, self.text_b = digits(len(self.a.lengths), ",|"), digits(self.size_b, ",;")
-
-    def links(self, texts: list[str], chars: int) -> Iterator[tuple]:
-        """n_a, n_b, n_groups, digest, A ids of fast links, keys of the other links of each text."""
-        none = np.zeros(0, dtype=np.int64)
-        for text, ids in zip(texts, self.a.encode([f" {t}" if t else "" for t in texts])):
-            a = ids.astype(np.int64)
-            b = self.b.encode(text, chars) if text else none
-            raw = np.frombuffer(f" {text}".encode("utf-8", "surrogatepass"), dtype=np.uint8)
-            end_a, end_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.len_b[b])
-            if not len(a) or not len(b) or end_a[-1] != len(raw) or end_b[-1] != len(raw) or not (
-                    np.array_equal(self.a.blob[bpe.gather(self.a.begins[a], self.a.lengths[a])], raw)
-                    and np.array_equal(self.blob_b[bpe.gather(self.begin_b[b], self.len_b[b])], raw)):
-                yield 0, 0, 0, "", none, none
-                continue
-            common = np.intersect1d(end_a, end_b, assume_unique=True)
-            last_a, last_b = np.searchsorted(end_a, common), np.searchsorted(end_b, common)
-            link_a, link_b = a[last_a], b[last_b]
-            fast = (np.diff(last_a, prepend=-1) == 1) & (np.diff(last_b, prepend=-1) == 1) & (self.image[link_a] == link_b)
-            yield (len(a), len(b), len(common), hashlib.sha256(self.written(a, b, end_a, end_b, common, last_a, last_b)).hexdigest(),
-                   link_a[fast], link_a[~fast] * self.size_b + link_b[~fast])
-
-    def written(self, a, b, end_a, end_b, common, last_a, last_b) -> bytes:
-        """`a1,a2|b1;a3|b2,b3`: A's tokens of a group come before B's, groups in order."""
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = bpe.Numbers()
+        self.written: list[bytes] = []
+        self.counts = np.zeros((0, 4), dtype=np.int64)  # tokens of A, of B, groups, 1 where the bytes are the text's
+        self.fast, self.odd = (np.zeros(0, dtype=np.int64) for _ in range(2))
+        self.sizes = np.zeros((0, 2), dtype=np.int64)  # fast and other links
+
+    def learn(self, words: list[str]) -> None:
+        """Encodes new units, all in one go: they form one text whose units end where both tokenizers end."""
+        raw = [f" {w}".encode("utf-8", "surrogatepass") for w in words]
+        a, n_a = self.a.encode_all([f" {w}" for w in words])
+        found = self.b.model.encode(words, num_threads=1)
+        n_b = np.array([len(x) for x in found], dtype=np.int64)
+        a, b = a.astype(np.int64), np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(n_b.sum()))
+        size = np.array([len(r) for r in raw], dtype=np.int64)
+        right = (totals(self.a.lengths[a], n_a) == size) & (totals(self.len_b[b], n_b) == size)
+        for _ in range(2):  # first the lengths, then the bytes of what has them
+            a, b = a[np.repeat(right, n_a)], b[np.repeat(right, n_b)]
+            raw, n_a, n_b, size = [r for r, ok in zip(raw, right.tolist()) if ok], n_a[right], n_b[right], size[right]
+            if _ == 0:
+                alive = right
+                data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+                same = (self.a.blob[bpe.gather(self.a.begins[a], self.a.lengths[a])] == data) & (self.blob_b[bpe.gather(self.begin_b[b], self.len_b[b])] == data)
+                right = totals(same.astype(np.int64), size) == size
+        alive = alive.copy()
+        alive[np.flatnonzero(alive)[~right]] = False
+        end_a, end_b, end = np.cumsum(self.a.lengths[a]), np.cumsum(self.len_b[b]), np.cumsum(size)
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(end_a, common), np.searchsorted(end_b, common)
+        link_a, link_b = a[last_a], b[last_b]
+        fast = (np.diff(last_a, prepend=-1) == 1) & (np.diff(last_b, prepend=-1) == 1) & (self.image[link_a] == link_b)
+        groups = np.diff(np.searchsorted(common, end, side="right"), prepend=0)
+        n_fast = totals(fast.astype(np.int64), groups)
+        text, cut = self.write(a, b, end_a, end_b, common, last_a, last_b, n_a + n_b)
+        parts = iter([text[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())])
+        self.written += [next(parts) if ok else b"" for ok in alive.tolist()]
+        counts, sizes = np.zeros((len(words), 4), dtype=np.int64), np.zeros((len(words), 2), dtype=np.int64)
+        counts[alive] = np.stack((n_a, n_b, groups, np.ones(len(n_a), dtype=np.int64)), 1)
+        sizes[alive] = np.stack((n_fast, groups - n_fast), 1)
+        self.counts, self.sizes = np.concatenate((self.counts, counts)), np.concatenate((self.sizes, sizes))
+        self.fast = np.concatenate((self.fast, link_a[fast]))
+        self.odd = np.concatenate((self.odd, link_a[~fast] * self.size_b + link_b[~fast]))
+
+    def write(self, a, b, end_a, end_b, common, last_a, last_b, tokens) -> tuple[bytes, np.ndarray]:
+        """`a1,a2|b1;a3|b2,b3;` of all units, A's tokens of a group before B's, and where each unit begins and ends."""
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         at_a = np.arange(len(a)) + np.concatenate(([0], last_b + 1))[group_a]
         at_b = np.arange(len(b)) + (last_a + 1)[group_b]
@@ -113,8 +140,36 @@ class Aligner:
             width = tables[0].shape[1]
             out[at, :width] = tables[0][ids]
             out[at[last], :width] = tables[1][ids[last]]
+        filled = np.concatenate(([0], np.cumsum(np.count_nonzero(out, axis=1))))
         flat = out.ravel()
-        return flat[flat != 0][:-1].tobytes()
+        return flat[flat != 0].tobytes(), filled[np.concatenate(([0], np.cumsum(tokens)))]
+
+    def links(self, texts: list[str]) -> Iterator[tuple]:
+        """n_a, n_b, n_groups, digest, A ids of fast links, keys of the other links of each text."""
+        none = np.zeros(0, dtype=np.int64)
+        if len(self.known) > UNITS or self.known.chars > UNIT_CHARS:
+            self.forget()
+        rows = [list(map(self.known.__getitem__, units(t))) if t else [] for t in texts]
+        for i, j in bpe.slices([len(w) for w in self.known.new], CHARS_AT_ONCE // 4):
+            self.learn(self.known.new[i:j])
+        self.known.new.clear()
+        begins = np.cumsum(self.sizes, axis=0) - self.sizes
+        for row in rows:
+            at = np.array(row, dtype=np.int64)
+            n_a, n_b, groups, right = self.counts[at].sum(axis=0).tolist()
+            if not row or right < len(row):
+                yield 0, 0, 0, "", none, none
+                continue
+            digest = hashlib.sha256(b"".join([self.written[i] for i in row])[:-1]).hexdigest()
+            fast, odd = (flat[bpe.gather(begins[at, k], self.sizes[at, k])] for k, flat in enumerate((self.fast, self.odd)))
+            yield n_a, n_b, groups, digest, fast, odd
+
+
+def totals(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of so many values."""
+    ends = np.cumsum(counts)
+    sums = np.concatenate(([0], np.cumsum(values)))
+    return sums[ends] - sums[ends - counts]
 
 
 def images(a: bpe.Model, b: Pieces) -> np.ndarray:
@@ -137,13 +192,13 @@ def aligner_of(vocabulary: str, proto: bytes) -> Aligner:
 LINKS = "row long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, fast binary, keys array<long>, times array<int>"
 
 
-def find_links(docs: DataFrame, files, chars: int = CHARS_PER_CUT) -> DataFrame:
+def find_links(docs: DataFrame, files) -> DataFrame:
     """Encodes each text once; `row` numbers the rows by task."""
     def make(batch: pa.RecordBatch) -> Iterator[list]:
         aligner = aligner_of(*files.value)
         ids, texts = batch.column("doc_id"), batch.column("text")
         for i, j in bpe.slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), CHARS_AT_ONCE):
-            found = list(aligner.links([t or "" for t in texts.slice(i, j - i).to_pylist()], chars))
+            found = list(aligner.links([t or "" for t in texts.slice(i, j - i).to_pylist()]))
             n_a, n_b, n_groups, digest, fast, odd = zip(*found)
             pairs = [np.unique(k, return_counts=True) for k in odd]
             yield [ids.slice(i, j - i), n_a, n_b, n_groups, digest, [np.sort(x).astype("<i4").tobytes() for x in fast], [k for k, _ in pairs], [c.astype(np.int32) for _, c in pairs]]
@@ -176,7 +231,7 @@ def numbers(df: DataFrame) -> list[np.ndarray]:
     return [c.to_numpy().astype(np.int64)[order] for c in t.columns]
 
 
-def align(docs: DataFrame, byte_bpe: str, pieces: str, frequent: int = FREQUENT, chars: int = CHARS_PER_CUT) -> DataFrame:
+def align(docs: DataFrame, byte_bpe: str, pieces: str, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of each row."""
     spark = docs.sparkSession
     with open(byte_bpe, encoding="utf-8") as f, open(pieces, "rb") as g:
@@ -184,7 +239,7 @@ def align(docs: DataFrame, byte_bpe: str, pieces: str, frequent: int = FREQUENT,
     a, b = bpe.model_of(vocabulary, special=False), Pieces(proto)  # refuses a file it can't follow before any task starts
     image, size_b = images(a, b), len(b.bytes)
     files = spark.sparkContext.broadcast((vocabulary, proto))  # two files of fixed size
-    links = cut_lineage(find_links(docs, files, chars), "links")
+    links = cut_lineage(find_links(docs, files), "links")
     pairs = cut_lineage(count_pairs(links, image, size_b), "pairs")
     total = pairs.agg(F.sum("n")).first()[0] or 0
     rare = F.col("n") <= total // frequent

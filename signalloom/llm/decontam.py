@@ -151,7 +151,7 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     d = rows.join(hit.withColumn("runs", merged(F.col("spans"))), same, "left")
     text = F.col("row.text")
     # words beside the gaps after them, split once: naming the split inside the lambda would split the text for each word
-    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"), F.slice(F.split(text, WORD), 2, F.lit(2**31 - 1)).alias("gap"))
+    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"), F.slice(F.split(text, WORD), F.lit(2), F.size(F.split(text, WORD))).alias("gap"))
     d = d.withColumn("gap", F.when(F.col("runs").isNotNull(), F.get(F.split(text, WORD), F.lit(0)))).withColumn("pieces", F.when(F.col("runs").isNotNull(), pieces))
     # from run to run: what lies between two runs is one slice, so the work grows with the words, not with words x runs
     edges = F.concat(F.transform("runs", lambda r: r["from"]), F.array(F.size("pieces") + 1))
