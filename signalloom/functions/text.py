@@ -38,11 +38,24 @@ def canonical_url(col: Column) -> Column:
     return F.regexp_replace(F.substring_index(F.coalesce(col, F.lit("")), "#", 1), "/+$", "")
 
 
+_LETTERS, _LONGEST = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 40
+
+
 def _named_characters() -> Column:
-    """Map of all named references (with and without the semicolon) to their text, folded to one literal by Catalyst."""
-    names, texts = zip(*sorted(html5.items()))
-    mark = "\x01"
-    return F.map_from_arrays(F.split(F.lit(mark.join(names)), mark), F.split(F.lit(mark.join(texts)), mark))
+    """All named references (with and without the semicolon) as one array literal of short lists, a place for each
+    first letter and length: a name is looked for among the few that share both."""
+    lists = [""] * (len(_LETTERS) * _LONGEST)
+    for name, value in sorted(html5.items()):
+        lists[_LETTERS.index(name[0]) * _LONGEST + len(name)] += f"\x01{name}\x02{value}"
+    return F.split(F.lit("\x03".join(lists)), "\x03")
+
+
+def _named(name: Column, lists: Column) -> Column:
+    """Text of a named reference, null where there is none."""
+    place = (F.instr(F.lit(_LETTERS), F.substring(name, 1, 1)) - 1) * _LONGEST + F.length(name)
+    found = F.when((F.length(name) > 1) & (F.length(name) < _LONGEST), F.get(lists, place))
+    mark = F.concat(F.lit("\x01"), name, F.lit("\x02"))
+    return F.when(F.contains(found, mark), F.substring_index(F.call_function("substring_index", found, mark, F.lit(-1)), "\x01", 1))
 
 
 def _referred(ref: Column, named: Column) -> Column:
@@ -53,15 +66,18 @@ def _referred(ref: Column, named: Column) -> Column:
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     wrong = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
     number = F.when(wrong, F.lit("\ufffd")).when(code.between(128, 159), F.substring(F.lit(C.C1_CHARACTERS), (code - 127).cast("int"), F.lit(1))).otherwise(char)
-    return F.when(ref.startswith("&#"), number).otherwise(F.coalesce(F.try_element_at(named, F.substring(ref, 2, 40)), ref))
+    return F.when(ref.startswith("&#"), number).otherwise(F.coalesce(_named(F.substring(ref, 2, _LONGEST), named), ref))
 
 
 def unescape(col: Column) -> Column:
-    """Decimal, hexadecimal and named character references, each decoded once; null becomes empty."""
+    """Decimal, hexadecimal and named character references, each decoded once; null becomes empty.
+
+    References meet the text behind them pairwise: a list named inside a lambda would be made anew for each.
+    """
     text = F.coalesce(col, F.lit(""))
     named = _named_characters()
     refs, gaps = F.regexp_extract_all(text, F.lit(C.CHARACTER_REFERENCE), F.lit(0)), F.split(text, C.CHARACTER_REFERENCE)
-    decoded = F.transform(refs, lambda r, i: F.concat(_referred(r, named), F.get(gaps, i + 1)))
+    decoded = F.zip_with(refs, F.slice(gaps, F.lit(2), F.size(gaps)), lambda r, gap: F.concat(_referred(r, named), gap))
     return F.when(F.contains(text, F.lit("&")), F.concat(F.get(gaps, F.lit(0)), F.concat_ws("", decoded))).otherwise(text)
 
 

@@ -180,3 +180,14 @@ def qualify(df: DataFrame, directions: list[dict]) -> DataFrame:
         return F.when(enough, F.lit(d["id"]))
     low = df.withColumn("_low", X.fold(F.concat_ws(" ", "title", "summary")))
     return explode_rows(low, "direction_id", F.array_compact(F.array(*[rule(d) for d in directions]))).drop("_low")
+
+
+def rewrite_sources(df: DataFrame, moved: dict[str, str], source_types: list[str] | None = None) -> DataFrame:
+    """Source ids of an older registry under their present names (N28), only on rows of the given source types."""
+    if not moved:
+        return df
+    pairs = F.create_map(*[F.lit(x) for kv in moved.items() for x in kv])
+    now = F.coalesce(F.try_element_at(pairs, F.col("source_id")), F.col("source_id"))
+    if source_types is not None:
+        now = F.when(F.col("source_type").isin(*source_types), now).otherwise(F.col("source_id"))
+    return df.withColumn("source_id", now)

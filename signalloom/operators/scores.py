@@ -271,3 +271,49 @@ def audit_sample(df: DataFrame, size: int) -> DataFrame:
     from signalloom.operators.ranking import top_per_group
     ranked = top_per_group(df, ["source_id"], [F.sha2("id", 256), F.col("id")], int(most))
     return ranked.join(quota.select("source_id", "quota"), "source_id").filter("rn <= quota").drop("quota")
+
+
+def water_fill(counts: DataFrame, group: list[str], stratum: str, quota: int) -> DataFrame:
+    """(group, stratum, take): a quota per group dealt over strata of unequal size as evenly as they allow.
+
+    counts: group, stratum, n, one row per stratum. Every stratum gives min(n, level), the level as high as the
+    quota allows; what is left goes one each to the strata with more, in the order of a hash. Two passes: the
+    histogram of sizes per group gives the level, the strata are then dealt with by themselves; only the leftovers,
+    fewer than there are strata above the level, are ranked, by a top-k.
+    """
+    from signalloom.operators.ranking import top_per_group
+    sizes = counts.groupBy(*group, "n").agg(F.count("*").alias("c"))
+    up = Window.partitionBy(*group).orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    rest = Window.partitionBy(*group).orderBy("n").rowsBetween(0, Window.unboundedFollowing)
+    step = sizes.select(*group, "n", F.coalesce(F.sum(F.col("n") * F.col("c")).over(up), F.lit(0)).alias("below"),
+                        F.sum("c").over(rest).alias("strata"), F.coalesce(F.max("n").over(up), F.lit(0)).alias("floor"))
+    # the level lies in the first step whose sizes, cut at their own height, exceed the quota; without one nothing is cut
+    over = step.filter(F.col("below") + F.col("strata") * F.col("n") > quota)
+    level = over.groupBy(*group).agg(F.min_by(F.struct(F.floor((quota - F.col("below")) / F.col("strata")).alias("level"), "below", "strata"), "n").alias("s"))
+    level = level.select(*group, F.col("s.level").alias("level"), (F.lit(quota) - F.col("s.below") - F.col("s.strata") * F.col("s.level")).alias("left"))
+    dealt = counts.join(level, group, "left").withColumn("take", F.least("n", F.coalesce("level", "n")))
+    wants = top_per_group(dealt.filter((F.col("left") > 0) & (F.col("n") > F.col("level"))), group, [F.sha2(F.col(stratum).cast("string"), 256), F.col(stratum)], quota, "_turn")
+    more = wants.filter(F.col("_turn") <= F.col("left")).select(*group, stratum, F.lit(1).alias("more"))
+    return dealt.join(more, [*group, stratum], "left").select(*group, stratum, "n", (F.col("take") + F.coalesce("more", F.lit(0))).alias("take"))
+
+
+def ranked_backlog(records: DataFrame, clusters: dict[str, list[str]], as_of: str, cap: int = 40, quota: int = 12) -> tuple[DataFrame, DataFrame]:
+    """Vocabulary clusters of the waiting records in the order of inspection, and the records to inspect.
+
+    records: id, publisher_id, family, hay (folded text), ts. Order: frequency capped at `cap`, publishers, families,
+    records of the latest seven days, id; the cap keeps a loud cluster from outranking a broad one. Clusters overlap.
+    The records of a cluster are dealt over its publishers by `water_fill`, the newest of each first.
+    """
+    from signalloom.operators.classify import theme_ids
+    from signalloom.operators.ranking import top_per_group
+    rows = records.select("id", "publisher_id", "family", "ts", F.explode(theme_ids(F.col("hay"), clusters)).alias("cluster_id"))
+    parts = rows.groupBy("cluster_id", "publisher_id", "family").agg(F.count("*").alias("n"), F.count_if(D.in_trailing(F.col("ts"), as_of, 7)).alias("recent"))
+    ranked = parts.groupBy("cluster_id").agg(F.sum("n").alias("observed_records"), F.count_distinct("publisher_id").alias("publisher_count"),
+                                             F.count_distinct("family").alias("family_count"), F.sum("recent").alias("recent_records"))
+    ranked = ranked.withColumn("capped_frequency", F.least("observed_records", F.lit(cap)))
+    order = [F.desc(c) for c in ("capped_frequency", "publisher_count", "family_count", "recent_records")] + [F.col("cluster_id")]
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # one row per cluster of the vocabulary
+    take = water_fill(parts.groupBy("cluster_id", "publisher_id").agg(F.sum("n").alias("n")), ["cluster_id"], "publisher_id", quota)
+    first = top_per_group(rows, ["cluster_id", "publisher_id"], [F.desc_nulls_last("ts"), F.col("id")], quota, "_pick")
+    chosen = first.join(take.select("cluster_id", "publisher_id", "take"), ["cluster_id", "publisher_id"]).filter("_pick <= take")
+    return ranked, chosen.select("cluster_id", "publisher_id", "id")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window, functions as F
 
 from signalloom.functions import constants as C, dates as D
-from signalloom.operators import change as H, classify as K, gates, lifecycle as L, pulse as P, quality as Q, ranking as R
+from signalloom.operators import change as H, classify as K, gates, lifecycle as L, publish, pulse as P, quality as Q, ranking as R
 from signalloom.operators import resolve as V, scores as S
 from signalloom.plans import demo, marts, stages
 from signalloom.plans.demo import EV_SQL, EVC_SQL, EVD_SQL, evidence, table
+from signalloom.session import shared_dir
 from signalloom.plans.q_text import ELIG_SQL, J4_SQL, J5_SQL, PROJ_SQL, VERIFICATION_RULES, classified, event_rules, projects
 
 QUERIES, ORACLE = {}, {}
@@ -506,6 +509,34 @@ def a29(spark, sf):
     return S.audit_sample(waiting, 120).select("id", "source_id")
 
 
+BACKLOG = {"anea": ["anea", "ther"], "ment": ["ment", "que"], "erin": ["erin"], "heit": ["heit", "keit", "und"], "none": ["zzqx"], "the": ["the"]}
+_WAIT_SQL = f"""w AS (SELECT cl.id, coalesce(s.publisher_id, cl.source_id) AS pub, cl.source_type AS fam, ts, unnest(list_filter([{",".join(f"CASE WHEN regexp_matches(hay, '{demo.term_sql(t)}') THEN '{k}' END" for k, t in BACKLOG.items())}],
+  lambda x: x IS NOT NULL)) AS c FROM cl LEFT JOIN src s ON s.id = cl.source_id WHERE disposition = 'classification-review')"""
+
+
+def backlog(spark, sf):
+    rows = classified(spark, sf).filter(F.col("disposition") == "classification-review")
+    dim = demo.sources(spark).select(F.col("id").alias("source_id"), "publisher_id")
+    rows = rows.withColumn("hay", K.haystack(rows)).join(dim, "source_id", "left")
+    rows = rows.select("id", F.coalesce("publisher_id", "source_id").alias("publisher_id"), F.col("source_type").alias("family"), "hay", "ts")
+    return S.ranked_backlog(rows, BACKLOG, demo.AS_OF, 25, 12)
+
+
+@query("a29_ranked_backlog", f"""WITH {EVC_SQL}, {_WAIT_SQL} SELECT c AS cluster_id, count(*) AS observed_records, least(count(*), 25) AS capped_frequency, count(DISTINCT pub) AS publisher_count, count(DISTINCT fam) AS family_count,
+  count_if(ts > {_T} - INTERVAL 7 DAY AND ts <= {_T}) AS recent_records, row_number() OVER (ORDER BY least(count(*), 25) DESC, count(DISTINCT pub) DESC, count(DISTINCT fam) DESC, count_if(ts > {_T} - INTERVAL 7 DAY AND ts <= {_T}) DESC, c) AS rank FROM w GROUP BY 1""")
+def a29_ranked(spark, sf):
+    return backlog(spark, sf)[0]
+
+
+@query("a29_inspection_picks", f"""WITH {EVC_SQL}, {_WAIT_SQL}, n AS (SELECT c, pub, count(*) AS n FROM w GROUP BY 1, 2), lv AS (SELECT c, max(l) AS level FROM (SELECT c, l FROM n, range(0, 13) r(l) GROUP BY c, l HAVING sum(least(n, l)) <= 12) GROUP BY 1),
+d AS (SELECT n.c, pub, least(n, level) AS take, n > level AS more, 12 - sum(least(n, level)) OVER (PARTITION BY n.c) AS spare FROM n JOIN lv ON lv.c = n.c),
+t AS (SELECT c, pub, take + CASE WHEN more AND row_number() OVER (PARTITION BY c, more ORDER BY sha256(pub), pub) <= spare THEN 1 ELSE 0 END AS take FROM d),
+p AS (SELECT c, pub, id, row_number() OVER (PARTITION BY c, pub ORDER BY ts DESC, id) AS rn FROM w)
+SELECT p.c AS cluster_id, p.pub AS publisher_id, id FROM p JOIN t ON t.c = p.c AND t.pub = p.pub WHERE rn <= take""")
+def a29_picks(spark, sf):
+    return backlog(spark, sf)[1]
+
+
 # ---- directions mart --------------------------------------------------------------------------
 
 @query("m05_early_signals", f"""WITH {EVC_SQL}, {DI_SQL}, {SNAP_SQL}, {W3_SQL} SELECT sg.direction_id, sg.stage, sg.evidence_count, sg.source_count, sg.family_count, coalesce(movement, 'steady') AS movement, origin_id,
@@ -656,6 +687,35 @@ def x07(spark, sf):
     return H.carry_over(prev, c, H.assessment_queue(c))
 
 
+@query("x08_regeneration", f"""WITH {EVC_SQL}, a AS (SELECT disposition || '/' || rule_id AS key, count(*) AS n, count(*) FILTER (WHERE source_id <> 'src3') AS m FROM cl GROUP BY 1),
+b AS (SELECT t AS key, count(*) AS n, count(*) FILTER (WHERE source_id <> 'src3') AS m FROM cl, unnest(theme_ids) u(t) GROUP BY 1),
+s AS (SELECT 'coverage' AS name, bool_or(n <> m) AS moved, count(*) AS n, count(*) FILTER (WHERE m > 0) AS m FROM a UNION ALL SELECT 'themes', bool_or(n <> m), count(*), count(*) FILTER (WHERE m > 0) FROM b UNION ALL SELECT 'sources', false, count(*), count(*) FROM src)
+SELECT run, name, CASE WHEN run < 3 OR NOT moved THEN '2024-06-20' ELSE '2024-07-04' END AS generated_at, run = 1 OR (run = 3 AND moved) AS changed, CASE WHEN run < 3 THEN n ELSE m END AS records, CASE WHEN run < 3 THEN 1 ELSE 2 END AS version
+FROM s, range(1, 4) r(run)""")
+def x08(spark, sf):
+    """The same inputs twice, the second time in another order and with other partitions, then an input without one source."""
+    root = f"{shared_dir(spark)}/x08-{uuid.uuid4().hex}"
+    out = None
+    for run, stamp in enumerate(("2024-06-20", "2024-06-27", "2024-07-04"), 1):
+        rows = classified(spark, sf)
+        rows = rows.repartition(5, "title") if run == 2 else rows.filter("source_id <> 'src3'") if run == 3 else rows
+        mart = {"coverage": rows.groupBy(F.concat_ws("/", "disposition", "rule_id").alias("key")).agg(F.count("*").alias("n")),
+                "themes": K.by_theme(rows).groupBy(F.col("theme_id").alias("key")).agg(F.count("*").alias("n")), "sources": demo.sources(spark)}
+        done = publish.publish(mart, root, stamp)
+        part = done.select(F.lit(run).alias("run"), "name", "generated_at", "changed", "records", F.lit(publish.manifest(spark, root)[0]).alias("version"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("x08_published_rows", f"""WITH {EVC_SQL} SELECT disposition || '/' || rule_id AS key, count(*) AS n FROM cl GROUP BY 1""")
+def x08_rows(spark, sf):
+    """What readers find after two runs."""
+    root = f"{shared_dir(spark)}/x08-{uuid.uuid4().hex}"
+    for rows in (classified(spark, sf).filter("source_id <> 'src3'"), classified(spark, sf)):
+        publish.publish({"coverage": rows.groupBy(F.concat_ws("/", "disposition", "rule_id").alias("key")).agg(F.count("*").alias("n"))}, root, "2024-06-20")
+    return publish.read_published(spark, root, "coverage")
+
+
 @query("x09_union_sources", """SELECT kind, count(*) AS records, count(url) AS with_url FROM (SELECT 'doc' AS kind, NULL AS url FROM documents UNION ALL SELECT 'page', url FROM pages UNION ALL SELECT 'talk', NULL FROM conversations) GROUP BY 1""")
 def x09(spark, sf):
     d = table(spark, sf, "documents").select(F.lit("doc").alias("kind"), "text")

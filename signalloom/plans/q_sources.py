@@ -92,14 +92,38 @@ def s06(spark, sf):
     return out.select("id", F.md5("title").alias("title_hash"), "published_at", F.array_join("authors", ",").alias("authors"), F.array_join("tags", ",").alias("tags"))
 
 
-@query("s07_sitemap", r"""WITH u AS (SELECT url AS loc, '2024-' || lpad((1 + page_id % 12)::VARCHAR, 2, '0') || '-' || lpad((1 + page_id % 28)::VARCHAR, 2, '0') AS lastmod FROM pages)
-SELECT loc, lastmod FROM u WHERE (starts_with(loc, 'http://') OR starts_with(loc, 'https://')) AND regexp_matches(loc, '/en/|/fr/')""")
-def s07(spark, sf):
+def landed_sitemaps(spark, sf):
+    """Landed sitemap files: one per page, an index per 50 of them (with a file that never landed and a link back up),
+    an index per 50 indexes. Roots are the upper indexes."""
     p = table(spark, sf, "pages")
     two = lambda n: F.lpad((1 + F.col("page_id") % n).cast("string"), 2, "0")
-    xml = F.concat(F.lit("<urlset><url><loc>"), esc(F.col("url")), F.lit("</loc><lastmod>2024-"), two(12), F.lit("-"), two(28),
-                   F.lit("</lastmod></url></urlset><sitemapindex><sitemap><loc>https://example.org/more.xml</loc></sitemap></sitemapindex>"))
-    return feeds.newest_urls(feeds.sitemap_urls(p.select(xml.alias("x")), "x"), ["http://", "https://"], ["/en/", "/fr/"])
+    low, high = F.floor(F.col("page_id") / 50), F.floor(F.col("page_id") / 2500)
+    name = lambda kind, i: F.concat(F.lit(f"https://maps.example.org/{kind}"), i.cast("string"), F.lit(".xml"))
+    child = lambda u: F.concat(F.lit("<sitemap><loc>"), u, F.lit("</loc></sitemap>"))
+    leaf = p.select(name("p", F.col("page_id")).alias("url"), F.concat(F.lit("<urlset><url><loc>"), esc(F.col("url")), F.lit("</loc><lastmod>2024-"), two(12), F.lit("-"), two(28),
+                                                                        F.lit("</lastmod></url><url><loc>https://other.example.org/</loc></url></urlset>")).alias("payload"))
+    index = p.groupBy(low.alias("i"), high.alias("h")).agg(F.array_join(F.sort_array(F.collect_list(child(name("p", F.col("page_id"))))), "").alias("x"))
+    index = index.select(name("i", F.col("i")).alias("url"), F.concat(F.lit("<sitemapindex>"), "x", child(name("gone", F.col("i"))), child(name("r", F.col("h"))), F.lit("</sitemapindex>")).alias("payload"))
+    upper = p.select(low.alias("i"), high.alias("h")).distinct().groupBy("h").agg(F.array_join(F.sort_array(F.collect_list(child(name("i", F.col("i"))))), "").alias("x"))
+    upper = upper.select(name("r", F.col("h")).alias("url"), F.concat(F.lit("<sitemapindex>"), "x", F.lit("</sitemapindex>")).alias("payload"))
+    return leaf.unionByName(index).unionByName(upper), upper.select("url")
+
+
+@query("s07_sitemap", r"""WITH u AS (SELECT page_id, url AS loc, '2024-' || lpad((1 + page_id % 12)::VARCHAR, 2, '0') || '-' || lpad((1 + page_id % 28)::VARCHAR, 2, '0') AS lastmod FROM pages)
+SELECT loc, lastmod FROM u WHERE (starts_with(loc, 'http://') OR starts_with(loc, 'https://')) AND regexp_matches(loc, '/en/|/fr/')""")
+def s07(spark, sf):
+    files, roots = landed_sitemaps(spark, sf)
+    pages, _ = feeds.expand_sitemaps(files, roots)
+    return feeds.newest_urls(pages, ["http://", "https://"], ["/en/", "/fr/"])
+
+
+@query("s07_unread_sitemaps", """WITH i AS (SELECT DISTINCT page_id // 50 AS i, page_id // 2500 AS h FROM pages), r AS (SELECT 'https://maps.example.org/r' || h || '.xml' AS root, i, h FROM i)
+SELECT 'whole' AS run, root, 'https://maps.example.org/gone' || i || '.xml' AS sitemap, 'missing' AS reason FROM r
+UNION ALL SELECT 'shallow', root, 'https://maps.example.org/gone' || i || '.xml', 'too-deep' FROM r UNION ALL SELECT 'shallow', 'https://maps.example.org/r' || (page_id // 2500) || '.xml', 'https://maps.example.org/p' || page_id || '.xml', 'too-deep' FROM pages""")
+def s07_unread(spark, sf):
+    files, roots = landed_sitemaps(spark, sf)
+    whole, shallow = (feeds.expand_sitemaps(files, roots, d)[1] for d in (None, 1))
+    return whole.select(F.lit("whole").alias("run"), "*").unionByName(shallow.select(F.lit("shallow").alias("run"), "*"))
 
 
 @query("s08_index_links", r"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>')) AS a, generate_subscripts(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>'), 1) AS pos FROM pages),
@@ -299,6 +323,54 @@ def s27(spark, sf):
     return w.unionByName(blocked.agg(F.lit("blocked").alias("side"), F.count("*").alias("records")))
 
 
+@query("s25_reviewed_rows", """WITH o AS (SELECT o_orderkey AS k, 'n:' || (o_orderkey // 3) AS id, o_orderkey % 3 = 0 AS head, o_orderkey % 5 = 0 AS item, o_orderkey % 7 AS v FROM orders),
+l AS (SELECT k, CASE WHEN v = 1 THEN 'link:dup' ELSE 'link:' || k END AS id, v FROM o WHERE NOT item),
+c AS (SELECT *, list_filter([CASE WHEN v = 2 THEN 'unknown-event' END, CASE WHEN v = 3 THEN 'host-mismatch' END, CASE WHEN v = 4 THEN 'missing-field' END, CASE WHEN v = 5 THEN 'prohibited-field' END], lambda x: x IS NOT NULL) AS bad FROM l)
+SELECT 'item:' || k AS id, 'desk' AS source_id, 'Title ' || k AS title, 0 AS links, '' AS violations FROM o WHERE item
+UNION ALL SELECT id, CASE WHEN k % 2 = 0 THEN 'social-a' ELSE 'social-b' END, 'Seen ' || k, CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END, '' FROM c WHERE len(bad) = 0 AND v <> 1
+UNION ALL SELECT 'rejected', 'link', 'x', count(*), array_to_string(bad, ',') FROM c WHERE len(bad) > 0 GROUP BY bad
+UNION ALL SELECT 'rejected', 'link', 'x', count(*) - 1, 'duplicate-id' FROM c WHERE v = 1 HAVING count(*) > 1
+UNION ALL SELECT 'link:dup', 'one', 'x', 0, '' FROM (SELECT 1 WHERE EXISTS (SELECT 1 FROM c WHERE v = 1))""")
+def s25(spark, sf):
+    """Two snapshots of each family are written; the older ones hold rows that must not come back."""
+    o, k = table(spark, sf, "orders"), F.col("o_orderkey")
+    root = scratch(spark, "reviewed")
+    item = o.filter(k % 5 == 0).select(F.concat(F.lit("item:"), k).alias("id"), F.lit("desk").alias("source_id"), F.concat(F.lit("Title "), k).alias("title"))
+    v = k % 7
+    link = o.filter(k % 5 != 0).select(
+        F.when(v == 1, "link:dup").otherwise(F.concat(F.lit("link:"), k)).alias("id"), F.when(k % 2 == 0, "LinkedIn").otherwise("X").alias("platform"),
+        F.when(v == 3, "https://elsewhere.example/p").when(k % 2 == 0, "https://www.linkedin.com/p").otherwise("https://x.com/p").alias("post_url"),
+        F.when(v != 4, "Ann").alias("author_name"), F.lit("2024-06-01").alias("published_at"), F.concat(F.lit("Seen  "), k).alias("observation"),
+        F.when(v == 2, F.array(F.lit("ev-none"))).otherwise(F.array(F.lit("ev-1"), F.lit("ev-1"))).alias("event_ids"),
+        F.when(k % 2 == 0, F.array(F.lit("https://a.example/1"), F.lit("http://plain.example"))).alias("linked_urls"), F.when(v == 5, "x").alias("raw_html"))
+    item.withColumn("id", F.lit("stale")).write.json(f"{root}/2024-05-01/items")
+    item.write.json(f"{root}/2024-06-01/items")
+    link.withColumn("id", F.lit("stale")).write.json(f"{root}/2024-05-08/links")
+    link.write.json(f"{root}/2024-05-20/links")
+    rows, bad = landing.load_reviewed(spark, root, r"/(?P<snapshot>[0-9-]{10})/(?P<family>[a-z]+)/[^/]*[.]json$", ["ev-1"], {"linkedin": "social-a", "x": "social-b"}, ["raw_html"])
+    one = F.col("id") == "link:dup"
+    rows = rows.select("id", F.when(one, "one").otherwise(F.col("source_id")).alias("source_id"), F.when(one, "x").otherwise(F.col("title")).alias("title"),
+                       F.when(one, 0).otherwise(F.size(F.coalesce("artifact_urls", F.array().cast("array<string>")))).cast("long").alias("links"), F.lit("").alias("violations"))
+    bad = bad.groupBy(F.array_join("violations", ",").alias("violations")).agg(F.count("*").alias("links"))
+    return rows.unionByName(bad.select(F.lit("rejected").alias("id"), F.lit("link").alias("source_id"), F.lit("x").alias("title"), "links", "violations"))
+
+
+@query("s26_receipts", """WITH r AS (SELECT event_type AS family, strftime(ts, '%Y-%m-%d') AS day, user_id % 10 AS s, count(*) AS n FROM events GROUP BY 1, 2, 3),
+l AS (SELECT family, max(day) AS day FROM r WHERE NOT (family = 'click' AND day > '2024-01-10') GROUP BY 1), x AS (SELECT r.* FROM r JOIN l USING (family, day))
+SELECT family, day AS snapshot, 'src' || s AS source_id, CASE WHEN s = 3 THEN 'failed' ELSE 'healthy' END AS status, n AS items FROM x""")
+def s26(spark, sf):
+    """A receipt per family and day, in dated folders; only the newest of each family is read."""
+    e = table(spark, sf, "events").select(F.col("event_type").alias("family"), F.date_format("ts", "yyyy-MM-dd").alias("day"), (F.col("user_id") % 10).alias("s"))
+    e = e.filter(~((F.col("family") == "click") & (F.col("day") > "2024-01-10")))
+    n = e.groupBy("family", "day", "s").count()
+    one = F.struct(F.concat(F.lit("src"), "s").alias("source_id"), F.when(F.col("s") == 3, "failed").otherwise("healthy").alias("status"), F.col("count").cast("int").alias("items"))
+    root = scratch(spark, "receipts")
+    n.groupBy("family", "day").agg(F.first("day").alias("collected_at"), F.sort_array(F.collect_list(one)).alias("collectors")).write.partitionBy("day", "family").json(root)
+    newest = landing.read_newest(spark, root, r"/day=(?P<snapshot>[0-9-]{10})/family=(?P<family>[^/]+)/", landing.RECEIPT)
+    states = newest.select("family", "snapshot", F.explode("collectors").alias("c"))
+    return states.select("family", "snapshot", "c.source_id", "c.status", F.col("c.items").cast("long").alias("items"))
+
+
 # ---- near copies of titles --------------------------------------------------------------------
 
 def near_titles(spark, sf):

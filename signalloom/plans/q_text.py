@@ -239,12 +239,11 @@ def n25(spark, sf):
     return evidence(spark, sf).groupBy(family(F.col("source_type")).alias("family")).agg(F.count("*").alias("records"))
 
 
-@query("n28_source_rewrite", """SELECT CASE WHEN source = 'src1' THEN 'src-one' WHEN source = 'src2' THEN 'src-two' ELSE source END AS source_id, count(*) AS records FROM documents GROUP BY 1""")
+@query("n28_source_rewrite", f"""WITH {EV_SQL} SELECT id, source_type, CASE WHEN source_type IN ('expert-social','repository') AND source_id = 'src1' THEN 'src-one'
+  WHEN source_type IN ('expert-social','repository') AND source_id = 'src5' THEN 'src-five' ELSE source_id END AS source_id FROM ev""")
 def n28(spark, sf):
-    moved = {"src1": "src-one", "src2": "src-two"}
-    pairs = F.create_map(*[F.lit(x) for kv in moved.items() for x in kv])
-    return table(spark, sf, "documents").groupBy(F.coalesce(F.try_element_at(pairs, F.col("source")), F.col("source")).alias("source_id")).agg(
-        F.count("*").alias("records"))
+    moved = {"src1": "src-one", "src5": "src-five", "src2": "src-two"}  # src2 is of another type and stays
+    return V.rewrite_sources(evidence(spark, sf), moved, ["expert-social", "repository"]).select("id", "source_type", "source_id")
 
 
 # ---- filters ----------------------------------------------------------------------------------

@@ -65,3 +65,9 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     broadcast or shuffle joins from facts for the next step.
     """
     return df.sparkSession.read.schema(df.schema).parquet(write_shared(df, label))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table through the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import dates as D, text as X
 from signalloom.operators.classify import url_in_scope
+from signalloom.session import cut_lineage
 
 RSS_ITEM = "title string, link string, guid string, pubDate string, description string, `dc:creator` string, author string"
 ATOM_ENTRY = (
@@ -88,17 +89,47 @@ def paper_entries(df: DataFrame, payload: str, limit: int | None = None) -> Data
         F.coalesce(F.transform("category", lambda c: c["_term"]), none).alias("tags"))
 
 
-def sitemap_urls(df: DataFrame, payload: str) -> DataFrame:
-    """(loc, lastmod) of url elements; child sitemaps are marked."""
-    loc = lambda x: X.compact(X.unescape(F.regexp_extract(x, r"(?s)<loc>(.*?)</loc>", 1)))
-    mod = lambda x: X.compact(F.regexp_extract(x, r"(?s)<lastmod>(.*?)</lastmod>", 1))
-    urls = df.select(F.explode(elements(F.col(payload), "url")).alias("x")).select(loc(F.col("x")).alias("loc"), mod(F.col("x")).alias("lastmod"), F.lit(False).alias("child"))
-    maps = df.select(F.explode(elements(F.col(payload), "sitemap")).alias("x")).select(loc(F.col("x")).alias("loc"), F.lit("").alias("lastmod"), F.lit(True).alias("child"))
+def sitemap_urls(df: DataFrame, payload: str, keep: list[str] | None = None) -> DataFrame:
+    """(loc, lastmod, child) of url elements beside the kept columns; child sitemaps are marked."""
+    loc = X.compact(X.unescape(F.regexp_extract("x", r"(?s)<loc>(.*?)</loc>", 1)))
+    mod = X.compact(F.regexp_extract("x", r"(?s)<lastmod>(.*?)</lastmod>", 1))
+    one = lambda tag: df.select(*(keep or []), F.explode(elements(F.col(payload), tag)).alias("x"))
+    urls = one("url").select(*(keep or []), loc.alias("loc"), mod.alias("lastmod"), F.lit(False).alias("child"))
+    maps = one("sitemap").select(*(keep or []), loc.alias("loc"), F.lit("").alias("lastmod"), F.lit(True).alias("child"))
     return urls.unionByName(maps).filter("loc <> ''")
 
 
+def expand_sitemaps(files: DataFrame, roots: DataFrame, depth: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pages below each root sitemap, through indexes of indexes, and the sitemaps that gave none.
+
+    files: url, payload of every landed sitemap; roots: url. Pages: (root, sitemap, loc, lastmod); unread:
+    (root, sitemap, reason), reason `missing` where no file landed and `too-deep` below `depth` levels of
+    children. Files are parsed once; a step joins the sitemaps just found with the parsed links, so there are
+    as many steps as the tree is deep. A sitemap counts once per root, so an index that leads back to itself
+    ends there.
+    """
+    links = cut_lineage(sitemap_urls(files.select("url", "payload"), "payload", ["url"]), "sitemaps")
+    landed = files.select(F.col("url").alias("sitemap")).distinct()
+    children = links.filter("child").select(F.col("url").alias("parent"), F.col("loc").alias("sitemap")).distinct()
+    found = cut_lineage(roots.select(F.col("url").alias("root"), F.col("url").alias("sitemap"), F.lit(0).alias("level")).distinct(), "frontier")
+    seen, level = found, 0
+    while not found.isEmpty():
+        level += 1
+        below = found.select("root", F.col("sitemap").alias("parent")).join(children, "parent").select("root", "sitemap").distinct()
+        found = cut_lineage(below.join(seen, ["root", "sitemap"], "left_anti").withColumn("level", F.lit(level)), "frontier")
+        seen = seen.unionByName(found)
+        if depth is not None and level > depth:
+            break
+    near = F.lit(True) if depth is None else F.col("level") <= depth
+    pages = seen.filter(near).join(links.filter("not child").withColumnRenamed("url", "sitemap"), "sitemap").select("root", "sitemap", "loc", "lastmod")
+    gone = seen.filter(near).join(landed, "sitemap", "left_anti").select("root", "sitemap", F.lit("missing").alias("reason"))
+    deep = seen.filter(~near).select("root", "sitemap", F.lit("too-deep").alias("reason"))
+    return pages, gone.unionByName(deep)
+
+
 def newest_urls(urls: DataFrame, prefixes: list[str], patterns: list[str] | None = None, limit: int | None = None) -> DataFrame:
-    """Pages in scope (S7, F3): all, or with a `limit` the newest."""
-    live = urls.filter(~F.col("child") & url_in_scope(F.col("loc"), prefixes, patterns)).select("loc", "lastmod")
+    """Pages in scope (S7, F3) of sitemap_urls or of expand_sitemaps: all, or with a `limit` the newest."""
+    live = urls.filter("not child") if "child" in urls.columns else urls
+    live = live.filter(url_in_scope(F.col("loc"), prefixes, patterns)).select("loc", "lastmod")
     live = live.orderBy(F.desc("lastmod"), F.desc("loc"))
     return live if limit is None else live.limit(limit)
