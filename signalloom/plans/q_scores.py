@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import Window, functions as F
 
 from signalloom.functions import constants as C, dates as D
-from signalloom.operators import change as H, classify as K, gates, lifecycle as L, publish, pulse as P, quality as Q, ranking as R
+from signalloom.operators import change as H, classify as K, gates, lifecycle as L, publish, pulse as P, quality as Q, ranking as R, review
 from signalloom.operators import resolve as V, scores as S
 from signalloom.plans import demo, marts, stages
 from signalloom.plans.demo import EV_SQL, EVC_SQL, EVD_SQL, evidence, table
-from signalloom.session import shared_dir
+from signalloom.session import cut_lineage, shared_dir
 from signalloom.plans.q_text import ELIG_SQL, J4_SQL, J5_SQL, PROJ_SQL, VERIFICATION_RULES, classified, event_rules, projects
 
 QUERIES, ORACLE = {}, {}
@@ -822,9 +822,9 @@ M6_SQL = f"""cand AS (SELECT theme_id AS id, CASE WHEN count_if(ts > {_T} - INTE
   count_if(ts > {_T} - INTERVAL 7 DAY AND ts <= {_T}) AS rc, count_if(source_type IN ('paper','repository','first-party-lab','practitioner-blog')) AS tc FROM dr GROUP BY 1)"""
 
 
-@query("m06_weekly_review", f"""WITH {EVC_SQL}, {DR_SQL}, {M6_SQL} SELECT id, ec AS evidence_count, sc AS source_count, rc AS recent_evidence_count, tc AS technical_record_count,
+@query("m06_theme_metrics", f"""WITH {EVC_SQL}, {DR_SQL}, {M6_SQL} SELECT id, ec AS evidence_count, sc AS source_count, rc AS recent_evidence_count, tc AS technical_record_count,
   CASE WHEN movement = 'new' THEN 25 ELSE 8 END + least(25, sc * 3 + fc * 2) + least(20, tc * 3) + least(20, rc * 4) + CASE WHEN id IN ('bonding','tidal') THEN 10 ELSE 0 END AS priority FROM cand""")
-def m06(spark, sf):
+def m06_themes(spark, sf):
     rows = doc_rows(spark, sf)
     c = rows.groupBy(F.col("theme_id").alias("id")).agg(F.max(D.in_trailing(F.col("ts"), demo.AS_OF, 7)).alias("live"))
     c = c.select("id", F.lit("cross-source-theme").alias("origin"), F.col("id").alias("title"), F.lit(None).cast("string").alias("stage"), F.lit(None).cast("string").alias("strength"),
@@ -836,6 +836,121 @@ def m06(spark, sf):
     return pool.select("id", "evidence_count", "source_count", "recent_evidence_count", "technical_record_count", "priority")
 
 
+_BEFORE = C_BEFORE.replace("2000-06-01", "2000-06-01 00:00:00")
+_PTS = "CASE movement " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in C.MOVEMENT_POINTS.items()) + " ELSE 8 END"
+
+
+def _review_side(v: str) -> str:
+    """Candidates of all origins at a time, in SQL."""
+    return f"""SELECT k, ['early-signal','expert-finding','operator-narrative','cross-source-theme'][(k % 4 + 1)::INT] AS origin, ['early:','expert-finding:','operator-narrative:','theme:'][(k % 4 + 1)::INT] || k AS id,
+  CASE WHEN k % 4 IN (0, 3) THEN st END AS stage, CASE WHEN k % 4 IN (1, 2) THEN st END AS strength, rc, tc, ec0, sc0,
+  CASE WHEN k % 4 = 0 THEN CASE WHEN live THEN 'rising' ELSE 'steady' END WHEN k % 4 = 3 THEN CASE WHEN live THEN 'accelerating' ELSE 'steady' END WHEN rc > 0 THEN 'new' ELSE 'steady' END AS movement,
+  CASE WHEN k % 4 = 3 THEN ec0 + 1 ELSE ec0 END AS ec, CASE WHEN k % 4 = 0 THEN sc0 + 1 ELSE sc0 END AS sc, CASE WHEN k % 4 = 0 THEN 2 ELSE fc0 END AS fc
+  FROM (SELECT o_custkey AS k, count(*) AS ec0, count(DISTINCT o_orderpriority) AS sc0, count(DISTINCT o_orderstatus) AS fc0, count_if(o_orderdate > {v} - INTERVAL 7 DAY) AS rc, count_if(o_orderstatus = 'F') AS tc, max(o_orderstatus) AS st,
+    count_if(o_orderdate > {v} - INTERVAL 90 DAY) > 0 AS live FROM orders WHERE o_orderdate <= {v} GROUP BY 1)"""
+
+
+def _requirements(side: str, cond: str) -> str:
+    level = "[" + ",".join(f"'{m}'" for m in C.MATURITY_ORDER) + "]"
+    return f"SELECT 'req-' || k AS id, ['early-signal-tracker/','expert-pulse/','operator-narratives/','themes/'][(k % 4 + 1)::INT] || k AS analysis, {level}[(1 + least(4, ec0 // 4))::INT] AS maturity, ec0 AS n FROM {side} WHERE {cond}"
+
+
+M06_SQL = f"""now AS ({_review_side(C_NOW)}), pre AS ({_review_side(_BEFORE)}), rq AS ({_requirements('now', 'k % 211 = 0')}), rp AS ({_requirements('pre', 'k % 211 = 0 AND k % 422 <> 0')}),
+ad AS (SELECT id, stage, ec0, sc0, CASE WHEN k % 12 = 0 THEN 'req-' || (k // 211 * 211) ELSE 'req-none' END AS rid FROM pre WHERE k % 6 = 0),
+jc AS (SELECT now.*, pre.id AS pid, pre.stage AS pst, pre.strength AS psg, pre.movement AS pmv, pre.ec0 AS pec, pre.sc0 AS psc, pre.rc AS prc, ad.id AS aid, ad.stage AS ast, ad.ec0 AS aec, ad.sc0 AS asc_,
+  list_distinct(list_filter([r1.id, r2.id], lambda x: x IS NOT NULL)) AS linked_ids, r1.id AS own, r2.id AS named FROM now LEFT JOIN pre ON pre.id = now.id LEFT JOIN ad ON ad.id = now.id LEFT JOIN rq r1 ON r1.id = 'req-' || now.k LEFT JOIN rq r2 ON r2.id = ad.rid),
+rr AS (SELECT *, len(linked_ids) > 0 AS linked, lpad(k::VARCHAR, 9, '0') AS title, CASE WHEN pid IS NULL THEN ['new'] ELSE list_filter([CASE WHEN stage <> pst THEN 'stage' END, CASE WHEN strength <> psg THEN 'strength' END,
+  CASE WHEN movement <> pmv AND movement IN ('new','accelerating','rising','resurfacing') THEN 'movement' END, CASE WHEN ec - pec >= 2 THEN 'evidence' END, CASE WHEN sc - psc >= 1 THEN 'sources' END, CASE WHEN rc - prc > 0 THEN 'recent' END], lambda x: x IS NOT NULL) END AS reasons,
+  CASE WHEN aid IS NOT NULL THEN CASE WHEN stage IS NOT DISTINCT FROM ast AND ec - aec < 2 AND sc - asc_ < 1 THEN 'current' ELSE 'revisit-required' END END AS adj,
+  {_PTS} + least(25, sc * 3 + fc * 2) + least(20, tc * 3) + least(20, rc * 4) + CASE WHEN len(linked_ids) > 0 THEN 10 ELSE 0 END AS priority FROM jc),
+ch AS (SELECT rq.id, CASE WHEN rp.id IS NULL THEN 'added' WHEN list_position({demo._q(C.MATURITY_ORDER)}, rq.maturity) > list_position({demo._q(C.MATURITY_ORDER)}, rp.maturity) THEN 'promoted' WHEN rq.maturity <> rp.maturity THEN 'demoted'
+  WHEN rq.n <> rp.n THEN 'evidence-updated' ELSE 'unchanged' END AS kind FROM rq LEFT JOIN rp ON rp.id = rq.id),
+ok AS (SELECT * FROM rr WHERE len(reasons) > 0 AND coalesce(adj, '') <> 'current' AND (priority >= 45 OR linked)), lk AS (SELECT origin, count(*) AS used FROM (SELECT origin FROM ok WHERE linked ORDER BY priority DESC, title LIMIT 10) GROUP BY 1),
+fr AS (SELECT ok.*, row_number() OVER (PARTITION BY ok.origin ORDER BY priority DESC, title) + coalesce(used, 0) AS pos FROM ok LEFT JOIN lk ON lk.origin = ok.origin WHERE NOT linked),
+qu AS (SELECT id, row_number() OVER (ORDER BY late, priority DESC, title) AS queue_rank FROM (SELECT id, priority, title, 0 AS late FROM ok WHERE linked UNION ALL SELECT id, priority, title, 1 FROM fr WHERE pos <= 4) QUALIFY queue_rank <= 10),
+pq AS (SELECT id, row_number() OVER (ORDER BY ec0 DESC, id) AS r FROM pre WHERE k % 3 = 0 QUALIFY r <= 6), h AS (SELECT pq.id, r, 0 AS late FROM pq JOIN rr USING (id) WHERE coalesce(adj, '') <> 'current'),
+cq AS (SELECT id, late = 0 AS carried, row_number() OVER (ORDER BY late, r, id) AS r FROM (SELECT * FROM h UNION ALL SELECT id, queue_rank, 1 FROM qu WHERE id NOT IN (SELECT id FROM h)) QUALIFY r <= 10),
+fq AS (SELECT id, carried, row_number() OVER (ORDER BY r) AS queue_rank FROM cq WHERE id NOT IN (SELECT rr.id FROM rr, unnest(linked_ids) u(x) JOIN ch ON ch.id = x AND kind = 'added'))"""
+M06_ROWS = """SELECT 'candidate' AS section, id AS key, priority AS n, concat_ws('|', movement, array_to_string(reasons, ','), coalesce(adj, ''), CASE WHEN adj = 'current' THEN 'keep' WHEN linked THEN 'review-existing-requirement' ELSE 'assess-new-requirement' END,
+  array_to_string(list_filter([CASE WHEN own IS NOT NULL THEN own || ':analysis' END, CASE WHEN named IS NOT NULL AND named IS DISTINCT FROM own THEN named || ':adjudication' END], lambda x: x IS NOT NULL), ',')) AS detail FROM rr
+UNION ALL SELECT 'change', id, 0, kind FROM ch"""
+
+
+def review_side(spark, sf, until):
+    """Candidates of all origins at a time: what each origin states itself, and the cited orders."""
+    o = table(spark, sf, "orders").withColumn("ts", F.col("o_orderdate").cast("timestamp")).filter(F.col("ts") <= F.lit(until).cast("timestamp"))
+    g = o.groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("ec0"), F.count_distinct("o_orderpriority").alias("sc0"), F.max("o_orderstatus").alias("st"),
+                                                     (F.count_if(D.in_trailing(F.col("ts"), until, 90)) > 0).alias("live"), F.count_if(D.in_trailing(F.col("ts"), until, 7)).alias("rc"))
+    g = g.withColumn("title", F.lpad(F.col("k").cast("string"), 9, "0")).withColumn("id", F.col("k").cast("string"))
+    side = lambda i: g.filter(F.col("k") % 4 == i)
+    items = {"early": side(0).select("id", "title", F.col("st").alias("stage"), F.when(F.col("live"), "rising").otherwise("steady").alias("movement"), (F.col("sc0") + 1).alias("source_count"), F.lit(2).alias("family_count")),
+             "experts": side(1).select("id", "title", F.col("st").alias("strength")), "narratives": side(2).select("id", "title", F.col("st").alias("strength")),
+             "themes": side(3).select("id", "title", F.col("st").alias("stage"), F.when(F.col("live"), "accelerating").alias("movement"), (F.col("ec0") + 1).alias("evidence_count"))}
+    cited = o.select(F.col("o_custkey").cast("string").alias("item"), F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 4).alias("i"))
+    links = {name: cited.filter(F.col("i") == i).drop("i") for i, name in enumerate(items)}
+    return review.candidate_union(items), review.candidate_links(links), g
+
+
+def weekly(spark, sf, now, same=False):
+    """One run of the review with the state of 2000-06-01 before it; with `same` the run before had these very inputs."""
+    before = "2000-06-01T00:00:00Z"
+    cand, links, g = review_side(spark, sf, now)
+    old, old_links, og = review_side(spark, sf, now if same else before)
+    o = table(spark, sf, "orders")
+    e = o.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("source_id"), F.col("o_orderstatus").alias("source_type"), F.col("o_orderdate").cast("timestamp").alias("ts"))
+    level = F.element_at(F.array(*[F.lit(m) for m in C.MATURITY_ORDER]), (1 + F.least(F.lit(4), F.expr("ec0 div 4"))).cast("int"))
+    prefix = F.element_at(F.array(*[F.lit(x[2]) for x in review.ORIGINS.values()]), (F.col("k") % 4 + 1).cast("int"))
+    name = F.element_at(F.array(*[F.lit(x[1]) for x in review.ORIGINS.values()]), (F.col("k") % 4 + 1).cast("int"))
+    req = lambda x, cond: x.filter(cond).select(F.concat(F.lit("req-"), "k").alias("id"), F.concat(prefix, F.col("k")).alias("source_analysis"), level.alias("maturity"), F.col("ec0").alias("evidence_count"))
+    # the run before kept what it counted, without the counts that origins state themselves
+    none = spark.createDataFrame([], "candidate_id string, outcome string, requirement_ids array<string>, stage string, evidence_count long, source_count long")
+    no_req = spark.createDataFrame([], "id string, source_analysis string, maturity string")
+    no_prev = spark.createDataFrame([], "id string, stage string, strength string, movement string, evidence_count long, source_count long, recent_count long")
+    bare = old if same else old.withColumns({f"own_{c}": F.lit(None).cast("bigint") for c in review.OWN})
+    prev = cut_lineage(review.candidate_pool(bare, old_links, e, no_req, no_prev, none, now if same else before, ["F"]), "previous")
+    judged = og.filter(F.col("k") % 6 == 0).select(
+        F.concat(name, F.col("k")).alias("candidate_id"), F.lit("keep").alias("outcome"), F.array(F.when(F.col("k") % 12 == 0, F.concat(F.lit("req-"), F.expr("k div 211 * 211"))).otherwise("req-none")).alias("requirement_ids"),
+        F.when((F.col("k") % 4).isin(0, 3), F.col("st")).alias("stage"), F.col("ec0").alias("evidence_count"), F.col("sc0").alias("source_count"))
+    cur = req(g, F.col("k") % 211 == 0)
+    old_req = cur if same else req(og, (F.col("k") % 211 == 0) & (F.col("k") % 422 != 0))
+    pool = review.candidate_pool(cand, links, e, cur, prev, judged, now, ["F"])
+    queue = R.numbered_top(og.filter(F.col("k") % 3 == 0).select(F.concat(name, F.col("k")).alias("id"), "ec0"), [F.desc("ec0"), F.col("id")], 6, "queue_rank")
+    rows = classified(spark, sf)
+    hits = rows if same else rows.filter(F.col("ts") <= F.lit("2024-05-01T00:00:00Z").cast("timestamp"))
+    seen = marts.verification_hits(hits, VERIFICATION_RULES).select("family", "id")
+    checks = marts.verification_coverage(rows, VERIFICATION_RULES, seen)
+    before_tables = {"queue": queue, "requirement_changes": cur.limit(0).select("id", F.lit("kept").alias("change_type")), "verification": checks.filter("family = 'formation'")}
+    return review.weekly_review(pool, cur, old_req, checks, before_tables, True)
+
+
+@query("m06_weekly_review", f"""WITH {EV_SQL}, {M06_SQL}, m AS (SELECT ts, source_id, unnest(list_filter([CASE WHEN source_type IN ('company-directory') THEN 'formation' END,
+  CASE WHEN source_type IN ('first-party-lab','practitioner-blog') AND (contains({_LOW},'theaeati') OR contains({_LOW},'oument')) THEN 'architecture' END, CASE WHEN source_id IN ('src1','src15') AND source_type = 'repository' THEN 'adoption' END], lambda x: x IS NOT NULL)) AS family FROM ev)
+{M06_ROWS} UNION ALL SELECT 'queue', id, queue_rank, carried::VARCHAR FROM fq UNION ALL SELECT 'verification', family, count(*), 'active/' || count_if(ts > {PREV_SQL}) FROM m GROUP BY 2
+UNION ALL SELECT 'meta', 'candidates', count(*), '' FROM rr UNION ALL SELECT 'meta', 'changed', count_if(len(reasons) > 0), '' FROM rr UNION ALL SELECT 'meta', 'adjudications', count(adj), '' FROM rr
+UNION ALL SELECT 'meta', 'queue', count(*), '' FROM fq UNION ALL SELECT 'meta', 'carried', count_if(carried), '' FROM fq UNION ALL SELECT 'meta', 'requirement_changes', count_if(kind <> 'unchanged'), '' FROM ch
+UNION ALL SELECT 'meta', 'baseline', 0, '' UNION ALL SELECT 'meta', 'idempotent', 0, ''""")
+def m06(spark, sf):
+    t = weekly(spark, sf, "2001-01-01T00:00:00Z")
+    row = lambda df, section, key, n, detail: df.select(F.lit(section).alias("section"), key.alias("key"), n.cast("long").alias("n"), detail.alias("detail"))
+    linked = F.array_join(F.transform("linked_requirements", lambda x: F.concat_ws(":", x["id"], x["kind"])), ",")
+    detail = F.concat_ws("|", "movement", F.array_join("change_reasons", ","), F.coalesce("adjudication", F.lit("")), "review_action", linked)
+    return (row(t["candidates"], "candidate", F.col("id"), F.col("priority"), detail).unionByName(row(t["requirement_changes"], "change", F.col("id"), F.lit(0), F.col("change_type")))
+            .unionByName(row(t["queue"], "queue", F.col("id"), F.col("queue_rank"), F.col("carried").cast("string")))
+            .unionByName(row(t["verification"], "verification", F.col("family"), F.col("record_count"), F.concat_ws("/", "status", F.col("new_record_count").cast("string"))))
+            .unionByName(row(t["meta"], "meta", F.col("metric"), F.col("value"), F.lit(""))))
+
+
+@query("m06_same_inputs", f"""WITH {M06_SQL}, z AS (SELECT count(*) AS n FROM rr)
+SELECT 'candidates' AS key, n FROM z UNION ALL SELECT 'changed', 0 UNION ALL SELECT 'requirement_changes', 0 UNION ALL SELECT 'baseline', 0 UNION ALL SELECT 'idempotent', 1
+UNION ALL SELECT 'verification rows', 1 UNION ALL SELECT 'change rows', 0""")
+def m06_same(spark, sf):
+    """A second run of the same cycle over the same inputs keeps what the first one published."""
+    t = weekly(spark, sf, "2001-01-01T00:00:00Z", same=True)
+    meta = t["meta"].filter(~F.col("metric").isin("queue", "carried", "adjudications")).select(F.col("metric").alias("key"), F.col("value").alias("n"))
+    return meta.unionByName(t["verification"].agg(F.lit("verification rows").alias("key"), F.count("*").alias("n"))).unionByName(
+        t["requirement_changes"].agg(F.lit("change rows").alias("key"), F.count("*").alias("n")))
+
+
 @query("m08_live_section", f"""WITH {EVC_SQL}, m AS (SELECT * FROM cl WHERE source_id = 'src4') SELECT 'records' AS key, count(*) AS n FROM m UNION ALL SELECT 'classified', count_if(len(theme_ids) > 0) FROM m
 UNION ALL (SELECT t, count(*) AS n FROM m, unnest(theme_ids) u(t) GROUP BY 1 ORDER BY n DESC, t LIMIT 8) UNION ALL (SELECT id, row_number() OVER (ORDER BY published_at DESC, id DESC) AS n FROM m QUALIFY n <= 8)""")
 def m08(spark, sf):
