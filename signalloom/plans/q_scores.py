@@ -869,8 +869,8 @@ ok AS (SELECT * FROM rr WHERE len(reasons) > 0 AND coalesce(adj, '') <> 'current
 fr AS (SELECT ok.*, row_number() OVER (PARTITION BY ok.origin ORDER BY priority DESC, title) + coalesce(used, 0) AS pos FROM ok LEFT JOIN lk ON lk.origin = ok.origin WHERE NOT linked),
 qu AS (SELECT id, row_number() OVER (ORDER BY late, priority DESC, title) AS queue_rank FROM (SELECT id, priority, title, 0 AS late FROM ok WHERE linked UNION ALL SELECT id, priority, title, 1 FROM fr WHERE pos <= 4) QUALIFY queue_rank <= 10),
 pq AS (SELECT id, row_number() OVER (ORDER BY ec0 DESC, id) AS r FROM pre WHERE k % 3 = 0 QUALIFY r <= 6), h AS (SELECT pq.id, r, 0 AS late FROM pq JOIN rr USING (id) WHERE coalesce(adj, '') <> 'current'),
-cq AS (SELECT id, late = 0 AS carried, row_number() OVER (ORDER BY late, r, id) AS r FROM (SELECT * FROM h UNION ALL SELECT id, queue_rank, 1 FROM qu WHERE id NOT IN (SELECT id FROM h)) QUALIFY r <= 10),
-fq AS (SELECT id, carried, row_number() OVER (ORDER BY r) AS queue_rank FROM cq WHERE id NOT IN (SELECT rr.id FROM rr, unnest(linked_ids) u(x) JOIN ch ON ch.id = x AND kind = 'added'))"""
+cq AS (SELECT id, late = 0 AS carried, row_number() OVER (ORDER BY late, r, id) AS place FROM (SELECT * FROM h UNION ALL SELECT id, queue_rank, 1 FROM qu WHERE id NOT IN (SELECT id FROM h)) QUALIFY place <= 10),
+fq AS (SELECT id, carried, row_number() OVER (ORDER BY place) AS queue_rank FROM cq WHERE id NOT IN (SELECT rr.id FROM rr, unnest(linked_ids) u(x) JOIN ch ON ch.id = x AND kind = 'added'))"""
 M06_ROWS = """SELECT 'candidate' AS section, id AS key, priority AS n, concat_ws('|', movement, array_to_string(reasons, ','), coalesce(adj, ''), CASE WHEN adj = 'current' THEN 'keep' WHEN linked THEN 'review-existing-requirement' ELSE 'assess-new-requirement' END,
   array_to_string(list_filter([CASE WHEN own IS NOT NULL THEN own || ':analysis' END, CASE WHEN named IS NOT NULL AND named IS DISTINCT FROM own THEN named || ':adjudication' END], lambda x: x IS NOT NULL), ',')) AS detail FROM rr
 UNION ALL SELECT 'change', id, 0, kind FROM ch"""
