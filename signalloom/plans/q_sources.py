@@ -12,7 +12,7 @@ from signalloom.plans import demo
 from signalloom.plans.demo import EV_SQL, evidence, spread, table
 from signalloom.session import cut_lineage, shared_dir
 from signalloom.sources import feeds, landing, records, web
-from signalloom.streaming import jobs
+from signalloom.streaming import jobs, upserts
 
 QUERIES, ORACLE = {}, {}
 
@@ -417,84 +417,122 @@ def d07(spark, sf):
 
 # ---- streams ----------------------------------------------------------------------------------
 
-def event_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    s = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return s.select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("u"), "user_id").alias("publisher_id"), F.col("event_type").alias("theme_id"))
+EVENT = "id long, ts timestamp, publisher_id string, theme_id string"
+CUTS = ["2024-01-11", "2024-01-21", "2025-01-01"]
 
 
-def run_to_table(spark, df, mode: str, label: str):
-    """Run a stream over what is there now and return its written result."""
-    path = scratch(spark, label)
-    if mode == "append":
-        q = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", path + "-log").outputMode("append").trigger(availableNow=True).start()
-    else:
-        def keep(batch, n):
-            batch.write.mode("overwrite").parquet(path)
-        q = df.writeStream.foreachBatch(keep).option("checkpointLocation", path + "-log").outputMode("complete").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(path)
+def stream_rows(spark, sf):
+    return table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("u"), "user_id").alias("publisher_id"), F.col("event_type").alias("theme_id"))
 
 
-@query("st1_replayed_ingest", "SELECT event_type AS theme_id, count(*) AS records FROM events GROUP BY 1")
+def in_runs(session, rows, cuts, make, label: str, again: bool = False, close: str | None = None):
+    """Land rows in slices of time and run the stream to the end of each, started anew every time.
+
+    `again` lands each slice once more with the next one. `close` lands a record without a key at that time, which
+    moves event time on and closes what is open. `make` gets the stream and returns the frame to write; the written
+    result comes back.
+    """
+    land, out = scratch(session, label + "-in"), scratch(session, label)
+    low, before = "1970-01-01", None
+    for high in [*cuts, *([None] if close else [])]:
+        if high is None:
+            session.createDataFrame([(None, close, None, None)], "id long, t string, publisher_id string, theme_id string").select(
+                "id", F.col("t").cast("timestamp").alias("ts"), "publisher_id", "theme_id").write.mode("append").parquet(land)
+        else:
+            part = rows.filter((F.col("ts") >= F.lit(low).cast("timestamp")) & (F.col("ts") < F.lit(high).cast("timestamp")))
+            part.write.mode("append").parquet(land)
+            if again and before is not None:
+                before.write.mode("append").parquet(land)
+            low, before = high, part
+        df = make(session.readStream.schema(EVENT).parquet(land))
+        q = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-log").outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+    return session.read.schema(df.schema).parquet(out)
+
+
+@query("st1_replayed_ingest", "SELECT event_type AS theme_id, count(*) AS records, count(DISTINCT event_id) AS ids FROM events GROUP BY 1")
 def st1(spark, sf):
-    s = event_stream(spark, sf)
-    twice = s.unionByName(s)
-    out = run_to_table(spark, jobs.fresh_records(twice), "append", "st1")
-    return out.groupBy("theme_id").agg(F.count("*").alias("records"))
+    """Each slice comes again in the next run."""
+    rows = stream_rows(spark, sf)
+    out = in_runs(spark, rows, CUTS, lambda s: jobs.fresh_records(s), "st1", again=True)
+    return out.groupBy("theme_id").agg(F.count("*").alias("records"), F.count_distinct("id").alias("ids"))
 
 
-@query("st2_cursor_upsert", "SELECT user_id AS id, max(ts)::VARCHAR AS latest FROM events GROUP BY 1".replace("max(ts)::VARCHAR", "strftime(max(ts), '%Y-%m-%d %H:%M:%S')"))
+@query("st2_cursor_upsert", """SELECT user_id AS id, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS latest, 3 AS batches, 0 AS applied_again FROM events GROUP BY 1""")
 def st2(spark, sf):
-    path = scratch(spark, "st2")
-    state = {"at": None}
-
-    def merge(batch, n):
-        new = batch.groupBy("publisher_id").agg(F.max("ts").alias("ts"))
-        if state["at"]:
-            new = new.unionByName(spark.read.parquet(state["at"])).groupBy("publisher_id").agg(F.max("ts").alias("ts"))
-        state["at"] = f"{path}-{n}"
-        new.write.mode("overwrite").parquet(state["at"])
-    jobs.upsert_batches(event_stream(spark, sf), merge, path + "-log").awaitTermination()
-    return spark.read.parquet(state["at"]).select(F.expr("cast(substring(publisher_id, 2) as bigint)").alias("id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("latest"))
+    """Three batches, each handed over twice, by jobs that are started anew and find their table by its folder."""
+    land, root = scratch(spark, "st2-in"), scratch(spark, "st2")
+    schema = "publisher_id string, ts timestamp"
+    rows, low, twice = stream_rows(spark, sf), "1970-01-01", []
+    for high in CUTS:
+        rows.filter((F.col("ts") >= F.lit(low).cast("timestamp")) & (F.col("ts") < F.lit(high).cast("timestamp"))).write.mode("append").parquet(land)
+        low = high
+
+        def merge(batch, n):
+            keyed = upserts.KeyedTable(spark, root, "publisher_id", "ts", schema, 8)
+            keyed.merge(batch, n)
+            twice.append(keyed.merge(batch, n))
+        jobs.upsert_batches(spark.readStream.schema(EVENT).parquet(land), merge, root + "-log").awaitTermination()
+    out = upserts.KeyedTable(spark, root, "publisher_id", "ts", schema, 8)
+    return out.read().select(F.expr("cast(substring(publisher_id, 2) as bigint)").alias("id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("latest"),
+                             F.lit(len(twice)).alias("batches"), F.lit(sum(twice)).alias("applied_again"))
 
 
 @query("st3_anchored_counts", """WITH x AS (SELECT event_type, floor((epoch_us(ts) - 1 - epoch_us(TIMESTAMP '2024-01-30')) / (7 * 86400000000)) AS w FROM events)
 SELECT event_type AS theme_id, strftime(TIMESTAMP '2024-01-30' + to_days((w * 7 + 7)::INT), '%Y-%m-%d') AS ends, count(*) AS n FROM x GROUP BY 1, 2""")
 def st3(spark, sf):
-    out = run_to_table(spark, jobs.anchored_counts(event_stream(spark, sf), "theme_id", "2024-01-30T00:00:00Z", 7), "complete", "st3")
-    return out.select("theme_id", F.date_format("end", "yyyy-MM-dd").alias("ends"), "n")
+    """Append mode: every window comes out once, when it is closed."""
+    out = in_runs(spark, stream_rows(spark, sf), CUTS, lambda s: jobs.anchored_counts(s, "theme_id", "2024-01-30T00:00:00Z", 7), "st3", close="2024-06-01")
+    return out.filter("theme_id is not null").select("theme_id", F.date_format("end", "yyyy-MM-dd").alias("ends"), "n")
 
 
-@query("st4_sliding_snapshot", """WITH x AS (SELECT event_type, ts FROM events), w AS (SELECT TIMESTAMP '2024-01-30' + to_days((7 * k)::INT) AS e FROM range(-4, 14) r(k))
-SELECT event_type AS theme_id, strftime(e, '%Y-%m-%d') AS as_of, count(*) AS evidence_count FROM x JOIN w ON ts > e - INTERVAL 90 DAY AND ts <= e GROUP BY 1, 2""")
+@query("st4_sliding_snapshot", """WITH x AS (SELECT event_type, user_id, ts FROM events), w AS (SELECT TIMESTAMP '2024-01-30' + to_days((7 * k)::INT) AS e FROM range(-4, 14) r(k))
+SELECT event_type AS theme_id, strftime(e, '%Y-%m-%d') AS as_of, count(*) AS evidence_count, count(DISTINCT user_id) AS source_count FROM x JOIN w ON ts > e - INTERVAL 90 DAY AND ts <= e GROUP BY 1, 2""")
 def st4(spark, sf):
-    out = run_to_table(spark, jobs.sliding_breadth(event_stream(spark, sf), "theme_id", "2024-01-30T00:00:00Z"), "complete", "st4")
-    return out.select("theme_id", F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "evidence_count")
+    panes = in_runs(spark, stream_rows(spark, sf), CUTS, lambda s: jobs.daily_panes(s, "theme_id", "2024-01-30T00:00:00Z"), "st4", close="2024-06-01")
+    out = jobs.merge_panes(panes.filter("theme_id is not null"), "theme_id", "2024-01-30T00:00:00Z", 90, 7)
+    return out.select("theme_id", F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "evidence_count", "source_count")
+
+
+#: Event times spread to twelve times their distance, so that keys fall silent for weeks and months.
+_SPREAD = "TIMESTAMP '2024-01-01' + to_microseconds((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000 * 12000)"
+_WALK = """WITH e AS (SELECT %s AS k, {spread} AS ts FROM events WHERE event_id %% 4 = 0), d AS (SELECT k, epoch_ms(ts) // 86400000 AS day, min(epoch_ms(ts)) AS f, max(epoch_ms(ts)) AS l, count(*) AS n FROM e GROUP BY 1, 2),
+g AS (SELECT k, f, l, n, sum(n) OVER (PARTITION BY k ORDER BY day) AS total, lag(l) OVER (PARTITION BY k ORDER BY day) AS pl, lead(f) OVER (PARTITION BY k ORDER BY day) AS nf FROM d),
+z AS (SELECT *, coalesce(nf, epoch_ms(TIMESTAMP '2026-01-01') - 86400000) AS until, sum(CASE WHEN pl IS NOT NULL AND f - pl >= 2592000000 THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY f) AS returns FROM g),
+c AS (SELECT k, '' AS before, 'active' AS after, f AS "at", total FROM z WHERE pl IS NULL UNION ALL SELECT k, CASE WHEN f - pl >= 7776000000 THEN 'dormant' ELSE 'fading' END, 'reactivated', f, total FROM z WHERE f - pl >= 2592000000
+UNION ALL SELECT k, CASE WHEN returns > 0 THEN 'reactivated' ELSE 'active' END, 'fading', l + 2592000000, total FROM z WHERE until - l >= 2592000000 UNION ALL SELECT k, 'fading', 'dormant', l + 7776000000, total FROM z WHERE until - l >= 7776000000)
+SELECT k AS key, before, after, "at", total::BIGINT AS records FROM c""".replace("{spread}", _SPREAD)
+
 
+def spread_rows(spark, sf, key: str):
+    e = table(spark, sf, "events").filter("event_id % 4 = 0")
+    base = 1704067200000
+    ms = F.unix_millis(F.col("ts").cast("timestamp")) - base
+    return e.select(F.col("event_id").alias("id"), F.timestamp_millis(F.lit(base) + ms * 12).alias("ts"), F.expr(key).alias("publisher_id"), F.col("event_type").alias("theme_id"))
 
-@query("st5_lifecycle_state")
+
+_LATER = ["2024-03-01", "2024-06-01", "2024-09-01", "2025-06-01"]
+
+
+def changes_of(out):
+    return out.filter("key is not null").select("key", "before", "after", F.unix_millis("at").alias("at"), "records")
+
+
+@query("st5_lifecycle_state", _WALK % "'u' || user_id")
 def st5(spark, sf):
-    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        out = run_to_table(spark, jobs.lifecycle_changes(event_stream(spark, sf), "publisher_id"), "append", "st5")
-    finally:
-        if old:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
-        else:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-    return out.groupBy("after").agg(F.count("*").alias("keys"), F.sum("records").alias("records"))
+    """Four runs by time, then a record a year on: every change of every key with its time and count."""
+    own = jobs.timer_session(spark)
+    return changes_of(in_runs(own, spread_rows(own, sf, "concat('u', user_id)"), _LATER, lambda s: jobs.lifecycle_changes(s, "publisher_id"), "st5", close="2026-01-01"))
 
 
-@query("st6_activity_state", "SELECT 'active' AS state, count(DISTINCT user_id) AS keys, count(*) AS records FROM events")
+@query("st6_activity_state", _WALK % "'c' || (user_id % 97) || event_type")
 def st6(spark, sf):
-    out = run_to_table(spark, jobs.activity_changes(event_stream(spark, sf), "publisher_id"), "append", "st6")
-    return out.filter("after = 'active'").groupBy(F.col("after").alias("state")).agg(F.count("*").alias("keys"), F.sum("records").alias("records"))
+    return changes_of(in_runs(spark, spread_rows(spark, sf, "concat('c', user_id % 97, event_type)"), _LATER, lambda s: jobs.activity_changes(s, "publisher_id"), "st6", close="2026-01-01"))
 
 
 @query("st7_late_and_future", """SELECT CASE WHEN ts > TIMESTAMP '2024-01-25' + INTERVAL 1 DAY THEN 'future-dated' WHEN ts <= TIMESTAMP '2024-01-25' - INTERVAL 35 DAY THEN 'outside-window' ELSE 'accepted' END AS side, count(*) AS records FROM events GROUP BY 1""")
 def st7(spark, sf):
-    ok, bad = jobs.split_by_time(event_stream(spark, sf), "2024-01-25T00:00:00Z")
-    both = ok.select("id", F.lit("accepted").alias("side")).unionByName(bad.select("id", F.col("reason").alias("side")))
-    return run_to_table(spark, both, "append", "st7").groupBy("side").agg(F.count("*").alias("records"))
+    def both(s):
+        ok, bad = jobs.split_by_time(s, "2024-01-25T00:00:00Z")
+        return ok.select("id", F.lit("accepted").alias("side")).unionByName(bad.select("id", F.col("reason").alias("side")))
+    return in_runs(spark, stream_rows(spark, sf), CUTS, both, "st7").groupBy("side").agg(F.count("*").alias("records"))

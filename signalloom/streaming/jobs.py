@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -47,16 +47,31 @@ def anchored_counts(stream: DataFrame, key: str, as_of: str, days: int, ts: str
     return out.select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def sliding_breadth(stream: DataFrame, key: str, as_of: str, ts: str = "ts", publisher: str = "publisher_id", late: str = "1 day",
-                    days: int = 90, step: int = 7) -> DataFrame:
-    """Sliding snapshot of `days` every `step` days: records and approximate publishers (ST4).
+def daily_panes(stream: DataFrame, key: str, as_of: str, ts: str = "ts", publisher: str = "publisher_id", late: str = "1 day") -> DataFrame:
+    """Closed one-day panes, a row per key, publisher and day with its records (ST3, ST4).
 
-    Exact distinct counts are not incremental in a stream; the batch snapshot gives them.
+    Append mode: a pane comes out when the watermark has passed it and then leaves the state, which holds the open
+    days only. Panes end at the time of day of `as_of`.
     """
     shifted = stream.withColumn("_t", F.col(ts) - F.expr("INTERVAL 1 MICROSECOND")).withWatermark("_t", late)
-    w = F.window("_t", f"{days} days", f"{step} days", startTime=window_offset(as_of, days, step))
-    out = shifted.groupBy(w.alias("w"), key).agg(F.count("*").alias("evidence_count"), F.approx_count_distinct(publisher, 0.02).alias("source_count"))
-    return out.select(key, F.col("w.end").alias("as_of"), "evidence_count", "source_count")
+    out = shifted.groupBy(F.window("_t", "1 day", startTime=window_offset(as_of, 1)).alias("w"), key, publisher).agg(F.count("*").alias("n"))
+    return out.select(key, publisher, F.col("w.end").alias("end"), "n")
+
+
+def merge_panes(panes: DataFrame, key: str, as_of: str, days: int, step: int, publisher: str = "publisher_id") -> DataFrame:
+    """Windows of `days` every `step` days, ending at `as_of` and its multiples, from written panes (ST4, ST3 for days = step).
+
+    A pane belongs to the windows that end between its own end and `days - 1` days later; records add up and the
+    distinct publishers are exact, as panes keep them apart.
+    """
+    anchor = int(pd.Timestamp(as_of).timestamp())
+    end = F.unix_timestamp("end")
+    first = F.ceil((end - anchor) / F.lit(step * 86400)).cast("long")
+    last = F.floor((end + (days - 1) * 86400 - anchor) / F.lit(step * 86400)).cast("long")
+    rows = panes.select(key, publisher, "n", F.explode(F.when(first <= last, F.sequence(first, last))).alias("k"))
+    parts = rows.groupBy(key, "k", publisher).agg(F.sum("n").alias("n"))
+    out = parts.groupBy(key, "k").agg(F.sum("n").alias("evidence_count"), F.count("*").alias("source_count"))
+    return out.select(key, F.timestamp_seconds(F.col("k") * (step * 86400) + anchor).alias("as_of"), "evidence_count", "source_count")
 
 
 def late_or_future(ts: Column, as_of: str, lookback: int = REPLAY_DAYS, tolerance: int = 1) -> Column:
@@ -71,51 +86,79 @@ def split_by_time(stream: DataFrame, as_of: str, ts: str = "ts") -> tuple[DataFr
     return coded.filter("reason is null").drop("reason"), coded.filter("reason is not null")
 
 
-class LifecycleProcessor(StatefulProcessor):
-    """Activity state of a direction (ST5, ST6).
+FADING, DORMANT = 30 * 86400000, 90 * 86400000
 
-    A direction is active while records arrive, fading after 30 days without one, dormant after 90,
-    and reactivated by the next record. Only the last stamp, the state and a count are kept per
-    direction, so the state of a direction with very many records is as small as any other.
-    Timers run in event time; a quiet direction changes state without a new record.
+
+def quiet(last: int, stage: str, until: int) -> Iterator[tuple[int, str, str]]:
+    """Changes (at, before, after) that come of silence from the last record until a time."""
+    if stage in ("active", "reactivated") and last + FADING <= until:
+        yield last + FADING, stage, "fading"
+        stage = "fading"
+    if stage == "fading" and last + DORMANT <= until:
+        yield last + DORMANT, "fading", "dormant"
+
+
+def walk(last: int, stage: str, total: int, days: list[tuple[int, int, int]]) -> tuple[int, str, int, list[tuple]]:
+    """The activity machine of ST5 and ST6 over days of records (first, last, n) in the order of time.
+
+    A key is active from its first record, fading after 30 days without one, dormant after 90, and reactivated by the
+    next record until it fades again. Silence between two records of one batch counts as silence between batches
+    does, so the changes don't depend on how records are cut into batches.
     """
+    out = []
+    for first, newest, n in days:
+        if not stage:
+            out.append((first, "", "active", total + n))
+            stage = "active"
+        elif first > last:
+            for at, before, stage in quiet(last, stage, first):  # noqa: B020
+                out.append((at, before, stage, total))
+            if stage in ("fading", "dormant"):
+                out.append((first, stage, "reactivated", total + n))
+                stage = "reactivated"
+        total, last = total + n, max(last, newest)
+    return last, stage, total, out
+
 
-    FADING, DORMANT = 30 * 86400000, 90 * 86400000
+def day_rows(frames: Iterator[pd.DataFrame]) -> list[tuple[int, int, int]]:
+    """(first, last, n) of each day in what a batch brought for a key."""
+    parts = pd.concat(list(frames))
+    days = parts.groupby("day").agg(first=("first", "min"), newest=("newest", "max"), n=("n", "sum")).sort_index()
+    return [(int(r.first), int(r.newest), int(r.n)) for r in days.itertuples()]
+
+
+def _frame(key, rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({"key": [key[0]] * len(rows), "before": [r[1] for r in rows], "after": [r[2] for r in rows],
+                         "at": [pd.Timestamp(r[0], unit="ms") for r in rows], "records": [r[3] for r in rows]})
+
+
+class LifecycleProcessor(StatefulProcessor):
+    """Keyed state (last stamp, stage, count) with event-time timers: a quiet key changes without a new record (ST5)."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("state", "last long, stage string, n long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        newest, n = 0, 0
-        for chunk in rows:
-            n += int(chunk["n"].sum())
-            newest = max(newest, int(chunk["ts"].max().value // 1000000))
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last, stage, total = self.state.get() if self.state.exists() else (0, "", 0)
-        now = "reactivated" if stage in ("fading", "dormant") else "active"
-        last = max(last, newest)
-        self.state.update((last, now, total + n))
-        self._rearm(last)
-        if now != stage:
-            yield self._row(key, stage, now, newest, total + n)
-
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+        last, stage, total, out = walk(last, stage, total, day_rows(rows))
+        self._keep(last, stage, total)
+        if out:
+            yield _frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last, stage, total = self.state.get()
-        due = expired.getExpiryTimeInMs()
-        now = "dormant" if due >= last + self.DORMANT else "fading"
-        if due >= last + self.FADING and now != stage and not (stage == "dormant"):
-            self.state.update((last, now, total))
-            yield self._row(key, stage, now, due, total)
+        out = [(at, before, after, total) for at, before, after in quiet(last, stage, timerValues.getCurrentWatermarkInMs())]
+        if out:
+            self._keep(last, out[-1][2], total)
+            yield _frame(key, out)
 
-    def _rearm(self, last: int) -> None:
+    def _keep(self, last: int, stage: str, total: int) -> None:
+        self.state.update((last, stage, total))
         for old in list(self.handle.listTimers()):
             self.handle.deleteTimer(old)
-        self.handle.registerTimer(last + self.FADING)
-        self.handle.registerTimer(last + self.DORMANT)
-
-    @staticmethod
-    def _row(key, before: str, after: str, at: int, n: int) -> pd.DataFrame:
-        return pd.DataFrame({"key": [key[0]], "before": [before], "after": [after], "at": [pd.Timestamp(at, unit="ms")], "records": [n]})
+        if stage != "dormant":
+            self.handle.registerTimer(last + (DORMANT if stage == "fading" else FADING))
 
     def close(self) -> None:
         pass
@@ -125,48 +168,49 @@ LIFECYCLE_SCHEMA = "key string, before string, after string, at timestamp, recor
 
 
 def combined(stream: DataFrame, key: str, ts: str) -> DataFrame:
-    """Newest stamp and count per key and batch of rows, before anything is shuffled.
+    """First and last stamp and count per key and day in each batch of rows, before anything is shuffled.
 
-    State keeps no more than these two, so a key with a third of all records sends a few rows per
-    task to its state and not its records.
+    A key with a third of all records sends a few rows per task and day to its state and not its records.
     """
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield f.groupby("key", as_index=False).agg(ts=("ts", "max"), n=("n", "sum"))
-    return stream.select(F.col(key).alias("key"), F.col(ts).alias("ts"), F.lit(1).cast("long").alias("n")).mapInPandas(
-        fold, "key string, ts timestamp, n long")
+            yield f.groupby(["key", "day"], as_index=False, dropna=False).agg(ts=("ts", "max"), first=("first", "min"), newest=("newest", "max"), n=("n", "sum"))
+    at = F.unix_millis(ts)
+    return stream.select(F.col(key).alias("key"), F.floor(at / 86400000).cast("long").alias("day"), F.col(ts).alias("ts"), at.alias("first"), at.alias("newest"),
+                         F.lit(1).cast("long").alias("n")).mapInPandas(fold, "key string, day long, ts timestamp, first long, newest long, n long")
+
+
+def timer_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for streams with timers: their state store is no setting of other streams."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return own
 
 
 def lifecycle_changes(stream: DataFrame, key: str, ts: str = "ts", late: str = "1 day") -> DataFrame:
-    """State changes of every direction, driven by records and event-time timers (ST5, ST6)."""
+    """State changes of every direction, driven by records and event-time timers (ST5); run it in a timer_session."""
     keyed = combined(stream, key, ts).withWatermark("ts", late)
     return keyed.groupBy("key").transformWithStateInPandas(
         statefulProcessor=LifecycleProcessor(), outputStructType=LIFECYCLE_SCHEMA, outputMode="append", timeMode="eventTime")
 
 
 def _activity(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    last, stage, total = state.get if state.exists else (0, "", 0)
     if state.hasTimedOut:
-        last, n, stage = state.get
-        now = "dormant" if stage == "fading" else "fading"
-        at = last + (90 if now == "dormant" else 30) * 86400000
-        yield pd.DataFrame({"key": [key[0]], "before": [stage], "after": [now], "at": [pd.Timestamp(at, unit="ms")], "records": [n]})
-        state.update((last, n, now))
-        if now == "fading":
-            state.setTimeoutTimestamp(max(last + 90 * 86400000, state.getCurrentWatermarkMs() + 1))
-        return
-    last, n, stage = state.get if state.exists else (0, 0, "")
-    for f in frames:
-        n += int(f["n"].sum())
-        last = max(last, int(f["ts"].max().value // 1000000))
-    now = "reactivated" if stage in ("fading", "dormant") else "active"
-    state.update((last, n, now))
-    state.setTimeoutTimestamp(max(last + 30 * 86400000, state.getCurrentWatermarkMs() + 1))
-    if now != stage:
-        yield pd.DataFrame({"key": [key[0]], "before": [stage], "after": [now], "at": [pd.Timestamp(last, unit="ms")], "records": [n]})
+        out = [(at, before, after, total) for at, before, after in quiet(last, stage, state.getCurrentWatermarkMs())]
+        stage = out[-1][2] if out else stage
+    else:
+        last, stage, total, out = walk(last, stage, total, day_rows(frames))
+    state.update((last, stage, total))
+    if stage != "dormant":
+        state.setTimeoutTimestamp(max(last + (DORMANT if stage == "fading" else FADING), state.getCurrentWatermarkMs() + 1))
+    if out:
+        yield _frame(key, out)
 
 
 def activity_changes(stream: DataFrame, key: str, ts: str = "ts", late: str = "1 day") -> DataFrame:
-    """The same changes through grouped state, for clusters without the newer state store API."""
+    """The same machine for candidates (ST6) on grouped state, which needs no state store of its own."""
     keyed = combined(stream, key, ts).withWatermark("ts", late)
     return keyed.groupBy("key").applyInPandasWithState(
-        _activity, LIFECYCLE_SCHEMA, "last long, n long, stage string", "append", GroupStateTimeout.EventTimeTimeout)
+        _activity, LIFECYCLE_SCHEMA, "last long, stage string, n long", "append", GroupStateTimeout.EventTimeTimeout)
