@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from signalloom.functions import constants as C
+from signalloom.functions import constants as C, text as X
 from signalloom.functions.arrays import explode_rows
 from signalloom.operators import concepts as N, discover as G, graph, quality as Q
 from signalloom.plans import demo, stages
@@ -114,12 +114,29 @@ def t09(spark, sf):
     return d.select("id", "r.subject_id", "r.predicate", "r.object_id")
 
 
-@query("t10_concept_documents", f"""WITH RECURSIVE {MINE_SQL}, {REL_SQL} SELECT items.id, items.source_id, array_to_string(theme_ids, ',') AS theme_ids, (SELECT count(DISTINCT nid) FROM nd WHERE nd.id = items.id AND kind IN ('theme','primitive','emergent-phrase')) AS concepts,
-  (SELECT count(*) FROM en WHERE en.id = items.id) AS entities, (SELECT count(DISTINCT aid) FROM ac WHERE ac.id = items.id) AS actions, (SELECT count(*) FROM rl WHERE rl.id = items.id) AS relationships FROM items""")
-def t10(spark, sf):
+_DOC_SQL = """dc AS (SELECT items.id, items.source_id, array_to_string(list_sort(theme_ids), ',') AS theme_ids, (SELECT string_agg(DISTINCT nid, ',' ORDER BY nid) FROM nd WHERE nd.id = items.id AND kind IN ('theme','primitive','emergent-phrase')) AS concepts,
+  (SELECT string_agg(nid || '=' || label, ',' ORDER BY nid) FROM en WHERE en.id = items.id) AS entities, (SELECT string_agg(DISTINCT aid, ',' ORDER BY aid) FROM ac WHERE ac.id = items.id) AS actions,
+  (SELECT string_agg(subject_id || '>' || predicate || '>' || object_id, ',' ORDER BY subject_id || '>' || predicate || '>' || object_id) FROM rl WHERE rl.id = items.id) AS relationships,
+  (SELECT string_agg(t, ',' ORDER BY t) FROM (SELECT nid || ':' || norm AS t FROM pt, lx WHERE pt.id = items.id AND contains(p, ' ' || norm || ' ') UNION SELECT aid || ':' || norm FROM pt, ax WHERE pt.id = items.id AND contains(p, ' ' || norm || ' '))) AS terms FROM items)"""
+
+
+def document_lists(spark, sf):
+    """The content of each concept document as text."""
     d = stages.concept_docs(spark, sf)
-    n = lambda c: F.size(c).cast("long").alias(c)
-    return d.select(F.col("evidence_id").alias("id"), "source_id", F.array_join("theme_ids", ",").alias("theme_ids"), n("concepts"), n("entities"), n("actions"), n("relationships"))
+    joined = lambda items: F.nullif(F.array_join(F.array_sort(items), ","), F.lit(""))
+    ids = lambda c: F.transform(c, lambda x: x["id"])
+    matched = lambda c: F.flatten(F.transform(c, lambda x: F.transform(x["matched_terms"], lambda t: F.concat(x["id"], F.lit(":"), X.normalized_text(t)))))
+    named = F.filter("concepts", lambda c: c["kind"].isin("theme", "primitive"))
+    return d.select(
+        F.col("evidence_id").alias("id"), "source_id", F.array_join("theme_ids", ",").alias("theme_ids"), joined(F.array_distinct(ids(F.col("concepts")))).alias("concepts"),
+        joined(F.transform("entities", lambda x: F.concat(x["id"], F.lit("="), x["label"]))).alias("entities"), joined(ids(F.col("actions"))).alias("actions"),
+        joined(F.transform("relationships", lambda r: F.concat_ws(">", r["subject_id"], r["predicate"], r["object_id"]))).alias("relationships"),
+        joined(F.array_distinct(F.concat(matched(named), matched(F.col("actions"))))).alias("terms"), N.document_signature().alias("signature"))
+
+
+@query("t10_concept_documents", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {_DOC_SQL} SELECT * FROM dc")
+def t10(spark, sf):
+    return document_lists(spark, sf).drop("signature")
 
 
 @query("a24_concept_index", f"WITH RECURSIVE {MINE_SQL} SELECT nid AS id, max(label) AS label, max(kind) AS kind, count(DISTINCT id) AS document_count, count(DISTINCT source_id) AS source_count FROM nd GROUP BY 1".replace("SELECT nid AS id, max(label)", "SELECT nid AS id, max(label)").replace("count(DISTINCT id) AS document_count", "count(DISTINCT nd.id) AS document_count"))
@@ -132,21 +149,17 @@ def a25(spark, sf):
     return N.relationship_index(stages.concept_docs(spark, sf))
 
 
-@query("n20_document_signatures", f"WITH RECURSIVE {ITEMS_SQL} SELECT count(*) AS documents, 64 AS hash_length FROM items")
+@query("n20_document_signatures", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {_DOC_SQL} SELECT id, min(id) OVER (PARTITION BY theme_ids, concepts, entities, actions, relationships, terms) AS first_alike, 64 AS hash_length FROM dc")
 def n20(spark, sf):
-    d = stages.concept_docs(spark, sf).select(N.document_signature().alias("s"))
-    return d.agg(F.count("*").alias("documents"), F.max(F.length("s")).alias("hash_length"))
+    """Documents of equal content, and only these, have equal signatures."""
+    d = document_lists(spark, sf).select("id", "signature")
+    first = d.groupBy("signature").agg(F.min("id").alias("first_alike"))
+    return d.join(first, "signature").select("id", "first_alike", F.length("signature").alias("hash_length"))
 
 
 @query("t11_catalog_changes", f"""WITH RECURSIVE {ITEMS_SQL} SELECT CASE WHEN ts > {demo.AS_OF_SQL} - INTERVAL 7 DAY THEN 'added' WHEN CAST(substr(id, 5) AS BIGINT) IN (SELECT doc_id FROM labels) THEN 'changed' ELSE 'unchanged' END AS change, count(*) AS documents FROM items GROUP BY 1""")
 def t11(spark, sf):
-    docs = stages.concept_docs(spark, sf)
-    now = stages.eligible(spark, sf).select("id", "fingerprint", "ts")
-    lab = demo.table(spark, sf, "labels").select(F.concat(F.lit("doc:"), "doc_id").alias("id")).distinct().withColumn("lab", F.lit(True))
-    sig = docs.select(F.col("evidence_id").alias("id"), N.document_signature().alias("signature"))
-    before = now.filter(F.col("ts") <= F.lit("2024-06-13T00:00:00Z").cast("timestamp")).join(lab, "id", "left").join(sig, "id")
-    before = before.select("id", F.when(F.col("lab"), "other").otherwise(F.col("fingerprint")).alias("fingerprint"), "signature")
-    return N.catalog_changes(docs, now, before).groupBy("change").agg(F.count("*").alias("documents"))
+    return stages.catalog_changes(spark, sf).groupBy("change").agg(F.count("*").alias("documents"))
 
 
 @query("t12_vocabulary_gaps", f"WITH {EVC_SQL}, wt AS (SELECT * FROM cl WHERE disposition = 'classification-review'), {token_sql('wt')} SELECT phrase, df FROM pf")
@@ -167,31 +180,15 @@ re AS (SELECT anchor_id AS a, anchor_id AS b FROM an UNION SELECT re.a, bo.b FRO
 co AS (SELECT a AS id, min(b) AS component FROM re GROUP BY 1)"""
 
 
-@stages.shared("postings")
-def postings(spark, sf):
-    return graph.anchor_postings(stages.concept_docs(spark, sf), CLUSTERS)
-
-
-@stages.shared("anchors")
-def anchor_index(spark, sf):
-    return graph.anchors(postings(spark, sf), stages.concept_docs(spark, sf).count(), CLUSTERS)
-
-
 def graph_parts(spark, sf):
-    index = anchor_index(spark, sf)
-    return stages.concept_docs(spark, sf), postings(spark, sf).join(index.select("anchor_id"), "anchor_id", "left_semi"), index
-
-
-@stages.shared("components")
-def component_table(spark, sf):
-    _, kept, index = graph_parts(spark, sf)
-    return graph.connected_components(index.select(F.col("anchor_id").alias("id")), graph.overlap_edges(kept, index, CLUSTERS))
+    index = stages.anchor_index(spark, sf)
+    return stages.concept_docs(spark, sf), stages.postings(spark, sf).join(index.select("anchor_id"), "anchor_id", "left_semi"), index
 
 
 @stages.shared("capped")
 def capped_table(spark, sf):
     docs, kept, _ = graph_parts(spark, sf)
-    return graph.cluster_documents(component_table(spark, sf), kept, docs, demo.sources(spark), CLUSTERS)[1]
+    return graph.cluster_documents(stages.components(spark, sf), kept, docs, demo.sources(spark), CLUSTERS)[1]
 
 
 @query("g02_anchor_index", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL} SELECT * FROM an")
@@ -207,28 +204,33 @@ def g03(spark, sf):
 
 @query("g04_components", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL}, {EDGE_SQL}, {COMP_SQL} SELECT id, component FROM co")
 def g04(spark, sf):
-    return component_table(spark, sf)
+    return stages.components(spark, sf)
 
 
-@query("g04_supplier_components", """WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, o_orderpriority || ':' || strftime(o_orderdate, '%Y-%m-%d') AS b FROM orders), n AS (SELECT 'c' || a AS a, b FROM e), bo AS (SELECT a AS x, b AS y FROM n UNION ALL SELECT b, a FROM n),
-re AS (SELECT DISTINCT a AS v, a AS r FROM n UNION SELECT bo.y, re.r FROM re JOIN bo ON bo.x = re.v)
-SELECT min_r AS component, count(*) AS vertices FROM (SELECT v, min(r) AS min_r FROM re WHERE r IN (SELECT min(a) FROM n) GROUP BY v) GROUP BY 1""")
+@query("g04_supplier_components", """WITH RECURSIVE n AS (SELECT DISTINCT 's' || l_suppkey AS a, 'o' || l_orderkey AS b FROM lineitem WHERE l_suppkey % 7 = l_orderkey % 7 AND l_orderkey % 3 = 0),
+bo AS (SELECT a AS x, b AS y FROM n UNION ALL SELECT b, a FROM n), re AS (SELECT DISTINCT x AS v, x AS r FROM bo UNION SELECT bo.y, re.r FROM re JOIN bo ON bo.x = re.v)
+SELECT v AS id, min(r) AS component FROM re GROUP BY 1""")
 def g04s(spark, sf):
-    o = demo.table(spark, sf, "orders")
-    e = o.select(F.concat(F.lit("c"), "o_custkey").alias("left_id"), F.concat_ws(":", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("right_id")).distinct()
+    """Suppliers and orders as a sparse graph of many components: the component of every vertex."""
+    li = demo.table(spark, sf, "lineitem").filter("l_suppkey % 7 = l_orderkey % 7 and l_orderkey % 3 = 0")
+    e = li.select(F.concat(F.lit("s"), "l_suppkey").alias("left_id"), F.concat(F.lit("o"), "l_orderkey").alias("right_id")).distinct()
     v = e.select(F.col("left_id").alias("id")).unionByName(e.select(F.col("right_id").alias("id"))).distinct()
-    c = graph.connected_components(v, e)
-    root = c.join(e.agg(F.min("left_id").alias("id")), "id").select("component")
-    one = c.join(root, "component").groupBy("component").agg(F.count("*").alias("vertices"))
-    return one.select(e.agg(F.min("left_id")).scalar().alias("component"), "vertices")
+    return graph.connected_components(v, e)
 
 
-CAP_SQL = f"""mb AS (SELECT DISTINCT component, kp.id FROM kp JOIN co ON co.id = kp.anchor_id), sz AS (SELECT component, count(*) AS raw FROM mb GROUP BY 1 HAVING count(*) <= 80),
+CAP_SQL = f"""mb AS (SELECT DISTINCT component, kp.id FROM kp JOIN co ON co.id = kp.anchor_id), sz AS (SELECT component, count(*) AS raw FROM mb GROUP BY 1),
 rk AS (SELECT component, raw, items.id, items.source_id, coalesce(s.publisher_id, items.source_id) AS pub, coalesce(nullif(list_position({_q(C.PREFERRED_CHANNELS)}, s.channel), 0), 15) AS cr, ts::DATE AS d FROM mb JOIN sz USING (component) JOIN items ON items.id = mb.id LEFT JOIN src s ON s.id = items.source_id),
 k1 AS (SELECT * FROM rk QUALIFY row_number() OVER (PARTITION BY component, source_id ORDER BY cr, d DESC, id) <= 2), k2 AS (SELECT * FROM k1 QUALIFY row_number() OVER (PARTITION BY component, pub ORDER BY cr, d DESC, id) <= 2),
 cp AS (SELECT component, raw, count(*) AS capped, count(DISTINCT source_id) AS sources FROM k2 GROUP BY 1, 2 HAVING count(*) >= 2 AND count(DISTINCT source_id) >= 2)"""
 
 
+@query("g05_overbroad_components", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL}, {EDGE_SQL}, {COMP_SQL}, {CAP_SQL} SELECT component, raw AS raw_count, 'over-broad:4' AS reason FROM sz WHERE raw > 4")
+def g05_over(spark, sf):
+    """What a bound on the documents of a component would leave out, as rows."""
+    _, kept, _ = graph_parts(spark, sf)
+    return graph.overbroad_components(stages.components(spark, sf), kept, graph.ClusterPolicy(maximum_cluster_documents=4))
+
+
 @query("g05_capped_clusters", f"WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL}, {EDGE_SQL}, {COMP_SQL}, {CAP_SQL} SELECT * FROM cp")
 def g05(spark, sf):
     n = capped_table(spark, sf).groupBy("component").agg(F.first("raw_count").alias("raw"), F.count("*").alias("capped"), F.count_distinct("source_id").alias("sources"))
@@ -237,7 +239,7 @@ def g05(spark, sf):
 
 def _features(spark, sf):
     capped = capped_table(spark, sf)
-    return capped, graph.context_features(capped, stages.concept_docs(spark, sf), component_table(spark, sf), CLUSTERS)
+    return capped, graph.context_features(capped, stages.concept_docs(spark, sf), stages.components(spark, sf), CLUSTERS)
 
 
 @query("g06_context_features", f"""WITH RECURSIVE {MINE_SQL}, {REL_SQL}, {ANCHOR_SQL}, {EDGE_SQL}, {COMP_SQL}, {CAP_SQL}, cd AS (SELECT k2.component, k2.id FROM k2 JOIN cp USING (component)),
@@ -259,7 +261,7 @@ zp AS (SELECT component, x AS id, min(y) AS part FROM rc GROUP BY 1, 2),
 zb AS (SELECT component, part FROM zp JOIN cd USING (component, id) GROUP BY 1, 2 HAVING count(*) >= 2 AND count(DISTINCT source_id) >= 2 QUALIFY row_number() OVER (PARTITION BY component ORDER BY count(DISTINCT source_id) DESC, count(*) DESC, min(id)) = 1),
 core AS (SELECT zp.component, id FROM zp JOIN zb USING (component, part))"""
 CLUSTER_SQL = f"""zf(channel, family) AS (VALUES {_DFAM}),
-zr AS (SELECT cd.*, items.source_type, coalesce(family, items.source_type) AS family, cd.component IN (SELECT component FROM core) AS has_core FROM cd JOIN items ON items.id = cd.id LEFT JOIN zf ON zf.channel = items.source_type
+zr AS (SELECT cd.*, items.source_type, coalesce(family, items.source_type) AS family, cd.component IN (SELECT component FROM core) AS has_core, items.ts > {demo.AS_OF_SQL} - INTERVAL 7 DAY OR items.id IN (SELECT 'doc:' || doc_id FROM labels) AS chg FROM cd JOIN items ON items.id = cd.id LEFT JOIN zf ON zf.channel = items.source_type
   WHERE cd.component NOT IN (SELECT component FROM core) OR (cd.component, cd.id) IN (SELECT (component, id) FROM core)),
 zs AS (SELECT co.component, kp.anchor_id, count(*) AS d, count(DISTINCT zr.source_id) AS s FROM kp JOIN co ON co.id = kp.anchor_id JOIN zr ON zr.component = co.component AND zr.id = kp.id GROUP BY 1, 2),
 zl AS (SELECT anchor_id, min(label) AS label, min(kind) AS kind FROM po GROUP BY 1),
@@ -268,7 +270,7 @@ zg AS (SELECT component, list_sort(list(anchor_id)) AS anchors, max(d) AS top, l
 zu AS (SELECT component, max(n) AS dominant FROM (SELECT component, pub, count(*) AS n FROM zr GROUP BY 1, 2) GROUP BY 1),
 zt AS (SELECT component, count(*) FILTER (WHERE n >= 2) AS recurring FROM (SELECT component, t, count(*) AS n FROM zr JOIN items ON items.id = zr.id, unnest(theme_ids) u(t) GROUP BY 1, 2) GROUP BY 1),
 zm AS (SELECT component, count(*) AS n, count(DISTINCT zr.source_id) AS sources, count(DISTINCT family) AS families, count_if(family IN ('builders','research','engineering')) AS technical, any_value(raw) AS raw, any_value(capped) AS capped,
-  bool_or(has_core) AS coherent, list_sort(list(zr.id)) AS ids FROM zr GROUP BY 1),
+  bool_or(has_core) AS coherent, list_sort(list(zr.id)) AS ids, count_if(chg) AS changed FROM zr GROUP BY 1),
 zc AS (SELECT 'discovery:' || coalesce(nullif(substr({SLUG_SQL % "regexp_replace(anchors[1], '^[^:]*:', '')"}, 1, 42), ''), 'pattern') || '-' || substr(sha256(array_to_string(anchors, '|')), 1, 10) AS id, zm.*, anchors, kinds, dominant, round_even(top / n, 3) AS share, coalesce(recurring, 0) AS recurring
   FROM zm JOIN zg USING (component) JOIN zu USING (component) LEFT JOIN zt USING (component)),
 zo AS (SELECT *, row_number() OVER (ORDER BY families DESC, sources DESC, n DESC, id) AS rn FROM zc),
@@ -313,7 +315,7 @@ def g08(spark, sf):
     return c.select("id", F.array_join(F.array_sort("anchor_ids"), "|").alias("anchors"), (F.col("id") == graph.cluster_id(F.array_sort("anchor_ids"))).alias("stable"))
 
 
-@query("a21_cluster_metrics", f"WITH RECURSIVE {GRAPH_SQL}, {CLUSTER_SQL} SELECT id, n AS evidence_count, n AS independent_event_count, sources AS source_count, families AS source_family_count, technical AS technical_record_count, round_even(dominant / n, 3) AS dominant_publisher_share, raw AS raw_evidence_count, capped AS capped_evidence_count, n AS changed_evidence_count FROM zk")
+@query("a21_cluster_metrics", f"WITH RECURSIVE {GRAPH_SQL}, {CLUSTER_SQL} SELECT id, n AS evidence_count, n AS independent_event_count, sources AS source_count, families AS source_family_count, technical AS technical_record_count, round_even(dominant / n, 3) AS dominant_publisher_share, raw AS raw_evidence_count, capped AS capped_evidence_count, changed AS changed_evidence_count FROM zk")
 def a21(spark, sf):
     return stages.clusters(spark, sf).select("id", "metrics.*")
 
@@ -348,14 +350,14 @@ def g10(spark, sf):
     return stages.clusters(spark, sf).groupBy("disposition", "nearest_id", "nearest_basis").agg(F.count("*").alias("clusters"))
 
 
-@query("g11_discovery_records", f"""{FULL_SQL}, gs AS (SELECT zz.*, disposition, CASE WHEN n >= 3 AND sources >= 3 AND families >= 2 AND round_even(dominant / n, 3) <= 0.5 THEN 'candidate' WHEN n >= 2 AND sources >= 2 THEN 'spark' END AS gate FROM zz JOIN x5 ON x5.id = zz.id WHERE spark_ok AND disposition IN ('novel','cross-theme-extension'))
+@query("g11_discovery_records", f"""{FULL_SQL}, gs AS (SELECT zz.*, disposition, CASE WHEN n >= 3 AND sources >= 3 AND families >= 2 AND round_even(dominant / n, 3) <= 0.5 THEN 'candidate' WHEN n >= 2 AND sources >= 2 THEN 'spark' END AS gate FROM zz JOIN x5 ON x5.id = zz.id WHERE spark_ok AND changed > 0 AND disposition IN ('novel','cross-theme-extension'))
 SELECT disposition, CASE WHEN gate = 'candidate' AND NOT candidate_ok THEN 'spark' ELSE gate END AS state, count(*) AS records, 0 AS broken FROM gs WHERE gate IS NOT NULL GROUP BY 1, 2""")
 def g11(spark, sf):
     r = G.discovery_records(stages.clusters(spark, sf))
     return r.groupBy("disposition", "state").agg(F.count("*").alias("records"), F.count_if(F.size("violations") > 0).alias("broken"))
 
 
-@query("g12_merge_suggestions", f"{FULL_SQL} SELECT x5.id, disposition, nearest_id, nearest_basis, true AS materially_changed FROM x5 JOIN zk ON zk.id = x5.id WHERE disposition IN ('merge-existing-direction','covered-by-existing-theme')")
+@query("g12_merge_suggestions", f"{FULL_SQL} SELECT x5.id, disposition, nearest_id, nearest_basis, changed > 0 AS materially_changed FROM x5 JOIN zk ON zk.id = x5.id WHERE disposition IN ('merge-existing-direction','covered-by-existing-theme')")
 def g12(spark, sf):
     return G.merge_suggestions(stages.clusters(spark, sf)).select("id", "disposition", "nearest_id", "nearest_basis", "materially_changed")
 
@@ -368,6 +370,6 @@ def w15(spark, sf):
     return c.select("id", F.size("anchors").alias("anchors"), F.size("theme_ids").alias("themes"), F.array_join("context_features", ",").alias("context"))
 
 
-@query("m07_discovery_review", f"{FULL_SQL} SELECT count(*) AS cluster_count, count_if(coherent) AS coherent_cluster_count, count_if(spark_ok) AS quality_eligible_cluster_count, count_if(disposition NOT IN ('novel','cross-theme-extension')) AS explained_cluster_count, count_if(spark_ok AND disposition IN ('novel','cross-theme-extension')) AS unexplained_quality_eligible_count FROM zz JOIN x5 ON x5.id = zz.id")
+@query("m07_discovery_review", f"{FULL_SQL} SELECT count(*) AS cluster_count, count_if(coherent) AS coherent_cluster_count, count_if(spark_ok) AS quality_eligible_cluster_count, count_if(disposition NOT IN ('novel','cross-theme-extension')) AS explained_cluster_count, count_if(spark_ok AND changed > 0 AND disposition IN ('novel','cross-theme-extension')) AS unexplained_quality_eligible_count FROM zz JOIN x5 ON x5.id = zz.id")
 def m07(spark, sf):
     return G.run_summary(stages.clusters(spark, sf))

@@ -91,11 +91,41 @@ def theme_rules() -> list[dict]:
     return [{"id": t[0], "name": t[1], "aliases": t[2], "terms": t[3]} for t in demo.THEMES]
 
 
-CLUSTERS = graph.ClusterPolicy(maximum_cluster_documents=80)  # the bound that the SQL of the queries states
+CLUSTERS = graph.ClusterPolicy()
+
+
+@shared("postings")
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.anchor_postings(concept_docs(spark, sf_dir), CLUSTERS)
+
+
+@shared("anchors")
+def anchor_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.anchors(postings(spark, sf_dir), concept_docs(spark, sf_dir).count(), CLUSTERS)
+
+
+@shared("components")
+def components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = anchor_index(spark, sf_dir)
+    kept = postings(spark, sf_dir).join(index.select("anchor_id"), "anchor_id", "left_semi")
+    return graph.connected_components(index.select(F.col("anchor_id").alias("id")), graph.overlap_edges(kept, index, CLUSTERS))
+
+
+@shared("catalog-changes")
+def catalog_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T11 against a catalog a week old in which the labelled documents read otherwise."""
+    docs = concept_docs(spark, sf_dir)
+    now = eligible(spark, sf_dir).select("id", "fingerprint", "ts")
+    lab = demo.table(spark, sf_dir, "labels").select(F.concat(F.lit("doc:"), "doc_id").alias("id")).distinct().withColumn("lab", F.lit(True))
+    sig = docs.select(F.col("evidence_id").alias("id"), N.document_signature().alias("signature"))
+    before = now.filter(F.col("ts") <= F.lit("2024-06-13T00:00:00Z").cast("timestamp")).join(lab, "id", "left").join(sig, "id")
+    before = before.select("id", F.when(F.col("lab"), "other").otherwise(F.col("fingerprint")).alias("fingerprint"), "signature")
+    return N.catalog_changes(docs, now, before)
 
 
 @shared("clusters")
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = concept_docs(spark, sf_dir)
-    changed = docs.select(F.col("evidence_id").alias("id"))
-    return G.build_clusters(docs, demo.sources(spark), changed, DIRECTIONS, theme_rules(), CLUSTERS, docs.count())
+    changed = catalog_changes(spark, sf_dir).filter(F.col("change").isin("added", "changed")).select("id")
+    tables = postings(spark, sf_dir), anchor_index(spark, sf_dir), components(spark, sf_dir)
+    return G.build_clusters(docs, demo.sources(spark), changed, DIRECTIONS, theme_rules(), CLUSTERS, docs.count(), tables)
