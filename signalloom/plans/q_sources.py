@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from signalloom.functions import constants as C, dates as D, text as X
-from signalloom.operators import change as H, dedup, resolve as V
+from signalloom.operators import change as H, dedup, quality as Q, resolve as V
 from signalloom.plans import demo
 from signalloom.plans.demo import EV_SQL, evidence, spread, table
 from signalloom.session import cut_lineage, shared_dir
-from signalloom.sources import feeds, landing, records, web
+from signalloom.sources import feeds, landing, records, rows, web
 from signalloom.streaming import jobs, upserts
 
 QUERIES, ORACLE = {}, {}
@@ -65,10 +65,11 @@ def s04(spark, sf):
   md5(trim(regexp_replace(summary, '\\s+', ' ', 'g'))) AS summary_hash, source_id AS author FROM ev WHERE title <> ''""")
 def s05(spark, sf):
     e = evidence(spark, sf)
-    item = F.concat(F.lit("<rss><channel><title>x</title><item><title>"), esc(F.col("title")), F.lit("</title><link>https://example.org/d/"), F.col("id"),
+    item = F.concat(F.lit("<item><title>"), esc(F.col("title")), F.lit("</title><link>https://example.org/d/"), F.col("id"),
                     F.lit('</link><guid isPermaLink="false">g-'), F.col("id"), F.lit("</guid><pubDate>"), F.date_format("ts", "E, dd MMM yyyy HH:mm:ss '+0000'"),
-                    F.lit("</pubDate><dc:creator>"), F.col("source_id"), F.lit("</dc:creator><description>"), esc(esc(F.col("summary"))), F.lit("</description></item></channel></rss>"))
-    out = feeds.rss_items(e.select("source_id", "source_type", item.alias("payload")), "payload")
+                    F.lit("</pubDate><dc:creator>"), F.col("source_id"), F.lit("</dc:creator><description>"), esc(esc(F.col("summary"))), F.lit("</description></item>"))
+    feed = e.groupBy("source_id", "source_type", F.floor(F.col("doc_id") / 200).alias("n")).agg(F.array_join(F.collect_list(item), "").alias("items"))
+    out = feeds.rss_items(feed.select("source_id", "source_type", F.concat(F.lit("<rss><channel><title>x</title>"), "items", F.lit("</channel></rss>")).alias("payload")), "payload")
     return out.select("id", F.md5("title").alias("title_hash"), "url", "published_at", F.md5("summary").alias("summary_hash"), F.get("authors", F.lit(0)).alias("author"))
 
 
@@ -149,13 +150,29 @@ def _head():
             .when(k == 2, F.concat(F.lit('<script type="application/ld+json">{"headline":"H'), i, F.lit('","description":"LD'), i, F.lit('","datePublished":"2024-05-06"}</script>'))).otherwise(F.lit("")))
 
 
-@query("s11_repositories", """SELECT 'repo:' || p_partkey AS id, p_brand || '/' || p_name AS title, p_size AS stars, CASE WHEN p_size % 2 = 0 THEN 'MIT' END AS license, p_type AS tags FROM part""")
+def flat(df):
+    """Evidence rows with their lists and metadata as text."""
+    entries = F.array_sort(F.transform(F.map_entries("metadata"), lambda m: F.concat(m["key"], F.lit("="), m["value"])))
+    return df.select("id", "source_id", "source_type", "title", "url", "published_at", "summary", *[F.array_join(c, "|").alias(c) for c in rows.LISTS], "sponsor_status",
+                     F.array_join(entries, ";").alias("metadata"))
+
+
+def payloads(df, item, name: str, key: str, size: int = 20):
+    """Payloads of several items each, in a JSON field."""
+    n = F.floor(F.col(key) / size)
+    listed = F.transform(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), item.alias("item")))), lambda x: x["item"])
+    return df.groupBy(n.alias("n")).agg(listed.alias("items")).select(F.struct(F.col("items").alias(name)).alias("s"))
+
+
+@query("s11_repositories", """SELECT 'repo:' || p_partkey AS id, 'repositories' AS source_id, 'repository' AS source_type, p_brand || '/' || p_name AS title, 'https://x.example/r' || p_partkey AS url, '2024-01-0' || (1 + p_partkey % 9) AS published_at,
+  CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_type END AS summary, p_brand AS authors, p_type || '|x' AS tags, p_brand || '/' || p_name AS projects, '' AS event_ids, '' AS artifact_urls, 'unknown' AS sponsor_status,
+  concat_ws(';', 'forks=' || (p_partkey % 7), CASE WHEN p_size % 2 = 0 THEN 'license=MIT' END, CASE WHEN p_partkey % 4 <> 0 THEN 'pushed_at=2024-02-01' END, 'query_id=q1', 'stars=' || p_size) AS metadata FROM part""")
 def s11(spark, sf):
-    p = table(spark, sf, "part")
-    repo = F.struct(F.col("p_partkey").alias("id"), F.concat_ws("/", "p_brand", "p_name").alias("full_name"), F.lit("https://x.example/r").alias("html_url"), F.col("p_size").cast("long").alias("stargazers_count"),
-                    F.array("p_type").alias("topics"), F.when(F.col("p_size") % 2 == 0, F.struct(F.lit("MIT").alias("spdx_id"))).alias("license"))
-    r = records.repositories(p.select(F.to_json(F.struct(F.array(repo).alias("items"))).alias("j")), "j")
-    return r.select("id", "title", "stars", "license", F.array_join("tags", ",").alias("tags"))
+    p, k = table(spark, sf, "part"), F.col("p_partkey")
+    repo = F.struct(k.alias("id"), F.concat_ws("/", "p_brand", "p_name").alias("full_name"), F.concat(F.lit("https://x.example/r"), k).alias("html_url"), F.col("p_size").cast("long").alias("stargazers_count"),
+                    F.when(k % 3 != 0, F.col("p_type")).alias("description"), F.concat(F.lit("2024-01-0"), 1 + k % 9).alias("created_at"), F.when(k % 4 != 0, "2024-02-01").alias("pushed_at"), (k % 7).alias("forks_count"),
+                    F.array(F.col("p_type"), F.lit("x")).alias("topics"), F.struct(F.col("p_brand").alias("login")).alias("owner"), F.when(F.col("p_size") % 2 == 0, F.struct(F.lit("MIT").alias("spdx_id"))).alias("license"))
+    return flat(records.repositories(payloads(p, repo, "items", "p_partkey").select(F.to_json("s").alias("j")), "j", query_id="q1"))
 
 
 @query("s12_forum_posts", """WITH f AS (SELECT o_custkey AS id, arg_min(o_orderkey, o_orderkey) AS k FROM orders GROUP BY 1)
@@ -179,54 +196,82 @@ def s13(spark, sf):
     return records.papers(p.select(F.to_json(doc).alias("j")), "j", "https://papers.example/").select("id", "url", "published_at", "summary")
 
 
-@query("s14_companies", """SELECT 'company:' || c_custkey AS id, c_name || ' (' || c_mktsegment || ')' AS title, 'https://dir.example/s' || c_custkey AS url, c_mktsegment || '. "Q" & co' AS summary FROM customer WHERE c_custkey <> 0""")
+@query("s14_companies", """SELECT 'company:' || c_custkey AS id, 'companies' AS source_id, 'company-directory' AS source_type, c_name || ' (' || c_mktsegment || ')' AS title, 'https://dir.example/s' || c_custkey AS url, '2024-06-20' AS published_at,
+  c_mktsegment || '. "Q" & co' AS summary, '' AS authors, 'b2b|batch:' || lower(c_mktsegment) AS tags, c_name AS projects, '' AS event_ids, '' AS artifact_urls, 'first-party-directory' AS sponsor_status,
+  concat_ws(';', 'batch=' || c_mktsegment, 'date_basis=first-observed', CASE WHEN c_custkey % 2 = 0 THEN 'github_url=https://git.example/' || c_custkey END, 'location=Nation ' || c_nationkey, CASE WHEN c_custkey % 5 = 0 THEN 'status=Inactive' ELSE 'status=Active' END, 'team_size=' || (c_custkey % 50)) AS metadata
+FROM customer WHERE c_custkey <> 0""")
 def s14(spark, sf):
-    c = table(spark, sf, "customer")
-    one = F.struct(F.col("c_custkey").alias("id"), F.concat(F.lit("s"), "c_custkey").alias("slug"), F.col("c_name").alias("name"), F.lower("c_mktsegment").alias("batch_name"),
-                   F.col("c_mktsegment").alias("one_liner"), F.lit('"Q" & co').alias("long_description"))
-    js = F.to_json(F.struct(F.struct(F.array(one).alias("companies")).alias("props")))
-    attr = F.replace(F.replace(js, F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
+    c, k = table(spark, sf, "customer"), F.col("c_custkey")
+    one = F.struct(k.alias("id"), F.concat(F.lit("s"), k).alias("slug"), F.col("c_name").alias("name"), F.lower("c_mktsegment").alias("batch_name"), F.array(F.lit("b2b"), F.lit(" ")).alias("tags"),
+                   F.col("c_mktsegment").alias("one_liner"), F.lit('"Q" & co').alias("long_description"), F.when(k % 5 == 0, "Inactive").otherwise("Active").alias("ycdc_status"), (k % 50).alias("team_size"),
+                   F.concat(F.lit("Nation "), "c_nationkey").alias("location"), F.when(k % 2 == 0, F.concat(F.lit("https://git.example/"), k)).alias("github_url"))
+    js = payloads(c, one, "companies", "c_custkey").select(F.to_json(F.struct(F.col("s").alias("props"))).alias("js"))
+    attr = F.replace(F.replace("js", F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
     page = F.concat(F.lit('<html><div id="app" data-page="'), attr, F.lit('"></div></html>'))
-    r = records.companies(c.select(page.alias("html")), web.data_page(F.col("html")), "2024-06-20", "https://dir.example/")
-    return r.select("id", "title", "url", "summary")
+    return flat(records.companies(js.select(page.alias("html")), web.data_page(F.col("html")), "2024-06-20", "https://dir.example/"))
 
 
-@query("s15_job_postings", """SELECT 'job:' || s_suppkey AS id, s_name || ': Engineer ' || s_nationkey AS title, CASE s_suppkey % 4 WHEN 0 THEN '2024-06-17' WHEN 1 THEN '2024-04-21' WHEN 2 THEN '2024-01-05' ELSE '' END AS published_at, 'https://jobs.example/j/' || s_suppkey AS url FROM supplier WHERE s_suppkey <> 0 AND (s_nationkey = 3 OR s_nationkey = 7 OR s_nationkey % 2 = 0)""")
+@query("s15_job_postings", """SELECT 'job:' || s_suppkey AS id, 'jobs' AS source_id, 'job-posting' AS source_type, s_name || ': Engineer ' || s_nationkey AS title, 'https://jobs.example/j/' || s_suppkey AS url,
+  CASE s_suppkey % 4 WHEN 0 THEN '2024-06-17' WHEN 1 THEN '2024-04-21' WHEN 2 THEN '2024-01-05' ELSE '' END AS published_at,
+  s_name || ': Engineer ' || s_nationkey || '. We build. ' || CASE WHEN s_nationkey % 2 = 0 THEN 'ML agents lead' ELSE 'x' END || '. Town ' || s_nationkey || '. sql, ml' AS summary, '' AS authors,
+  'job-posting|' || CASE WHEN s_nationkey % 2 = 0 THEN 'ML agents lead' ELSE 'x' END || '|sql|ml' AS tags, s_name AS projects, '' AS event_ids, '' AS artifact_urls, 'first-party-job-board' AS sponsor_status,
+  'batch=W' || (s_suppkey % 9) || ';company=' || s_name || ';created_at=' || CASE s_suppkey % 4 WHEN 0 THEN '3 days' WHEN 1 THEN 'about 2 months' WHEN 2 THEN '2024-01-05' ELSE 'soon' END || ';date_basis=approximate-public-age;location=Town ' || s_nationkey || ';role=' || CASE WHEN s_nationkey % 2 = 0 THEN 'ML agents lead' ELSE 'x' END AS metadata
+FROM supplier WHERE s_suppkey <> 0 AND (s_nationkey = 3 OR s_nationkey = 7 OR s_nationkey % 2 = 0)""")
 def s15(spark, sf):
     s = table(spark, sf, "supplier")
     k = F.col("s_suppkey") % 4
     job = F.struct(F.col("s_suppkey").alias("id"), F.concat(F.lit("Engineer "), "s_nationkey").alias("title"), F.col("s_name").alias("companyName"), F.when(F.col("s_nationkey") % 2 == 0, "ML agents lead").otherwise("x").alias("role"),
-                   F.when(k == 0, "3 days").when(k == 1, "about 2 months").when(k == 2, "2024-01-05").otherwise("soon").alias("createdAt"), F.concat(F.lit("/j/"), "s_suppkey").alias("url"), F.array(F.lit("sql")).alias("skills"))
-    js = F.to_json(F.struct(F.struct(F.array(job).alias("jobPostings")).alias("props")))
-    r = records.jobs(s.select(js.alias("j")), F.col("j"), ["agents", "3", "7"], "2024-06-20", "https://jobs.example")
-    return r.select("id", "title", "published_at", "url")
+                   F.lit("We  build").alias("companyOneLiner"), F.concat(F.lit("W"), F.col("s_suppkey") % 9).alias("companyBatchName"), F.concat(F.lit("Town "), "s_nationkey").alias("location"),
+                   F.when(k == 0, "3 days").when(k == 1, "about 2 months").when(k == 2, "2024-01-05").otherwise("soon").alias("createdAt"), F.concat(F.lit("/j/"), "s_suppkey").alias("url"), F.array(F.lit("sql"), F.lit("ml")).alias("skills"))
+    js = payloads(s, job, "jobPostings", "s_suppkey").select(F.to_json(F.struct(F.col("s").alias("props"))).alias("j"))
+    return flat(records.jobs(js, F.col("j"), ["agents", "3", "7"], "2024-06-20", "https://jobs.example"))
 
 
-@query("s16_program_sessions", """WITH s AS (SELECT o_orderpriority AS track, 'Order ' || lpad(o_custkey::VARCHAR, 6, '0') AS title, strftime(o_orderdate, '%Y-%m') AS day, o_orderkey::VARCHAR AS t, list_position(['1-URGENT','2-HIGH','5-LOW'], o_orderpriority) AS p FROM orders WHERE o_orderstatus IN ('F','O') AND o_orderpriority IN ('1-URGENT','2-HIGH','5-LOW')),
+@query("s16_program_sessions", """WITH s AS (SELECT o_orderpriority AS track, 'Order ' || lpad(o_custkey::VARCHAR, 6, '0') AS title, strftime(o_orderdate, '%Y-%m') AS day, o_orderkey::VARCHAR AS t, o_orderstatus AS ty, list_position(['1-URGENT','2-HIGH','5-LOW'], o_orderpriority) AS p FROM orders WHERE o_orderstatus IN ('F','O') AND o_orderpriority IN ('1-URGENT','2-HIGH','5-LOW')),
 c AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY track ORDER BY p, day, t, title) <= 20), n AS (SELECT *, row_number() OVER (ORDER BY p, day, t, title) AS n FROM c QUALIFY n <= 50)
-SELECT title, track, day FROM n QUALIFY row_number() OVER (PARTITION BY lower(title), day ORDER BY n) = 1""")
+SELECT 'prog:' || substr(sha256('ev|' || title || '|' || day || '|' || t), 1, 20) AS id, 'prog' AS source_id, 'event-session' AS source_type, title, 'https://ev.example/program' AS url, '2024-05-01' AS published_at, 'About ' || t AS summary, 'Ann|Bo ' || t AS authors,
+  'event-program|' || track || '|' || ty AS tags, '' AS projects, 'ev' AS event_ids, '' AS artifact_urls, 'organizer-program' AS sponsor_status, 'event_day=' || day || ';event_id=ev;event_record_type=session;event_track=' || track AS metadata
+FROM n QUALIFY row_number() OVER (PARTITION BY lower(title), day ORDER BY n) = 1""")
 def s16(spark, sf):
     o = table(spark, sf, "orders")
+    t = F.col("o_orderkey").cast("string")
     s = F.struct(F.concat(F.lit("Order "), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("title"), F.col("o_orderpriority").alias("track"), F.col("o_orderstatus").alias("type"),
-                 F.date_format("o_orderdate", "yyyy-MM").alias("day"), F.col("o_orderkey").cast("string").alias("time"))
-    r = records.program_sessions(o.select(F.to_json(F.struct(F.array(s).alias("sessions"))).alias("j")), "j", "prog", "ev", ["F", "O"], ["1-URGENT", "2-HIGH", "5-LOW"], 20, 50)
-    return r.select("title", "track", "day")
+                 F.date_format("o_orderdate", "yyyy-MM").alias("day"), t.alias("time"), F.concat(F.lit("About  "), t).alias("description"), F.array(F.lit("Ann"), F.lit(" "), F.concat(F.lit("Bo "), t)).alias("speakers"))
+    js = payloads(o, s, "sessions", "o_orderkey").select(F.to_json("s").alias("j"))
+    return flat(records.program_sessions(js, "j", "prog", "ev", ["F", "O"], ["1-URGENT", "2-HIGH", "5-LOW"], 20, 50, "https://ev.example/program", "2024-05-01"))
 
 
-@query("s17_proceedings", """SELECT '/p/' || p_partkey AS href, p_name || ' & more' AS title FROM part WHERE contains(p_name, 'ring') OR contains(p_name, 'blue')""")
+@query("s17_proceedings", """SELECT 'proc:' || substr(sha256('ev|/p/' || p_partkey), 1, 20) AS id, 'proc' AS source_id, 'event-paper' AS source_type, p_name || ' & more' AS title, 'https://ev.example/p/' || p_partkey AS url, '2024-05-01' AS published_at, '' AS summary, '' AS authors,
+  'event-paper|conference-proceedings' AS tags, '' AS projects, 'ev' AS event_ids, 'https://ev.example/p/' || p_partkey AS artifact_urls, 'not-applicable' AS sponsor_status, 'artifact_url=https://ev.example/p/' || p_partkey || ';event_id=ev;event_record_type=paper' AS metadata
+FROM part WHERE contains(p_name, 'ring') OR contains(p_name, 'blue')""")
 def s17(spark, sf):
     p = table(spark, sf, "part")
-    html = F.concat(F.lit('<ul><li><a title="Paper Title" href="/p/'), "p_partkey", F.lit('"><b>'), "p_name", F.lit('</b> &amp; more</a></li><li><a href="/x">ring</a></li></ul>'))
-    return web.proceedings(p.select(html.alias("h")), "h", ["ring", "BLUE"])
+    one = F.concat(F.lit('<li><a title="Paper Title" href="/p/'), "p_partkey", F.lit('"><b>'), "p_name", F.lit('</b> &amp; more</a></li><li><a href="/x">ring</a></li>'))
+    pages = p.groupBy(F.floor(F.col("p_partkey") / 20).alias("n")).agg(F.concat(F.lit("<ul>"), F.array_join(F.sort_array(F.collect_list(one)), ""), F.lit("</ul>")).alias("h"))
+    return flat(web.proceedings(pages, "h", ["ring", "BLUE"], source_id="proc", event_id="ev", base_url="https://ev.example/2024/index.html", published_at="2024-05-01"))
 
 
-@query("s18_gallery", """WITH g AS (SELECT p_name AS k, p_partkey, 'Title ' || p_name || ' ' || lpad(p_partkey::VARCHAR, 7, '0') AS title, p_size % 10 = 0 AS winner FROM part), l AS (SELECT k, max(p_partkey) AS p FROM g GROUP BY 1)
-SELECT 'https://g.example/' || replace(g.k, ' ', '-') AS url, title, winner FROM g JOIN l ON l.k = g.k AND l.p = p_partkey""")
+@query("s18_gallery", """WITH g AS (SELECT p_name AS k, p_partkey, 'Title ' || p_name || ' ' || lpad(p_partkey::VARCHAR, 7, '0') AS title, p_size % 10 = 0 AS winner FROM part), l AS (SELECT k, max(p_partkey) AS p FROM g GROUP BY 1),
+w AS (SELECT 'https://g.example/' || replace(g.k, ' ', '-') AS url, title, winner FROM g JOIN l ON l.k = g.k AND l.p = p_partkey)
+SELECT 'gal:' || substr(sha256('ev|' || url), 1, 20) AS id, 'gal' AS source_id, 'hackathon-project' AS source_type, title, url, '2024-05-01' AS published_at, 'A tag' AS summary, '' AS authors, CASE WHEN winner THEN 'hackathon-project|event-winner' ELSE 'hackathon-project' END AS tags,
+  title AS projects, 'ev' AS event_ids, url AS artifact_urls, 'hackathon-submission' AS sponsor_status, 'artifact_url=' || url || ';event_id=ev;event_record_type=project;winner=' || winner AS metadata FROM w""")
 def s18(spark, sf):
     p = table(spark, sf, "part")
-    html = F.concat(F.lit('<a class="block link-to-software" href="https://g.example/'), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit('"><h5>Title '), "p_name", F.lit(" "), F.lpad(F.col("p_partkey").cast("string"), 7, "0"),
-                    F.lit('</h5><p class="small tagline">A  tag</p>'), F.when(F.col("p_size") % 10 == 0, F.lit('<img alt="Winner">')).otherwise(F.lit("")), F.lit("</a>"))
-    return web.gallery(p.select("p_partkey", html.alias("h")), "h", "p_partkey").select("url", "title", "winner")
+    one = F.concat(F.lit('<a class="block link-to-software" href="https://g.example/'), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit('"><h5>Title '), "p_name", F.lit(" "), F.lpad(F.col("p_partkey").cast("string"), 7, "0"),
+                   F.lit('</h5><p class="small tagline">A  tag</p>'), F.when(F.col("p_size") % 10 == 0, F.lit('<img alt="Winner">')).otherwise(F.lit("")), F.lit("</a>"))
+    cards = F.transform(F.sort_array(F.collect_list(F.struct(F.col("p_partkey").alias("k"), one.alias("c")))), lambda x: x["c"])
+    pages = p.groupBy(F.floor(F.col("p_partkey") / 20).alias("n")).agg(F.array_join(cards, "").alias("h"))
+    return flat(web.gallery(pages, "h", "n", source_id="gal", event_id="ev", published_at="2024-05-01"))
+
+
+@query("n18_parsed_rows", """SELECT 'repo:' || p_partkey AS id, 'repository' AS source_type, concat_ws(';', 'forks=' || (p_partkey % 7), CASE WHEN p_size % 2 = 0 THEN 'license=MIT' END, CASE WHEN p_partkey % 4 <> 0 THEN 'pushed_at=2024-02-01' END, 'stars=' || p_size) AS verification FROM part""")
+def n18_parsed(spark, sf):
+    """What the public rows of the repository parser may show: the fields of the source type, and no query id."""
+    p, k = table(spark, sf, "part"), F.col("p_partkey")
+    repo = F.struct(k.alias("id"), F.lit("r/x").alias("full_name"), F.lit("https://x.example/").alias("html_url"), F.col("p_size").cast("long").alias("stargazers_count"), F.when(k % 4 != 0, "2024-02-01").alias("pushed_at"),
+                    (k % 7).alias("forks_count"), F.when(F.col("p_size") % 2 == 0, F.struct(F.lit("MIT").alias("spdx_id"))).alias("license"))
+    out = Q.public_rows(records.repositories(payloads(p, repo, "items", "p_partkey").select(F.to_json("s").alias("j")), "j", query_id="q1"))
+    return out.select("id", "source_type", F.array_join(F.array_sort(F.transform(F.map_entries("verification"), lambda m: F.concat(m["key"], F.lit("="), m["value"]))), ";").alias("verification"))
 
 
 @query("s19_form_links", """SELECT 'social-link:issue-' || o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'linkedin' ELSE 'x' END AS platform, o_orderpriority AS author_name, CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'event-' || o_orderstatus END AS event_id, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS links FROM orders""")
@@ -295,6 +340,19 @@ def s22(spark, sf):
     return out.select("msg", F.md5("title").alias("title_hash"), "sponsored")
 
 
+@query("s22_collapsed_items", f"""WITH RECURSIVE {_SENT}, c AS (SELECT msg, i, {_CLEAN % _MK} AS t FROM l), q AS (SELECT *, len(list_filter(string_split(t, ' '), lambda x: x <> '')) AS n, len(list_filter({_BARE}, lambda x: length(x) = 1)) AS singles FROM c),
+g AS (SELECT * FROM q WHERE NOT ((n >= 8 AND singles >= n * 0.6) OR length(t) < 32 OR n < 5 OR regexp_matches(t, '{_IGN}'))),
+u AS (SELECT msg, replace(lower(t), 'ß', 'ss') AS k, arg_min(t, i) AS title, bool_or(i % 7 IN (3, 4) AND EXISTS (SELECT 1 FROM l x WHERE x.msg = g.msg AND x.i % 7 = 4) AND (i = 3 OR i % 7 = 4)) AS sp FROM g GROUP BY msg, replace(lower(t), 'ß', 'ss')),
+r AS (SELECT *, row_number() OVER (PARTITION BY msg ORDER BY length(k) DESC, k) AS rn FROM u),
+w AS (SELECT msg, 0::BIGINT AS rn, []::VARCHAR[] AS kept, NULL::VARCHAR AS k, NULL::VARCHAR AS home FROM (SELECT DISTINCT msg FROM r)
+  UNION ALL SELECT q.msg, q.rn, CASE WHEN h IS NULL THEN list_append(kept, q.k) ELSE kept END, q.k, coalesce(h, q.k) FROM (SELECT r.msg, r.rn, r.k, w.kept, list_filter(w.kept, lambda e: contains(e, r.k) AND length(r.k) >= 0.7 * length(e) - 1e-9)[1] AS h
+     FROM w JOIN r ON r.msg = w.msg AND r.rn = w.rn + 1) q)
+SELECT w.msg, md5(max(CASE WHEN w.k = home THEN title END)) AS title_hash, count(*) AS duplicate_count, bool_or(sp) AS sponsored FROM w JOIN r ON r.msg = w.msg AND r.k = w.k GROUP BY w.msg, home""")
+def s22_collapsed(spark, sf):
+    out = web.editorial_items(messages(spark, sf), "html", "msg", "day", "news", "news.example.org", collapse=True)
+    return out.select("msg", F.md5("title").alias("title_hash"), "duplicate_count", "sponsored")
+
+
 @query("s23_issue_items", f"""WITH {_SENT}, c AS (SELECT msg, conv_id, i, {_GENERIC % _MK} AS t FROM l), g AS (SELECT *, row_number() OVER (PARTITION BY msg, replace(lower(t), 'ß', 'ss') ORDER BY i) AS rn FROM c WHERE NOT (length(t) < 14 OR len(list_filter(string_split(t, ' '), lambda x: x <> '')) < 3 OR regexp_matches(t, '{_GIGN}')))
 SELECT msg, md5(t) AS title_hash, 'https://mail.news.example.org/l/' || CASE WHEN i % 7 = 4 THEN 3 ELSE i END AS url, 'public-link' AS extraction FROM g WHERE rn = 1
 UNION ALL SELECT msg, md5('Issue ' || conv_id), 'https://home.example.org', 'issue-metadata' FROM m WHERE msg NOT IN (SELECT msg FROM g)""")

@@ -10,6 +10,7 @@ from signalloom.functions import constants as C, dates as D, text as X
 from signalloom.operators.classify import topic_relevant
 from signalloom.operators.ranking import first_per_group, numbered_top, top_per_group
 from signalloom.sources.feeds import first
+from signalloom.sources.rows import evidence_rows, filled
 
 REPOSITORIES = (
     "items array<struct<id:bigint,full_name:string,html_url:string,description:string,created_at:string,pushed_at:string,"
@@ -36,15 +37,15 @@ def _text(c) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def repositories(df: DataFrame, payload: str) -> DataFrame:
-    """Repository search results."""
+def repositories(df: DataFrame, payload: str, source_id: str = "repositories", query_id: str | None = None) -> DataFrame:
+    """Repository search results (S11) as evidence, with stars, forks and license beside."""
     r = df.select(F.explode(F.from_json(payload, REPOSITORIES)["items"]).alias("r")).select("r.*")
+    r = r.withColumns({"stars": F.coalesce("stargazers_count", F.lit(0)), "forks": F.coalesce("forks_count", F.lit(0)), "license": F.col("license.spdx_id")})
     key = F.coalesce(F.col("id").cast("string"), F.substring(F.sha2("html_url", 256), 1, 16))
-    return r.select(
-        F.concat(F.lit("repo:"), key).alias("id"), F.lit("repository").alias("source_type"), F.col("full_name").alias("title"), F.col("html_url").alias("url"),
-        _text(F.col("created_at")).alias("published_at"), _text(F.col("description")).alias("summary"),
-        F.coalesce("topics", F.array().cast("array<string>")).alias("tags"), F.array("full_name").alias("projects"),
-        F.coalesce("stargazers_count", F.lit(0)).alias("stars"), F.coalesce("forks_count", F.lit(0)).alias("forks"), F.col("license.spdx_id").alias("license"))
+    given = {"id": F.concat(F.lit("repo:"), key), "source_id": F.lit(source_id), "source_type": F.lit("repository"), "title": F.col("full_name"), "url": F.col("html_url"),
+             "published_at": F.col("created_at"), "summary": F.col("description"), "authors": F.array("owner.login"), "tags": F.col("topics"), "projects": F.array("full_name")}
+    return evidence_rows(r, given, {"stars": F.col("stars"), "forks": F.col("forks"), "pushed_at": F.col("pushed_at"), "license": F.col("license"),
+                                    "query_id": F.lit(query_id)}, ["stars", "forks", "license"])
 
 
 def forum_posts(df: DataFrame, payload: str, feed_order: str, site: str) -> DataFrame:
@@ -69,21 +70,23 @@ def papers(df: DataFrame, payload: str, site: str) -> DataFrame:
         F.filter(F.coalesce("authors", F.array().cast("array<string>")), lambda a: _text(a) != "").alias("authors"))
 
 
-def companies(df: DataFrame, page_json: Column, today: str, site: str, limit: int | None = None) -> DataFrame:
+def companies(df: DataFrame, page_json: Column, today: str, site: str, limit: int | None = None, source_id: str = "companies") -> DataFrame:
     """Company directory page (S14); the date is the day first seen."""
     r = df.select(F.explode(first(F.from_json(page_json, COMPANIES)["props"]["companies"], limit)).alias("c")).select("c.*")
     r = r.filter(F.col("id").isNotNull() & (F.col("id") != 0) & (_text(F.col("slug")) != ""))
     name, batch = X.compact(F.col("name")), F.upper(X.compact(F.col("batch_name")))
     summary = F.regexp_replace(F.concat(X.compact(F.col("one_liner")), F.lit(". "), X.compact(F.col("long_description"))), r"^[ .]+|[ .]+$", "")
-    tags = F.filter(F.transform(F.coalesce("tags", F.array().cast("array<string>")), X.compact), lambda t: t != "")
-    return r.select(
-        F.concat(F.lit("company:"), "id").alias("id"), F.lit("company-directory").alias("source_type"),
-        F.when(batch != "", F.concat(name, F.lit(" ("), batch, F.lit(")"))).otherwise(name).alias("title"), F.concat(F.lit(site), "slug").alias("url"),
-        F.lit(today).alias("published_at"), summary.alias("summary"),
-        F.when(batch != "", F.array_append(tags, F.concat(F.lit("batch:"), F.lower(batch)))).otherwise(tags).alias("tags"), F.lit("first-observed").alias("date_basis"))
+    tags = filled(F.transform(F.coalesce("tags", F.array().cast("array<string>")), X.compact))
+    r = r.withColumn("date_basis", F.lit("first-observed"))
+    given = {"id": F.concat(F.lit("company:"), "id"), "source_id": F.lit(source_id), "source_type": F.lit("company-directory"),
+             "title": F.when(batch != "", F.concat(name, F.lit(" ("), batch, F.lit(")"))).otherwise(name), "url": F.concat(F.lit(site), "slug"), "published_at": F.lit(today),
+             "summary": summary, "tags": F.when(batch != "", F.array_append(tags, F.concat(F.lit("batch:"), F.lower(batch)))).otherwise(tags), "projects": F.array(name),
+             "sponsor_status": F.lit("first-party-directory")}
+    return evidence_rows(r, given, {"batch": batch, "status": F.col("ycdc_status"), "team_size": F.col("team_size"), "location": F.col("location"),
+                                    "github_url": F.col("github_url"), "date_basis": F.col("date_basis")}, ["date_basis"])
 
 
-def jobs(df: DataFrame, page_json: Column, terms: list[str], today: str, site: str, limit: int | None = None) -> DataFrame:
+def jobs(df: DataFrame, page_json: Column, terms: list[str], today: str, site: str, limit: int | None = None, source_id: str = "jobs") -> DataFrame:
     """Job postings with a whole-word term in one of five fields (S15); a `limit` counts those that match."""
     r = df.select(F.explode(F.from_json(page_json, JOBS)["props"]["jobPostings"]).alias("j")).select("j.*")
     skills = F.coalesce("skills", F.array().cast("array<string>"))
@@ -92,15 +95,21 @@ def jobs(df: DataFrame, page_json: Column, terms: list[str], today: str, site: s
     if limit is not None:
         r = r.orderBy("id").limit(limit)
     company, title, role = X.compact(F.col("companyName")), X.compact(F.col("title")), X.compact(F.coalesce(F.nullif("prettyRole", F.lit("")), "role"))
+    place = X.compact(F.col("location"))
     url = F.coalesce(F.nullif("url", F.lit("")), F.concat(F.lit(f"{site}/jobs/"), "id"))
-    return r.select(
-        F.concat(F.lit("job:"), "id").alias("id"), F.lit("job-posting").alias("source_type"),
-        F.when(company != "", F.concat(company, F.lit(": "), title)).otherwise(title).alias("title"),
-        F.when(url.startswith("/"), F.concat(F.lit(site), url)).otherwise(url).alias("url"), D.relative_date(F.col("createdAt"), today).alias("published_at"),
-        role.alias("role"), F.concat(F.array(F.lit("job-posting"), role), F.filter(F.transform(skills, X.compact), lambda s: s != "")).alias("tags"))
-
-
-def program_sessions(df: DataFrame, payload: str, source_id: str, event_id: str, types: list[str], tracks: list[str], per_track: int | None = None, limit: int | None = None) -> DataFrame:
+    told = filled(F.array(F.concat_ws(": ", F.nullif(company, F.lit("")), title), X.compact(F.col("companyOneLiner")), role, place, F.array_join(skills, ", ")))
+    given = {"id": F.concat(F.lit("job:"), "id"), "source_id": F.lit(source_id), "source_type": F.lit("job-posting"),
+             "title": F.when(company != "", F.concat(company, F.lit(": "), title)).otherwise(title), "url": F.when(url.startswith("/"), F.concat(F.lit(site), url)).otherwise(url),
+             "published_at": D.relative_date(F.col("createdAt"), today), "summary": F.array_join(told, ". "),
+             "tags": F.concat(F.array(F.lit("job-posting"), role), F.transform(skills, X.compact)), "projects": F.array(company), "sponsor_status": F.lit("first-party-job-board")}
+    out = r.withColumn("_role", role)
+    rows = evidence_rows(out, given, {"company": company, "batch": F.col("companyBatchName"), "role": role, "location": place, "created_at": F.col("createdAt"),
+                                      "date_basis": F.lit("approximate-public-age")}, ["_role"])
+    return rows.withColumnRenamed("_role", "role")
+
+
+def program_sessions(df: DataFrame, payload: str, source_id: str, event_id: str, types: list[str], tracks: list[str], per_track: int | None = None, limit: int | None = None,
+                     url: str = "", published_at: str = "") -> DataFrame:
     """Conference program (S16, W12): type and track lists; with caps, at most `per_track` per track, then `limit`.
 
     Caps run before the distinct on title and day. The track cap is a grouped top-k, the total a bounded top-n.
@@ -118,10 +127,12 @@ def program_sessions(df: DataFrame, payload: str, source_id: str, event_id: str,
     title, day = X.compact(F.col("title")), X.compact(F.col("day"))
     kept = kept.withColumn("title", title).withColumn("day", day).filter("title <> ''")
     kept = first_per_group(kept.withColumn("_k", X.fold(F.col("title"))).withColumn("_d", X.fold(F.col("day"))), ["_k", "_d"], [F.col("_n")])
-    return kept.select(
-        X.stable_id(F.lit(source_id), F.lit(event_id), F.col("title"), F.col("day"), X.compact(F.col("time"))).alias("id"), F.lit("event-session").alias("source_type"),
-        "title", "track", "day", X.compact(F.col("description")).alias("summary"),
-        F.when(F.col("type") == "sponsor", "sponsored-session").otherwise("organizer-program").alias("sponsor_status"))
+    track = X.compact(F.col("track"))
+    given = {"id": X.stable_id(F.lit(source_id), F.lit(event_id), F.col("title"), F.col("day"), X.compact(F.col("time"))), "source_id": F.lit(source_id), "source_type": F.lit("event-session"),
+             "title": F.col("title"), "url": F.lit(url), "published_at": F.lit(published_at), "summary": X.compact(F.col("description")),
+             "authors": F.transform("speakers", X.compact), "tags": F.array(F.lit("event-program"), track, F.col("type")),
+             "sponsor_status": F.when(F.col("type") == "sponsor", "sponsored-session").otherwise("organizer-program"), "event_ids": F.array(F.lit(event_id))}
+    return evidence_rows(kept, given, {"event_id": F.lit(event_id), "event_record_type": F.lit("session"), "event_track": track, "event_day": F.col("day")}, ["track", "day"])
 
 
 def social_posts(df: DataFrame, payload: str, terms: list[str], domains: list[str]) -> DataFrame:

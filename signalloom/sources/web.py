@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import constants as C, text as X
 from signalloom.operators.ranking import first_per_group
+from signalloom.sources.rows import evidence_rows
 
 ANCHOR = r"(?is)<a\b[^>]*>.*?</a>"
 
@@ -97,8 +98,9 @@ def data_page(html: Column) -> Column:
     return X.unescape(F.regexp_extract(html, r'(?is)\sdata-page\s*=\s*"([^"]+)"', 1))
 
 
-def proceedings(pages: DataFrame, html: str, terms: list[str], limit: int | None = None) -> DataFrame:
-    """Paper links whose title holds any term (S17): all, or with a `limit` the first by title."""
+def proceedings(pages: DataFrame, html: str, terms: list[str], limit: int | None = None, source_id: str = "proceedings", event_id: str = "", base_url: str = "",
+                published_at: str = "") -> DataFrame:
+    """Paper links whose title holds any term (S17) as evidence with `href` beside: all, or with a `limit` the first by title."""
     anchors = F.filter(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0)), lambda a: F.lower(attribute(a, "title")) == "paper title")
     rows = pages.select(F.explode(anchors).alias("a")).select(
         attribute(F.col("a"), "href").alias("href"), X.compact(X.unescape(F.regexp_replace("a", "(?s)<[^>]*>", " "))).alias("title"))
@@ -109,11 +111,16 @@ def proceedings(pages: DataFrame, html: str, terms: list[str], limit: int | None
             hit = hit | F.contains(X.fold(F.col("title")), F.lit(t.lower()))
         rows = rows.filter(hit)
     rows = rows.orderBy(X.fold(F.col("title")), "href")
-    return rows if limit is None else rows.limit(limit)
+    rows = rows if limit is None else rows.limit(limit)
+    url = join_url(F.lit(base_url), F.col("href"))
+    given = {"id": X.stable_id(F.lit(source_id), F.lit(event_id), F.col("href")), "source_id": F.lit(source_id), "source_type": F.lit("event-paper"), "title": F.col("title"), "url": url,
+             "published_at": F.lit(published_at), "tags": F.array(F.lit("event-paper"), F.lit("conference-proceedings")), "artifact_urls": F.array(url),
+             "sponsor_status": F.lit("not-applicable"), "event_ids": F.array(F.lit(event_id))}
+    return evidence_rows(rows, given, {"event_id": F.lit(event_id), "event_record_type": F.lit("paper"), "artifact_url": url}, ["href"])
 
 
-def gallery(pages: DataFrame, html: str, page_no: str, limit: int | None = None) -> DataFrame:
-    """Gallery projects: the last record of a URL wins (S18); with a `limit` winners first, then by title."""
+def gallery(pages: DataFrame, html: str, page_no: str, limit: int | None = None, source_id: str = "gallery", event_id: str = "", published_at: str = "") -> DataFrame:
+    """Gallery projects as evidence with `winner` beside: the last record of a URL wins (S18); with a `limit` winners first, then by title."""
     cards = F.filter(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0)), lambda a: F.array_contains(
         F.split(F.regexp_replace(attribute(a, "class"), r"\s+", " "), " "), "link-to-software"))
     part = lambda tag: X.compact(X.unescape(F.regexp_replace(F.regexp_extract(F.col("a"), tag, 1), "(?s)<[^>]*>", " ")))
@@ -123,7 +130,11 @@ def gallery(pages: DataFrame, html: str, page_no: str, limit: int | None = None)
         F.col("a").rlike(r"""(?is)<img\b[^>]*alt\s*=\s*["']winner["']""").alias("winner"))
     last = rows.filter("title <> '' and url <> ''").groupBy("url").agg(F.max_by(F.struct("title", "tagline", "winner"), F.struct("page", "pos")).alias("r"))
     last = last.select("url", "r.*").orderBy(F.desc("winner"), X.fold(F.col("title")), "url")
-    return last if limit is None else last.limit(limit)
+    last = last if limit is None else last.limit(limit)
+    given = {"id": X.stable_id(F.lit(source_id), F.lit(event_id), F.col("url")), "source_id": F.lit(source_id), "source_type": F.lit("hackathon-project"), "title": F.col("title"),
+             "url": F.col("url"), "published_at": F.lit(published_at), "summary": F.col("tagline"), "tags": F.array(F.lit("hackathon-project"), F.when(F.col("winner"), "event-winner")),
+             "projects": F.array("title"), "artifact_urls": F.array("url"), "sponsor_status": F.lit("hackathon-submission"), "event_ids": F.array(F.lit(event_id))}
+    return evidence_rows(last, given, {"event_id": F.lit(event_id), "event_record_type": F.lit("project"), "winner": F.col("winner"), "artifact_url": F.col("url")}, ["winner"])
 
 
 def form_fields(body: Column) -> Column:
@@ -173,10 +184,11 @@ def sponsor_hrefs(tokens: Column) -> Column:
         marked, lambda s: F.size(F.filter(tokens, lambda t: t["href"] == s["href"])) > 1), lambda s: s["href"]))
 
 
-def editorial_items(messages: DataFrame, html: str, key: str, day: str, source_id: str, domain: str) -> DataFrame:
+def editorial_items(messages: DataFrame, html: str, key: str, day: str, source_id: str, domain: str, collapse: bool = False) -> DataFrame:
     """Editorial newsletter titles (S22): own links only, good titles, distinct by folded title.
 
-    Near copies within a message are collapsed afterwards by collapse_titles.
+    With `collapse` a title contained in a longer one of its message goes to it (D6), which then counts it in
+    `duplicate_count` and is sponsored if either is.
     """
     m = messages.withColumn("_t", link_tokens(F.col(html)))
     m = m.select(key, day, F.col("_t"), sponsor_hrefs(F.col("_t")).alias("_s"))
@@ -185,7 +197,12 @@ def editorial_items(messages: DataFrame, html: str, key: str, day: str, source_i
     rows = rows.withColumn("title", X.editorial_title(F.col("t.text"))).filter("title is not null")
     out = rows.groupBy(key, day, X.folded_title(F.col("title")).alias("_k")).agg(
         F.min_by("title", "pos").alias("title"), F.bool_or(F.array_contains("_s", F.col("t.href"))).alias("sponsored"))
-    return out.select(F.lit(source_id).alias("source_id"), key, day, "title", "sponsored")
+    out = out.select(F.lit(source_id).alias("source_id"), key, day, "title", "sponsored")
+    if not collapse:
+        return out
+    from signalloom.operators.dedup import collapse_titles
+    kept = collapse_titles(out, ["source_id", key, day])
+    return kept.select("source_id", key, day, "title", F.col("sponsor_seen").alias("sponsored"), "duplicate_count")
 
 
 def issue_items(messages: DataFrame, html: str, key: str, subject: str, day: str, source_id: str, homepage: str) -> DataFrame:
