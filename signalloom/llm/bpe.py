@@ -30,10 +30,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from signalloom.llm.arrow import map_columns
 
-CACHE = 300_000
+CACHE = 400_000
 CACHE_CHARS = 6_000_000
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE = 6_000_000
 CHARS_PER_CUT = 250_000
+MERGED_AT_ONCE = 1_500_000
 # The pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -110,8 +111,8 @@ def classes() -> np.ndarray:
     return _classes[0]
 
 
-def pre_tokens(texts: list[str], known: Numbers) -> list[np.ndarray]:
-    """The numbers of each text's pre-tokens, cut as PATTERN does, for all texts at once.
+def pre_tokens(texts: list[str], known: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all texts' pre-tokens, cut as PATTERN does, and how many are before the end of each text.
 
     A pre-token is a run of one class, with one blank before it. Of white space before something else the
     last character stands alone, or is that blank. An apostrophe that begins a pre-token takes the letters
@@ -142,7 +143,7 @@ def pre_tokens(texts: list[str], known: Numbers) -> list[np.ndarray]:
     real = kind[begins[:-1]] != 4
     first, last = begins[:-1][real], begins[1:][real]
     found = np.fromiter((known[joined[i:j]] for i, j in zip(first.tolist(), last.tolist())), dtype=np.int64, count=len(first))
-    return np.split(found, np.searchsorted(first, ends[:-1]))
+    return found, np.searchsorted(first, ends)
 
 
 class Model:
@@ -270,10 +271,11 @@ class Model:
             pieces.append([c for s in some for c in ([s] if s in self.added else cuts(s, CHARS_PER_CUT))])
         plain = [s for some in pieces for s in some if s not in self.added]
         for i, j in slices([len(s) for s in plain], CHARS_PER_CUT):
-            index += [x.astype(np.int32) for x in pre_tokens(plain[i:j], known)]
+            found, ends = pre_tokens(plain[i:j], known)
+            index += np.split(found.astype(np.int32), ends[:-1])
         if known.new:
             parts = [(self.flat, self.count)]
-            parts += [self.merge(known.new[i:j]) for i, j in slices([len(w) for w in known.new], CHARS_PER_CUT)]
+            parts += [self.merge(known.new[i:j]) for i, j in slices([len(w) for w in known.new], MERGED_AT_ONCE)]
             known.new.clear()
             self.flat, self.count = (np.concatenate(x) for x in zip(*parts))
         begins = np.cumsum(self.count) - self.count
@@ -286,11 +288,9 @@ class Model:
         """The ids of all texts, one after the other, and their number in each; nothing is remembered. For many short
         texts without added tokens in them."""
         known = Numbers()
-        index = pre_tokens(texts, known)
+        at, ends = pre_tokens(texts, known)
         flat, count = self.merge(known.new)
-        at = np.concatenate(index) if index else np.zeros(0, dtype=np.int64)
         sums = np.concatenate(([0], np.cumsum(count[at])))
-        ends = np.cumsum([len(x) for x in index], dtype=np.int64)
         return flat[gather((np.cumsum(count) - count)[at], count[at])], np.diff(np.concatenate(([0], sums[ends])))
 
     def decode(self, ids: np.ndarray) -> str:
