@@ -52,22 +52,38 @@ def _strings(values) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def _found(aliases: list[str], text: Column) -> Column:
-    """Up to six aliases contained in padded normalized text, in the given order."""
-    hits = [F.when(F.contains(text, F.lit(f" {plain(a)} ")), F.lit(a)) for a in aliases if plain(a)]
-    return F.slice(F.array_compact(F.array(*hits)) if hits else _strings([]), 1, 6)
+def vocabulary_hits(tokens: Column, phrases: list[str]) -> Column:
+    """The distinct phrases of a vocabulary in a token list, in one pass whose cost does not grow with the vocabulary.
+
+    A token that begins no phrase is passed over by one hash lookup; at the others the grams of the lengths there are
+    get looked up. `tokens` must be a column of the frame: it is read inside the lambda.
+    """
+    phrases = sorted({p for p in phrases if p})
+    if not phrases:
+        return _strings([])
+    begin, sizes = sorted({p.split(" ")[0] for p in phrases}), sorted({p.count(" ") + 1 for p in phrases})
+    known = lambda c, values: c.isin(*values, *[f"\0{i}" for i in range(11)])  # noqa: E731 - long enough a list to be hashed
+    at = F.filter(F.transform(tokens, lambda t, i: F.when(known(t, begin), i)), lambda i: i.isNotNull())
+    grams = F.flatten(F.transform(at, lambda i: F.array(*[F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ") for n in sizes])))
+    return F.array_distinct(F.filter(grams, lambda g: known(g, phrases)))
+
+
+def _found(aliases: list[str], hits: Column) -> Column:
+    """Up to six aliases among the phrases found in a record, in the given order."""
+    named = [F.when(F.array_contains(hits, plain(a)), F.lit(a)) for a in aliases if plain(a)]
+    return F.slice(F.array_compact(F.array(*named)) if named else _strings([]), 1, 6)
 
 
-def controlled(text: Column, entries: list[dict]) -> Column:
-    """Lexicon entries present in padded normalized text (T4); plain `contains` columns, no lambda."""
+def controlled(hits: Column, entries: list[dict]) -> Column:
+    """Lexicon entries among the phrases found in a record (T4)."""
     items = [F.struct(F.lit(e["id"]).alias("id"), F.lit(e["label"]).alias("label"), F.lit(e["kind"]).alias("kind"),
-                      _found(e["aliases"], text).alias("matched_terms")) for e in entries]
+                      _found(e["aliases"], hits).alias("matched_terms")) for e in entries]
     return F.filter(F.array(*items), lambda e: F.size(e["matched_terms"]) > 0)
 
 
-def action_hits(text: Column, actions: dict[str, list[str]]) -> Column:
+def action_hits(hits: Column, actions: dict[str, list[str]]) -> Column:
     items = [F.struct(F.lit(a).alias("id"), F.lit(a.replace("-", " ").title()).alias("label"),
-                      _found(forms, text).alias("matched_terms")) for a, forms in actions.items()]
+                      _found(forms, hits).alias("matched_terms")) for a, forms in actions.items()]
     return F.filter(F.array(*items), lambda e: F.size(e["matched_terms"]) > 0)
 
 
@@ -92,11 +108,12 @@ def prepared(items: DataFrame, policy: ConceptPolicy) -> DataFrame:
     sep = X.searchable(F.col("title"), F.col("summary"), F.array_join("tags", " "), F.array_join("projects", " "))
     base = items.withColumn("search", X.compact(sep))
     base = base.withColumn("tokens", X.normalized_tokens(F.col("search")))
-    base = base.withColumn("padded", X.padded(F.array_join("tokens", " ")))
+    phrases = [plain(a) for e in policy.lexicon for a in e["aliases"]] + [plain(f) for forms in policy.actions.values() for f in forms]
+    base = base.withColumn("_hits", vocabulary_hits(F.col("tokens"), phrases))
     return (base.withColumn("title_tokens", F.size(X.normalized_tokens(F.col("title"))))
-            .withColumn("controlled", controlled(F.col("padded"), policy.lexicon))
+            .withColumn("controlled", controlled(F.col("_hits"), policy.lexicon))
             .withColumn("entities", entities(policy))
-            .withColumn("actions", action_hits(F.col("padded"), policy.actions)).drop("padded"))
+            .withColumn("actions", action_hits(F.col("_hits"), policy.actions)).drop("_hits"))
 
 
 def phrase_counts(base: DataFrame, policy: ConceptPolicy) -> DataFrame:

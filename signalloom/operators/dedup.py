@@ -79,12 +79,16 @@ def greedy_event_duplicates(rows: DataFrame, window_days: int = 7) -> tuple[Data
         chosen = cut_lineage(undecided.join(winners.unionByName(keyless), "id", "left_semi"), "dup-accepted")
         accepted = chosen if accepted is None else accepted.unionByName(chosen)
         rest = undecided.join(chosen.select("id"), "id", "left_anti")
-        rest = rest.join(chosen.select("event_key"), "event_key", "left_anti")
-        rest = rest.join(chosen.select("url_key"), "url_key", "left_anti")
+        # rows without a key join by a name of their own: they match nothing and don't meet in one task
+        own = lambda k: F.coalesce(F.col(k), F.concat(F.lit("\0"), F.col("id").cast("string")))
+        for k in ("event_key", "url_key"):
+            gone = chosen.filter(F.col(k).isNotNull()).select(F.col(k).alias("_k"))
+            rest = rest.withColumn("_k", own(k)).join(gone, "_k", "left_anti").drop("_k")
         taken = chosen.filter(F.col("title_key").isNotNull()).select(
             "title_key", F.col("us").alias("a_us"), F.explode(F.array(*[F.col("bucket") + d for d in (-1, 0, 1)]))
             .alias("bucket"))
-        hit = [rest["title_key"] == taken["title_key"], rest["bucket"] == taken["bucket"],
+        rest = rest.withColumn("_t", own("title_key"))
+        hit = [rest["_t"] == taken["title_key"], rest["bucket"] == taken["bucket"],
                F.abs(rest["us"] - taken["a_us"]) <= width]
         undecided = cut_lineage(rest.join(taken, hit, "left_anti").select(*base.columns), "dup-undecided")
         left = undecided.count()

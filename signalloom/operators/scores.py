@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from signalloom.functions import dates as D
+from signalloom.session import cut_lineage
 
 
 def clamp(col: Column, low: float, high: float) -> Column:
@@ -48,8 +49,8 @@ def cross_source_scores(rows: DataFrame, as_of: str, theme: str = "theme_id", pu
         F.sum("support").alias("support_units"), F.sum("observations").alias("evidence_count"),
         F.count("*").alias("source_count"), F.sum(F.log1p("support")).alias("effective"),
         F.max("support").alias("dominant"), *[F.sum(f"m{i}").alias(f"m{i}") for i in range(6)])
-    # one row per theme from here on: the global maximum is over themes, not over records
-    top = F.max("effective").over(Window.partitionBy())
+    t = cut_lineage(t, "theme-sums")  # read for the maximum and for the scores
+    top = t.agg(F.max("effective")).scalar()
     prior = (F.col("m2") + F.col("m3")) / 2
     recent = (F.col("m4") + F.col("m5")) / 2
     active = sum((F.when(F.col(f"m{i}") > 0, 1).otherwise(0) for i in range(6)), F.lit(0))
@@ -177,16 +178,17 @@ def corpus_trends(df: DataFrame, trends: dict[str, str], months: list[str]) -> D
     s = hit.groupBy("name").agg(
         F.count("*").alias("mentions"), F.count_distinct("entity").alias("breadth_count"),
         *[F.count_if(F.col("month") == m).alias(f"m{i}") for i, m in enumerate(months)])
-    whole = Window.partitionBy()   # one row per trend
+    s = cut_lineage(s, "trend-sums")
+    most = lambda c: s.agg(F.max(c)).scalar()
     early = sum((F.col(f"m{i}") for i in range(4)), F.lit(0)) / 4
     recent = (F.col("m4") + F.col("m5")) / 2
     active = sum((F.when(F.col(f"m{i}") > 0, 1).otherwise(0) for i in range(6)), F.lit(0))
     out = s.select(
         "name", "mentions", "breadth_count",
-        half_up(25 * F.log1p("mentions") / F.log1p(F.max("mentions").over(whole))).alias("recurrence"),
+        half_up(25 * F.log1p("mentions") / F.log1p(most("mentions"))).alias("recurrence"),
         half_up(clamp(12.5 + 10 * F.log2((recent + 1) / (early + 1)), 0, 25)).alias("acceleration"),
         half_up(25 * active / 6).alias("persistence"),
-        half_up(25 * F.log1p("breadth_count") / F.log1p(F.max("breadth_count").over(whole))).alias("breadth"))
+        half_up(25 * F.log1p("breadth_count") / F.log1p(most("breadth_count"))).alias("breadth"))
     total = F.col("recurrence") + F.col("acceleration") + F.col("persistence") + F.col("breadth")
     return out.withColumn("total", total).withColumn("tier", F.when(total >= 80, "Structural").when(total >= 65, "Strong")
                                                      .when(total >= 50, "Emerging").otherwise("Niche / uncertain"))
@@ -264,9 +266,9 @@ def audit_sample(df: DataFrame, size: int) -> DataFrame:
     top-k whose k is the largest quota.
     """
     n = df.groupBy("source_id").count().withColumnRenamed("count", "n")
-    whole = Window.partitionBy()   # one row per source
-    rest = F.greatest(F.lit(0), F.lit(size) - F.count("*").over(whole))
-    quota = n.withColumn("quota", 1 + F.floor(rest * F.col("n") / F.sum("n").over(whole)))
+    n = cut_lineage(n, "source-counts")
+    rest = F.greatest(F.lit(0), F.lit(size) - n.agg(F.count("*")).scalar())
+    quota = n.withColumn("quota", 1 + F.floor(rest * F.col("n") / n.agg(F.sum("n")).scalar()))
     most = quota.agg(F.max("quota")).first()[0] or 0
     from signalloom.operators.ranking import top_per_group
     ranked = top_per_group(df, ["source_id"], [F.sha2("id", 256), F.col("id")], int(most))
