@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from signalloom.functions import constants as C, text as X
 from signalloom.operators.dedup import greedy_dropped, source_rank
@@ -87,20 +90,52 @@ def overlap_edges(kept: DataFrame, index: DataFrame, policy: ClusterPolicy) -> D
             .select("left_id", "right_id", "shared", "jaccard", "containment"))
 
 
+def local_forest(pairs: DataFrame) -> DataFrame:
+    """(a, b) edges of the same components as those of `pairs`: each partition's edges contracted to a forest.
+
+    A vertex hangs from the least vertex its partition ties it to, so a partition gives one edge per vertex it holds
+    but for its roots, however many edges it had. A task keeps the vertices of its partition.
+    """
+    fields = to_arrow_schema(pairs.select("a", "b").schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+
+        def top(x):
+            root = x
+            while (up := parent.setdefault(root, root)) != root:
+                root = up
+            while parent[x] != root:
+                parent[x], x = root, parent[x]
+            return root
+
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x, y = top(x), top(y)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+        rows = [(x, top(x)) for x in list(parent)]
+        rows = [r for r in rows if r[0] != r[1]]
+        for at in range(0, len(rows), 100_000):
+            part = rows[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in part], type=fields.field(k).type) for k in (0, 1)], schema=fields)
+
+    return pairs.select("a", "b").mapInArrow(run, pairs.select("a", "b").schema)
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): smallest id of each connected component.
 
-    Alternating large-star and small-star steps: each hangs neighbours onto the smallest known one,
-    so long chains shrink in logarithmically many rounds. A hub only meets a one-row minimum per
-    join, and every round is written out, so lineage does not grow.
+    Each partition's edges are contracted to a forest first. Then alternating large-star and small-star steps: each
+    hangs neighbours onto the smallest known one, so long chains shrink in logarithmically many rounds. A hub only
+    meets a one-row minimum per join. Every step is written out, so lineage does not grow.
     """
-    def mark(df: DataFrame):
-        r = df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        return (r[0], r[1])
+    def kept(df: DataFrame) -> tuple[DataFrame, tuple]:
+        out = cut_lineage(df, "cc")
+        return out, tuple(out.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
     pairs = edges.select(F.greatest("left_id", "right_id").alias("a"), F.least("left_id", "right_id").alias("b"))
-    pairs = cut_lineage(pairs.filter("a <> b").distinct(), "cc")
-    seen = mark(pairs)
+    pairs, seen = kept(local_forest(pairs.filter("a <> b")).distinct())
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -109,8 +144,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(low, "a")
         small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(hung.select("a", F.col("m").alias("b")))
-        pairs = cut_lineage(small.filter("a <> b").distinct(), "cc")
-        now = mark(pairs)
+        pairs, now = kept(small.filter("a <> b").distinct())
         if now == seen:
             break
         seen = now
