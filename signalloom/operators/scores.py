@@ -247,6 +247,11 @@ def run_health(latest: DataFrame, states: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("failed_source_count") > 0, "degraded").otherwise("healthy"))
 
 
+def failed_sources(states: DataFrame) -> DataFrame:
+    """(family, source_id, error), a row per failed source of a run: what `run_health` lists in one array, for any number of sources."""
+    return states.filter("status = 'failed'").groupBy("family", "source_id").agg(F.max("error").alias("error"))
+
+
 def source_health(states: DataFrame, sources: DataFrame, families: list[str]) -> DataFrame:
     """State of every source: the last family that names it wins; configured ones get a default."""
     order = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family"))

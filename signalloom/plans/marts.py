@@ -204,13 +204,15 @@ def dashboard(evidence: DataFrame, themes: DataFrame, as_of: str, latest: int =
     return cards, evidence.orderBy(F.desc("published_at"), F.desc("id")).limit(latest)
 
 
-def research(evidence: DataFrame, themes: DataFrame, sources: DataFrame, layers: dict[str, list[str]], as_of: str) -> dict[str, DataFrame]:
-    """The research mart as tables (M2): evidence, themes (unobserved ones too), sources, weekly movement, verdicts."""
+def research(evidence: DataFrame, themes: DataFrame, sources: DataFrame, layers: dict[str, list[str]], as_of: str, projects: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The research mart as tables (M2): evidence, themes (unobserved ones too), sources, weekly movement, verdicts,
+    and, given the project catalog (M3), the projects with their review queue and the engineering concepts of themes."""
     rows = normalized_evidence(evidence, sources, layers)
     dim = sources.select(F.col("id").alias("source_id"), F.col("publisher_id").alias("_publisher"))
     by_theme = K.by_theme(evidence).join(dim, "source_id", "left").withColumn("publisher_id", F.coalesce("_publisher", F.col("source_id")))
     by_theme = by_theme.withColumn("support", F.lit(1)).withColumn("month", D.month_key(F.col("published_at")))
-    return {
+    queued = None if projects is None else cut_lineage(review_queue(projects), "research-projects")
+    return ({} if queued is None else {"projects": queued, "concepts": engineering_concepts(queued)}) | {
         "evidence": rows,
         "themes": S.with_unobserved(themes, S.cross_source_scores(by_theme, as_of)),
         "sources": S.source_freshness(rows, sources, as_of),

@@ -373,3 +373,13 @@ def w15(spark, sf):
 @query("m07_discovery_review", f"{FULL_SQL} SELECT count(*) AS cluster_count, count_if(coherent) AS coherent_cluster_count, count_if(spark_ok) AS quality_eligible_cluster_count, count_if(disposition NOT IN ('novel','cross-theme-extension')) AS explained_cluster_count, count_if(spark_ok AND changed > 0 AND disposition IN ('novel','cross-theme-extension')) AS unexplained_quality_eligible_count FROM zz JOIN x5 ON x5.id = zz.id")
 def m07(spark, sf):
     return G.run_summary(stages.clusters(spark, sf))
+
+
+@query("m07_discovery_records", f"""{FULL_SQL}, gs AS (SELECT zz.*, disposition, CASE WHEN n >= 3 AND sources >= 3 AND families >= 2 AND round_even(dominant / n, 3) <= 0.5 THEN 'candidate' WHEN n >= 2 AND sources >= 2 THEN 'spark' END AS gate FROM zz JOIN x5 ON x5.id = zz.id WHERE spark_ok AND changed > 0 AND disposition IN ('novel','cross-theme-extension'))
+SELECT CASE WHEN gate = 'candidate' AND NOT candidate_ok THEN 'spark' ELSE gate END AS section, id, disposition, changed FROM gs WHERE gate IS NOT NULL
+UNION ALL SELECT 'merge', x5.id, disposition, changed FROM x5 JOIN zk ON zk.id = x5.id WHERE disposition IN ('merge-existing-direction','covered-by-existing-theme')""")
+def m07_records(spark, sf):
+    """The records of the discovery review by state, and its merge suggestions."""
+    t = G.discovery_review(stages.clusters(spark, sf))
+    row = lambda df, section: df.select(F.lit(section).alias("section"), "id", "disposition", F.col("changed_evidence_count").alias("changed"))
+    return row(t["spark"], "spark").unionByName(row(t["candidate"], "candidate")).unionByName(row(t["merges"], "merge"))

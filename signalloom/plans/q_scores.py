@@ -317,17 +317,16 @@ def w14(spark, sf):
 
 
 @query("a14_checkpoints", f"""WITH {EV_SQL}, {EVD_SQL}, {J4_SQL}, {J5_SQL},
-r AS (SELECT ev2.id, event_id, source_id, ts, CASE WHEN len(arts) > 0 THEN arts[1] ELSE curl END AS key FROM e2 ev2, unnest(event_ids) u(event_id)),
+r AS (SELECT ev2.id, event_id, source_id, ts, CASE WHEN len(arts) > 0 THEN arts[1] ELSE curl END AS key, CASE WHEN source_type IN ('event-paper','repository') THEN 4 WHEN len(arts) > 0 THEN 2 ELSE 0 END AS strength FROM e2 ev2, unnest(event_ids) u(event_id)),
 w AS (SELECT evd.id AS event_id, e AS fin, source_ids AS official, d AS days, e + to_days(d) AS due FROM evd, unnest(wins) u(d)),
-l AS (SELECT w.event_id, days, key, any_value(source_id) AS x, list(DISTINCT source_id) AS ss, count(*) AS c FROM r JOIN w USING (event_id) WHERE ts > fin AND ts <= due AND NOT list_contains(official, source_id)
+l AS (SELECT w.event_id, days, key, arg_max(source_id, (strength, r.id)) AS source_id FROM r JOIN w USING (event_id) WHERE ts > fin AND ts <= due AND NOT list_contains(official, source_id)
    AND NOT EXISTS (SELECT 1 FROM r b WHERE b.event_id = r.event_id AND b.key = r.key AND b.ts <= fin) GROUP BY 1, 2, 3),
-n AS (SELECT event_id, days, count(*) AS n FROM l GROUP BY 1, 2), it AS (SELECT event_id, count(*) AS items FROM r GROUP BY 1)
-SELECT w.event_id, w.days, strftime(due, '%Y-%m-%d') AS due_at, CASE WHEN items IS NULL OR {_T} < due THEN 0 ELSE coalesce(n, 0) END AS evidence_count,
-  CASE WHEN items IS NULL THEN 'not-assessed' WHEN {_T} < due THEN 'pending' WHEN coalesce(n, 0) = 0 THEN 'not-observed' ELSE 'seen' END AS status
+n AS (SELECT event_id, days, count(*) AS n, count(DISTINCT source_id) AS s FROM l GROUP BY 1, 2), it AS (SELECT event_id, count(*) AS items FROM r GROUP BY 1)
+SELECT w.event_id, w.days, strftime(due, '%Y-%m-%d') AS due_at, CASE WHEN items IS NULL OR {_T} < due THEN 0 ELSE coalesce(n, 0) END AS evidence_count, CASE WHEN items IS NULL OR {_T} < due THEN 0 ELSE coalesce(s, 0) END AS source_count,
+  CASE WHEN items IS NULL THEN 'not-assessed' WHEN {_T} < due THEN 'pending' WHEN coalesce(n, 0) = 0 THEN 'not-observed' WHEN n >= 3 AND s >= 2 THEN 'confirmed' ELSE 'limited' END AS status
 FROM w LEFT JOIN it USING (event_id) LEFT JOIN n USING (event_id, days)""")
 def a14(spark, sf):
-    c = P.checkpoints(pulse_rows(spark, sf), demo.events_dim(spark), demo.AS_OF)
-    return c.select("event_id", "days", "due_at", "evidence_count", F.when(F.col("status").isin("confirmed", "limited"), "seen").otherwise(F.col("status")).alias("status"))
+    return P.checkpoints(pulse_rows(spark, sf), demo.events_dim(spark), demo.AS_OF)
 
 
 def linked_evidence(spark, sf):
@@ -465,6 +464,11 @@ def a23(spark, sf):
     return S.run_health(latest, states).withColumn("failed_source_ids", F.array_join("failed_source_ids", ","))
 
 
+@query("a23_failed_sources", f"WITH {HEALTH_SQL} SELECT family, source_id, 'boom: it broke' AS error FROM s WHERE bad")
+def a23_failed(spark, sf):
+    return S.failed_sources(health_parts(spark, sf)[1])
+
+
 @query("j12_source_health", f"""WITH {HEALTH_SQL}, cf AS (SELECT 'u' || n AS id, CASE WHEN n % 5 = 4 THEN 'manual' ELSE 'feed' END AS collection FROM (SELECT DISTINCT user_id AS n FROM events) UNION ALL SELECT 'x' || c_custkey, CASE WHEN c_nationkey = 1 THEN 'manual' END FROM customer)
 SELECT cf.id AS source_id, CASE WHEN s.source_id IS NOT NULL THEN CASE WHEN bad THEN 'failed' ELSE 'healthy' END WHEN collection IS NULL OR collection = 'manual' THEN 'not-automated' ELSE 'no-run-receipt' END AS status, coalesce(items, 0) AS items, CASE WHEN bad THEN 'boom: it broke' END AS error, family AS run_id
 FROM cf LEFT JOIN s ON s.source_id = cf.id""")
@@ -818,6 +822,19 @@ def m02(spark, sf):
             .unionByName(row(m["verdicts"], "verdict", "disposition", "rule_id", "evidence_count")).unionByName(row(types, "evidence", "source_type", "latest", "n")))
 
 
+@query("m02_research_projects", f"""WITH {EVC_SQL}, {PROJ_SQL}, {REPO_SQL}, {W9_SQL}, th AS (SELECT name, list(DISTINCT t) AS theme_ids FROM nm JOIN cl USING (id), unnest(theme_ids) u(t) GROUP BY 1),
+al AS (SELECT name, theme_ids, 0 AS st, length(name) * 7 AS pr FROM proj LEFT JOIN th USING (name) UNION ALL SELECT fd.name, theme_ids, CASE WHEN q.name IS NOT NULL THEN 1 ELSE 2 END, review_priority FROM fd LEFT JOIN q ON q.name = fd.name)
+SELECT 'project' AS section, name AS key, ['reviewed','queued','discovered'][st + 1] AS state, pr AS n FROM al UNION ALL SELECT 'concept', t, 'projects', count(*) FROM al, unnest(theme_ids) u(t) GROUP BY 2
+UNION ALL SELECT 'concept', t, 'queued', count_if(st = 1) FROM al, unnest(theme_ids) u(t) GROUP BY 2""")
+def m02_projects(spark, sf):
+    """The project and concept tables of the research mart."""
+    m = marts.research(classified(spark, sf), demo.themes(spark).select("id", "name"), demo.sources(spark), {t[0]: [t[4], t[5]] for t in demo.THEMES}, demo.AS_OF, catalog(spark, sf))
+    p = m["projects"].select(F.lit("project").alias("section"), F.col("name").alias("key"), F.col("review_status").alias("state"), F.col("review_priority").cast("long").alias("n"))
+    c = cut_lineage(m["concepts"], "concepts")
+    row = lambda state, n: c.select(F.lit("concept").alias("section"), F.col("theme_id").alias("key"), F.lit(state).alias("state"), F.col(n).cast("long").alias("n"))
+    return p.unionByName(row("projects", "project_count")).unionByName(row("queued", "queued_project_count"))
+
+
 M6_SQL = f"""cand AS (SELECT theme_id AS id, CASE WHEN count_if(ts > {_T} - INTERVAL 7 DAY AND ts <= {_T}) > 0 THEN 'new' ELSE 'steady' END AS movement, count(*) AS ec, count(DISTINCT source_id) AS sc, count(DISTINCT source_type) AS fc,
   count_if(ts > {_T} - INTERVAL 7 DAY AND ts <= {_T}) AS rc, count_if(source_type IN ('paper','repository','first-party-lab','practitioner-blog')) AS tc FROM dr GROUP BY 1)"""
 
