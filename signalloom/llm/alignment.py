@@ -40,9 +40,9 @@ from signalloom.llm import bpe
 from signalloom.llm.arrow import map_columns
 from signalloom.session import cut_lineage, small_table
 
-CHARS_AT_ONCE = 6_000_000
-UNITS = 400_000
-UNIT_CHARS = 6_000_000
+CHARS_AT_ONCE = 3_000_000
+UNITS = 250_000
+UNIT_CHARS = 4_000_000
 FREQUENT = 1 << 20
 MARK = "▁"
 
@@ -150,7 +150,7 @@ class Aligner:
         if len(self.known) > UNITS or self.known.chars > UNIT_CHARS:
             self.forget()
         rows = [list(map(self.known.__getitem__, units(t))) if t else [] for t in texts]
-        for i, j in bpe.slices([len(w) for w in self.known.new], CHARS_AT_ONCE // 4):  # a quarter bounds the arrays of `learn`
+        for i, j in bpe.slices([len(w) for w in self.known.new], CHARS_AT_ONCE // 3):  # a third bounds the arrays of `learn`
             self.learn(self.known.new[i:j])
         self.known.new.clear()
         begins = np.cumsum(self.sizes, axis=0) - self.sizes
