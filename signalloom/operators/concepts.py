@@ -12,21 +12,22 @@ from signalloom.session import cut_lineage
 
 @dataclass
 class ConceptPolicy:
-    """Parameters of the extraction; the defaults are the reference values."""
+    """Parameters of the extraction. The maxima cut what one record may hold; without them nothing is cut."""
 
     lexicon: list[dict] = field(default_factory=list)            # id, label, kind, aliases
     actions: dict[str, list[str]] = field(default_factory=dict)
     minimum_df: int = 2
     maximum_fraction: float = 0.35
-    maximum_phrases: int = 8
+    maximum_phrases: int | None = None
     minimum_score: float = 1.15
     title_weight: float = 1.5
     generic_tokens: list[str] = field(default_factory=list)
     blocked_phrases: list[str] = field(default_factory=list)
     blocked_tags: list[str] = field(default_factory=list)
     minimum_tag_length: int = 3
-    maximum_entities: int = 12
-    maximum_relations: int = 12
+    maximum_entities: int | None = None
+    maximum_relations: int | None = None
+    maximum_terms: int | None = None
 
 
 def plain(text: str) -> str:
@@ -68,27 +69,31 @@ def vocabulary_hits(tokens: Column, phrases: list[str]) -> Column:
     return F.array_distinct(F.filter(grams, lambda g: known(g, phrases)))
 
 
-def _found(aliases: list[str], hits: Column) -> Column:
-    """Up to six aliases among the phrases found in a record, in the given order."""
+def _first(items: Column, most: int | None) -> Column:
+    return items if most is None else F.slice(items, 1, most)
+
+
+def _found(aliases: list[str], hits: Column, most: int | None) -> Column:
+    """Aliases among the phrases found in a record, in the given order."""
     named = [F.when(F.array_contains(hits, plain(a)), F.lit(a)) for a in aliases if plain(a)]
-    return F.slice(F.array_compact(F.array(*named)) if named else _strings([]), 1, 6)
+    return _first(F.array_compact(F.array(*named)) if named else _strings([]), most)
 
 
-def controlled(hits: Column, entries: list[dict]) -> Column:
+def controlled(hits: Column, entries: list[dict], most: int | None = None) -> Column:
     """Lexicon entries among the phrases found in a record (T4)."""
     items = [F.struct(F.lit(e["id"]).alias("id"), F.lit(e["label"]).alias("label"), F.lit(e["kind"]).alias("kind"),
-                      _found(e["aliases"], hits).alias("matched_terms")) for e in entries]
+                      _found(e["aliases"], hits, most).alias("matched_terms")) for e in entries]
     return F.filter(F.array(*items), lambda e: F.size(e["matched_terms"]) > 0)
 
 
-def action_hits(hits: Column, actions: dict[str, list[str]]) -> Column:
+def action_hits(hits: Column, actions: dict[str, list[str]], most: int | None = None) -> Column:
     items = [F.struct(F.lit(a).alias("id"), F.lit(a.replace("-", " ").title()).alias("label"),
-                      _found(forms, hits).alias("matched_terms")) for a, forms in actions.items()]
+                      _found(forms, hits, most).alias("matched_terms")) for a, forms in actions.items()]
     return F.filter(F.array(*items), lambda e: F.size(e["matched_terms"]) > 0)
 
 
 def entities(policy: ConceptPolicy) -> Column:
-    """Projects and tags as entities, the last of equal ids, ordered by kind and label, at most twelve."""
+    """Projects and tags as entities, the last of equal ids, ordered by kind and label."""
     def item(prefix: str, kind: str):
         return lambda v: F.struct(F.concat(F.lit(prefix), X.slug(v)).alias("id"), v.alias("label"),
                                   F.lit(kind).alias("kind"), F.array(v).alias("matched_terms"))
@@ -100,7 +105,7 @@ def entities(policy: ConceptPolicy) -> Column:
     last = F.filter(every, lambda x, i: ~F.exists(
         F.slice(every, i + 2, F.greatest(F.size(every), F.lit(1))), lambda y: y["id"] == x["id"]))
     keyed = F.array_sort(F.transform(last, lambda x: F.struct(x["kind"].alias("k"), X.fold(x["label"]).alias("l"), x.alias("x"))))
-    return F.slice(F.transform(keyed, lambda s: s["x"]), 1, policy.maximum_entities)
+    return _first(F.transform(keyed, lambda s: s["x"]), policy.maximum_entities)
 
 
 def prepared(items: DataFrame, policy: ConceptPolicy) -> DataFrame:
@@ -111,9 +116,9 @@ def prepared(items: DataFrame, policy: ConceptPolicy) -> DataFrame:
     phrases = [plain(a) for e in policy.lexicon for a in e["aliases"]] + [plain(f) for forms in policy.actions.values() for f in forms]
     base = base.withColumn("_hits", vocabulary_hits(F.col("tokens"), phrases))
     return (base.withColumn("title_tokens", F.size(X.normalized_tokens(F.col("title"))))
-            .withColumn("controlled", controlled(F.col("_hits"), policy.lexicon))
+            .withColumn("controlled", controlled(F.col("_hits"), policy.lexicon, policy.maximum_terms))
             .withColumn("entities", entities(policy))
-            .withColumn("actions", action_hits(F.col("_hits"), policy.actions)).drop("_hits"))
+            .withColumn("actions", action_hits(F.col("_hits"), policy.actions, policy.maximum_terms)).drop("_hits"))
 
 
 def phrase_counts(base: DataFrame, policy: ConceptPolicy) -> DataFrame:
@@ -168,13 +173,14 @@ def scored_phrases(counts: DataFrame, n_documents: int, policy: ConceptPolicy) -
 
 
 def picked_phrases(scored: DataFrame, policy: ConceptPolicy) -> DataFrame:
-    """Greedy choice per record: best first, none inside another chosen one, at most eight."""
+    """Greedy choice per record: best first, none inside another chosen one."""
     listed = scored.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(
         (-F.col("score")).alias("s"), (-F.col("size")).alias("z"), "phrase", "df"))).alias("all"))
     clash = "exists(acc, e -> contains(concat(' ', e.phrase, ' '), concat(' ', x.phrase, ' ')) " \
             "or contains(concat(' ', x.phrase, ' '), concat(' ', e.phrase, ' ')))"
+    full = "" if policy.maximum_phrases is None else f"size(acc) >= {policy.maximum_phrases} or "
     picked = F.expr(
-        f"aggregate(all, slice(all, 1, 0), (acc, x) -> if(size(acc) >= {policy.maximum_phrases} or {clash}, "
+        f"aggregate(all, slice(all, 1, 0), (acc, x) -> if({full}{clash}, "
         "acc, concat(acc, array(x))))")
     return listed.select("id", picked.alias("picked"))
 
@@ -187,9 +193,9 @@ def phrase_items() -> Column:
 
 def relations(base: DataFrame, policy: ConceptPolicy) -> DataFrame:
     """Subject, action, object of one sentence (T9): the nearest node before and after the action,
-    else the first two nodes; distinct triples in text order, at most twelve per record.
+    else the first two nodes; distinct triples in text order.
 
-    Nodes per record are few (lexicon hits and at most twelve entities), sentences are exploded.
+    Nodes per record are few (lexicon hits and entities), sentences are exploded.
     """
     def listed(items: Column) -> Column:
         return F.transform(items, lambda n, i: F.named_struct(
@@ -219,8 +225,7 @@ def relations(base: DataFrame, policy: ConceptPolicy) -> DataFrame:
                           subject["id"].alias("subject_id"), target["id"].alias("object_id"))
     triples = (triples.filter("subject_id <> object_id").groupBy("id", "subject_id", "predicate", "object_id")
                .agg(F.min(F.struct("sno", "ord")).alias("at")))
-    listed = F.slice(F.array_sort(F.collect_list(F.struct("at", "subject_id", "predicate", "object_id"))), 1,
-                     policy.maximum_relations)
+    listed = _first(F.array_sort(F.collect_list(F.struct("at", "subject_id", "predicate", "object_id"))), policy.maximum_relations)
     return triples.groupBy("id").agg(listed.alias("l")).select("id", F.transform("l", lambda t: F.struct(
         t["subject_id"].alias("subject_id"), t["predicate"].alias("predicate"), t["object_id"].alias("object_id"),
         F.lit("same-sentence-co-mention").alias("basis"))).alias("relationships"))

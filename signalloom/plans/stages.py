@@ -69,7 +69,8 @@ def concept_policy() -> N.ConceptPolicy:
     themes = [{"id": t[0], "name": t[1], "aliases": t[2], "terms": t[3]} for t in demo.THEMES]
     return N.ConceptPolicy(
         lexicon=N.lexicon(themes, PRIMITIVES), actions=ACTIONS, generic_tokens=["thth", "thre", "ouou"],
-        blocked_phrases=["thth thre", "leou ouai"], blocked_tags=["en", "desk-src2"])
+        blocked_phrases=["thth thre", "leou ouai"], blocked_tags=["en", "desk-src2"],
+        maximum_phrases=8, maximum_entities=12, maximum_relations=12, maximum_terms=6)  # the bounds that the SQL of the queries states
 
 
 @shared("concept-documents")
