@@ -5,7 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from signalloom.functions import text as X
-from signalloom.operators import publish, resolve, review, scores
+from signalloom.operators import graph, publish, resolve, review, scores
+from signalloom.session import small_table
 from signalloom.sources import feeds, landing
 from signalloom.streaming import jobs, upserts
 
@@ -115,3 +116,17 @@ def test_many_references_in_one_text(spark):
     text = "word &amp; caf&eacute; &#8217;s " * 4_000
     got = spark.createDataFrame([(text,)], "t string").select(X.unescape(F.col("t")).alias("u")).first().u
     assert got == "word & café ’s " * 4_000
+
+
+def test_similar_sets_meet_by_all_they_must_share(spark):
+    """Small sets over few members share rare ones all the time (G9); only those that reach the bound may be paired."""
+    rnd = random.Random(4)
+    sets = sorted({tuple(sorted(rnd.sample(range(14), rnd.randrange(3, 8)))) for _ in range(150)})
+    rows = [(f"s{i:03d}", [f"m{x:02d}" for x in s]) for i, s in enumerate(sets)]
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0]
+            and len(set(a[1]) & set(b[1])) / len(set(a[1]) | set(b[1])) >= 0.8}
+    got = graph.opening_pairs(small_table(spark, rows, "id string, evidence_ids array<string>"), 0.8)
+    assert {tuple(r) for r in got.collect()} == want
+    long = [(f"l{i}", [f"m{x:03d}" for x in range(60) if x % 20 not in (i, i + 3)]) for i in range(6)]
+    met = graph.opening_pairs(small_table(spark, long, "id string, evidence_ids array<string>"), 0.8)
+    assert met.count() == 15   # 48 or more of 60 members shared: all reach the bound
