@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signalloom.functions import constants as C, text as X
@@ -65,17 +67,20 @@ def _meta(html: Column, name: str, *keys: str) -> Column:
     return F.transform(F.filter(tags, wanted), lambda t: X.compact(attribute(t, "content")))
 
 
-def page_metadata(html: Column) -> Column:
+def page_metadata(html: Column, references: dict[str, str] | None = None) -> Column:
     """Struct of title, description and published_at.
 
     Title: last og:title, else the title element, else the JSON-LD headline. Description: first
     description tag, else JSON-LD. Date: last date meta tag, else the first time element, else JSON-LD.
+    All character references of the title element are decoded, or the given `references` alone.
     """
     ld = F.regexp_extract(html, r"""(?is)<script\b[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>""", 1)
     field = lambda f: X.compact(F.coalesce(F.get_json_object(ld, f"$.{f}"), F.get_json_object(ld, f"$[0].{f}")))
     times = F.regexp_extract_all(html, F.lit(r"(?is)<time\b[^>]*>"), F.lit(0))
     stamps = F.filter(F.transform(times, lambda t: X.compact(attribute(t, "datetime"))), lambda v: v != "")
-    element = X.compact(X.unescape(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title>", 1)))
+    named = F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title>", 1)
+    decoded = X.unescape(named) if references is None else reduce(lambda c, r: F.replace(c, F.lit(r[0]), F.lit(r[1])), references.items(), named)
+    element = X.compact(decoded)
     pick = lambda *c: F.coalesce(*[F.when(F.coalesce(x, F.lit("")) != "", x) for x in c], F.lit(""))
     return F.struct(
         pick(F.try_element_at(_meta(html, "t", "og:title"), F.lit(-1)), element, field("headline")).alias("title"),

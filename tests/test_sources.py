@@ -96,3 +96,10 @@ def test_stream_states(spark, tmp_path):
         q.awaitTermination()
     got = [(r.before, r.after) for r in spark.read.parquet(str(tmp_path / "out")).filter("key = 'a'").orderBy("at").collect()]
     assert got[:3] == [("", "active"), ("active", "fading"), ("fading", "dormant")] and ("dormant", "reactivated") in got
+
+
+def test_references_in_the_title_element(spark):
+    """All references are decoded (S9); given ones alone where a caller states them, as the SQL of s09_page_metadata does."""
+    html = spark.createDataFrame([("<title>A &quot;b&quot; &amp; c&amp</title>",)], "html string")
+    title = lambda **kw: html.select(web.page_metadata(F.col("html"), **kw)["title"]).first()[0]
+    assert title() == 'A "b" & c&' and title(references={"&amp;": "&"}) == "A &quot;b&quot; & c&amp"
