@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from signalloom.functions import text as X
-from signalloom.operators import graph, publish, resolve, review, scores
+from signalloom.operators import concepts, graph, publish, resolve, review, scores
 from signalloom.session import small_table
 from signalloom.sources import feeds, landing
 from signalloom.streaming import jobs, upserts
@@ -130,3 +130,14 @@ def test_similar_sets_meet_by_all_they_must_share(spark):
     long = [(f"l{i}", [f"m{x:03d}" for x in range(60) if x % 20 not in (i, i + 3)]) for i in range(6)]
     met = graph.opening_pairs(small_table(spark, long, "id string, evidence_ids array<string>"), 0.8)
     assert met.count() == 15   # 48 or more of 60 members shared: all reach the bound
+
+
+def test_phrase_counting_takes_more_tasks_with_more_records(spark):
+    """A task counts the phrases of so many records at most (T5), whatever shuffles are coalesced to; results as counted by hand."""
+    items = spark.range(40).select(F.col("id").cast("string").alias("id"), F.array(*[F.lit(t) for t in (
+        "12", "34", "thre", "thre", "alpha", "beta", "alpha", "beta")]).alias("tokens"), F.lit(6).alias("title_tokens"))
+    counts = concepts.phrase_counts(items, concepts.ConceptPolicy(generic_tokens=["thre"], blocked_phrases=["thre alpha"]), records_a_task=2)
+    assert counts.rdd.getNumPartitions() >= 20
+    got = {r.phrase: (r.tf, r.in_title) for r in counts.filter("id = '7' and size = 2").collect()}
+    assert got == {"34 thre": (1, True), "alpha beta": (2, True), "beta alpha": (1, False)}
+    assert counts.filter("id = '7' and size > 2").count() == 11
