@@ -141,3 +141,12 @@ def test_phrase_counting_takes_more_tasks_with_more_records(spark):
     got = {r.phrase: (r.tf, r.in_title) for r in counts.filter("id = '7' and size = 2").collect()}
     assert got == {"34 thre": (1, True), "alpha beta": (2, True), "beta alpha": (1, False)}
     assert counts.filter("id = '7' and size > 2").count() == 11
+
+
+def test_a_sentence_is_read_once_for_its_relations(spark):
+    """Sentences and terms are normalized once each (T9): not again in filters, nor for each term that is looked up."""
+    term = F.array(F.struct(F.lit("n").alias("id"), F.array(F.lit("alpha"), F.lit("beta")).alias("matched_terms")))
+    base = spark.range(2).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("See alpha 1. Now beta "), "id").alias("search"),
+                                 term.alias("controlled"), term.alias("entities"), term.alias("actions"))
+    plan = concepts.relations(base, concepts.ConceptPolicy())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 3   # terms of nodes, of actions, and sentences
