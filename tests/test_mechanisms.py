@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from signalloom.functions import text as X
-from signalloom.operators import concepts, graph, publish, quality as Q, resolve, review, scores
+from signalloom.operators import concepts, dedup, graph, publish, quality as Q, resolve, review, scores
 from signalloom.session import small_table
 from signalloom.sources import feeds, landing
 from signalloom.streaming import jobs, upserts
@@ -171,3 +171,14 @@ def test_tokens_need_no_pass_over_separators(spark):
     assert [r.w for r in df.collect()] == [["node.js", "c", "a", "b", "gpt", "4.1", "strasse+x"], [], []]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "translate(" not in plan and "regexp_replace(" not in plan
+
+
+def test_title_starts_travel_as_numbers(spark):
+    """Titles stand in joins as 16 bytes and their starts as numbers (D6), not as hexadecimal digits; a group without a name still pairs nothing."""
+    long = "the quick brown fox jumps over the lazy dog"
+    titles = spark.createDataFrame([("a", long), ("a", long[4:]), ("a", long[:20]), ("b", long[4:]), (None, long), (None, long[4:]), ("c", "abcd"), ("c", "bcd")], "g string, t string")
+    out = dedup.contained_titles(titles, ["g"])
+    assert sorted(tuple(r) for r in out.collect()) == [("a", long[4:], long), ("c", "bcd", "abcd")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha2(") == plan.count("unhex(sha2(") > 0
+    assert titles.select(F.length(dedup.text_key(["g"], F.col("t"))).alias("n")).distinct().collect() == [(16,)]
