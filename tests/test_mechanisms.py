@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions import text as X
 from signalloom.operators import concepts, dedup, graph, publish, quality as Q, resolve, review, scores
+from signalloom.plans import q_text
 from signalloom.session import small_table
 from signalloom.sources import feeds, landing
 from signalloom.streaming import jobs, upserts
@@ -182,3 +183,11 @@ def test_title_starts_travel_as_numbers(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sha2(") == plan.count("unhex(sha2(") > 0
     assert titles.select(F.length(dedup.text_key(["g"], F.col("t"))).alias("n")).distinct().collect() == [(16,)]
+
+
+def test_shared_pairs_take_more_tasks_with_more_rows(spark):
+    """A task holds the pairs of so many rows at most (J14), whatever shuffles are coalesced to."""
+    li = spark.range(40).select((F.col("id") / 2).cast("long").alias("l_orderkey"), (F.col("id") % 4).alias("l_suppkey"))
+    out = q_text.shared_pairs(li, rows_a_task=2)
+    assert out.rdd.getNumPartitions() >= 20
+    assert sorted(tuple(r) for r in out.collect()) == [(0, 1, 10), (2, 3, 10)]
