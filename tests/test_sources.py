@@ -1,6 +1,6 @@
 """Parsers on inline payloads, landed files and streams."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from signalloom.sources import feeds, landing, records, web
 from signalloom.streaming import jobs
@@ -98,6 +98,65 @@ def test_stream_states(spark, tmp_path):
     assert got[:3] == [("", "active"), ("active", "fading"), ("fading", "dormant")] and ("dormant", "reactivated") in got
 
 
+class CountedHandle:
+    """A bucket's list state and timers, with the calls that were made."""
+
+    def __init__(self):
+        self.rows, self.timers, self.calls = [], [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.calls, self.rows = self.calls + 1, rows
+
+    def registerTimer(self, at):
+        self.calls, self.timers = self.calls + 1, [*self.timers, at]
+
+    def deleteTimer(self, at):
+        self.calls, self.timers = self.calls + 1, [t for t in self.timers if t != at]
+
+
+def test_state_calls_of_a_bucket():
+    """The calls to the state store do not grow with the keys of a bucket (ST5)."""
+    day = 86400000
+    handle, p = CountedHandle(), jobs.LifecycleProcessor()
+    p.init(handle)
+    batch = lambda at: [Row(key=f"k{i}", day=at, first=at * day + i, newest=at * day + i, n=2) for i in range(200)]
+    out = list(p.handleInputRows((0,), iter(batch(1)), None))
+    assert len(out) == 200 and {r["after"] for r in out} == {"active"} and handle.calls == 3 and handle.timers == [31 * day]
+    assert list(p.handleInputRows((0,), iter(batch(2)), None)) == [] and handle.calls == 7 and handle.timers == [32 * day]
+
+    class Values:
+        def getCurrentWatermarkInMs(self):
+            return 32 * day + 99
+    out = list(p.handleExpiredTimer((0,), Values(), None))
+    assert [(r["key"], r["before"], r["after"], r["records"]) for r in out] == [(f"k{i}", "active", "fading", 4) for i in range(100)]
+    assert handle.calls == 10 and handle.timers[-1] == 32 * day + 100 and len(handle.rows) == 200
+
+
+def test_keys_of_one_bucket(spark, tmp_path):
+    """Keys that share a bucket change each at its own time, by records and by timers (ST5)."""
+    own = jobs.timer_session(spark)
+    days = [[("2026-01-01", "a"), ("2026-01-03", "b")], [("2026-02-02", "c")], [("2026-04-20", "b"), ("2026-04-21", "c")], [("2027-01-01", None)]]
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in days:
+        own.createDataFrame(rows, "t string, k string").select(F.to_timestamp("t").alias("ts"), "k").coalesce(1).write.mode("append").parquet(src)
+        s = jobs.lifecycle_changes(own.readStream.schema("ts timestamp, k string").parquet(src), "k", buckets=1)
+        s.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start().awaitTermination()
+    got = own.read.parquet(out).filter("key is not null").withColumn("at", F.date_format("at", "yyyy-MM-dd")).orderBy("key", "at").collect()
+    assert [tuple(r) for r in got] == [
+        ("a", "", "active", "2026-01-01", 1), ("a", "active", "fading", "2026-01-31", 1), ("a", "fading", "dormant", "2026-04-01", 1),
+        ("b", "", "active", "2026-01-03", 1), ("b", "active", "fading", "2026-02-02", 1), ("b", "fading", "dormant", "2026-04-03", 1),
+        ("b", "dormant", "reactivated", "2026-04-20", 2), ("b", "reactivated", "fading", "2026-05-20", 2), ("b", "fading", "dormant", "2026-07-19", 2),
+        ("c", "", "active", "2026-02-02", 1), ("c", "active", "fading", "2026-03-04", 1),
+        ("c", "fading", "reactivated", "2026-04-21", 2), ("c", "reactivated", "fading", "2026-05-21", 2), ("c", "fading", "dormant", "2026-07-20", 2)]
+
+
 def test_references_in_the_title_element(spark):
     """All references are decoded (S9); given ones alone where a caller states them, as the SQL of s09_page_metadata does."""
     html = spark.createDataFrame([("<title>A &quot;b&quot; &amp; c&amp</title>",)], "html string")
