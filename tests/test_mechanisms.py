@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions import text as X
 from signalloom.operators import concepts, dedup, graph, publish, quality as Q, resolve, review, scores
-from signalloom.plans import q_text
+from signalloom.plans import q_scores, q_text
 from signalloom.session import small_table
 from signalloom.sources import feeds, landing
 from signalloom.streaming import jobs, upserts
@@ -191,3 +191,15 @@ def test_shared_pairs_take_more_tasks_with_more_rows(spark):
     out = q_text.shared_pairs(li, rows_a_task=2)
     assert out.rdd.getNumPartitions() >= 20
     assert sorted(tuple(r) for r in out.collect()) == [(0, 1, 10), (2, 3, 10)]
+
+
+def test_cases_shuffle_a_line_item_once(spark, tmp_path):
+    """Counts of different values per part ignore nulls and repeats, and no row is copied for them."""
+    rows = [(1, 10, 5, "1994-01-02", "A"), (1, 10, 6, "1994-03-02", "R"), (1, 11, None, None, "A"), (1, None, 5, "1995-01-02", None), (2, None, None, None, "N"), (None, 1, 1, "1994-01-02", "A")]
+    li = spark.createDataFrame(rows, "l_partkey long, l_orderkey long, l_suppkey long, d string, l_returnflag string").withColumn("l_shipdate", F.col("d").cast("timestamp"))
+    li.drop("d").write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = q_scores.cases(spark, str(tmp_path))
+    got = {r.id: (r.qualifying_events, r.independent_organizations, r.persistence_cycles, r.technical_artifacts, r.counterevidence_reviewed) for r in out.collect()}
+    assert got == {1: (2, 2, 2, 2, True), 2: (0, 0, 0, 0, False), None: (1, 1, 1, 1, False)}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Expand" not in plan
