@@ -254,8 +254,8 @@ kept AS (SELECT * FROM k WHERE rp <= 2)"""
 SELECT CASE WHEN s >= 2 AND p >= 2 THEN 'source-cap,publisher-cap' WHEN s >= 2 THEN 'source-cap' WHEN p >= 2 THEN 'publisher-cap' END AS reasons, count(*) AS records, min(id) AS first_id FROM e GROUP BY 1
 UNION ALL SELECT 'kept', count(*), min(id) FROM kept""")
 def w08(spark, sf):
-    v = volume(spark, sf).withColumn("org", F.concat(F.lit("org"), F.expr("cast(substring(source_id, 4) as int) div 2")))
-    kept = R.contribution_caps(v, ["theme_id"], "source_id", "org", [F.desc("ts"), F.col("id")])
+    v = volume(spark, sf).select("id", "theme_id", "source_id", F.concat(F.lit("org"), F.expr("cast(substring(source_id, 4) as int) div 2")).alias("org"), "ts")
+    kept = cut_lineage(R.contribution_caps(v, ["theme_id"], "source_id", "org", [F.desc("ts"), F.col("id")]), "kept")
     rank = F.struct((-F.unix_micros("ts")).alias("t"), F.col("id").alias("i"))
     out = R.cap_exclusions(v, kept, ["theme_id"], "source_id", "org", "id", rank)
     rows = out.select("id", F.array_join("reason_codes", ",").alias("reasons")).unionByName(kept.select("id", F.lit("kept").alias("reasons")))

@@ -9,7 +9,7 @@ from signalloom.functions import constants as C, dates as D, text as X
 from signalloom.operators import change as H, classify as K, concepts as N, dedup, discover as G, gates, graph, lifecycle as L
 from signalloom.operators import pulse as P, quality as Q, ranking as R, resolve as V, scores as S
 from signalloom.plans import marts
-from signalloom.session import small_table
+from signalloom.session import cut_lineage, small_table
 
 AS_OF = "2026-09-21T00:00:00Z"
 NOW = datetime(2026, 9, 21, tzinfo=timezone.utc)
@@ -148,6 +148,16 @@ def test_contribution_caps(spark):
     assert out == {"repo-3": ["source-cap", "publisher-cap"], "repo-4": ["publisher-cap"]}
 
 
+
+def test_exclusions_meet_kept_rows_once(spark):
+    """One join decides both what was kept and which cap was full; without a publisher or group nothing meets but the row itself."""
+    rows = [("c", "a", "s", None, 1), ("c", "b", "s", None, 2), ("c", "d", "s", None, 3), ("c", "e", None, "p", 1), ("c", "f", None, "p", 2), ("c", "g", None, "p", 3), (None, "h", "s", "p", 1)]
+    df = frame(spark, rows, "g string, id string, s string, p string, n int")
+    kept = cut_lineage(R.contribution_caps(df, ["g"], "s", "p", [F.col("n")]))
+    out = R.cap_exclusions(df, kept, ["g"], "s", "p", "id", F.struct("n"))
+    assert {r.id: r.reason_codes for r in out.collect()} == {"d": [], "g": ["publisher-cap"], "h": []} and out.columns == [*df.columns, "reason_codes"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
 def test_privacy(spark):
     rows = [("a", '{"x":"me@example.org"}'), ("b", '{"deep":{"raw_body":1}}'), ("c", '{"x":"fine"}'), ("d", '{"x":"https://mail.google.com/mail/u/0/#all/1"}')]
     got = {(r.id, r.violation) for r in Q.privacy_violations(frame(spark, rows, "id string, j string"), "id", F.col("j")).collect()}
