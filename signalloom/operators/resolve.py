@@ -166,9 +166,12 @@ def related_repositories(evidence: DataFrame, matched: DataFrame) -> DataFrame:
 
 def qualify(df: DataFrame, directions: list[dict]) -> DataFrame:
     """One row per record and direction it supports (J13); the direction rules are literals, not a join."""
-    def rule(d: dict) -> Column:
+    def shared(d: dict) -> Column:
         overlap = F.size(F.array_intersect("theme_ids", F.array(*[F.lit(t) for t in d["theme_ids"]])))
-        enough = overlap >= d.get("minimum_theme_overlap", 2)
+        return overlap >= d.get("minimum_theme_overlap", 2)
+
+    def rule(d: dict) -> Column:
+        enough = shared(d)
         phrases = [p.lower() for p in d.get("match_phrases", [])]
         if phrases:
             hit = F.lit(False)
@@ -178,7 +181,12 @@ def qualify(df: DataFrame, directions: list[dict]) -> DataFrame:
         if d.get("curated_evidence_ids"):
             enough = enough | F.col("id").isin(*d["curated_evidence_ids"])
         return F.when(enough, F.lit(d["id"]))
-    low = df.withColumn("_low", X.fold(F.concat_ws(" ", "title", "summary")))
+    # only a text whose themes fit a direction with phrases is folded
+    read = F.lit(False)
+    for d in directions:
+        if d.get("match_phrases"):
+            read = read | shared(d)
+    low = df.withColumn("_low", F.when(read, X.fold(F.concat_ws(" ", "title", "summary"))))
     return explode_rows(low, "direction_id", F.array_compact(F.array(*[rule(d) for d in directions]))).drop("_low")
 
 

@@ -136,9 +136,9 @@ def a10(spark, sf):
     return S.coverage(classified(spark, sf).withColumn("_d", F.col("disposition")))
 
 
-def directions_rows(spark, sf):
+def directions_rows(spark, sf, read=classified):
     s = demo.sources(spark).select(F.col("id").alias("source_id"), F.col("publisher_id").alias("_p"), F.col("channel").alias("_c"))
-    e = classified(spark, sf).join(s, "source_id", "left")
+    e = read(spark, sf).join(s, "source_id", "left")
     e = e.withColumn("publisher_id", F.coalesce("_p", F.col("source_id"))).withColumn("channel", F.coalesce("_c", F.col("source_type")))
     return e.drop("_p", "_c")
 
@@ -168,8 +168,11 @@ sg AS (SELECT *, CASE WHEN dated = 0 THEN 'unobserved' WHEN evidence_count = 0 O
   WHEN family_count >= 3 AND source_count >= 5 AND tech >= 2 THEN 'corroborating' WHEN family_count >= 2 AND source_count >= 2 AND tech >= 1 THEN 'emerging' ELSE 'weak-signal' END AS stage FROM sn)"""
 
 
+@stages.shared("tagged")
 def tagged(spark, sf):
-    return V.qualify(directions_rows(spark, sf), stages.DIRECTIONS).withColumn("family", L.family(F.col("channel")))
+    """Evidence per direction it supports, written once as the few columns that are read."""
+    rows = V.qualify(directions_rows(spark, sf, stages.classified_once), stages.DIRECTIONS)
+    return rows.select("direction_id", "id", "source_id", "publisher_id", L.family(F.col("channel")).alias("family"), "ts")
 
 
 @query("j13_directions", f"WITH {EVC_SQL}, {DI_SQL} SELECT direction_id, id FROM di")

@@ -1,5 +1,7 @@
 """Operators on literal rows."""
 
+import os
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -88,6 +90,32 @@ def test_whole_terms(spark):
     assert not hit("a novel argument", "VLA")
 
 
+def test_themes_take_one_scan_for_words(spark):
+    terms = {"t1": ["ab", "abc"], "t2": ["abc", "x y"], "t3": ["c++", "b"], "t4": [], "t5": ["Abß", "a1"]}
+    rng = random.Random(5)
+    texts = ["", "abc", "x  y", "x y", "abß", "ABSS", "c++", "c++b", "-ab-", "abcd", "éab", None] + [
+        "".join(rng.choice("aabbc1x y.+ß-") for _ in range(rng.randrange(40))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string").withColumn("v", X.fold(F.col("v")))
+    every = F.array_compact(F.array(*[F.when(K.matches_any_term(F.col("v"), terms[t]), F.lit(t)) for t in sorted(terms)]))
+    got = df.select(K.theme_ids(F.col("v"), terms).alias("a"), every.alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+    assert any(len(r.a) > 1 for r in got)
+    plan = df.select(K.theme_ids(F.col("v"), {f"t{i}": [f"word{i}"] for i in range(9)}).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "Contains" not in plan
+    assert one(spark, F.size(K.theme_ids(F.repeat(F.lit("abcd "), 300_000), terms)), v="") == 0
+
+
+def test_direction_rows_write_no_texts(spark, tmp_path):
+    from signalloom.plans import q_scores, stages
+    os.symlink("/root/testdata/sf0.001", tmp_path / "sf")
+    rows = q_scores.tagged(spark, str(tmp_path / "sf"))
+    assert not {"title", "summary"} & set(rows.columns)
+    assert {k[2] for k in stages._written if k[1] == str(tmp_path / "sf")} == {"tagged"}
+    whole = stages.classified(spark, str(tmp_path / "sf"))
+    again = stages.classified_once(spark, str(tmp_path / "sf"))
+    assert again.inputFiles() == whole.inputFiles()
+
+
 def test_rule_order(spark):
     rules = [{"id": "paid", "sponsor_statuses": ["sponsored"], "precedence": "before-theme", "reason": "paid"},
              {"id": "quiet", "source_types": ["community"], "requires_no_scope_term": True, "reason": "no scope"}]
