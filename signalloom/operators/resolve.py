@@ -106,30 +106,33 @@ def match_projects(projects: DataFrame, evidence: DataFrame, piece: int = 6) ->
     A substring has no hash key, but a text that holds a name holds all of the name's pieces of `piece`
     characters. Narrow (id, piece) rows are thinned to pieces that names have; each name then meets the
     records at its rarest piece, and only the texts of those records are fetched for the exact test.
+    Names and their pieces are written first: with their size known, rows are thinned before they are shuffled.
     """
     name = X.fold(F.col("name"))
     p = projects.select("name", name.alias("_name"), X.canonical_url(F.col("official_url")).alias("_official"))
-    p = p.filter("_name <> ''")
+    p = cut_lineage(p.filter("_name <> ''"), "project-names")   # read four times below
     text = X.fold(F.concat_ws("\n", F.col("title"), F.array_join("projects", " ")))
     e = evidence.select("id", X.canonical_url(F.col("url")).alias("_url"), text.alias("_text"))
     by_url = p.filter(F.col("_official") != "").join(
         e.filter(F.col("_url") != ""), F.col("_official") == F.col("_url")).select("name", "id")
 
-    def pieces(c: Column, n: int | Column) -> Column:
+    def pieces(c: Column, n: Column) -> Column:
         last = F.length(c) - (n - 1)
         starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(c, i, F.lit(n) if isinstance(n, int) else n))
+        return F.transform(starts, lambda i: F.substring(c, i, n))
 
     size = F.least(F.length("_name"), F.lit(piece))
     of_names = p.select("_name", F.explode(F.array_distinct(pieces(F.col("_name"), size))).alias("_piece")).distinct()
+    of_names = cut_lineage(of_names, "name-pieces")
     lengths = [r[0] for r in of_names.select(F.length("_piece")).distinct().collect()]   # at most `piece` numbers
-    # long texts are cut into overlapping blocks, as a position deep in a text is slow to reach
-    block = 64
+    # long texts are cut into overlapping blocks, so that a row never holds all pieces of one
+    block = 4096
     begins = F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)), F.lit(block))
     cut = F.transform(begins, lambda at: F.substring(F.col("_text"), at, F.lit(block + piece - 1)))
-    blocks = e.select("id", F.explode(cut).alias("_block"))
-    every = F.array_distinct(F.concat(*[pieces(F.col("_block"), n) for n in lengths])) if lengths else F.array().cast("array<string>")
-    held = blocks.select("id", F.explode(every).alias("_piece")).join(of_names.select("_piece").distinct(), "_piece", "left_semi").distinct()
+    blocks = explode_rows(e.select("id", "_text"), "_block", cut).select("id", "_block")
+    every = [F.regexp_extract_all("_block", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]   # at each place the next n characters
+    every = F.concat(*every) if every else F.array().cast("array<string>")
+    held = explode_rows(blocks, "_piece", every).select("id", "_piece").join(of_names.select("_piece"), "_piece", "left_semi").distinct()
     held = cut_lineage(held, "pieces")
     often = held.groupBy("_piece").agg(F.count("*").alias("n"))
     rarest = of_names.join(often, "_piece", "left").groupBy("_name").agg(F.min_by("_piece", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "_piece")).alias("_piece"))

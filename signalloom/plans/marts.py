@@ -125,6 +125,7 @@ def project_catalog(evidence: DataFrame, reviewed: DataFrame, as_of: str) -> Dat
     project matched.
     """
     e = evidence.select("id", "source_id", "source_type", "title", "url", "projects", "theme_ids", "ts")
+    reviewed = cut_lineage(reviewed, "reviewed")   # read here and by the match
     pairs = cut_lineage(V.match_projects(reviewed, e), "project-pairs")   # read twice below
     themes = pairs.join(e.select("id", "source_id", "theme_ids", "ts"), "id").groupBy("name").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("theme_ids")))).alias("theme_ids"),

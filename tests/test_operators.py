@@ -116,6 +116,23 @@ def test_direction_rows_write_no_texts(spark, tmp_path):
     assert again.inputFiles() == whole.inputFiles()
 
 
+def test_project_pieces_are_thinned_before_the_shuffle(spark, monkeypatch):
+    names = ["ab", "river stone", "\U0001f600 long name", "nowhere at all", "stone"]
+    long = "x" * 4090 + "River Stone" + "y\n" * 3000 + "\U0001f600\U0001f600 LONG name"
+    titles = [long, "ab", "a", "", "River\nStone", "stones", "nowhere at al", "\U0001f600 long nam"]
+    projects = frame(spark, [{"name": n, "official_url": ""} for n in names], "name string, official_url string")
+    evidence = frame(spark, [item(f"e{i}", title=t) for i, t in enumerate(titles)])
+    plans = {}
+
+    def cut(df, label="stage"):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return cut_lineage(df, label)
+    monkeypatch.setattr(V, "cut_lineage", cut)
+    got = {(r.name, r.id) for r in V.match_projects(projects, evidence).collect()}
+    assert got == {(n, f"e{i}") for n in names for i, t in enumerate(titles) if n in t.lower()}
+    assert "BroadcastHashJoin" in plans["pieces"] and plans["pieces"].count("regexp_extract_all") == len({min(len(n), 6) for n in names})
+
+
 def test_rule_order(spark):
     rules = [{"id": "paid", "sponsor_statuses": ["sponsored"], "precedence": "before-theme", "reason": "paid"},
              {"id": "quiet", "source_types": ["community"], "requires_no_scope_term": True, "reason": "no scope"}]
