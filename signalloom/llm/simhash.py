@@ -7,7 +7,9 @@ aggregation: a sum adds the bits i and i + 32 of a hash at once, in two lanes of
 
 Fingerprints within a Hamming radius are found in permuted block tables: 128 bits are 8 blocks; within a
 radius of 6 two blocks at least are equal, so the 28 tables keyed by two blocks hold every pair. Equal
-fingerprints are one row there, and a pair is made only in the first table that holds it.
+fingerprints are one row there, and a pair is made only in the first table that holds it. Spark sizes such a table
+like the rows before they are copied, so it is told how to join: the queries are broadcast where they stand in at most
+`BROADCAST_ROWS` rows (counted), else both sides are shuffled. Tables of a row per document are never broadcast.
 
 The edited texts need a document's successor: ranks are made on ids alone, and texts are shuffled once by id
 (one exchange, used twice) plus the part of the successor that is needed.
@@ -33,6 +35,7 @@ BITS, BLOCKS, BLOCK_BITS, EQUAL_BLOCKS = 128, 8, 16, 2
 RADIUS = BLOCKS - EQUAL_BLOCKS
 LANES = (1 << 32) + 1
 HALF = (1 << 32) - 1
+BROADCAST_ROWS = 1 << 20
 
 
 def fingerprints(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -80,23 +83,28 @@ def blocks(prefix: str = "") -> list[Column]:
 def within_radius(queries: DataFrame, points: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(q_a, q_b, fp_a, fp_b, dist): every pair of a query and a point (fp_a, fp_b) at most `radius` bits apart.
 
-    Both sides are made distinct first. Each row stands in 28 tables; a table's key is its two leading blocks.
+    Both sides are made distinct first. Each row stands in 28 tables; its key in a table is the table's two blocks' places
+    and bits.
     """
     if not 0 <= radius <= RADIUS:
         raise ValueError(f"the tables hold every pair only up to a radius of {RADIUS}")
+    places = list(combinations(range(BLOCKS), EQUAL_BLOCKS))
 
     def tables(df: DataFrame) -> DataFrame:
         b = blocks()
-        rows = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), (F.shiftleft(b[i], BLOCK_BITS).bitwiseOR(b[j])).alias("lead")) for i, j in combinations(range(BLOCKS), EQUAL_BLOCKS)]
-        return df.select("fp_a", "fp_b").distinct().select("fp_a", "fp_b", F.inline(F.array(*rows)))
+        keys = [F.lit(i << 35 | j << 32).bitwiseOR(F.shiftleft(b[i], BLOCK_BITS)).bitwiseOR(b[j]) for i, j in places]
+        return df.select("fp_a", "fp_b", F.explode(F.array(*keys)).alias("key"))
 
-    q = tables(queries).withColumnsRenamed({"fp_a": "q_a", "fp_b": "q_b"})
-    p = tables(points)
+    asked = cut_lineage(queries.select("fp_a", "fp_b").distinct(), "asked")
+    how = "broadcast" if asked.count() * len(places) <= BROADCAST_ROWS else "merge"
+    q = tables(asked).withColumnsRenamed({"fp_a": "q_a", "fp_b": "q_b"})
+    p = tables(points.select("fp_a", "fp_b").distinct())
     d = distance((F.col("q_a"), F.col("q_b")), (F.col("fp_a"), F.col("fp_b")))
     equal = [(x.bitwiseXOR(y) == 0).cast("int") for x, y in zip([F.shiftrightunsigned(c, k * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) for c in ("q_a", "q_b") for k in range(4)], blocks())]
     mask = reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(e, k) for k, e in enumerate(equal)])
-    first = mask.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.col("j")) - 1) == F.call_function("shiftleft", F.lit(1), F.col("i"))
-    both = q.join(p, ["i", "j", "lead"])
+    i, j = F.shiftright("key", 35).cast("int"), F.shiftright("key", 32).bitwiseAND(F.lit(7)).cast("int")
+    first = mask.bitwiseAND(F.call_function("shiftleft", F.lit(1), j) - 1) == F.call_function("shiftleft", F.lit(1), i)
+    both = p.join(q.hint(how), "key")
     return both.filter(d <= radius).filter(first).select("q_a", "q_b", "fp_a", "fp_b", d.alias("dist"))
 
 
@@ -117,13 +125,13 @@ def report(docs: DataFrame) -> DataFrame:
     if total < every.count():
         base = base.groupBy("k", "th").agg(F.first("text").alias("text"))
     after = F.when(F.col("rank") == total, 1).otherwise(F.col("rank") + 1)
-    pairs = ranked.select("doc_id", "k", "th", "n", after.alias("after")).join(ranked.select(F.col("rank").alias("after"), F.col("k").alias("next_k"), F.col("th").alias("next_th")), "after")
+    pairs = ranked.select("doc_id", "k", "th", "n", after.alias("after")).hint("merge").join(ranked.select(F.col("rank").alias("after"), F.col("k").alias("next_k"), F.col("th").alias("next_th")), "after")
     pairs = cut_lineage(pairs.drop("after"), "pairs")
 
     half = F.floor(F.col("n") / 2).cast("int")
     ask = pairs.select(F.col("k").alias("own_k"), F.col("th").alias("own_th"), "n", F.col("next_k").alias("k"), F.col("next_th").alias("th"))
-    piece = base.join(ask, ["k", "th"]).select(F.col("own_k").alias("k"), F.col("own_th").alias("th"), "n", F.substring("text", F.lit(1), half).alias("piece"))
-    joined = base.join(piece, ["k", "th"])
+    piece = base.join(ask.hint("merge"), ["k", "th"]).select(F.col("own_k").alias("k"), F.col("own_th").alias("th"), "n", F.substring("text", F.lit(1), half).alias("piece"))
+    joined = base.join(piece.hint("merge"), ["k", "th"])
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n") - half).cast("int")), F.col("piece"))
     both = joined.select("k", "th", "text", edited.alias("edited"))
     digest = F.sha2("edited", 256)
@@ -135,10 +143,10 @@ def report(docs: DataFrame) -> DataFrame:
     prints = cut_lineage(prints, "prints")
 
     following = prints.select(F.col("k").alias("next_k"), F.col("th").alias("next_th"), F.col("fp_a").alias("nx_a"), F.col("fp_b").alias("nx_b"))
-    rows = prints.join(pairs, ["k", "th"]).join(following, ["next_k", "next_th"])
-    asked = pairs.filter(F.col("doc_id") % 100 == 0).select("k", "th").join(prints, ["k", "th"]).select("fp_a", "fp_b")
+    rows = prints.join(pairs.hint("merge"), ["k", "th"]).join(following.hint("merge"), ["next_k", "next_th"])
+    asked = pairs.filter(F.col("doc_id") % 100 == 0).select("k", "th").hint("merge").join(prints, ["k", "th"]).select("fp_a", "fp_b")
     held = prints.groupBy("fp_a", "fp_b").agg(F.count("*").alias("docs"))
-    near = within_radius(asked, held).join(held, ["fp_a", "fp_b"]).groupBy(F.col("q_a").alias("fp_a"), F.col("q_b").alias("fp_b")).agg((F.sum("docs") - 1).alias("n_near"))
+    near = within_radius(asked, held).join(held.hint("merge"), ["fp_a", "fp_b"]).groupBy(F.col("q_a").alias("fp_a"), F.col("q_b").alias("fp_b")).agg((F.sum("docs") - 1).alias("n_near"))
     rows = rows.join(near, ["fp_a", "fp_b"], "left")
     pair = lambda x: (F.col(f"{x}_a"), F.col(f"{x}_b"))
     sha = F.lower(F.concat(*[F.lpad(F.hex(f"e{i}"), 16, "0") for i in range(4)]))

@@ -89,3 +89,37 @@ def test_near_counts(spark):
     rows = [(100, "a b c d e f"), (101, "a b c d e f"), (102, "zz yy xx"), (200, "q")]
     got = {r.doc_id: r.n_near for r in simhash.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {100: 1, 101: None, 102: None, 200: 0}
+
+
+def broadcast_rows(df):
+    """Rows of every broadcast of a frame that was run."""
+    out, nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        n = nodes.pop()
+        name = n.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            nodes.append(n.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            nodes.append(n.plan())
+        else:
+            if name == "BroadcastExchangeExec":
+                out.append(n.metrics().apply("numOutputRows").value())
+            nodes += [n.children().apply(k) for k in range(n.children().size())]
+    return out
+
+
+def test_only_the_queries_are_broadcast(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["ab", "the", "élan", "wordy", "longer"]) for _ in range(30))) for i in range(1, 1001)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tables = len(list(simhash.combinations(range(simhash.BLOCKS), simhash.EQUAL_BLOCKS)))
+    got = simhash.report(df)
+    first = columns(got)
+    near = sorted((r.doc_id, r.n_near) for r in got.collect() if r.n_near is not None)
+    asked = len(near)
+    assert asked == 10 and sorted(broadcast_rows(got))[-1] == asked * tables
+    assert sum(broadcast_rows(got)) <= asked * tables + 2 * asked
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", asked * tables - 1)
+    shuffled = simhash.report(df)
+    assert columns(shuffled) == first and max(broadcast_rows(shuffled), default=0) <= asked
+    assert sorted((r.doc_id, r.n_near) for r in shuffled.collect() if r.n_near is not None) == near
