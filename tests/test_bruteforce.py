@@ -98,6 +98,17 @@ def test_collapse_titles(spark, seed):
     assert {(r.g, r.title): (r.duplicate_count, r.sponsor_seen) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("ratio", [0.3, 0.7, 1.0])
+def test_contained_titles(spark, ratio):
+    rnd = random.Random(7)
+    texts = [("xy"[i % 2], "".join(rnd.choice(["a", "b", "aa ", "model ", "größe "]) for _ in range(rnd.randrange(0, 40)))) for i in range(40)]
+    texts += [("x", "a" * n) for n in (1, 2, 3, 30, 31, 40)] + [("y", ("ab" * 300)[:n]) for n in (500, 510, 599)]
+    rows = sorted({(g, t[a:len(t) - b]) for g, t in texts for a in range(0, 9, 4) for b in (0, 1, 6, 15)} | {(None, "a" * 30)}, key=str)
+    want = sorted((g, t, u) for g, t in rows for h, u in rows if g and g == h and t and t != u and t in u and len(t) >= ratio * len(u) - 1e-9)
+    got = dedup.contained_titles(small_table(spark, rows, "g string, t string"), ["g"], ratio)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_coherent_core(spark, seed):
     rnd = random.Random(seed)

@@ -285,6 +285,36 @@ def test_history_cleaning(spark):
     assert {r.id for r in again.collect()} == {r.id for r in out.collect()}
 
 
+def test_history_is_read_once(spark, tmp_path):
+    """Titles are parsed and shuffled once (D7): what is kept of a title's first row comes with it, not from the input again."""
+    rows = [("1", "One headline about model routing", "2026-06-01T05:00:00Z", "editorial", "b"), ("2", "One headline about model routing", "2026-06-01T02:00:00Z", "unknown", "z"),
+            ("3", "one headline about model routing", "2026-06-01T01:00:00Z", "editorial", "a"), ("4", "One headline about model routing", None, "editorial", "a")]
+    frame(spark, rows, "id string, title string, published_at string, sponsor_status string, sponsor_basis string").write.parquet(str(tmp_path / "rows"))
+    out = dedup.clean_history(spark.read.parquet(str(tmp_path / "rows")), "news")
+    assert [tuple(r)[1:] for r in out.collect()] == [("One headline about model routing", "2026-06-01T02:00:00Z", "unknown", "z")]
+    assert not [f for f in out.inputFiles() if str(tmp_path) in f]
+
+
+def test_a_title_offers_few_rows(spark):
+    """A title is looked for by few of its pieces (D6), not by all its starts."""
+    titles = spark.range(200).select(F.lit("g").alias("g"), F.concat_ws(" ", *[F.md5(F.concat("id", F.lit(i))) for i in range(3)]).alias("t"))
+    out = dedup.contained_titles(titles.unionByName(titles.withColumn("t", F.expr("substring(t, 5)"))), ["g"])
+    assert len(out.collect()) == 200
+    rows, nodes = [], [out._jdf.queryExecution().executedPlan()]
+    while nodes:
+        n = nodes.pop()
+        name = n.getClass().getSimpleName()
+        if name == "GenerateExec":
+            rows.append(n.metrics().apply("numOutputRows").value())
+        if name == "AdaptiveSparkPlanExec":
+            nodes.append(n.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            nodes.append(n.plan())
+        else:
+            nodes += [n.children().apply(k) for k in range(n.children().size())]
+    assert 0 < sum(rows) < 400 * 8
+
+
 # ---- health, gates, review ----------------------------------------------------------------------
 
 def test_legacy_receipt(spark):
